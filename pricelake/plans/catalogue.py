@@ -87,3 +87,53 @@ def q_reconcile_summary(spark, sf_dir):
 @query("consensus")
 def q_consensus(spark, sf_dir):
     return present(reconciliation(spark, sf_dir).consensus())
+
+
+# ---- quality gate -------------------------------------------------------
+from ..operators import quality as qc  # noqa: E402
+
+
+def _price_reports(spark, sf_dir):
+    return (qc.evaluate(bind.primary_bronze(spark, sf_dir), qc.price_rules(), PRIMARY)
+            .unionByName(qc.evaluate(bind.secondary_bronze(spark, sf_dir), qc.price_rules(), SECONDARY)))
+
+
+def _all_reports(spark, sf_dir):
+    return (qc.evaluate(bind.constituents(spark, sf_dir), qc.constituents_rules(), "constituents")
+            .unionByName(_price_reports(spark, sf_dir))
+            .unionByName(qc.evaluate_macro(bind.macro(spark, sf_dir)))
+            .unionByName(qc.evaluate(bind.identifiers(spark, sf_dir), qc.identifier_rules(), "identifiers")))
+
+
+@query("quality_prices")
+def q_quality_prices(spark, sf_dir):
+    return present(_price_reports(spark, sf_dir))
+
+
+@query("quality_constituents")
+def q_quality_constituents(spark, sf_dir):
+    return present(qc.evaluate(bind.constituents(spark, sf_dir), qc.constituents_rules(), "constituents"))
+
+
+@query("quality_macro")
+def q_quality_macro(spark, sf_dir):
+    return present(qc.evaluate_macro(bind.macro(spark, sf_dir)))
+
+
+@query("quality_identifiers")
+def q_quality_identifiers(spark, sf_dir):
+    return present(qc.evaluate(bind.identifiers(spark, sf_dir), qc.identifier_rules(), "identifiers"))
+
+
+@query("quality_rollup")
+def q_quality_rollup(spark, sf_dir):
+    return present(qc.rollup(_all_reports(spark, sf_dir)))
+
+
+@query("ohlc_violations")
+def q_ohlc_violations(spark, sf_dir):
+    cols = ["ticker", "date", "open", "high", "low", "close", "adj_close", "volume"]
+    p = bind.primary_bronze(spark, sf_dir).select(F.lit(PRIMARY).alias("source"), *cols)
+    s = bind.secondary_bronze(spark, sf_dir).select(F.lit(SECONDARY).alias("source"), *cols)
+    v = qc.ohlc_violations(p.unionByName(s))
+    return present(v.orderBy("source", "ticker", "date"))

@@ -196,3 +196,127 @@ SELECT ticker, CAST(date AS VARCHAR) AS date,
             THEN 'disagreed' ELSE 'agreed' END AS reconciliation_flag
 FROM matched
 """)
+
+# ---- quality gate -------------------------------------------------------
+view("constituents", """
+SELECT 'U' || lpad(CAST(c.c_custkey AS VARCHAR), 6, '0') AS ticker,
+       'Acme ' || CAST(c.c_custkey AS VARCHAR) ||
+         CASE c.c_custkey % 4 WHEN 0 THEN ' Inc.' WHEN 1 THEN ', Corp' WHEN 2 THEN ' plc' ELSE ' Class A' END
+         AS company_name,
+       c.c_mktsegment AS gics_sector, n.n_name AS gics_sub_industry,
+       DATE '1990-01-01' + CAST(c.c_custkey * 7 AS INTEGER) AS date_added,
+       DATE '2024-01-31' AS snapshot_date, c.c_custkey
+FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
+WHERE c.c_custkey <= (SELECT max(user_id) FROM events)
+""")
+view("identifiers", """
+SELECT ticker, 'BBG' || lpad(CAST(c_custkey AS VARCHAR), 9, '0') AS figi,
+       'BBC' || lpad(CAST(c_custkey AS VARCHAR), 9, '0') AS composite_figi,
+       CAST(NULL AS VARCHAR) AS share_class_figi, 'ACME ' || CAST(c_custkey AS VARCHAR) AS name,
+       'Common Stock' AS security_type, 'Equity' AS market_sector, c_custkey
+FROM constituents WHERE c_custkey % 13 <> 0
+""")
+view("macro", """
+SELECT CAST(ts AS DATE) AS date,
+       CASE event_type WHEN 'click' THEN 'DGS3MO' WHEN 'view' THEN 'DGS10'
+            WHEN 'purchase' THEN 'FEDFUNDS' WHEN 'signup' THEN 'CPIAUCSL'
+            ELSE upper(event_type) END AS series_id,
+       avg(value) AS value
+FROM events GROUP BY 1, 2
+""")
+
+# (name, unexpected, evaluated, mostly) per price rule
+_PRICE_CHECKS = [
+    ("ticker not null", "count(*) FILTER (WHERE ticker IS NULL)", "count(*)", "1.0"),
+    ("date not null", "count(*) FILTER (WHERE date IS NULL)", "count(*)", "1.0"),
+    ("close not null", "count(*) FILTER (WHERE close IS NULL)", "count(*)", "1.0"),
+    ("close > 0", "count(*) FILTER (WHERE close <= 0)", "count(close)", "1.0"),
+    ("open > 0", "count(*) FILTER (WHERE open <= 0)", "count(open)", "1.0"),
+    ("adj_close > 0", "count(*) FILTER (WHERE adj_close <= 0)", "count(adj_close)", "1.0"),
+    ("volume >= 0", "count(*) FILTER (WHERE volume < 0)", "count(volume)", "1.0"),
+]
+for _nm, _a, _b in [("high >= low", "high", "low"), ("high >= open", "high", "open"),
+                    ("high >= close", "high", "close"), ("low <= open", "open", "low"),
+                    ("low <= close", "close", "low")]:
+    _PRICE_CHECKS.append((
+        _nm,
+        f"count(*) FILTER (WHERE ({_a} IS NOT NULL OR {_b} IS NOT NULL) AND NOT coalesce({_a} >= {_b}, false))",
+        f"count(*) FILTER (WHERE {_a} IS NOT NULL OR {_b} IS NOT NULL)", "0.9999"))
+
+
+def _check_rows(source: str, table: str, checks, uniques=(), band=None) -> str:
+    parts = []
+    for nm, u, e, mostly in checks:
+        parts.append(f"""SELECT '{source}' AS source, '{nm}' AS check_name,
+       (e = 0 OR (e - u) / e >= {mostly}) AS success, CAST(u AS BIGINT) AS unexpected_count,
+       CAST(e AS BIGINT) AS element_count
+FROM (SELECT {u} AS u, {e} AS e FROM {table}) x""")
+    for nm, cols in uniques:
+        some = " OR ".join(f"{c} IS NOT NULL" for c in cols)
+        parts.append(f"""SELECT '{source}' AS source, '{nm}' AS check_name,
+       (e = 0 OR (e - u) / e >= 1.0) AS success, CAST(u AS BIGINT) AS unexpected_count,
+       CAST(e AS BIGINT) AS element_count
+FROM (SELECT coalesce(sum(c) FILTER (WHERE c > 1), 0) AS u, coalesce(sum(c), 0) AS e
+      FROM (SELECT count(*) AS c FROM {table} WHERE {some} GROUP BY {', '.join(cols)}) g) x""")
+    if band:
+        parts.append(f"""SELECT '{source}' AS source, 'row count in [{band[0]}, {band[1]}]' AS check_name,
+       count(*) BETWEEN {band[0]} AND {band[1]} AS success,
+       CAST(CASE WHEN count(*) BETWEEN {band[0]} AND {band[1]} THEN 0 ELSE 1 END AS BIGINT) AS unexpected_count,
+       count(*) AS element_count FROM {table}""")
+    return "\nUNION ALL\n".join(parts)
+
+
+_PRICE_Q = (_check_rows("primary", "primary_bronze", _PRICE_CHECKS, [("(ticker, date) unique", ["ticker", "date"])])
+            + "\nUNION ALL\n"
+            + _check_rows("secondary", "secondary_bronze", _PRICE_CHECKS, [("(ticker, date) unique", ["ticker", "date"])]))
+_CONST_Q = _check_rows("constituents", "constituents",
+                       [("ticker not null", "count(*) FILTER (WHERE ticker IS NULL)", "count(*)", "1.0"),
+                        ("gics_sector not null", "count(*) FILTER (WHERE gics_sector IS NULL)", "count(*)", "1.0")],
+                       [("ticker unique", ["ticker"])], band=(480, 520))
+_IDENT_Q = _check_rows("identifiers", "identifiers",
+                       [("figi not null", "count(*) FILTER (WHERE figi IS NULL)", "count(*)", "1.0"),
+                        ("figi is 12 characters", "count(*) FILTER (WHERE length(figi) <> 12)", "count(figi)", "1.0")],
+                       [("figi unique", ["figi"]), ("ticker unique", ["ticker"])])
+_MACRO_Q = """
+SELECT 'macro:' || series_id AS source, 'value not null' AS check_name, nulls = 0 AS success,
+       CAST(nulls AS BIGINT) AS unexpected_count, CAST(n AS BIGINT) AS element_count
+FROM (SELECT series_id, count(*) AS n, count(*) FILTER (WHERE value IS NULL) AS nulls FROM macro GROUP BY 1) a
+UNION ALL
+SELECT 'macro:' || series_id AS source,
+       CASE WHEN series_id = 'CPIAUCSL' THEN 'value > 0 (index level)'
+            ELSE 'value in plausible rate range [0, 25]' END AS check_name,
+       bad = 0 AS success, CAST(bad AS BIGINT) AS unexpected_count, CAST(ev AS BIGINT) AS element_count
+FROM (SELECT series_id, count(value) AS ev,
+             CASE WHEN series_id = 'CPIAUCSL' THEN count(*) FILTER (WHERE value <= 0)
+                  ELSE count(*) FILTER (WHERE value < 0 OR value > 25) END AS bad
+      FROM macro GROUP BY 1) b
+"""
+
+q("quality_prices", _PRICE_Q)
+q("quality_constituents", _CONST_Q)
+q("quality_identifiers", _IDENT_Q)
+q("quality_macro", _MACRO_Q)
+q("quality_rollup", f"""
+SELECT source, bool_and(success) AS passed, count(*) AS checks,
+       count(*) FILTER (WHERE NOT success) AS failed_checks
+FROM ({_CONST_Q}
+UNION ALL
+{_PRICE_Q}
+UNION ALL
+{_MACRO_Q}
+UNION ALL
+{_IDENT_Q}) r
+GROUP BY source
+""")
+q("ohlc_violations", f"""
+SELECT source, ticker, CAST(date AS VARCHAR) AS date, round(open, {R}) AS open, round(high, {R}) AS high,
+       round(low, {R}) AS low, round(close, {R}) AS close, round(adj_close, {R}) AS adj_close,
+       CAST(volume AS BIGINT) AS volume, violation
+FROM (SELECT 'primary' AS source, ticker, date, open, high, low, close, adj_close, volume FROM primary_bronze
+      UNION ALL
+      SELECT 'secondary', ticker, date, open, high, low, close, adj_close, volume FROM secondary_bronze) b,
+     (VALUES ('low > open'), ('low > close'), ('low > high'), ('high < open'), ('high < close')) r(violation)
+WHERE (violation = 'low > open' AND low > open) OR (violation = 'low > close' AND low > close)
+   OR (violation = 'low > high' AND low > high) OR (violation = 'high < open' AND high < open)
+   OR (violation = 'high < close' AND high < close)
+""")
