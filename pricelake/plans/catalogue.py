@@ -137,3 +137,70 @@ def q_ohlc_violations(spark, sf_dir):
     s = bind.secondary_bronze(spark, sf_dir).select(F.lit(SECONDARY).alias("source"), *cols)
     v = qc.ohlc_violations(p.unionByName(s))
     return present(v.orderBy("source", "ticker", "date"))
+
+
+# ---- gold dimensions ----------------------------------------------------
+import datetime as _dt  # noqa: E402
+
+from ..operators import dims  # noqa: E402
+
+CAL_START, CAL_END = _dt.date(2024, 1, 1), bind.INGEST_DATE
+SCD_ATTRS = ["company_name", "gics_sector", "gics_sub_industry", "figi"]
+
+
+def scd_snapshots(spark, sf_dir):
+    s = bind.membership_snapshots(spark, sf_dir)
+    return s.select("ticker", "snapshot_date",
+                    F.concat(F.lit("Acme "), F.col("ticker")).alias("company_name"),
+                    F.col("attribute").alias("gics_sector"),
+                    F.lit(None).cast("string").alias("gics_sub_industry"),
+                    F.lit(None).cast("string").alias("figi"))
+
+
+@query("trading_days")
+def q_trading_days(spark, sf_dir):
+    return present(dims.trading_days(primary_silver(spark, sf_dir)))
+
+
+@query("dim_date")
+def q_dim_date(spark, sf_dir):
+    return present(dims.build_dim_date(spark, CAL_START, CAL_END,
+                                       dims.trading_days(primary_silver(spark, sf_dir))))
+
+
+@query("dim_date_refresh")
+def q_dim_date_refresh(spark, sf_dir):
+    """First load: early window with the secondary vendor's trading days;
+    refresh: later, overlapping window with the primary's."""
+    first = dims.build_dim_date(spark, CAL_START, _dt.date(2024, 1, 20),
+                                dims.trading_days(secondary_silver(spark, sf_dir)))
+    second = dims.build_dim_date(spark, _dt.date(2024, 1, 10), CAL_END,
+                                 dims.trading_days(primary_silver(spark, sf_dir)))
+    return present(dims.refresh_dim_date(first, second))
+
+
+@query("scd2_history")
+def q_scd2_history(spark, sf_dir):
+    return present(dims.build_scd2_bulk(scd_snapshots(spark, sf_dir), SCD_ATTRS))
+
+
+@query("scd2_apply_snapshot")
+def q_scd2_apply_snapshot(spark, sf_dir):
+    """History up to the previous snapshot (bulk), then the latest snapshot
+    applied incrementally — must equal the bulk history over all."""
+    snaps = scd_snapshots(spark, sf_dir)
+    last = snaps.select(F.max("snapshot_date")).scalar()
+    before = dims.build_scd2_bulk(snaps.where(F.col("snapshot_date") < last), SCD_ATTRS)
+    latest = snaps.where(F.col("snapshot_date") == last).drop("snapshot_date")
+    new_dim, _ = dims.apply_snapshot(before, latest, last, SCD_ATTRS)
+    return present(new_dim)
+
+
+@query("scd2_summary")
+def q_scd2_summary(spark, sf_dir):
+    return present(dims.scd2_summary(scd_snapshots(spark, sf_dir), SCD_ATTRS))
+
+
+@query("scd2_invariants")
+def q_scd2_invariants(spark, sf_dir):
+    return present(dims.scd2_invariants(dims.build_scd2_bulk(scd_snapshots(spark, sf_dir), SCD_ATTRS)))

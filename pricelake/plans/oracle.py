@@ -320,3 +320,96 @@ WHERE (violation = 'low > open' AND low > open) OR (violation = 'low > close' AN
    OR (violation = 'low > high' AND low > high) OR (violation = 'high < open' AND high < open)
    OR (violation = 'high < close' AND high < close)
 """)
+
+# ---- gold dimensions ----------------------------------------------------
+view("trading_days", "SELECT DISTINCT date FROM primary_silver")
+_DIM_DATE_COLS = """CAST(strftime(d, '%Y%m%d') AS BIGINT) AS date_key, CAST(d AS VARCHAR) AS date,
+       CAST(year(d) AS BIGINT) AS year, CAST(quarter(d) AS BIGINT) AS quarter,
+       CAST(month(d) AS BIGINT) AS month, monthname(d) AS month_name, CAST(day(d) AS BIGINT) AS day,
+       CAST(isodow(d) - 1 AS BIGINT) AS day_of_week, dayname(d) AS day_name,
+       isodow(d) - 1 < 5 AS is_weekday"""
+view("dim_date", f"""
+SELECT {_DIM_DATE_COLS}, t.date IS NOT NULL AS is_trading_day
+FROM (SELECT CAST(range AS DATE) AS d FROM range(DATE '2024-01-01', DATE '2024-02-01', INTERVAL 1 DAY)) c
+LEFT JOIN trading_days t ON t.date = c.d
+""")
+q("trading_days", "SELECT CAST(date AS VARCHAR) AS date FROM trading_days")
+q("dim_date", "SELECT * FROM dim_date")
+q("dim_date_refresh", f"""
+SELECT {_DIM_DATE_COLS},
+       CASE WHEN d >= DATE '2024-01-10' THEN d IN (SELECT date FROM primary_silver)
+            ELSE d IN (SELECT date FROM secondary_silver) END AS is_trading_day
+FROM (SELECT CAST(range AS DATE) AS d FROM range(DATE '2024-01-01', DATE '2024-02-01', INTERVAL 1 DAY)) c
+""")
+view("scd_snap", """
+SELECT 'U' || lpad(CAST(o_custkey AS VARCHAR), 6, '0') AS ticker,
+       make_date(CAST(yr AS BIGINT), 1, 1) AS snapshot_date,
+       'Acme U' || lpad(CAST(o_custkey AS VARCHAR), 6, '0') AS company_name,
+       attribute AS gics_sector
+FROM (SELECT o_custkey, year(o_orderdate) AS yr,
+             arg_max(o_orderpriority, o_orderdate::VARCHAR || '#' || lpad(CAST(o_orderkey AS VARCHAR), 20, '0')) AS attribute
+      FROM orders GROUP BY 1, 2) x
+""")
+view("scd_idx", """
+SELECT snapshot_date, row_number() OVER (ORDER BY snapshot_date) AS idx,
+       lead(snapshot_date) OVER (ORDER BY snapshot_date) AS next_snapshot
+FROM (SELECT DISTINCT snapshot_date FROM scd_snap) d
+""")
+view("scd_tr", """
+SELECT s.*, i.idx, i.next_snapshot,
+       lag(i.idx) OVER w AS prev_idx, lag(s.gics_sector) OVER w AS prev_sector,
+       lag(s.company_name) OVER w AS prev_name, lead(i.idx) OVER w AS next_idx
+FROM scd_snap s JOIN scd_idx i USING (snapshot_date)
+WINDOW w AS (PARTITION BY s.ticker ORDER BY i.idx)
+""")
+view("scd_tr2", """
+SELECT *, CASE WHEN prev_idx IS NULL THEN 'first_seen' WHEN prev_idx <> idx - 1 THEN 'returned'
+               WHEN prev_sector IS DISTINCT FROM gics_sector OR prev_name IS DISTINCT FROM company_name
+               THEN 'changed' ELSE 'unchanged' END AS transition
+FROM scd_tr
+""")
+view("scd_hist", """
+SELECT v.ticker, v.company_name, v.gics_sector, v.effective_from, i.next_snapshot AS effective_to
+FROM (SELECT ticker, company_name, gics_sector, min(snapshot_date) AS effective_from, max(idx) AS last_idx
+      FROM (SELECT *, sum(CASE WHEN transition <> 'unchanged' THEN 1 ELSE 0 END)
+                        OVER (PARTITION BY ticker ORDER BY idx ROWS UNBOUNDED PRECEDING) AS ver
+            FROM scd_tr2) x
+      GROUP BY ticker, ver, company_name, gics_sector) v
+JOIN scd_idx i ON i.idx = v.last_idx
+""")
+_SCD_COLS = """CAST(row_number() OVER (ORDER BY effective_from, ticker) AS BIGINT) AS security_key, ticker,
+       company_name, gics_sector, CAST(NULL AS VARCHAR) AS gics_sub_industry, CAST(NULL AS VARCHAR) AS figi,
+       CAST(effective_from AS VARCHAR) AS effective_from, CAST(effective_to AS VARCHAR) AS effective_to,
+       effective_to IS NULL AS is_current"""
+q("scd2_history", f"SELECT {_SCD_COLS} FROM scd_hist")
+q("scd2_apply_snapshot", f"SELECT {_SCD_COLS} FROM scd_hist")
+q("scd2_summary", """
+SELECT CAST(p.snapshot_date AS VARCHAR) AS snapshot_date, p.new, p.changed,
+       CAST(coalesce(c.closed, 0) AS BIGINT) AS closed, p.unchanged, p.returned
+FROM (SELECT snapshot_date,
+             count(*) FILTER (WHERE transition IN ('first_seen', 'returned')) AS new,
+             count(*) FILTER (WHERE transition = 'changed') AS changed,
+             count(*) FILTER (WHERE transition = 'unchanged') AS unchanged,
+             count(*) FILTER (WHERE transition = 'returned') AS returned
+      FROM scd_tr2 GROUP BY 1) p
+LEFT JOIN (SELECT next_snapshot AS snapshot_date, count(*) AS closed FROM scd_tr2
+           WHERE next_snapshot IS NOT NULL AND (next_idx IS NULL OR next_idx <> idx + 1)
+           GROUP BY 1) c USING (snapshot_date)
+""")
+q("scd2_invariants", """
+SELECT 'one current row per ticker' AS check_name,
+       CAST((SELECT count(*) FROM (SELECT ticker FROM scd_hist WHERE effective_to IS NULL
+                                   GROUP BY 1 HAVING count(*) > 1)) AS BIGINT) AS violations
+UNION ALL
+SELECT 'unique (ticker, effective_from)',
+       CAST((SELECT count(*) FROM (SELECT 1 FROM scd_hist GROUP BY ticker, effective_from
+                                   HAVING count(*) > 1)) AS BIGINT)
+UNION ALL
+SELECT 'no overlapping intervals',
+       CAST((SELECT count(*) FROM (SELECT effective_to, lead(effective_from) OVER
+                                     (PARTITION BY ticker ORDER BY effective_from) AS nf FROM scd_hist) x
+             WHERE nf IS NOT NULL AND (effective_to IS NULL OR effective_to > nf)) AS BIGINT)
+UNION ALL
+SELECT 'effective_to after effective_from',
+       CAST((SELECT count(*) FROM scd_hist WHERE effective_to <= effective_from) AS BIGINT)
+""")
