@@ -73,3 +73,11 @@ def is_flagged(a, b, tolerance: float = RECONCILIATION_TOLERANCE) -> Column:
     return F.coalesce(
         F.when(mean == 0, diff > 0).otherwise(pct_diff(a, b) > F.lit(tolerance)),
         F.lit(False))
+
+
+def to_decimal(c, precision: int = 18, scale: int = 6) -> Column:
+    """Double to DECIMAL(precision, scale) rounding half-up on the value's
+    decimal digits (as a database receiving the printed float does), not on
+    its binary expansion: 7.625 * 1.00002 gives 7.625153.  The first step to
+    12 places removes binary noise; the second rounds half-up."""
+    return _c(c).cast("decimal(38,12)").cast(f"decimal({precision},{scale})")

@@ -204,3 +204,103 @@ def q_scd2_summary(spark, sf_dir):
 @query("scd2_invariants")
 def q_scd2_invariants(spark, sf_dir):
     return present(dims.scd2_invariants(dims.build_scd2_bulk(scd_snapshots(spark, sf_dir), SCD_ATTRS)))
+
+
+# ---- gold facts ---------------------------------------------------------
+from ..operators import facts as fx  # noqa: E402
+from ..operators.silver import dedup_keep_last, type_columns  # noqa: E402
+
+
+def gold_dim_date(spark, sf_dir):
+    return dims.build_dim_date(spark, CAL_START, CAL_END, dims.trading_days(primary_silver(spark, sf_dir)))
+
+
+def gold_dim_security(spark, sf_dir):
+    snap = dims.prepare_snapshot(bind.constituents(spark, sf_dir), bind.identifiers(spark, sf_dir))
+    dim, _ = dims.apply_snapshot(dims.empty_dim(spark), snap, bind.INGEST_DATE)
+    return dim
+
+
+def gold_facts(spark, sf_dir):
+    """(table -> (rows, load counts)) for every fact of one gold build."""
+    dd, ds = gold_dim_date(spark, sf_dir), gold_dim_security(spark, sf_dir)
+    p_rows, p_cnt = fx.fact_price_daily(primary_silver(spark, sf_dir), PRIMARY, dd, ds)
+    s_rows, s_cnt = fx.fact_price_daily(secondary_silver(spark, sf_dir), SECONDARY, dd, ds)
+    c_rows, c_cnt = fx.fact_consensus(reconciliation(spark, sf_dir).consensus(), dd, ds)
+    actions_bronze = dedup_keep_last(type_columns(bind.primary_bronze(spark, sf_dir)))
+    a_rows, a_cnt = fx.fact_corporate_action(actions_bronze, dd, ds)
+    m_rows, m_cnt = fx.fact_macro_rate(bind.macro(spark, sf_dir), dd)
+    return dd, ds, {
+        "fact_price_daily": (p_rows.unionByName(s_rows), p_cnt.unionByName(s_cnt)),
+        "fact_price_daily_consensus": (c_rows, c_cnt),
+        "fact_corporate_action": (a_rows, a_cnt),
+        "fact_macro_rate": (m_rows, m_cnt),
+    }
+
+
+@query("fact_price_daily")
+def q_fact_price_daily(spark, sf_dir):
+    return present(gold_facts(spark, sf_dir)[2]["fact_price_daily"][0])
+
+
+@query("fact_consensus")
+def q_fact_consensus(spark, sf_dir):
+    return present(gold_facts(spark, sf_dir)[2]["fact_price_daily_consensus"][0])
+
+
+@query("fact_corporate_action")
+def q_fact_corporate_action(spark, sf_dir):
+    return present(gold_facts(spark, sf_dir)[2]["fact_corporate_action"][0])
+
+
+@query("fact_macro_rate")
+def q_fact_macro_rate(spark, sf_dir):
+    return present(gold_facts(spark, sf_dir)[2]["fact_macro_rate"][0])
+
+
+@query("load_summary")
+def q_load_summary(spark, sf_dir):
+    f = gold_facts(spark, sf_dir)[2]
+    out = None
+    for _, (_, cnt) in f.items():
+        out = cnt if out is None else out.unionByName(cnt)
+    return present(out)
+
+
+@query("fk_orphans")
+def q_fk_orphans(spark, sf_dir):
+    dd, ds, f = gold_facts(spark, sf_dir)
+    out = None
+    for table, (rows, _) in f.items():
+        o = fx.fk_orphans(rows, table, dd, None if table == "fact_macro_rate" else ds)
+        out = o if out is None else out.unionByName(o)
+    return present(out)
+
+
+@query("pk_duplicates")
+def q_pk_duplicates(spark, sf_dir):
+    from ..schemas import GOLD_TABLES
+    dd, ds, f = gold_facts(spark, sf_dir)
+    tables = {"dim_date": dd, "dim_security": ds, **{t: r for t, (r, _) in f.items()}}
+    out = None
+    for t, df in tables.items():
+        o = fx.pk_duplicates(df, t, GOLD_TABLES[t][1])
+        out = o if out is None else out.unionByName(o)
+    return present(out)
+
+
+@query("freshness_gate")
+def q_freshness_gate(spark, sf_dir):
+    dd, ds, f = gold_facts(spark, sf_dir)
+    return present(fx.freshness(ds, f["fact_price_daily_consensus"][0], dd, bind.INGEST_DATE))
+
+
+@query("gold_build_counts")
+def q_gold_build_counts(spark, sf_dir):
+    dd, ds, f = gold_facts(spark, sf_dir)
+    tables = {"dim_date": dd, "dim_security": ds, **{t: r for t, (r, _) in f.items()}}
+    out = None
+    for t, df in tables.items():
+        o = df.agg(F.lit(t).alias("table"), F.count(F.lit(1)).alias("rows"))
+        out = o if out is None else out.unionByName(o)
+    return present(out)

@@ -413,3 +413,132 @@ UNION ALL
 SELECT 'effective_to after effective_from',
        CAST((SELECT count(*) FROM scd_hist WHERE effective_to <= effective_from) AS BIGINT)
 """)
+
+# ---- gold facts ---------------------------------------------------------
+view("dim_security", """
+SELECT CAST(row_number() OVER (ORDER BY c.ticker) AS BIGINT) AS security_key, c.ticker,
+       c.company_name, c.gics_sector, c.gics_sub_industry, i.figi
+FROM constituents c LEFT JOIN identifiers i ON i.ticker = c.ticker
+""")
+view("dd_keys", "SELECT CAST(strftime(d, '%Y%m%d') AS BIGINT) AS date_key, d AS date FROM "
+                "(SELECT CAST(range AS DATE) AS d FROM range(DATE '2024-01-01', DATE '2024-02-01', INTERVAL 1 DAY))")
+_P6 = "round(CAST(CAST(CAST({c} AS DECIMAL(38,12)) AS DECIMAL(18,6)) AS DOUBLE), 9) AS {c}"
+_PRICE_FACT = ", ".join(_P6.format(c=c) for c in
+                        ["open", "high", "low", "close", "adj_open", "adj_high", "adj_low", "adj_close"])
+view("f_price", f"""
+SELECT k.security_key, d.date_key, src.source, {_PRICE_FACT},
+       CAST(volume AS BIGINT) AS volume, CAST(adj_volume AS BIGINT) AS adj_volume
+FROM (SELECT 'primary' AS source, * FROM primary_silver
+      UNION ALL SELECT 'secondary' AS source, * FROM secondary_silver) src
+JOIN dd_keys d ON d.date = src.date JOIN dim_security k ON k.ticker = src.ticker
+""")
+view("consensus_rows", """
+SELECT ticker, date,
+       CASE WHEN _merge = 'right_only' THEN secondary_adj_close ELSE primary_adj_close END AS adj_close,
+       CASE WHEN _merge = 'right_only' THEN 'secondary' ELSE 'primary' END AS primary_source,
+       CASE WHEN _merge = 'both' THEN 'primary,secondary'
+            WHEN _merge = 'left_only' THEN 'primary' ELSE 'secondary' END AS sources_available,
+       CASE WHEN _merge = 'both' THEN abs(primary_adj_close - secondary_adj_close)
+                  / ((primary_adj_close + secondary_adj_close) / 2) END AS pct_diff,
+       CASE WHEN _merge <> 'both' THEN 'single_source'
+            WHEN coalesce(CASE WHEN (primary_adj_close + secondary_adj_close) / 2 = 0
+                               THEN abs(primary_adj_close - secondary_adj_close) > 0
+                               ELSE abs(primary_adj_close - secondary_adj_close)
+                                    / ((primary_adj_close + secondary_adj_close) / 2) > 0.005 END, false)
+            THEN 'disagreed' ELSE 'agreed' END AS reconciliation_flag
+FROM matched
+""")
+view("f_consensus", """
+SELECT k.security_key, d.date_key, round(CAST(CAST(CAST(c.adj_close AS DECIMAL(38,12)) AS DECIMAL(18,6)) AS DOUBLE), 9) AS adj_close,
+       c.primary_source, c.sources_available,
+       round(CAST(CAST(CAST(c.pct_diff AS DECIMAL(38,12)) AS DECIMAL(9,6)) AS DOUBLE), 9) AS pct_diff, c.reconciliation_flag
+FROM consensus_rows c JOIN dd_keys d ON d.date = c.date JOIN dim_security k ON k.ticker = c.ticker
+""")
+view("actions", """
+SELECT ticker, date, action_type, value FROM (
+  SELECT ticker, date, 'dividend' AS action_type, dividends AS value FROM primary_bronze
+  UNION ALL SELECT ticker, date, 'split', stock_splits FROM primary_bronze) a
+WHERE coalesce(value, 0) <> 0
+""")
+view("f_action", """
+SELECT k.security_key, d.date_key, a.action_type,
+       round(CAST(CAST(CAST(a.value AS DECIMAL(38,12)) AS DECIMAL(18,6)) AS DOUBLE), 9) AS value, 'primary' AS source
+FROM actions a JOIN dd_keys d ON d.date = a.date JOIN dim_security k ON k.ticker = a.ticker
+""")
+view("f_macro", """
+SELECT d.date_key, m.series_id, round(CAST(CAST(CAST(m.value AS DECIMAL(38,12)) AS DECIMAL(18,6)) AS DOUBLE), 9) AS value
+FROM macro m JOIN dd_keys d ON d.date = m.date
+""")
+q("fact_price_daily", "SELECT * FROM f_price")
+q("fact_consensus", "SELECT * FROM f_consensus")
+q("fact_corporate_action", "SELECT * FROM f_action")
+q("fact_macro_rate", "SELECT * FROM f_macro")
+
+
+def _load(table: str, src: str, with_sec: bool = True) -> str:
+    sk = "k.security_key IS NULL" if with_sec else "false"
+    join_sec = "LEFT JOIN dim_security k ON k.ticker = s.ticker" if with_sec else ""
+    return f"""SELECT '{table}' AS "table",
+       count(*) FILTER (WHERE d.date_key IS NOT NULL AND NOT ({sk})) AS loaded,
+       count(*) FILTER (WHERE {sk}) AS skipped_no_security_key,
+       count(*) FILTER (WHERE d.date_key IS NULL) AS skipped_no_date_key
+FROM ({src}) s LEFT JOIN dd_keys d ON d.date = s.date {join_sec}"""
+
+
+q("load_summary", "\nUNION ALL\n".join([
+    _load("fact_price_daily:primary", "SELECT ticker, date FROM primary_silver"),
+    _load("fact_price_daily:secondary", "SELECT ticker, date FROM secondary_silver"),
+    _load("fact_price_daily_consensus", "SELECT ticker, date FROM consensus_rows"),
+    _load("fact_corporate_action", "SELECT ticker, date FROM actions"),
+    _load("fact_macro_rate", "SELECT date FROM macro", with_sec=False),
+]))
+
+
+def _orph(table: str, src: str, with_sec: bool = True) -> str:
+    s = f"""SELECT '{table}' AS "table", 'date_key' AS fk,
+       (SELECT count(*) FROM {src} f WHERE f.date_key NOT IN (SELECT date_key FROM dd_keys)) AS orphans"""
+    if with_sec:
+        s += f"""
+UNION ALL SELECT '{table}', 'security_key',
+       (SELECT count(*) FROM {src} f WHERE f.security_key NOT IN (SELECT security_key FROM dim_security))"""
+    return s
+
+
+q("fk_orphans", "\nUNION ALL\n".join([
+    _orph("fact_price_daily", "f_price"), _orph("fact_price_daily_consensus", "f_consensus"),
+    _orph("fact_corporate_action", "f_action"), _orph("fact_macro_rate", "f_macro", False)]))
+
+
+def _pk(table: str, src: str, keys: str) -> str:
+    return f"""SELECT '{table}' AS "table",
+       (SELECT count(*) FROM (SELECT 1 FROM {src} GROUP BY {keys} HAVING count(*) > 1)) AS duplicate_keys"""
+
+
+q("pk_duplicates", "\nUNION ALL\n".join([
+    _pk("dim_date", "dd_keys", "date_key"), _pk("dim_security", "dim_security", "security_key"),
+    _pk("fact_price_daily", "f_price", "security_key, date_key, source"),
+    _pk("fact_price_daily_consensus", "f_consensus", "security_key, date_key"),
+    _pk("fact_corporate_action", "f_action", "security_key, date_key, action_type, source"),
+    _pk("fact_macro_rate", "f_macro", "date_key, series_id")]))
+
+view("fresh_s", "SELECT count(*) AS securities FROM dim_security")
+view("fresh_c", "SELECT count(*) AS n, max(d.date) AS max_date FROM f_consensus f JOIN dd_keys d USING (date_key)")
+q("freshness_gate", f"""
+SELECT 'security count >= 400' AS check_name, s.securities >= 400 AS passed,
+       CAST(s.securities AS DOUBLE) AS observed FROM fresh_s s
+UNION ALL
+SELECT 'consensus rows/security >= 200', coalesce(c.n / s.securities, 0.0) >= 200,
+       round(coalesce(c.n / s.securities, 0.0), {R}) FROM fresh_s s, fresh_c c
+UNION ALL
+SELECT 'latest data within 5 days of ingest_date',
+       coalesce(DATE '2024-01-31' - c.max_date BETWEEN 0 AND 5, false),
+       CAST(DATE '2024-01-31' - c.max_date AS DOUBLE) FROM fresh_c c
+""")
+q("gold_build_counts", """
+SELECT 'dim_date' AS "table", (SELECT count(*) FROM dd_keys) AS rows
+UNION ALL SELECT 'dim_security', (SELECT count(*) FROM dim_security)
+UNION ALL SELECT 'fact_price_daily', (SELECT count(*) FROM f_price)
+UNION ALL SELECT 'fact_price_daily_consensus', (SELECT count(*) FROM f_consensus)
+UNION ALL SELECT 'fact_corporate_action', (SELECT count(*) FROM f_action)
+UNION ALL SELECT 'fact_macro_rate', (SELECT count(*) FROM f_macro)
+""")
