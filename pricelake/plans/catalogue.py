@@ -304,3 +304,61 @@ def q_gold_build_counts(spark, sf_dir):
         o = df.agg(F.lit(t).alias("table"), F.count(F.lit(1)).alias("rows"))
         out = o if out is None else out.unionByName(o)
     return present(out)
+
+
+# ---- landed payloads ----------------------------------------------------
+from ..sources import landing, payloads  # noqa: E402
+
+
+@query("price_payload_json")
+def q_price_payload_json(spark, sf_dir):
+    rows, _ = payloads.parse_price_records(landing.price_json(bind.secondary_bronze(spark, sf_dir)))
+    return present(rows)
+
+
+@query("macro_payload_json")
+def q_macro_payload_json(spark, sf_dir):
+    rows, _ = payloads.parse_observations(landing.observations_json(spark, sf_dir))
+    return present(rows)
+
+
+@query("identifier_payload_zip")
+def q_identifier_payload_zip(spark, sf_dir):
+    rows, rejects = payloads.parse_identifier_responses(landing.identifier_responses(spark, sf_dir))
+    return present(rows.select(*rows.columns, F.lit("mapped").alias("status"))
+                   .unionByName(rejects.select(F.col("key").alias("ticker"), *[
+                       F.lit(None).cast("string").alias(c) for c in rows.columns if c != "ticker"],
+                       F.lit("rejected").alias("status"))))
+
+
+@query("holdings_xml")
+def q_holdings_xml(spark, sf_dir):
+    return present(payloads.parse_holdings_xml(landing.holdings_xml(spark, sf_dir)))
+
+
+@query("filing_index_pick")
+def q_filing_index_pick(spark, sf_dir):
+    rows, _ = payloads.pick_filing(landing.filing_index(spark, sf_dir))
+    return present(rows)
+
+
+@query("constituents_html")
+def q_constituents_html(spark, sf_dir):
+    return present(payloads.parse_constituents_html(landing.constituents_html(spark, sf_dir)))
+
+
+@query("wide_to_long_prices")
+def q_wide_to_long_prices(spark, sf_dir):
+    cells, _ = landing.wide_cells(spark, sf_dir)
+    return present(payloads.cells_to_long(cells))
+
+
+@query("missing_from_batch")
+def q_missing_from_batch(spark, sf_dir):
+    """Requested tickers a 'successful' wide response silently left out —
+    the dead-letter rows of the primary fetch."""
+    cells, req = landing.wide_cells(spark, sf_dir)
+    delivered = payloads.cells_to_long(cells).select("ticker").distinct()
+    missing = req.join(delivered, "ticker", "left_anti")
+    return present(missing.select(F.lit(PRIMARY).alias("source"), "batch_id", "ticker",
+                                  F.lit("no data returned").alias("reason")))

@@ -542,3 +542,70 @@ UNION ALL SELECT 'fact_price_daily_consensus', (SELECT count(*) FROM f_consensus
 UNION ALL SELECT 'fact_corporate_action', (SELECT count(*) FROM f_action)
 UNION ALL SELECT 'fact_macro_rate', (SELECT count(*) FROM f_macro)
 """)
+
+# ---- landed payloads ----------------------------------------------------
+view("holdings", """
+SELECT 'ACME ' || CAST(c_custkey AS VARCHAR) ||
+         CASE c_custkey % 3 WHEN 0 THEN ' INCORPORATED' WHEN 1 THEN ' Holdings' ELSE ' LTD' END AS name,
+       'acme ' || CAST(c_custkey AS VARCHAR) || ' class b' AS title,
+       lpad(CAST(c_custkey AS VARCHAR), 9, '0') AS cusip,
+       CASE WHEN c_custkey % 7 = 3 THEN NULL ELSE 'US' || lpad(CAST(c_custkey AS VARCHAR), 10, '0') END AS isin,
+       CASE WHEN c_custkey % 5 = 4 THEN 'STIV' ELSE 'EC' END AS asset_cat,
+       c_acctbal / 1000.0 AS pct_val, c_acctbal AS val_usd, c_custkey AS holding_key
+FROM customer
+WHERE c_custkey % 19 <> 0 AND c_custkey < (SELECT max(user_id) FROM events) + 11
+""")
+q("price_payload_json", f"""
+SELECT CAST(date AS VARCHAR) AS date, round(open, {R}) AS open, round(high, {R}) AS high, round(low, {R}) AS low,
+       round(close, {R}) AS close, round(adj_close, {R}) AS adj_close, round(adj_open, {R}) AS adj_open,
+       round(adj_high, {R}) AS adj_high, round(adj_low, {R}) AS adj_low,
+       CAST(adj_volume AS BIGINT) AS adj_volume, CAST(volume AS BIGINT) AS volume, ticker
+FROM secondary_bronze
+""")
+q("macro_payload_json", f"""
+SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS date,
+       CASE event_type WHEN 'click' THEN 'DGS3MO' WHEN 'view' THEN 'DGS10'
+            WHEN 'purchase' THEN 'FEDFUNDS' WHEN 'signup' THEN 'CPIAUCSL'
+            ELSE upper(event_type) END AS series_id,
+       round(value, {R}) AS value
+FROM events WHERE event_id % 20 <> 0
+""")
+q("identifier_payload_zip", """
+SELECT c.ticker, i.figi, i.composite_figi, i.share_class_figi, i.name, i.security_type, i.market_sector,
+       CASE WHEN i.figi IS NULL THEN 'rejected' ELSE 'mapped' END AS status
+FROM constituents c LEFT JOIN identifiers i ON i.ticker = c.ticker
+""")
+q("holdings_xml", f"""
+SELECT name, title, cusip, isin, asset_cat, round(pct_val, {R}) AS pct_val, round(val_usd, {R}) AS val_usd,
+       '2024-01-31' AS nport_filed_date
+FROM holdings WHERE asset_cat = 'EC'
+""")
+q("filing_index_pick", """
+SELECT 'U' || lpad(CAST(o_custkey AS VARCHAR), 6, '0') AS cik,
+       lpad(CAST(o_custkey AS VARCHAR), 10, '0') || strftime(CAST(o_orderdate AS DATE), '%y')
+         || lpad(CAST(o_orderkey % 1000000 AS VARCHAR), 6, '0') AS accession,
+       CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS filed_date
+FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey
+                                   ORDER BY CAST(o_orderdate AS DATE) DESC, o_orderkey DESC) AS rn
+      FROM orders WHERE o_orderpriority = '1-URGENT') x
+WHERE rn = 1
+""")
+q("constituents_html", """
+SELECT CASE WHEN c_custkey % 50 = 7 THEN ticker || '-B' ELSE ticker END AS ticker,
+       company_name, gics_sector, gics_sub_industry,
+       CASE WHEN c_custkey % 11 = 5 THEN NULL ELSE CAST(date_added AS VARCHAR) END AS date_added
+FROM constituents
+""")
+q("wide_to_long_prices", f"""
+SELECT ticker, CAST(date AS VARCHAR) AS date, round(open, {R}) AS open, round(high, {R}) AS high,
+       round(low, {R}) AS low, round(close, {R}) AS close, round(adj_close, {R}) AS adj_close,
+       CAST(volume AS BIGINT) AS volume, round(dividends, {R}) AS dividends,
+       round(stock_splits, {R}) AS stock_splits
+FROM primary_bronze WHERE CAST(substr(ticker, 2, 6) AS BIGINT) % 37 <> 5
+""")
+q("missing_from_batch", """
+SELECT 'primary' AS source, batch_id, ticker, 'no data returned' AS reason
+FROM (SELECT ticker, CAST((row_number() OVER (ORDER BY ticker) - 1) // 50 AS BIGINT) AS batch_id,
+             c_custkey FROM constituents) c
+WHERE c_custkey % 37 = 5 OR ticker NOT IN (SELECT ticker FROM primary_bronze)
+""")

@@ -140,7 +140,7 @@ def holdings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 7 == 3, F.lit(None).cast("string"))
          .otherwise(F.concat(F.lit("US"), F.lpad(k.cast("string"), 10, "0"))).alias("isin"),
         F.when(k % 5 == 4, "STIV").otherwise("EC").alias("asset_cat"),
-        F.round(F.col("c_acctbal") / 1000.0, 4).alias("pct_val"),
+        (F.col("c_acctbal") / 1000.0).alias("pct_val"),
         F.col("c_acctbal").alias("val_usd"),
         k.alias("holding_key"),
     )
