@@ -362,3 +362,142 @@ def q_missing_from_batch(spark, sf_dir):
     missing = req.join(delivered, "ticker", "left_anti")
     return present(missing.select(F.lit(PRIMARY).alias("source"), "batch_id", "ticker",
                                   F.lit("no data returned").alias("reason")))
+
+
+# ---- planning, cross-check, bronze storage --------------------------------
+from ..config import MACRO_SERIES  # noqa: E402
+from ..operators import crosscheck as xc  # noqa: E402
+from ..operators import planning as plan  # noqa: E402
+from ..schemas import PRIMARY_BRONZE  # noqa: E402
+from ..session import scratch_dir  # noqa: E402
+from ..sources import bronze  # noqa: E402
+
+SAMPLE_N = 45
+
+
+@query("batch_plan")
+def q_batch_plan(spark, sf_dir):
+    return present(plan.batch_plan(bind.constituents(spark, sf_dir), 50))
+
+
+@query("stratified_sample")
+def q_stratified_sample(spark, sf_dir):
+    return present(plan.stratified_sample(bind.constituents(spark, sf_dir), SAMPLE_N))
+
+
+@query("resume_worklist")
+def q_resume_worklist(spark, sf_dir):
+    sample = plan.stratified_sample(bind.constituents(spark, sf_dir), SAMPLE_N)
+    landed = bind.secondary_bronze(spark, sf_dir).select("ticker")
+    return present(plan.resume_worklist(sample, landed))
+
+
+@query("trailing_hour_budget")
+def q_trailing_hour_budget(spark, sf_dir):
+    return present(plan.trailing_hour_budget(bind.request_log(spark, sf_dir)))
+
+
+def _ec_holdings(spark, sf_dir):
+    return bind.holdings(spark, sf_dir).where(F.col("asset_cat") == "EC").drop("holding_key")
+
+
+@query("crosscheck_unmatched_list")
+def q_crosscheck_unmatched_list(spark, sf_dir):
+    return present(xc.unmatched_list(bind.constituents(spark, sf_dir), _ec_holdings(spark, sf_dir)))
+
+
+@query("crosscheck_unmatched_holdings")
+def q_crosscheck_unmatched_holdings(spark, sf_dir):
+    return present(xc.unmatched_holdings(bind.constituents(spark, sf_dir), _ec_holdings(spark, sf_dir)))
+
+
+@query("crosscheck_summary")
+def q_crosscheck_summary(spark, sf_dir):
+    return present(xc.summary(bind.constituents(spark, sf_dir), _ec_holdings(spark, sf_dir)))
+
+
+@query("macro_labelled")
+def q_macro_labelled(spark, sf_dir):
+    labels = spark.createDataFrame(MACRO_SERIES, "series_id string, label string")  # fixed 4 rows
+    return present(bind.macro(spark, sf_dir).join(F.broadcast(labels), "series_id", "left"))
+
+
+@query("universe_plan")
+def q_universe_plan(spark, sf_dir):
+    from .pipeline import universe_plan
+    return present(universe_plan(bind.constituents(spark, sf_dir), sample_size=SAMPLE_N))
+
+
+def _landed_primary(spark, sf_dir):
+    """Two snapshots of the primary feed landed in shared storage: the
+    previous day's (history before 2024-01-30) and today's full history."""
+    root = scratch_dir(spark, "lake")
+    b = bind.primary_bronze(spark, sf_dir)
+    bronze.land(b.where(F.col("date") < F.lit(_dt.date(2024, 1, 30))), root, "primary_prices",
+                _dt.date(2024, 1, 30))
+    bronze.land(b, root, "primary_prices", bind.INGEST_DATE)
+    return root
+
+
+@query("bronze_partition_scan")
+def q_bronze_partition_scan(spark, sf_dir):
+    root = _landed_primary(spark, sf_dir)
+    df = bronze.scan(spark, root, "primary_prices", PRIMARY_BRONZE, bind.INGEST_DATE, arrival=False)
+    return present(df.drop("batch"))
+
+
+@query("latest_partition")
+def q_latest_partition(spark, sf_dir):
+    root = _landed_primary(spark, sf_dir)
+    latest = bronze.latest_partition(spark, root, "primary_prices", before=bind.INGEST_DATE)
+    rows = bronze.scan(spark, root, "primary_prices", PRIMARY_BRONZE, arrival=False)
+    counted = rows.join(latest, rows.ingest_date == latest.latest_ingest_date, "left_semi").agg(
+        F.count(F.lit(1)).alias("rows_in_partition"))
+    return present(latest.withColumn("_k", F.lit(1)).join(counted.withColumn("_k", F.lit(1)), "_k").drop("_k"))
+
+
+@query("silver_dedup")
+def q_silver_dedup(spark, sf_dir):
+    """Today's feed landed twice: the full pull, then a re-delivery of some
+    bars with restated prices.  Keep-last must pick the re-delivery."""
+    root = scratch_dir(spark, "lake")
+    b = bind.primary_bronze(spark, sf_dir)
+    uid = F.substring("ticker", 2, 6).cast("long")
+    revised = (b.where((uid + F.dayofmonth("date")) % 7 == 0)
+               .withColumn("close", F.col("close") * 1.001).withColumn("adj_close", F.col("adj_close") * 1.001))
+    bronze.land(b, root, "primary_prices", bind.INGEST_DATE, batch=0)
+    bronze.land(revised, root, "primary_prices", bind.INGEST_DATE, batch=1)
+    scanned = bronze.scan(spark, root, "primary_prices", PRIMARY_BRONZE, bind.INGEST_DATE)
+    return present(to_silver(scanned.drop("ingest_date", "batch"), PRIMARY))
+
+
+# ---- targeted backfill ------------------------------------------------------
+from . import pipeline as pl  # noqa: E402
+
+BACKFILL_FROM = _dt.date(2024, 1, 16)
+
+
+def _split_tickers(spark, sf_dir):
+    """The backfill subset: every ticker with a split action (data-derived)."""
+    return (fx.corporate_actions(bind.primary_bronze(spark, sf_dir))
+            .where(F.col("action_type") == "split").select("ticker").distinct())
+
+
+@query("trading_days_union")
+def q_trading_days_union(spark, sf_dir):
+    ps = primary_silver(spark, sf_dir)
+    previous = ps.where(F.col("date") < F.lit(BACKFILL_FROM))
+    subset = ps.join(_split_tickers(spark, sf_dir), "ticker", "left_semi")
+    return present(pl.monotone_trading_days(previous, subset))
+
+
+@query("backfill_audit")
+def q_backfill_audit(spark, sf_dir):
+    dd, ds = gold_dim_date(spark, sf_dir), gold_dim_security(spark, sf_dir)
+    early = F.col("date") < F.lit(BACKFILL_FROM)
+    ps, ss = primary_silver(spark, sf_dir), secondary_silver(spark, sf_dir)
+    before, _ = fx.fact_consensus(rec.Reconciliation(ps.where(early), ss.where(early)).consensus(), dd, ds)
+    subset = _split_tickers(spark, sf_dir)
+    sub_rec = rec.Reconciliation(ps.join(subset, "ticker", "left_semi"), ss.join(subset, "ticker", "left_semi"))
+    backfill, _ = fx.fact_consensus(sub_rec.consensus(), dd, ds)
+    return present(pl.backfill_audit(before, backfill, ds, subset))

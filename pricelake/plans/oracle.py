@@ -609,3 +609,117 @@ FROM (SELECT ticker, CAST((row_number() OVER (ORDER BY ticker) - 1) // 50 AS BIG
              c_custkey FROM constituents) c
 WHERE c_custkey % 37 = 5 OR ticker NOT IN (SELECT ticker FROM primary_bronze)
 """)
+
+# ---- planning, cross-check, bronze storage --------------------------------
+view("batches", """
+SELECT CAST((row_number() OVER (ORDER BY ticker) - 1) // 50 AS BIGINT) AS batch_id,
+       CAST(row_number() OVER (ORDER BY ticker) - 1 AS BIGINT) AS position, ticker
+FROM constituents
+""")
+view("sample45", """
+SELECT ticker FROM (
+  SELECT ticker, gics_sector, row_number() OVER (PARTITION BY gics_sector ORDER BY md5(ticker || ':42'), ticker) AS rn
+  FROM constituents WHERE gics_sector IS NOT NULL) r
+ORDER BY rn, gics_sector LIMIT 45
+""")
+q("batch_plan", "SELECT batch_id, position, ticker FROM batches")
+q("stratified_sample", """
+SELECT ticker FROM sample45 WHERE (SELECT count(*) FROM constituents) > 45
+UNION ALL SELECT ticker FROM constituents WHERE (SELECT count(*) FROM constituents) <= 45
+""")
+q("resume_worklist", """
+SELECT ticker, CASE WHEN ticker IN (SELECT ticker FROM secondary_bronze) THEN 'landed' ELSE 'to_fetch' END AS status
+FROM (SELECT ticker FROM sample45 WHERE (SELECT count(*) FROM constituents) > 45
+      UNION ALL SELECT ticker FROM constituents WHERE (SELECT count(*) FROM constituents) <= 45) s
+""")
+q("trailing_hour_budget", """
+SELECT 'default' AS account, event_id AS request_id, CAST(ts AS VARCHAR) AS requested_at, trailing_count,
+       trailing_count > 45 AS over_cap
+FROM (SELECT event_id, ts, count(*) OVER (ORDER BY ts RANGE BETWEEN INTERVAL 1 HOUR PRECEDING AND CURRENT ROW)
+             AS trailing_count FROM events) x
+""")
+_NORM = ("trim(regexp_replace(regexp_replace(regexp_replace(upper(coalesce({c}, '')), '[^\\w\\s]', ' ', 'g'), "
+         "'\\b(INC|INCORPORATED|CORP|CORPORATION|CO|COMPANY|PLC|LTD|LIMITED|LLC|GROUP|HOLDING|HOLDINGS|CLASS [A-Z])\\b\\.?', "
+         "' ', 'g'), '\\s+', ' ', 'g'))")
+view("ec_holdings", f"""
+SELECT name, title, cusip, isin, asset_cat, pct_val, val_usd,
+       {_NORM.format(c='name')} AS n_name, {_NORM.format(c='title')} AS n_title
+FROM holdings WHERE asset_cat = 'EC'
+""")
+view("members", f"SELECT *, {_NORM.format(c='company_name')} AS n_company FROM constituents")
+view("ul", """
+SELECT ticker, company_name, gics_sector, gics_sub_industry, date_added, snapshot_date FROM members
+WHERE n_company NOT IN (SELECT n_name FROM ec_holdings UNION SELECT n_title FROM ec_holdings)
+""")
+view("uh", """
+SELECT name, title, cusip, isin, asset_cat, pct_val, val_usd FROM ec_holdings
+WHERE n_name NOT IN (SELECT n_company FROM members) AND n_title NOT IN (SELECT n_company FROM members)
+""")
+q("crosscheck_unmatched_list", """
+SELECT ticker, company_name, gics_sector, gics_sub_industry, CAST(date_added AS VARCHAR) AS date_added,
+       CAST(snapshot_date AS VARCHAR) AS snapshot_date FROM ul
+""")
+q("crosscheck_unmatched_holdings", f"""
+SELECT name, title, cusip, isin, asset_cat, round(pct_val, {R}) AS pct_val, round(val_usd, {R}) AS val_usd FROM uh
+""")
+q("crosscheck_summary", """
+SELECT (SELECT count(*) FROM members) AS list_count, (SELECT count(*) FROM ec_holdings) AS holdings_count,
+       (SELECT count(*) FROM members) - (SELECT count(*) FROM ul) AS matched,
+       (SELECT count(*) FROM ul) AS unmatched_list, (SELECT count(*) FROM uh) AS unmatched_holdings,
+       (SELECT count(*) FROM members WHERE n_company = '') AS empty_names
+""")
+q("macro_labelled", f"""
+SELECT m.series_id, CAST(m.date AS VARCHAR) AS date, round(m.value, {R}) AS value, l.label
+FROM macro m LEFT JOIN (VALUES ('DGS3MO', '3-Month Treasury Constant Maturity Rate'),
+                               ('DGS10', '10-Year Treasury Constant Maturity Rate'),
+                               ('FEDFUNDS', 'Federal Funds Effective Rate'),
+                               ('CPIAUCSL', 'CPI, All Urban Consumers, Seasonally Adjusted')) l(series_id, label)
+  ON l.series_id = m.series_id
+""")
+_PB_COLS = f"""CAST(date AS VARCHAR) AS date, round(open, {R}) AS open, round(high, {R}) AS high,
+       round(low, {R}) AS low, round(close, {R}) AS close, round(adj_close, {R}) AS adj_close,
+       CAST(volume AS BIGINT) AS volume, round(dividends, {R}) AS dividends,
+       round(stock_splits, {R}) AS stock_splits, ticker"""
+q("bronze_partition_scan", f"SELECT {_PB_COLS}, '2024-01-31' AS ingest_date FROM primary_bronze")
+q("latest_partition", """
+SELECT '2024-01-30' AS latest_ingest_date, count(*) AS rows_in_partition
+FROM primary_bronze WHERE date < DATE '2024-01-30'
+""")
+view("revised_primary", """
+SELECT ticker, date, open, high, low,
+       close * CASE WHEN (CAST(substr(ticker, 2, 6) AS BIGINT) + day(date)) % 7 = 0 THEN 1.001 ELSE 1 END AS close,
+       adj_close * CASE WHEN (CAST(substr(ticker, 2, 6) AS BIGINT) + day(date)) % 7 = 0 THEN 1.001 ELSE 1 END AS adj_close,
+       volume
+FROM primary_bronze
+""")
+q("silver_dedup", f"""
+SELECT ticker, CAST(date AS VARCHAR) AS date, round(open, {R}) AS open, round(high, {R}) AS high,
+       round(low, {R}) AS low, round(close, {R}) AS close, round(adj_close, {R}) AS adj_close,
+       round(open * (adj_close / close), {R}) AS adj_open, round(high * (adj_close / close), {R}) AS adj_high,
+       round(low * (adj_close / close), {R}) AS adj_low, CAST(volume AS BIGINT) AS volume,
+       CAST(volume AS BIGINT) AS adj_volume
+FROM revised_primary
+""")
+
+q("universe_plan", """
+SELECT c.ticker, c.gics_sector,
+       CAST((row_number() OVER (ORDER BY c.ticker) - 1) // 50 AS BIGINT) AS primary_batch,
+       CAST((row_number() OVER (ORDER BY c.ticker) - 1) // 100 AS BIGINT) AS identifier_batch,
+       c.ticker IN (SELECT ticker FROM sample45) AS in_secondary_sample
+FROM constituents c
+""")
+view("split_tickers", "SELECT DISTINCT ticker FROM primary_bronze WHERE stock_splits <> 0")
+q("trading_days_union", """
+SELECT CAST(date AS VARCHAR) AS date FROM (
+  SELECT date FROM primary_silver WHERE date < DATE '2024-01-16'
+  UNION SELECT date FROM primary_silver WHERE ticker IN (SELECT ticker FROM split_tickers)) d
+""")
+q("backfill_audit", """
+SELECT (SELECT count(*) FROM consensus_rows WHERE date < DATE '2024-01-16') AS before_total,
+       (SELECT count(*) FROM consensus_rows
+        WHERE date < DATE '2024-01-16' OR ticker IN (SELECT ticker FROM split_tickers)) AS after_total,
+       (SELECT count(*) FROM consensus_rows
+        WHERE date < DATE '2024-01-16' AND ticker IN (SELECT ticker FROM split_tickers)) AS before_subset,
+       (SELECT count(*) FROM consensus_rows WHERE ticker IN (SELECT ticker FROM split_tickers)) AS after_subset,
+       true AS untouched_outside_subset
+""")
