@@ -501,3 +501,22 @@ def q_backfill_audit(spark, sf_dir):
     sub_rec = rec.Reconciliation(ps.join(subset, "ticker", "left_semi"), ss.join(subset, "ticker", "left_semi"))
     backfill, _ = fx.fact_consensus(sub_rec.consensus(), dd, ds)
     return present(pl.backfill_audit(before, backfill, ds, subset))
+
+
+@query("fact_price_daily_upsert")
+def q_fact_price_daily_upsert(spark, sf_dir):
+    """Two loads into a parquet fact table: the primary history, then a
+    re-pull restating adj_close from the 20th plus the secondary vendor's
+    rows.  Conflicting keys take the new values; nothing else changes."""
+    from ..sources.gold import GoldStore
+    store = GoldStore(spark, scratch_dir(spark, "gold"))
+    dd, ds = gold_dim_date(spark, sf_dir), gold_dim_security(spark, sf_dir)
+    ps = primary_silver(spark, sf_dir)
+    first, _ = fx.fact_price_daily(ps, PRIMARY, dd, ds)
+    store.upsert("fact_price_daily", first)
+    restated = (ps.where(F.dayofmonth("date") >= 20)
+                .withColumn("adj_close", F.col("adj_close") * 1.001))
+    second, _ = fx.fact_price_daily(restated, PRIMARY, dd, ds)
+    sec, _ = fx.fact_price_daily(secondary_silver(spark, sf_dir), SECONDARY, dd, ds)
+    store.upsert("fact_price_daily", second.unionByName(sec))
+    return present(store.read("fact_price_daily"))

@@ -723,3 +723,17 @@ SELECT (SELECT count(*) FROM consensus_rows WHERE date < DATE '2024-01-16') AS b
        (SELECT count(*) FROM consensus_rows WHERE ticker IN (SELECT ticker FROM split_tickers)) AS after_subset,
        true AS untouched_outside_subset
 """)
+q("fact_price_daily_upsert", f"""
+SELECT security_key, date_key, source, open, high, low, close, adj_open, adj_high, adj_low,
+       CASE WHEN source = 'primary' AND date_key % 100 >= 20
+            THEN round(CAST(CAST(CAST(adj_close_raw * 1.001 AS DECIMAL(38,12)) AS DECIMAL(18,6)) AS DOUBLE), 9)
+            ELSE adj_close END AS adj_close,
+       volume, adj_volume
+FROM (SELECT f.*, src.adj_close AS adj_close_raw
+      FROM f_price f
+      JOIN dim_security k ON k.security_key = f.security_key
+      JOIN dd_keys d ON d.date_key = f.date_key
+      JOIN (SELECT 'primary' AS source, ticker, date, adj_close FROM primary_silver
+            UNION ALL SELECT 'secondary', ticker, date, adj_close FROM secondary_silver) src
+        ON src.source = f.source AND src.ticker = k.ticker AND src.date = d.date) x
+""")

@@ -42,7 +42,9 @@ class GoldStore:
         return f"{self.root}/{table}"
 
     def exists(self, table: str) -> bool:
-        return _fs_exists(self.spark, f"{self.path(table)}/_SUCCESS")
+        # the table folder is only ever created by a completed swap (a dynamic
+        # partition overwrite stages its files and moves them at commit)
+        return _fs_exists(self.spark, self.path(table))
 
     def read(self, table: str) -> DataFrame:
         schema, _ = GOLD_TABLES[table]
