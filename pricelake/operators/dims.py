@@ -98,6 +98,8 @@ def apply_snapshot(dim: DataFrame, snapshot: DataFrame, snapshot_date: dt.date |
     not current — first seen or returning), 'unchanged', 'changed' (current
     row closed at snapshot_date, new row opened), 'closed' (ticker left the
     snapshot).  A second change on the same day for one ticker is rejected.
+    ``dim`` should be a materialised table (a gold-store read or a
+    checkpoint): the result references it three times.
     """
     sd = snapshot_date if isinstance(snapshot_date, Column) else F.lit(snapshot_date)
     cur = dim.where("is_current").select(

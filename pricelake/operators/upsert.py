@@ -12,10 +12,10 @@ def assert_unique(df: DataFrame, keys: list[str], what: str = "upsert batch") ->
     statement that touches one row twice).  Fused into the plan as a window
     count on the key, which shares its shuffle with the upsert join."""
     n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
-    return (df.withColumn("_dups", n)
-            .withColumn("_dups", F.when(F.col("_dups") > 1, F.raise_error(
-                F.lit(f"duplicate key in {what}: {keys}"))).otherwise(F.col("_dups")))
-            .drop("_dups"))
+    k0 = keys[0]
+    # folded into a key column so the optimiser can never prune the check
+    return df.withColumn(k0, F.when(n > 1, F.raise_error(
+        F.lit(f"duplicate key in {what}: {keys}"))).otherwise(F.col(k0)))
 
 
 def upsert(existing: DataFrame, incoming: DataFrame, keys: list[str],

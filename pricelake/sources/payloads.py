@@ -20,9 +20,10 @@ from ..functions import normalize_ticker
 def _drift_checked(text: Column, required: list[str], what: str) -> Column:
     """``text`` itself, or a job failure if the payload's first record lacks
     a required key (folded into the value so it can never be pruned)."""
-    keys = F.json_object_keys(F.get_json_object(text, "$[0]"))
+    first = F.get_json_object(text, "$[0]")
+    keys = F.json_object_keys(first)
     missing = F.array_except(F.array(*[F.lit(k) for k in required]), F.coalesce(keys, F.array()))
-    return F.when(F.size(missing) > 0, F.raise_error(F.concat(
+    return F.when(first.isNotNull() & (F.size(missing) > 0), F.raise_error(F.concat(
         F.lit(f"{what} schema drift, missing: "), F.array_join(missing, ",")))).otherwise(text)
 
 
