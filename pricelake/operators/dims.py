@@ -145,11 +145,14 @@ def scd2_transitions(snapshots: DataFrame, attrs: list[str]) -> DataFrame:
     the calendar); per-ticker windows hold one row per snapshot the ticker is
     in, so no group grows with the number of tickers.
     """
+    snapshots = keep_one(snapshots.withColumn("_a", F.monotonically_increasing_id()),
+                         ["ticker", "snapshot_date"], [F.col("_a")], last=False).drop("_a")
     dates = snapshots.select("snapshot_date").distinct()
     idx = dates.select("snapshot_date",
                        F.row_number().over(Window.orderBy("snapshot_date")).alias("idx"),
                        F.lead("snapshot_date").over(Window.orderBy("snapshot_date")).alias("next_snapshot"))
-    s = snapshots.join(F.broadcast(idx), "snapshot_date")
+    # one row per snapshot date: AQE broadcasts it when its measured size is small
+    s = snapshots.join(idx, "snapshot_date")
     w = Window.partitionBy("ticker").orderBy("idx")
     s = s.withColumn("prev_idx", F.lag("idx").over(w))
     for a in attrs:

@@ -3,18 +3,20 @@ DO UPDATE semantics) as DataFrame algebra: anti-join + union."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
 def assert_unique(df: DataFrame, keys: list[str], what: str = "upsert batch") -> DataFrame:
     """Fail the job if a key occurs twice in the batch (a database rejects a
-    statement that touches one row twice).  Fused into the plan as a window
-    count on the key, which shares its shuffle with the upsert join."""
-    n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    statement that touches one row twice).  The check is a grouped count
+    (partially aggregated map-side, so many copies of one key never meet in
+    one task) reduced to a scalar and folded into a key column, where the
+    optimiser cannot prune it."""
+    worst = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+             .select(F.coalesce(F.max("_n"), F.lit(0)).alias("_w")).scalar())
     k0 = keys[0]
-    # folded into a key column so the optimiser can never prune the check
-    return df.withColumn(k0, F.when(n > 1, F.raise_error(
+    return df.withColumn(k0, F.when(worst > 1, F.raise_error(
         F.lit(f"duplicate key in {what}: {keys}"))).otherwise(F.col(k0)))
 
 

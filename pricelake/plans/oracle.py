@@ -581,14 +581,13 @@ SELECT name, title, cusip, isin, asset_cat, round(pct_val, {R}) AS pct_val, roun
 FROM holdings WHERE asset_cat = 'EC'
 """)
 q("filing_index_pick", """
-SELECT 'U' || lpad(CAST(o_custkey AS VARCHAR), 6, '0') AS cik,
-       lpad(CAST(o_custkey AS VARCHAR), 10, '0') || strftime(CAST(o_orderdate AS DATE), '%y')
-         || lpad(CAST(o_orderkey % 1000000 AS VARCHAR), 6, '0') AS accession,
-       CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS filed_date
-FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey
-                                   ORDER BY CAST(o_orderdate AS DATE) DESC, o_orderkey DESC) AS rn
+SELECT cik, replace(acc, '-', '') AS accession, CAST(d AS VARCHAR) AS filed_date
+FROM (SELECT 'U' || lpad(CAST(o_custkey AS VARCHAR), 6, '0') AS cik, CAST(o_orderdate AS DATE) AS d,
+             lpad(CAST(o_custkey AS VARCHAR), 10, '0') || '-' || strftime(CAST(o_orderdate AS DATE), '%y')
+               || '-' || lpad(CAST(o_orderkey % 1000000 AS VARCHAR), 6, '0') AS acc,
+             o_custkey
       FROM orders WHERE o_orderpriority = '1-URGENT') x
-WHERE rn = 1
+QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY d DESC, acc DESC) = 1
 """)
 q("constituents_html", """
 SELECT CASE WHEN c_custkey % 50 = 7 THEN ticker || '-B' ELSE ticker END AS ticker,

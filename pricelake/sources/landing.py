@@ -7,17 +7,19 @@ vendor responds (per ticker and month, per request batch, per document).
 Every group is bounded by that response size, never by the data size.
 
 FIXED VALUES (landing rules):
-  price JSON: one response per (ticker, calendar month), date rendered as
-              'yyyy-MM-ddT00:00:00.000Z'
-  observations: one response per (series, calendar month), one observation
-              per event, value text '.' where event_id % 20 = 0
+  price JSON: one response per (ticker, calendar month, page of at most
+              1000 rows), date rendered as 'yyyy-MM-ddT00:00:00.000Z'
+  observations: one response per (series, calendar month, page of at most
+              1000 rows), one observation per event, value text '.' where
+              event_id % 20 = 0
   identifier responses: request batches of 100 tickers in ticker order; a
               second, worse-ranked match is listed where key % 5 = 0; no match
               gives {"warning": "No identifier found."}
   holdings XML: one document per (key div 6), namespace prefix 'nport';
               isin omitted where key % 7 = 3; asset category STIV where
               key % 5 = 4, else EC
-  filing index: one per customer (filer), orders most recent first, form
+  filing index: one per (filer, page of at most 1000 orders), most recent
+              (date, accession) first within a page, form
               NPORT-P for priority '1-URGENT' else 10-Q, accession
               '<key padded 10>-<yy>-<orderkey mod 1e6 padded 6>'
   HTML pages: one page per (key div 50); symbols of key % 50 = 7 carry a
@@ -35,6 +37,16 @@ from ..operators.keys import assign_keys
 from . import bindings as bind
 
 
+PAGE_ROWS = 1000
+
+
+def page_of(page_rows: int = PAGE_ROWS) -> Column:
+    """Page number bounding any response group to ``page_rows`` rows: rows
+    are numbered within their input split, so a hot key (or many copies of
+    one bar) is spread over many pages instead of one giant response."""
+    return F.floor(F.monotonically_increasing_id() / page_rows)
+
+
 def _xml_text(c: Column) -> Column:
     t = F.replace(c.cast("string"), F.lit("&"), F.lit("&amp;"))
     t = F.replace(t, F.lit("<"), F.lit("&lt;"))
@@ -47,9 +59,10 @@ def price_json(secondary_bronze: DataFrame) -> DataFrame:
         "open", "high", "low", "close", "volume", F.col("adj_close").alias("adjClose"),
         F.col("adj_open").alias("adjOpen"), F.col("adj_high").alias("adjHigh"),
         F.col("adj_low").alias("adjLow"), F.col("adj_volume").alias("adjVolume"))
-    g = secondary_bronze.groupBy("ticker", F.date_trunc("month", "date").alias("month")).agg(
+    g = secondary_bronze.groupBy("ticker", F.date_trunc("month", "date").alias("month"),
+                                 page_of().alias("page")).agg(
         F.sort_array(F.collect_list(F.struct(F.col("date").alias("_d"), rec.alias("r")))).alias("rs"))
-    return g.select("ticker", "month", F.to_json(F.transform("rs", lambda x: x["r"])).alias("payload"))
+    return g.select("ticker", "month", "page", F.to_json(F.transform("rs", lambda x: x["r"])).alias("payload"))
 
 
 def observations_json(spark, sf_dir) -> DataFrame:
@@ -57,11 +70,11 @@ def observations_json(spark, sf_dir) -> DataFrame:
     ob = ev.select(bind.series_of(F.col("event_type")).alias("series_id"), F.to_date("ts").alias("date"),
                    "event_id",
                    F.when(F.col("event_id") % 20 == 0, F.lit(".")).otherwise(F.col("value").cast("string")).alias("v"))
-    g = ob.groupBy("series_id", F.date_trunc("month", "date").alias("month")).agg(
+    g = ob.groupBy("series_id", F.date_trunc("month", "date").alias("month"), page_of().alias("page")).agg(
         F.sort_array(F.collect_list(F.struct("date", "event_id", "v"))).alias("os"))
     obs = F.transform("os", lambda x: F.struct(F.date_format(x["date"], "yyyy-MM-dd").alias("date"),
                                                x["v"].alias("value")))
-    return g.select("series_id", "month", F.to_json(F.struct(obs.alias("observations"))).alias("payload"))
+    return g.select("series_id", "month", "page", F.to_json(F.struct(obs.alias("observations"))).alias("payload"))
 
 
 def identifier_responses(spark, sf_dir, batch_size: int = 100) -> DataFrame:
@@ -117,12 +130,12 @@ def filing_index(spark, sf_dir) -> DataFrame:
     acc = F.concat_ws("-", F.lpad(F.col("o_custkey").cast("string"), 10, "0"),
                       F.date_format(d, "yy"), F.lpad((F.col("o_orderkey") % 1000000).cast("string"), 6, "0"))
     form = F.when(F.col("o_orderpriority") == "1-URGENT", "NPORT-P").otherwise("10-Q")
-    g = o.groupBy("o_custkey").agg(F.sort_array(F.collect_list(F.struct(
-        d.alias("d"), F.col("o_orderkey").alias("k"), form.alias("form"), acc.alias("acc"))), asc=False).alias("fs"))
+    g = o.groupBy("o_custkey", page_of().alias("page")).agg(F.sort_array(F.collect_list(F.struct(
+        d.alias("d"), acc.alias("acc"), form.alias("form"))), asc=False).alias("fs"))
     recent = F.struct(F.transform("fs", lambda x: x["form"]).alias("form"),
                       F.transform("fs", lambda x: x["acc"]).alias("accessionNumber"),
                       F.transform("fs", lambda x: F.date_format(x["d"], "yyyy-MM-dd")).alias("filingDate"))
-    return g.select(bind.ticker_of(F.col("o_custkey")).alias("cik"),
+    return g.select(bind.ticker_of(F.col("o_custkey")).alias("cik"), "page",
                     F.to_json(F.struct(F.struct(recent.alias("recent")).alias("filings"))).alias("payload"))
 
 

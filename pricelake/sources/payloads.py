@@ -143,18 +143,23 @@ _INDEX_SCHEMA = ("struct<filings: struct<recent: struct<form: array<string>, acc
 
 def pick_filing(landed: DataFrame, filer: str = "cik", payload: str = "payload",
                 form: str = FILING_FORM) -> tuple[DataFrame, DataFrame]:
-    """First entry (most recent first, as listed) whose form matches, from
-    three parallel arrays; dashes removed from the accession number.
-    Filers without one are rejects."""
+    """Most recent entry whose form matches, from three parallel arrays
+    (most recent first within each index page); dashes removed from the
+    accession number.  A filer's index may span several pages: each page
+    yields its first hit and the filer keeps the latest (a partial
+    aggregate, so a filer with a huge history is still no single group).
+    Filers without any hit are rejects."""
     r = F.from_json(F.col(payload), _INDEX_SCHEMA)["filings"]["recent"]
     z = F.arrays_zip(r["form"].alias("form"), r["accessionNumber"].alias("acc"),
                      r["filingDate"].alias("filed"))
     hit = F.get(F.filter(z, lambda x: x["form"] == F.lit(form)), 0)
     p = landed.select(F.col(filer).alias("cik"), hit.alias("h"))
-    rows = p.where(F.col("h").isNotNull()).select(
+    best = p.groupBy("cik").agg(F.max_by("h", F.struct(F.col("h.filed"), F.col("h.acc"))).alias("h"),
+                                F.count("h").alias("_hits"))
+    rows = best.where(F.col("_hits") > 0).select(
         "cik", F.replace(F.col("h.acc"), F.lit("-"), F.lit("")).alias("accession"),
         F.to_date("h.filed").alias("filed_date"))
-    rejects = p.where(F.col("h").isNull()).select(
+    rejects = best.where(F.col("_hits") == 0).select(
         F.lit("filings").alias("source"), F.col("cik").alias("key"), F.lit(f"no {form} filing").alias("reason"))
     return rows, rejects
 
