@@ -36,7 +36,7 @@ def stratified_sample(universe: DataFrame, n: int, stratum: str = "gics_sector",
     ranked = u.where(F.col(stratum).isNotNull()).withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n)
     picked = ranked.orderBy("_rn", stratum).limit(n).select(key).where(total > F.lit(n))
     everything = u.select(key).where(total <= F.lit(n))
-    return picked.unionByName(everything)
+    return picked.unionByName(everything).orderBy(key)
 
 
 def resume_worklist(requested: DataFrame, landed: DataFrame, force: bool = False,

@@ -72,3 +72,11 @@ def to_silver(bronze: DataFrame, source: str = "vendor") -> DataFrame:
     if not uses_native_adjusted(df):
         df = derive_adjusted(df)
     return df.select(*SILVER_COLUMNS)
+
+
+def history_range(df: DataFrame, start, end=None) -> DataFrame:
+    """Rows with ``start <= date <= end`` (end open when None)."""
+    c = F.col("date") >= F.lit(start)
+    if end is not None:
+        c = c & (F.col("date") <= F.lit(end))
+    return df.where(c)

@@ -21,7 +21,7 @@ from ..operators.silver import dedup_keep_last, to_silver, type_columns
 from ..operators.upsert import upsert
 from ..schemas import (CONSTITUENTS_BRONZE, IDENTIFIER_BRONZE, MACRO_BRONZE, PRIMARY_BRONZE,
                        SECONDARY_BRONZE, SILVER)
-from ..session import lake_root
+from ..session import cut_lineage, lake_root
 from ..sources import bronze
 from ..sources.gold import GoldStore
 
@@ -224,3 +224,39 @@ def backfill_audit(before: DataFrame, backfill_rows: DataFrame, dim_security: Da
 def monotone_trading_days(previous_silver: DataFrame, new_silver: DataFrame) -> DataFrame:
     """Trading days never narrow: previous full-universe days ∪ new days."""
     return dims.trading_days(previous_silver).union(dims.trading_days(new_silver)).distinct()
+
+
+def run_backfill(spark: SparkSession, tickers: DataFrame, ingest_date: dt.date, start: dt.date,
+                 root: str | None = None, primary: str = PRIMARY, secondary: str = SECONDARY) -> DataFrame:
+    """Targeted backfill of a ticker subset whose full history was landed
+    for ``ingest_date``: silver, calendar (trading days unioned with the
+    latest full-universe silver strictly *before* this run, flags only ever
+    turned on), price facts and consensus — dim_security untouched.
+    Returns the audit row (total delta must equal subset delta)."""
+    root = root or lake_root(spark)
+    store = GoldStore(spark, f"{root}/gold")
+    ds = store.read("dim_security")
+    # a reliable checkpoint, not a cache: a cached read of the table would be
+    # refreshed when the table's path is overwritten below
+    before = cut_lineage(store.read("fact_price_daily_consensus"), spark)
+    ps = build_silver(spark, primary, ingest_date, root)
+    ss = build_silver(spark, secondary, ingest_date, root)
+    latest = bronze.latest_partition(spark, root, f"{primary}_prices", before=ingest_date, layer="silver")
+    prev = (bronze.scan(spark, root, f"{primary}_prices", SILVER, layer="silver", arrival=False)
+            .join(latest, F.col("ingest_date") == F.col("latest_ingest_date"), "left_semi"))
+    days = monotone_trading_days(prev, ps)
+    incoming = dims.build_dim_date(spark, start, ingest_date, days)
+    existing = store.read("dim_date")
+    incoming = (incoming.join(existing.select("date_key", F.col("is_trading_day").alias("_old")), "date_key", "left")
+                .withColumn("is_trading_day", F.col("is_trading_day") | F.coalesce("_old", F.lit(False)))
+                .drop("_old"))
+    store.upsert("dim_date", incoming, update_cols=["is_trading_day"])
+    dd = store.read("dim_date")
+    for silver, src in ((ps, primary), (ss, secondary)):
+        rows, _ = facts.fact_price_daily(silver, src, dd, ds)
+        store.upsert("fact_price_daily", rows)
+    r = reconcile(spark, ingest_date, root, primary, secondary)
+    rows, _ = facts.fact_consensus(r.consensus(), dd, ds)
+    audit = cut_lineage(backfill_audit(before, rows, ds, tickers), spark)
+    store.upsert("fact_price_daily_consensus", rows)
+    return audit

@@ -28,7 +28,7 @@ def land(df: DataFrame, root: str, dataset: str, ingest_date: dt.date, batch: in
     replaces just that partition (dynamic overwrite), so reruns are
     idempotent; other dates are untouched."""
     (df.withColumn("ingest_date", F.lit(ingest_date)).withColumn("batch", F.lit(batch))
-     .write.mode("overwrite").partitionBy("ingest_date", "batch")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("ingest_date", "batch")
      .parquet(dataset_path(root, layer, dataset)))
 
 
@@ -74,7 +74,7 @@ def latest_partition(spark: SparkSession, root: str, dataset: str, before: dt.da
 def write_rejects(rejects: DataFrame, root: str, ingest_date: dt.date) -> None:
     """Dead letters: keys requested but not delivered, by source, next to
     (not inside) the datasets so scans never read them."""
-    (rejects.withColumn("ingest_date", F.lit(ingest_date)).write.mode("overwrite")
+    (rejects.withColumn("ingest_date", F.lit(ingest_date)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("ingest_date", "source").parquet(f"{root.rstrip('/')}/bronze/_rejects"))
 
 

@@ -75,12 +75,12 @@ class GoldStore:
         else:
             merged = incoming
         staging = scratch_dir(self.spark, f"stage-{table}")
-        w = merged.write.mode("overwrite")
+        w = merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         if part:
             w = w.partitionBy(part)
         w.parquet(staging)
         staged = self.spark.read.parquet(staging)
-        w2 = staged.write.mode("overwrite")
+        w2 = staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         if part:
             w2 = w2.partitionBy(part)
         w2.parquet(self.path(table))

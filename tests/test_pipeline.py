@@ -69,3 +69,45 @@ def test_universe_plan_sources_subset(spark):
     assert "in_secondary_sample" not in p.columns and p.count() == 15
     full = pl.universe_plan(cons, sample_size=5)
     assert full.where("in_secondary_sample").count() == 5
+
+
+def test_targeted_backfill_touches_only_the_subset(spark, lake):
+    prev = dt.date(2024, 1, 20)
+    cut = F.col("date") < F.lit(dt.date(2024, 1, 16))
+    bronze.land(bind.constituents(spark, SF), lake, "constituents", prev)
+    bronze.land(bind.identifiers(spark, SF), lake, "identifier_map", prev)
+    bronze.land(bind.primary_bronze(spark, SF).where(cut), lake, "primary_prices", prev)
+    bronze.land(bind.secondary_bronze(spark, SF).where(cut), lake, "secondary_prices", prev)
+    bronze.land(bind.macro(spark, SF), lake, "macro_series", prev)
+    pl.build_gold(spark, prev, dt.date(2024, 1, 1), lake)
+
+    subset = bind.primary_bronze(spark, SF).where("stock_splits <> 0").select("ticker").distinct().cache()
+    bronze.land(bind.primary_bronze(spark, SF).join(subset, "ticker", "left_semi"), lake, "primary_prices", D)
+    bronze.land(bind.secondary_bronze(spark, SF).join(subset, "ticker", "left_semi"), lake, "secondary_prices", D)
+    a = pl.run_backfill(spark, subset, D, dt.date(2024, 1, 1), lake).first()
+    assert a.untouched_outside_subset and a.after_subset > a.before_subset
+    store = GoldStore(spark, f"{lake}/gold")
+    flags = {r.date: r.is_trading_day for r in store.read("dim_date").collect()}
+    # days known from the previous full-universe run are never turned off
+    assert flags[dt.date(2024, 1, 2)] and flags[dt.date(2024, 1, 29)]
+
+
+def test_ingest_from_payloads_with_dead_letters(spark, lake):
+    from pricelake.plans import ingest
+    from pricelake.sources import landing
+    cells, req = landing.wide_cells(spark, SF)
+    rejects = ingest.ingest_wide_prices(spark, cells, req, D, lake)
+    assert rejects.count() == 0 or all(r.reason == "no data returned" for r in rejects.collect())
+    sample = bind.secondary_bronze(spark, SF).select("ticker").distinct()
+    requested = sample.unionByName(spark.createDataFrame([("U999999",)], "ticker string"))
+    rj = ingest.ingest_price_records(spark, landing.price_json(bind.secondary_bronze(spark, SF)), requested, D, lake)
+    assert [r.key for r in rj.collect()] == ["U999999"]
+    again = ingest.ingest_price_records(spark, landing.price_json(bind.secondary_bronze(spark, SF)), requested, D, lake)
+    from pricelake.schemas import SECONDARY_BRONZE
+    assert bronze.scan(spark, lake, "secondary_prices", SECONDARY_BRONZE, D).count() == 206   # resumed, not doubled
+    snap = ingest.constituents_snapshot(spark, D, landing.constituents_html(spark, SF), root=lake)
+    assert snap.count() == 15
+    dead = spark.read.parquet(f"{lake}/bronze/_rejects")
+    assert dead.where("source = 'secondary'").count() >= 1
+    path = ingest.write_report(rj, lake, "rejects", D, csv=True)
+    assert spark.read.option("header", "true").csv(path).count() == 1
