@@ -89,6 +89,13 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
 def cut_lineage(df, spark: SparkSession | None = None):
     """Reliable checkpoint into the shared checkpoint folder (survives
     executor loss, unlike a local checkpoint)."""
+    from pyspark import StorageLevel
     spark = spark or df.sparkSession
     checkpoint_root(spark)
-    return df.checkpoint(eager=True)
+    # a reliable checkpoint runs its input twice (the job, then the write)
+    # unless the input is persisted; persist only for the duration
+    held = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return held.checkpoint(eager=True)
+    finally:
+        held.unpersist()

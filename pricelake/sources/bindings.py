@@ -55,10 +55,16 @@ def _max_uid(spark: SparkSession, sf_dir: str) -> Column:
     return read_table(spark, sf_dir, "events", "user_id").select(F.max("user_id")).scalar()
 
 
-def bars_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bars_all(spark: SparkSession, sf_dir: str, copies: int = 1) -> DataFrame:
     ev = (read_table(spark, sf_dir, "events", "user_id", "ts", "value")
           .where(F.col("value") > 0)
           .withColumn("date", F.to_date("ts")))
+    if copies > 1:
+        # scaled stress input derived from the same table: copy k shifts every
+        # user id by k * (max id + 1) (a generator, not a join)
+        stride = _max_uid(spark, sf_dir) + 1
+        ev = (ev.withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
+              .withColumn("user_id", F.col("user_id") + F.col("_k") * stride).drop("_k"))
     g = ev.groupBy("user_id", "date").agg(
         F.min_by("value", "ts").alias("open"),
         F.max("value").alias("high"),
@@ -79,9 +85,9 @@ def bars_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def primary_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+def primary_bronze(spark: SparkSession, sf_dir: str, copies: int = 1) -> DataFrame:
     """Primary vendor: raw OHLC + adj_close + actions, no native adjusted OHLC."""
-    b = bars_all(spark, sf_dir).where((F.col("uid") + F.col("dy")) % 31 != 0)
+    b = bars_all(spark, sf_dir, copies).where((F.col("uid") + F.col("dy")) % 31 != 0)
     uid, dy = F.col("uid"), F.col("dy")
     return b.select(
         "date", "open", "high", "low", "close", "adj_close", "volume",
@@ -92,9 +98,10 @@ def primary_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def secondary_bronze(spark: SparkSession, sf_dir: str, native_adjusted: bool = True) -> DataFrame:
+def secondary_bronze(spark: SparkSession, sf_dir: str, native_adjusted: bool = True,
+                     copies: int = 1) -> DataFrame:
     """Secondary vendor: sampled universe, restated / offset history."""
-    b = bars_all(spark, sf_dir).where((F.col("uid") % 2 == 0) & ((F.col("uid") + F.col("dy")) % 29 != 0))
+    b = bars_all(spark, sf_dir, copies).where((F.col("uid") % 2 == 0) & ((F.col("uid") + F.col("dy")) % 29 != 0))
     uid = F.col("uid")
     scale = (F.when((uid % 20 == 0) & (F.col("date") < F.lit(RESTATED_BEFORE)), 1.07)
              .when(uid % 50 == 4, 1.013).otherwise(1.00002))
