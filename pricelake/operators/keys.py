@@ -19,13 +19,20 @@ def assign_keys(df: DataFrame, order: list[str], key: str, start: Column | int =
                 num_partitions: int | None = None) -> DataFrame:
     """Add ``key`` = start + 0-based rank of each row under ``order``.
     ``order`` must be unique per row."""
+    from pyspark import StorageLevel
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, *order)
+    # the input feeds both the range-bound sampling and the shuffle: hold it
+    # for the duration so it is computed once
+    src = df.persist(StorageLevel.MEMORY_AND_DISK)
+    ranged = (src.repartitionByRange(n, *order)
               .withColumn("_pid", F.spark_partition_id()))
     ranged = ranged.withColumn(
         "_rn", F.row_number().over(Window.partitionBy("_pid").orderBy(*order)))
-    ranged = cut_lineage(ranged, spark)
+    try:
+        ranged = cut_lineage(ranged, spark)
+    finally:
+        src.unpersist()
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     # one row per partition: a single-task window over at most n rows
     offsets = counts.select(
