@@ -136,9 +136,14 @@ class Reconciliation:
 
     def __init__(self, primary_silver: DataFrame, secondary_silver: DataFrame,
                  primary: str = PRIMARY, secondary: str = SECONDARY,
-                 tolerance: float = RECONCILIATION_TOLERANCE):
+                 tolerance: float = RECONCILIATION_TOLERANCE, materialize: bool = False):
+        """``materialize=True`` checkpoints the matched frame once, for
+        callers that derive several outputs from the same run."""
         self.primary, self.secondary, self.tolerance = primary, secondary, tolerance
         self.matched = match(primary_silver, secondary_silver, primary, secondary)
+        if materialize:
+            from ..session import cut_lineage
+            self.matched = cut_lineage(self.matched)
 
     def pairs(self) -> DataFrame:
         return pairs(self.matched, self.primary, self.secondary, self.tolerance)

@@ -34,8 +34,9 @@ def secondary_silver(spark, sf_dir) -> DataFrame:
     return to_silver(bind.secondary_bronze(spark, sf_dir), SECONDARY)
 
 
-def reconciliation(spark, sf_dir) -> rec.Reconciliation:
-    return rec.Reconciliation(primary_silver(spark, sf_dir), secondary_silver(spark, sf_dir))
+def reconciliation(spark, sf_dir, materialize: bool = False) -> rec.Reconciliation:
+    return rec.Reconciliation(primary_silver(spark, sf_dir), secondary_silver(spark, sf_dir),
+                              materialize=materialize)
 
 
 @query("silver_adjusted_derived")
@@ -81,7 +82,7 @@ def q_reconcile_top(spark, sf_dir):
 
 @query("reconcile_summary")
 def q_reconcile_summary(spark, sf_dir):
-    return present(reconciliation(spark, sf_dir).summary())
+    return present(reconciliation(spark, sf_dir, materialize=True).summary())
 
 
 @query("consensus")
@@ -221,15 +222,21 @@ def gold_dim_security(spark, sf_dir):
     return dim
 
 
-def gold_facts(spark, sf_dir):
-    """(table -> (rows, load counts)) for every fact of one gold build."""
-    dd, ds = gold_dim_date(spark, sf_dir), gold_dim_security(spark, sf_dir)
-    p_rows, p_cnt = fx.fact_price_daily(primary_silver(spark, sf_dir), PRIMARY, dd, ds)
-    s_rows, s_cnt = fx.fact_price_daily(secondary_silver(spark, sf_dir), SECONDARY, dd, ds)
-    c_rows, c_cnt = fx.fact_consensus(reconciliation(spark, sf_dir).consensus(), dd, ds)
+def gold_facts(spark, sf_dir, materialize: bool = False):
+    """(dim_date, dim_security, table -> (rows, load counts)) of one gold
+    build.  ``materialize=True`` computes each input once (reliable
+    checkpoint) — as the pipeline reads them back from storage — for
+    reports that check several tables."""
+    from ..session import cut_lineage
+    keep = cut_lineage if materialize else (lambda df: df)
+    dd, ds = keep(gold_dim_date(spark, sf_dir)), keep(gold_dim_security(spark, sf_dir))
+    ps, ss = keep(primary_silver(spark, sf_dir)), keep(secondary_silver(spark, sf_dir))
+    p_rows, p_cnt = fx.fact_price_daily(ps, PRIMARY, dd, ds)
+    s_rows, s_cnt = fx.fact_price_daily(ss, SECONDARY, dd, ds)
+    c_rows, c_cnt = fx.fact_consensus(rec.Reconciliation(ps, ss).consensus(), dd, ds)
     actions_bronze = dedup_keep_last(type_columns(bind.primary_bronze(spark, sf_dir)))
-    a_rows, a_cnt = fx.fact_corporate_action(actions_bronze, dd, ds)
-    m_rows, m_cnt = fx.fact_macro_rate(bind.macro(spark, sf_dir), dd)
+    a_rows, a_cnt = fx.fact_corporate_action(keep(actions_bronze), dd, ds)
+    m_rows, m_cnt = fx.fact_macro_rate(keep(bind.macro(spark, sf_dir)), dd)
     return dd, ds, {
         "fact_price_daily": (p_rows.unionByName(s_rows), p_cnt.unionByName(s_cnt)),
         "fact_price_daily_consensus": (c_rows, c_cnt),
@@ -238,6 +245,10 @@ def gold_facts(spark, sf_dir):
     }
 
 
+def materialized_gold(spark, sf_dir):
+    return gold_facts(spark, sf_dir, materialize=True)
+
+
 @query("fact_price_daily")
 def q_fact_price_daily(spark, sf_dir):
     return present(gold_facts(spark, sf_dir)[2]["fact_price_daily"][0])
@@ -260,7 +271,7 @@ def q_fact_macro_rate(spark, sf_dir):
 
 @query("load_summary")
 def q_load_summary(spark, sf_dir):
-    f = gold_facts(spark, sf_dir)[2]
+    f = materialized_gold(spark, sf_dir)[2]
     out = None
     for _, (_, cnt) in f.items():
         out = cnt if out is None else out.unionByName(cnt)
@@ -269,7 +280,7 @@ def q_load_summary(spark, sf_dir):
 
 @query("fk_orphans")
 def q_fk_orphans(spark, sf_dir):
-    dd, ds, f = gold_facts(spark, sf_dir)
+    dd, ds, f = materialized_gold(spark, sf_dir)
     out = None
     for table, (rows, _) in f.items():
         o = fx.fk_orphans(rows, table, dd, None if table == "fact_macro_rate" else ds)
@@ -280,7 +291,7 @@ def q_fk_orphans(spark, sf_dir):
 @query("pk_duplicates")
 def q_pk_duplicates(spark, sf_dir):
     from ..schemas import GOLD_TABLES
-    dd, ds, f = gold_facts(spark, sf_dir)
+    dd, ds, f = materialized_gold(spark, sf_dir)
     tables = {"dim_date": dd, "dim_security": ds, **{t: r for t, (r, _) in f.items()}}
     out = None
     for t, df in tables.items():
@@ -291,13 +302,13 @@ def q_pk_duplicates(spark, sf_dir):
 
 @query("freshness_gate")
 def q_freshness_gate(spark, sf_dir):
-    dd, ds, f = gold_facts(spark, sf_dir)
+    dd, ds, f = materialized_gold(spark, sf_dir)
     return present(fx.freshness(ds, f["fact_price_daily_consensus"][0], dd, bind.INGEST_DATE))
 
 
 @query("gold_build_counts")
 def q_gold_build_counts(spark, sf_dir):
-    dd, ds, f = gold_facts(spark, sf_dir)
+    dd, ds, f = materialized_gold(spark, sf_dir)
     tables = {"dim_date": dd, "dim_security": ds, **{t: r for t, (r, _) in f.items()}}
     out = None
     for t, df in tables.items():
@@ -493,14 +504,15 @@ def q_trading_days_union(spark, sf_dir):
 
 @query("backfill_audit")
 def q_backfill_audit(spark, sf_dir):
-    dd, ds = gold_dim_date(spark, sf_dir), gold_dim_security(spark, sf_dir)
+    from ..session import cut_lineage
+    dd, ds = cut_lineage(gold_dim_date(spark, sf_dir)), cut_lineage(gold_dim_security(spark, sf_dir))
     early = F.col("date") < F.lit(BACKFILL_FROM)
-    ps, ss = primary_silver(spark, sf_dir), secondary_silver(spark, sf_dir)
+    ps, ss = cut_lineage(primary_silver(spark, sf_dir)), cut_lineage(secondary_silver(spark, sf_dir))
     before, _ = fx.fact_consensus(rec.Reconciliation(ps.where(early), ss.where(early)).consensus(), dd, ds)
-    subset = _split_tickers(spark, sf_dir)
+    subset = cut_lineage(_split_tickers(spark, sf_dir))
     sub_rec = rec.Reconciliation(ps.join(subset, "ticker", "left_semi"), ss.join(subset, "ticker", "left_semi"))
     backfill, _ = fx.fact_consensus(sub_rec.consensus(), dd, ds)
-    return present(pl.backfill_audit(before, backfill, ds, subset))
+    return present(pl.backfill_audit(cut_lineage(before), cut_lineage(backfill), ds, subset))
 
 
 @query("fact_price_daily_upsert")
