@@ -17,7 +17,7 @@ from ..config import (IDENTIFIER_BATCH_SIZE, PRIMARY, PRIMARY_BATCH_SIZE, RECONC
 from ..operators import dims, facts, planning, quality
 from ..operators import reconcile as rec
 from ..operators.dedup import keep_one
-from ..operators.silver import dedup_keep_last, to_silver, type_columns
+from ..operators.silver import dedup_keep_last, history_range, to_silver, type_columns
 from ..operators.upsert import upsert
 from ..schemas import (CONSTITUENTS_BRONZE, IDENTIFIER_BRONZE, MACRO_BRONZE, PRIMARY_BRONZE,
                        SECONDARY_BRONZE, SILVER)
@@ -105,14 +105,18 @@ def gate_bronze(spark: SparkSession, ingest_date: dt.date, root: str | None = No
 
 # ---- silver / reconcile ------------------------------------------------------
 
-def build_silver(spark: SparkSession, source: str, ingest_date: dt.date, root: str | None = None) -> DataFrame:
-    """Bronze partition → silver partition for one vendor; returns the
-    written silver (read back)."""
+def build_silver(spark: SparkSession, source: str, ingest_date: dt.date, root: str | None = None,
+                 start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:
+    """Bronze partition → silver partition for one vendor, optionally kept
+    to the history range [start, end]; returns the written silver (read
+    back)."""
     if source not in PRICE_SCHEMAS:
         raise ValueError(f"unknown price source {source!r}")
     root = root or lake_root(spark)
     b = bronze.scan(spark, root, f"{source}_prices", PRICE_SCHEMAS[source], ingest_date)
     silver = to_silver(b.drop("ingest_date", "batch"), source)
+    if start is not None:
+        silver = history_range(silver, start, end)
     bronze.write_silver(silver, root, f"{source}_prices", ingest_date)
     return read_silver(spark, source, ingest_date, root)
 

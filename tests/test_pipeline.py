@@ -111,3 +111,14 @@ def test_ingest_from_payloads_with_dead_letters(spark, lake):
     assert dead.where("source = 'secondary'").count() >= 1
     path = ingest.write_report(rj, lake, "rejects", D, csv=True)
     assert spark.read.option("header", "true").csv(path).count() == 1
+
+
+def test_silver_history_range_and_order(spark, lake):
+    bronze.land(bind.primary_bronze(spark, SF), lake, "primary_prices", D)
+    s = pl.build_silver(spark, "primary", D, lake, start=dt.date(2024, 1, 10), end=dt.date(2024, 1, 20))
+    dates = [r.date for r in s.select("date").distinct().collect()]
+    assert min(dates) >= dt.date(2024, 1, 10) and max(dates) <= dt.date(2024, 1, 20)
+    files = spark.read.parquet(f"{lake}/silver/primary_prices").select(
+        F.input_file_name().alias("f"), "ticker").groupBy("f").agg(F.min("ticker").alias("lo"), F.max("ticker").alias("hi"))
+    spans = sorted((r.lo, r.hi) for r in files.collect())
+    assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))      # files cover disjoint ticker ranges
