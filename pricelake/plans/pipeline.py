@@ -137,7 +137,8 @@ def reconcile(spark: SparkSession, ingest_date: dt.date, root: str | None = None
     if p.isEmpty() or s.isEmpty():
         raise ValueError(f"missing silver data for ingest_date={ingest_date} "
                          f"({primary} empty={p.isEmpty()}, {secondary} empty={s.isEmpty()})")
-    r = rec.Reconciliation(p, s, primary, secondary, tolerance)
+    # one full outer join per run: pairs (written) and every report read it
+    r = rec.Reconciliation(p, s, primary, secondary, tolerance, materialize=True)
     bronze.land(r.pairs(), root, "reconciled_prices", ingest_date, layer="silver")
     return r
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..operators.upsert import upsert
 from ..schemas import GOLD_TABLES
-from ..session import lake_root, scratch_dir
+from ..session import cut_lineage, lake_root, scratch_dir
 
 PARTITION = {
     "fact_price_daily": "month_key",
@@ -65,7 +65,9 @@ class GoldStore:
     def upsert(self, table: str, incoming: DataFrame, update_cols: list[str] | None = None) -> None:
         schema, keys = GOLD_TABLES[table]
         part = PARTITION.get(table)
-        incoming = self._with_part(table, incoming.select(*schema.fieldNames()))
+        # the batch feeds the touched-partition list, the duplicate-key guard
+        # and the merge: compute it once
+        incoming = cut_lineage(self._with_part(table, incoming.select(*schema.fieldNames())), self.spark)
         if self.exists(table):
             existing = self._with_part(table, self.read(table))
             if part:
