@@ -43,6 +43,22 @@ def get_spark(master: str | None = None, app: str = "pricelake",
     return spark
 
 
+def scale_settings(input_bytes: int, target_partition_bytes: int = 256 << 20) -> dict:
+    """Sizing for a run over ``input_bytes`` of input: AQE can only coalesce
+    shuffle partitions, never split them, so the initial count must already
+    give partitions of about ``target_partition_bytes``; scan splits and the
+    AQE advisory size use the same target, and skewed partitions (a hot key)
+    are split by the skew-join rule."""
+    n = max(200, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
+    }
+
+
 def apply_session_settings(spark: SparkSession) -> None:
     """Apply the runtime SQL settings the library depends on to any session."""
     for k, v in _DEFAULTS.items():

@@ -45,3 +45,10 @@ def test_acceptance_counts_at_smallest_scale(spark):
     s = entry_mod.queries()["reconcile_summary"](spark, SF).first()
     assert (s.total_compared, s.flagged_count, s.primary_only_count, s.secondary_only_count,
             s.tickers_affected, s.tickers_compared) == (200, 33, 185, 6, 2, 8)
+
+
+def test_scale_settings():
+    from pricelake.session import scale_settings
+    s = scale_settings(100 * 1024 ** 4)
+    assert int(s["spark.sql.shuffle.partitions"]) == 409600
+    assert int(scale_settings(1)["spark.sql.shuffle.partitions"]) == 200
