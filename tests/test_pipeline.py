@@ -4,6 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from pricelake.operators import quality
 from pricelake.plans import pipeline as pl
 from pricelake.sources import bindings as bind
 from pricelake.sources import bronze
@@ -24,7 +25,7 @@ def land_all(spark, root):
 def test_daily_run_end_to_end(spark, lake):
     land_all(spark, lake)
     report, verdict = pl.gate_bronze(spark, D, lake, constituents_band=(10, 20))
-    per = {r.source: r for r in __import__("pricelake.operators.quality", fromlist=["rollup"]).rollup(report).collect()}
+    per = {r.source: r for r in quality.rollup(report).collect()}
     assert set(per) >= {"constituents", "primary", "secondary", "identifiers"}
     assert per["constituents"].passed and per["identifiers"].passed
     assert not per["primary"].passed          # the seeded bad print breaks the 99.99 % OHLC rule
