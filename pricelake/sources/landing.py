@@ -167,7 +167,11 @@ def wide_cells(spark, sf_dir, batch_size: int = 50) -> tuple[DataFrame, DataFram
     cons = bind.constituents(spark, sf_dir).select("ticker")
     req = assign_keys(cons, ["ticker"], "pos0", start=0).withColumn(
         "batch_id", (F.col("pos0") / batch_size).cast("long")).select("batch_id", "ticker")
-    bars = bind.primary_bronze(spark, sf_dir)
+    # a wide frame holds one cell per (ticker, field, date): re-delivered
+    # copies collapse to the last one (map-side top-1 before the shuffle)
+    from ..operators.dedup import keep_one
+    bars = keep_one(bind.primary_bronze(spark, sf_dir).withColumn("_a", F.monotonically_increasing_id()),
+                    ["ticker", "date"], [F.col("_a")], last=True).drop("_a")
     uid = F.substring("ticker", 2, 6).cast("long")
     bars = bars.where(uid % 37 != 5).join(req, "ticker")
     col_of = dict((c, f) for f, c in WIDE_FIELDS)
