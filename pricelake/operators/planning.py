@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import SECONDARY_HOURLY_CAP
-from .keys import assign_keys
+from .keys import assign_keys, running_total
 
 
 def batch_plan(keys: DataFrame, size: int, key: str = "ticker") -> DataFrame:
@@ -54,23 +54,33 @@ def resume_worklist(requested: DataFrame, landed: DataFrame, force: bool = False
 
 
 def trailing_hour_budget(log: DataFrame, cap: int = SECONDARY_HOURLY_CAP,
-                         account: str = "account", ts: str = "requested_at") -> DataFrame:
+                         account: str = "account", ts: str = "requested_at",
+                         request_id: str = "request_id", window_seconds: int = 3600) -> DataFrame:
     """For every request: how many requests of the same account fall in the
-    trailing hour [t - 1h, t], and whether that exceeds ``cap``.
+    trailing hour [t - 1h, t] (ties included), and whether that exceeds
+    ``cap``.  ``request_id`` must be unique per row.
 
-    Exact and skew-proof: requests are bucketed by hour and every request is
-    also copied into the next hour's bucket, so the window is partitioned by
-    (account, hour) — never one account's whole history in one task — and
-    each bucket sees everything that can be within an hour of its rows.
+    Exact and skew-proof whatever the distribution — one account, or one
+    hour of one account, may hold a third of the log: count = R(upper) -
+    R(lower), where R is a global running count of requests under the order
+    (account, time).  Every request adds two weightless probes, one just
+    before everything at t - 1h and one just after everything at t; one
+    distributed running total (range-partitioned, no single-task window)
+    prices both, and a group by request id (unique, never hot) pairs them.
     """
-    hour = F.date_trunc("hour", F.col(ts))
-    base = log.withColumn("_bucket", hour)
-    own = base.withColumn("_own", F.lit(True))
-    carried = base.withColumn("_bucket", F.col("_bucket") + F.expr("INTERVAL 1 HOUR")).withColumn("_own", F.lit(False))
-    both = own.unionByName(carried)
-    # range frames need a numeric ordering: microseconds since epoch
-    both = both.withColumn("_us", F.unix_micros(F.col(ts).cast("timestamp")))
-    w = (Window.partitionBy(account, "_bucket").orderBy("_us").rangeBetween(-3600 * 1_000_000, 0))
-    counted = both.withColumn("trailing_count", F.count(F.lit(1)).over(w))
-    return (counted.where("_own").drop("_own", "_bucket", "_us")
-            .withColumn("over_cap", F.col("trailing_count") > cap))
+    us = F.unix_micros(F.col(ts).cast("timestamp"))
+    base = log.withColumn("_us", us)
+    row = F.struct(*[F.col(f"`{c}`") for c in log.columns])
+    no_row = F.lit(None).cast(log.select(row.alias("r")).schema["r"].dataType)
+    real = base.select(account, request_id, "_us", F.lit(1).alias("_kind"), row.alias("_row"))
+    lower = base.select(account, request_id, (F.col("_us") - window_seconds * 1_000_000).alias("_us"),
+                        F.lit(0).alias("_kind"), no_row.alias("_row"))
+    upper = base.select(account, request_id, "_us", F.lit(2).alias("_kind"), no_row.alias("_row"))
+    priced = running_total(real.unionByName(lower).unionByName(upper),
+                           [account, "_us", "_kind", request_id], "_r",
+                           weight=(F.col("_kind") == 1).cast("long"))
+    kind, r = F.col("_kind"), F.col("_r")
+    per = priced.groupBy(request_id).agg(
+        F.first("_row", ignorenulls=True).alias("_row"),
+        (F.max(F.when(kind == 2, r)) - F.max(F.when(kind == 0, r))).alias("trailing_count"))
+    return per.select("_row.*", "trailing_count", (F.col("trailing_count") > cap).alias("over_cap"))

@@ -64,3 +64,24 @@ def test_hot_key_upsert_is_whole(spark):
     new = spark.range(1).select(F.lit(0).cast("long").alias("k"), F.lit(-1).cast("long").alias("v"))
     got = sorted(upsert(old, new, ["k"]).collect())
     assert len(got) == 3 and got[0] == (0, -1)
+
+
+def test_hot_hour_request_budget_exact_and_split(spark):
+    """A third of the log (and more) in one hour of one account: counts stay
+    exact and no window is partitioned by account or hour."""
+    import random
+    from pricelake.operators.planning import trailing_hour_budget
+    rnd = random.Random(3)
+    t0 = dt.datetime(2024, 1, 1, 9)
+    hot = [("hot", t0 + dt.timedelta(seconds=rnd.randint(0, 3599))) for _ in range(400)]
+    cold = [("cold", t0 + dt.timedelta(seconds=rnd.randint(0, 4 * 3600))) for _ in range(200)]
+    rows = [(a, i, t) for i, (a, t) in enumerate(hot + cold)]
+    log = spark.createDataFrame(rows, "account string, request_id int, requested_at timestamp_ntz")
+    out = trailing_hour_budget(log, cap=45)
+    got = {r.request_id: (r.trailing_count, r.over_cap) for r in out.collect()}
+    for a, i, t in rows:
+        want = sum(1 for b, _, u in rows if b == a and t - dt.timedelta(hours=1) <= u <= t)
+        assert got[i] == (want, want > 45)
+    out.write.format("noop").mode("overwrite").save()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(account" not in plan
