@@ -472,7 +472,7 @@ def _landed_twice(spark, sf_dir):
     re-delivery of some bars with restated prices (batch 1)."""
     root = scratch_dir(spark, "lake")
     b = bind.primary_bronze(spark, sf_dir)
-    uid = F.substring("ticker", 2, 6).cast("long")
+    uid = bind.uid_of(F.col("ticker"))
     revised = (b.where((uid + F.dayofmonth("date")) % 7 == 0)
                .withColumn("close", F.col("close") * 1.001).withColumn("adj_close", F.col("adj_close") * 1.001))
     bronze.land(b, root, "primary_prices", bind.INGEST_DATE, batch=0)

@@ -47,7 +47,7 @@ R = 9  # rounding digits, as in plans/present.py
 
 # ---- bindings -----------------------------------------------------------
 view("bars_all", """
-SELECT uid, date, day(date) AS dy, 'U' || lpad(CAST(uid AS VARCHAR), 6, '0') AS ticker,
+SELECT uid, date, day(date) AS dy, 'U' || lpad(CAST(uid AS VARCHAR), CAST(greatest(6, length(CAST(uid AS VARCHAR))) AS INTEGER), '0') AS ticker,
        open, high,
        CASE WHEN uid % 97 = 7 AND day(date) = 5 THEN open + 0.5 ELSE low END AS low,
        close,
@@ -199,7 +199,7 @@ FROM matched
 
 # ---- quality gate -------------------------------------------------------
 view("constituents", """
-SELECT 'U' || lpad(CAST(c.c_custkey AS VARCHAR), 6, '0') AS ticker,
+SELECT 'U' || lpad(CAST(c.c_custkey AS VARCHAR), CAST(greatest(6, length(CAST(c.c_custkey AS VARCHAR))) AS INTEGER), '0') AS ticker,
        'Acme ' || CAST(c.c_custkey AS VARCHAR) ||
          CASE c.c_custkey % 4 WHEN 0 THEN ' Inc.' WHEN 1 THEN ', Corp' WHEN 2 THEN ' plc' ELSE ' Class A' END
          AS company_name,
@@ -342,9 +342,9 @@ SELECT {_DIM_DATE_COLS},
 FROM (SELECT CAST(range AS DATE) AS d FROM range(DATE '2024-01-01', DATE '2024-02-01', INTERVAL 1 DAY)) c
 """)
 view("scd_snap", """
-SELECT 'U' || lpad(CAST(o_custkey AS VARCHAR), 6, '0') AS ticker,
+SELECT 'U' || lpad(CAST(o_custkey AS VARCHAR), CAST(greatest(6, length(CAST(o_custkey AS VARCHAR))) AS INTEGER), '0') AS ticker,
        make_date(CAST(yr AS BIGINT), 1, 1) AS snapshot_date,
-       'Acme U' || lpad(CAST(o_custkey AS VARCHAR), 6, '0') AS company_name,
+       'Acme U' || lpad(CAST(o_custkey AS VARCHAR), CAST(greatest(6, length(CAST(o_custkey AS VARCHAR))) AS INTEGER), '0') AS company_name,
        attribute AS gics_sector
 FROM (SELECT o_custkey, year(o_orderdate) AS yr,
              arg_max(o_orderpriority, o_orderdate::VARCHAR || '#' || lpad(CAST(o_orderkey AS VARCHAR), 20, '0')) AS attribute
@@ -582,7 +582,7 @@ FROM holdings WHERE asset_cat = 'EC'
 """)
 q("filing_index_pick", """
 SELECT cik, replace(acc, '-', '') AS accession, CAST(d AS VARCHAR) AS filed_date
-FROM (SELECT 'U' || lpad(CAST(o_custkey AS VARCHAR), 6, '0') AS cik, CAST(o_orderdate AS DATE) AS d,
+FROM (SELECT 'U' || lpad(CAST(o_custkey AS VARCHAR), CAST(greatest(6, length(CAST(o_custkey AS VARCHAR))) AS INTEGER), '0') AS cik, CAST(o_orderdate AS DATE) AS d,
              lpad(CAST(o_custkey AS VARCHAR), 10, '0') || '-' || strftime(CAST(o_orderdate AS DATE), '%y')
                || '-' || lpad(CAST(o_orderkey % 1000000 AS VARCHAR), 6, '0') AS acc,
              o_custkey
@@ -600,7 +600,7 @@ SELECT ticker, CAST(date AS VARCHAR) AS date, round(open, {R}) AS open, round(hi
        round(low, {R}) AS low, round(close, {R}) AS close, round(adj_close, {R}) AS adj_close,
        CAST(volume AS BIGINT) AS volume, round(dividends, {R}) AS dividends,
        round(stock_splits, {R}) AS stock_splits
-FROM primary_bronze WHERE CAST(substr(ticker, 2, 6) AS BIGINT) % 37 <> 5
+FROM primary_bronze WHERE CAST(substr(ticker, 2) AS BIGINT) % 37 <> 5
 """)
 q("missing_from_batch", """
 SELECT 'primary' AS source, batch_id, ticker, 'no data returned' AS reason
@@ -686,8 +686,8 @@ FROM primary_bronze WHERE date < DATE '2024-01-30'
 """)
 view("revised_primary", """
 SELECT ticker, date, open, high, low,
-       close * CASE WHEN (CAST(substr(ticker, 2, 6) AS BIGINT) + day(date)) % 7 = 0 THEN 1.001 ELSE 1 END AS close,
-       adj_close * CASE WHEN (CAST(substr(ticker, 2, 6) AS BIGINT) + day(date)) % 7 = 0 THEN 1.001 ELSE 1 END AS adj_close,
+       close * CASE WHEN (CAST(substr(ticker, 2) AS BIGINT) + day(date)) % 7 = 0 THEN 1.001 ELSE 1 END AS close,
+       adj_close * CASE WHEN (CAST(substr(ticker, 2) AS BIGINT) + day(date)) % 7 = 0 THEN 1.001 ELSE 1 END AS adj_close,
        volume
 FROM primary_bronze
 """)
@@ -737,7 +737,7 @@ FROM (SELECT f.*, src.adj_close AS adj_close_raw
         ON src.source = f.source AND src.ticker = k.ticker AND src.date = d.date) x
 """)
 
-_REVISED = "(CAST(substr(ticker, 2, 6) AS BIGINT) + day(date)) % 7 = 0"
+_REVISED = "(CAST(substr(ticker, 2) AS BIGINT) + day(date)) % 7 = 0"
 q("silver_dedup_counts", f"""
 SELECT CAST((SELECT count(*) FROM primary_bronze)
             + (SELECT count(*) FROM primary_bronze WHERE {_REVISED}) AS BIGINT) AS rows_landed,

@@ -5,7 +5,8 @@ them with integer-modulo and date rules only (no engine-specific hashing), so
 that Spark and an independent SQL engine build identical inputs.
 
 FIXED VALUES (binding rules):
-  uid = events.user_id, dy = day of month, ticker = 'U' + uid padded to 6
+  uid = events.user_id, dy = day of month, ticker = 'U' + uid zero-padded
+        to at least 6 digits (never truncated, so distinct ids stay distinct)
   bars: per (uid, date) of events with value > 0: open = first value by ts,
         high = max, low = min, close = last value by ts, volume = count;
         bad print where uid % 97 = 7 and dy = 5: low = open + 0.5;
@@ -47,7 +48,13 @@ RESTATED_BEFORE = dt.date(2024, 1, 10)
 
 
 def ticker_of(key: Column) -> Column:
-    return F.concat(F.lit("U"), F.lpad(key.cast("string"), 6, "0"))
+    s = key.cast("string")
+    return F.concat(F.lit("U"), F.lpad(s, F.greatest(F.lit(6), F.length(s)), "0"))
+
+
+def uid_of(ticker: Column) -> Column:
+    """Inverse of ``ticker_of``."""
+    return F.substr(ticker, F.lit(2)).cast("long")
 
 
 def _max_uid(spark: SparkSession, sf_dir: str) -> Column:
@@ -65,7 +72,10 @@ def bars_all(spark: SparkSession, sf_dir: str, copies: int = 1) -> DataFrame:
         stride = _max_uid(spark, sf_dir) + 1
         ev = (ev.withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
               .withColumn("user_id", F.col("user_id") + F.col("_k") * stride).drop("_k"))
-    g = ev.groupBy("user_id", "date").agg(
+    # grouped on (ticker, date) — the key every price stage partitions on —
+    # so de-duplication and the vendor join reuse this one exchange
+    g = ev.withColumn("ticker", ticker_of(F.col("user_id"))).groupBy("ticker", "date").agg(
+        F.max("user_id").alias("user_id"),
         F.min_by("value", "ts").alias("open"),
         F.max("value").alias("high"),
         F.min("value").alias("low"),
@@ -76,7 +86,7 @@ def bars_all(spark: SparkSession, sf_dir: str, copies: int = 1) -> DataFrame:
     bad_print = (uid % 97 == 7) & (dy == 5)
     split_era = (uid % 3 == 0) & (F.col("date") < F.lit(SPLIT_DATE))
     return g.select(
-        uid.alias("uid"), "date", dy.alias("dy"), ticker_of(uid).alias("ticker"),
+        uid.alias("uid"), "date", dy.alias("dy"), "ticker",
         "open", "high",
         F.when(bad_print, F.col("open") + 0.5).otherwise(F.col("low")).alias("low"),
         "close",

@@ -83,7 +83,7 @@ def identifier_responses(spark, sf_dir, batch_size: int = 100) -> DataFrame:
     keyed = assign_keys(cons, ["ticker"], "pos0", start=0)
     keyed = keyed.withColumn("batch_id", (F.col("pos0") / batch_size).cast("long"))
     j = keyed.join(ids, "ticker", "left")
-    k = F.substring("ticker", 2, 6).cast("long")
+    k = bind.uid_of(F.col("ticker"))
     best = F.struct(F.col("figi"), F.col("composite_figi").alias("compositeFIGI"),
                     F.col("share_class_figi").alias("shareClassFIGI"), F.col("name"),
                     F.col("security_type").alias("securityType"), F.col("market_sector").alias("marketSector"))
@@ -141,7 +141,7 @@ def filing_index(spark, sf_dir) -> DataFrame:
 
 def constituents_html(spark, sf_dir) -> DataFrame:
     c = bind.constituents(spark, sf_dir)
-    k = F.substring("ticker", 2, 6).cast("long")
+    k = bind.uid_of(F.col("ticker"))
     sym = F.when(k % 50 == 7, F.concat("ticker", F.lit(".B"))).otherwise(F.col("ticker"))
     added = F.when(k % 11 == 5, F.lit("n/a")).otherwise(F.date_format("date_added", "yyyy-MM-dd"))
 
@@ -172,7 +172,7 @@ def wide_cells(spark, sf_dir, batch_size: int = 50) -> tuple[DataFrame, DataFram
     from ..operators.dedup import keep_one
     bars = keep_one(bind.primary_bronze(spark, sf_dir).withColumn("_a", F.monotonically_increasing_id()),
                     ["ticker", "date"], [F.col("_a")], last=True).drop("_a")
-    uid = F.substring("ticker", 2, 6).cast("long")
+    uid = bind.uid_of(F.col("ticker"))
     bars = bars.where(uid % 37 != 5).join(req, "ticker")
     col_of = dict((c, f) for f, c in WIDE_FIELDS)
     entries = F.array(*[F.struct(F.concat("ticker", F.lit("." + col_of[c])).alias("k"),
