@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.upsert import upsert
 from ..schemas import GOLD_TABLES
@@ -50,11 +51,16 @@ class GoldStore:
         schema, _ = GOLD_TABLES[table]
         if not self.exists(table):
             return self.spark.createDataFrame([], schema)
-        df = self.spark.read.parquet(self.path(table))
+        df = self.spark.read.schema(self._file_schema(table)).parquet(self.path(table))
+        return df.select(*schema.fieldNames())
+
+    def _file_schema(self, table: str) -> T.StructType:
+        """Declared columns plus the partition column: reads infer nothing."""
+        schema, _ = GOLD_TABLES[table]
         part = PARTITION.get(table)
         if part and part not in schema.fieldNames():
-            df = df.drop(part)
-        return df.select(*schema.fieldNames())
+            return T.StructType(list(schema.fields) + [T.StructField(part, T.IntegerType())])
+        return schema
 
     def _with_part(self, table: str, df: DataFrame) -> DataFrame:
         part = PARTITION.get(table)
@@ -81,7 +87,7 @@ class GoldStore:
         if part:
             w = w.partitionBy(part)
         w.parquet(staging)
-        staged = self.spark.read.parquet(staging)
+        staged = self.spark.read.schema(self._file_schema(table)).parquet(staging)
         w2 = staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         if part:
             w2 = w2.partitionBy(part)
