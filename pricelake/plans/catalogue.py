@@ -607,3 +607,13 @@ def q_gate_bronze_report(spark, sf_dir):
     dataset present, in one report."""
     report, _ = pl.gate_bronze(spark, bind.INGEST_DATE, _land_run(spark, sf_dir))
     return present(report)
+
+
+@query("constituents_snapshot_reuse")
+def q_constituents_snapshot_reuse(spark, sf_dir):
+    """Reuse-or-refresh: the first call for a run date ingests the page; a
+    second call without a page must reuse that landed snapshot."""
+    from .ingest import constituents_snapshot
+    root = scratch_dir(spark, "lake")
+    constituents_snapshot(spark, bind.INGEST_DATE, landing.constituents_html(spark, sf_dir), root=root)
+    return present(constituents_snapshot(spark, bind.INGEST_DATE, None, root=root))

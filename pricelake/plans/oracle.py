@@ -774,3 +774,10 @@ SELECT CAST(count(*) FILTER (WHERE idx = m AND transition IN ('first_seen', 'ret
 FROM scd_tr2, scd_last
 """)
 q("gate_bronze_report", "\nUNION ALL\n".join([_CONST_Q, _PRICE_Q, _MACRO_Q, _IDENT_Q]))
+q("constituents_snapshot_reuse", """
+SELECT CASE WHEN c_custkey % 50 = 7 THEN ticker || '-B' ELSE ticker END AS ticker,
+       company_name, gics_sector, gics_sub_industry,
+       CASE WHEN c_custkey % 11 = 5 THEN NULL ELSE CAST(date_added AS VARCHAR) END AS date_added,
+       '2024-01-31' AS snapshot_date
+FROM constituents
+""")
