@@ -19,21 +19,29 @@ def batch_plan(keys: DataFrame, size: int, key: str = "ticker") -> DataFrame:
 
 
 def stratified_sample(universe: DataFrame, n: int, stratum: str = "gics_sector",
-                      key: str = "ticker", seed: int = 42) -> DataFrame:
+                      key: str = "ticker", seed: int = 42, salt_buckets: int = 64) -> DataFrame:
     """Round-robin across strata in sorted stratum order, each stratum in a
     seeded pseudo-random order; rows with a NULL stratum are never drawn.
     If ``n`` covers the universe, every key is returned.
 
-    The per-stratum rank is filtered to ``rank <= n`` — Spark pushes that
-    limit below the shuffle (window group limit), so no stratum sends more
-    than n rows per partition however large it is.  The final top-n is a
+    A stratum may hold a third of the universe, so its rank is found in two
+    bounded steps: the first ``n`` of every (stratum, salt) sub-group, then
+    the first ``n`` of the stratum among those at most n × ``salt_buckets``
+    candidates — exact, because a stratum's first n are always among the
+    first n of their own sub-groups.  Each ``rank <= n`` filter is pushed
+    below its shuffle (window group limit).  The final top-n is a
     TakeOrderedAndProject: the limit is the sampling feature.
     """
     u = universe.select(key, stratum).dropDuplicates([key])
     total = u.select(F.count(F.lit(1))).scalar()
-    order = F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}")))
-    w = Window.partitionBy(stratum).orderBy(order, F.col(key))
-    ranked = u.where(F.col(stratum).isNotNull()).withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n)
+    order = [F.col("_o"), F.col(key)]
+    cand = (u.where(F.col(stratum).isNotNull())
+            .withColumn("_o", F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}"))))
+            .withColumn("_salt", F.pmod(F.hash(F.col(key)), F.lit(salt_buckets)))
+            .withColumn("_r1", F.row_number().over(Window.partitionBy(stratum, "_salt").orderBy(*order)))
+            .where(F.col("_r1") <= n))
+    ranked = (cand.withColumn("_rn", F.row_number().over(Window.partitionBy(stratum).orderBy(*order)))
+              .where(F.col("_rn") <= n))
     picked = ranked.orderBy("_rn", stratum).limit(n).select(key).where(total > F.lit(n))
     everything = u.select(key).where(total <= F.lit(n))
     return picked.unionByName(everything).orderBy(key)

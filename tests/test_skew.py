@@ -85,3 +85,24 @@ def test_hot_hour_request_budget_exact_and_split(spark):
     out.write.format("noop").mode("overwrite").save()
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(account" not in plan
+
+
+def test_hot_stratum_sample_exact(spark):
+    """Most of the universe in one stratum: the two-step rank gives exactly
+    the brute-force round-robin sample."""
+    import hashlib
+    from pricelake.operators.planning import stratified_sample
+    rows = [(f"K{i:05d}", "HOT" if i % 10 < 8 else f"S{i % 3}") for i in range(3000)]
+    u = spark.createDataFrame(rows, "ticker string, gics_sector string")
+    n = 40
+    got = sorted(r.ticker for r in stratified_sample(u, n, salt_buckets=8).collect())
+    per = {}
+    for t, s in rows:
+        per.setdefault(s, []).append(t)
+    for s in per:
+        per[s].sort(key=lambda t: (hashlib.md5(f"{t}:42".encode()).hexdigest(), t))
+    order = sorted(((i, s, t) for s, ts in per.items() for i, t in enumerate(ts)))
+    assert got == sorted(t for _, _, t in order[:n])
+    df = stratified_sample(u, n, salt_buckets=8)
+    df.write.format("noop").mode("overwrite").save()
+    assert df._jdf.queryExecution().executedPlan().toString().count("WindowGroupLimit") >= 4
