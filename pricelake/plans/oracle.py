@@ -781,3 +781,4 @@ SELECT CASE WHEN c_custkey % 50 = 7 THEN ticker || '-B' ELSE ticker END AS ticke
        '2024-01-31' AS snapshot_date
 FROM constituents
 """)
+q("fact_price_daily_stream", "SELECT * FROM f_price WHERE source = 'primary'")

@@ -47,12 +47,16 @@ def run_price_stream(spark: SparkSession, source: str, dim_date: DataFrame, dim_
     reports_path = f"{root}/gold/_stream_gate_reports/{source}"
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
-        batch = batch.drop("ingest_date", "batch")
-        report = quality.evaluate(batch.drop("_arrival_file", "_arrival_row"), quality.price_rules(), source)
-        (report.withColumn("epoch_id", F.lit(epoch_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("epoch_id").parquet(reports_path))
-        rows, _ = facts.fact_price_daily(to_silver(batch, source), source, dim_date, dim_security)
-        store.upsert("fact_price_daily", rows)
+        # the micro-batch feeds two sinks (gate report, fact upsert): read it once
+        batch = batch.drop("ingest_date", "batch").persist()
+        try:
+            report = quality.evaluate(batch.drop("_arrival_file", "_arrival_row"), quality.price_rules(), source)
+            (report.withColumn("epoch_id", F.lit(epoch_id)).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy("epoch_id").parquet(reports_path))
+            rows, _ = facts.fact_price_daily(to_silver(batch, source), source, dim_date, dim_security)
+            store.upsert("fact_price_daily", rows)
+        finally:
+            batch.unpersist()
 
     q = (price_stream(spark, root, dataset, schema).writeStream
          .foreachBatch(handle)
