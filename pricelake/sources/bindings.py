@@ -70,6 +70,10 @@ def bars_all(spark: SparkSession, sf_dir: str, copies: int = 1) -> DataFrame:
         # scaled stress input derived from the same table: copy k shifts every
         # user id by k * (max id + 1) (a generator, not a join)
         stride = _max_uid(spark, sf_dir) + 1
+        # copies multiply rows inside whichever task read them: spread the
+        # input over the shuffle partitions first (a source file may be a
+        # single split)
+        ev = ev.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
         ev = (ev.withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
               .withColumn("user_id", F.col("user_id") + F.col("_k") * stride).drop("_k"))
     # grouped on (ticker, date) — the key every price stage partitions on —
