@@ -222,27 +222,39 @@ def gold_dim_security(spark, sf_dir):
     return dim
 
 
-def gold_facts(spark, sf_dir, materialize: bool = False):
+FACT_TABLES = ("fact_price_daily", "fact_price_daily_consensus", "fact_corporate_action", "fact_macro_rate")
+
+
+def gold_facts(spark, sf_dir, materialize: bool = False, tables=FACT_TABLES):
     """(dim_date, dim_security, table -> (rows, load counts)) of one gold
-    build.  ``materialize=True`` computes each input once (reliable
-    checkpoint) — as the pipeline reads them back from storage — for
-    reports that check several tables."""
+    build, planning only the requested fact ``tables`` (dim_security is
+    None when only the macro fact is asked for).  ``materialize=True``
+    computes each input once (reliable checkpoint) — as the pipeline reads
+    them back from storage — for reports that check several tables."""
     from ..session import cut_lineage
     keep = cut_lineage if materialize else (lambda df: df)
-    dd, ds = keep(gold_dim_date(spark, sf_dir)), keep(gold_dim_security(spark, sf_dir))
-    ps, ss = keep(primary_silver(spark, sf_dir)), keep(secondary_silver(spark, sf_dir))
-    p_rows, p_cnt = fx.fact_price_daily(ps, PRIMARY, dd, ds)
-    s_rows, s_cnt = fx.fact_price_daily(ss, SECONDARY, dd, ds)
-    c_rows, c_cnt = fx.fact_consensus(rec.Reconciliation(ps, ss).consensus(), dd, ds)
-    actions_bronze = dedup_keep_last(type_columns(bind.primary_bronze(spark, sf_dir)))
-    a_rows, a_cnt = fx.fact_corporate_action(keep(actions_bronze), dd, ds)
-    m_rows, m_cnt = fx.fact_macro_rate(keep(bind.macro(spark, sf_dir)), dd)
-    return dd, ds, {
-        "fact_price_daily": (p_rows.unionByName(s_rows), p_cnt.unionByName(s_cnt)),
-        "fact_price_daily_consensus": (c_rows, c_cnt),
-        "fact_corporate_action": (a_rows, a_cnt),
-        "fact_macro_rate": (m_rows, m_cnt),
-    }
+    want = set(tables)
+    dd = keep(gold_dim_date(spark, sf_dir))
+    ds = keep(gold_dim_security(spark, sf_dir)) if want - {"fact_macro_rate"} else None
+    out = {}
+    if want & {"fact_price_daily", "fact_price_daily_consensus"}:
+        ps, ss = keep(primary_silver(spark, sf_dir)), keep(secondary_silver(spark, sf_dir))
+    if "fact_price_daily" in want:
+        p_rows, p_cnt = fx.fact_price_daily(ps, PRIMARY, dd, ds)
+        s_rows, s_cnt = fx.fact_price_daily(ss, SECONDARY, dd, ds)
+        out["fact_price_daily"] = (p_rows.unionByName(s_rows), p_cnt.unionByName(s_cnt))
+    if "fact_price_daily_consensus" in want:
+        out["fact_price_daily_consensus"] = fx.fact_consensus(rec.Reconciliation(ps, ss).consensus(), dd, ds)
+    if "fact_corporate_action" in want:
+        actions_bronze = dedup_keep_last(type_columns(bind.primary_bronze(spark, sf_dir)))
+        out["fact_corporate_action"] = fx.fact_corporate_action(keep(actions_bronze), dd, ds)
+    if "fact_macro_rate" in want:
+        out["fact_macro_rate"] = fx.fact_macro_rate(keep(bind.macro(spark, sf_dir)), dd)
+    return dd, ds, {t: out[t] for t in FACT_TABLES if t in out}
+
+
+def _fact_rows(spark, sf_dir, table):
+    return gold_facts(spark, sf_dir, tables=(table,))[2][table][0]
 
 
 def materialized_gold(spark, sf_dir):
@@ -251,22 +263,22 @@ def materialized_gold(spark, sf_dir):
 
 @query("fact_price_daily")
 def q_fact_price_daily(spark, sf_dir):
-    return present(gold_facts(spark, sf_dir)[2]["fact_price_daily"][0])
+    return present(_fact_rows(spark, sf_dir, "fact_price_daily"))
 
 
 @query("fact_consensus")
 def q_fact_consensus(spark, sf_dir):
-    return present(gold_facts(spark, sf_dir)[2]["fact_price_daily_consensus"][0])
+    return present(_fact_rows(spark, sf_dir, "fact_price_daily_consensus"))
 
 
 @query("fact_corporate_action")
 def q_fact_corporate_action(spark, sf_dir):
-    return present(gold_facts(spark, sf_dir)[2]["fact_corporate_action"][0])
+    return present(_fact_rows(spark, sf_dir, "fact_corporate_action"))
 
 
 @query("fact_macro_rate")
 def q_fact_macro_rate(spark, sf_dir):
-    return present(gold_facts(spark, sf_dir)[2]["fact_macro_rate"][0])
+    return present(_fact_rows(spark, sf_dir, "fact_macro_rate"))
 
 
 @query("load_summary")
@@ -302,7 +314,7 @@ def q_pk_duplicates(spark, sf_dir):
 
 @query("freshness_gate")
 def q_freshness_gate(spark, sf_dir):
-    dd, ds, f = materialized_gold(spark, sf_dir)
+    dd, ds, f = gold_facts(spark, sf_dir, materialize=True, tables=("fact_price_daily_consensus",))
     return present(fx.freshness(ds, f["fact_price_daily_consensus"][0], dd, bind.INGEST_DATE))
 
 
