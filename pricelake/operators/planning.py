@@ -63,32 +63,36 @@ def resume_worklist(requested: DataFrame, landed: DataFrame, force: bool = False
 
 def trailing_hour_budget(log: DataFrame, cap: int = SECONDARY_HOURLY_CAP,
                          account: str = "account", ts: str = "requested_at",
-                         request_id: str = "request_id", window_seconds: int = 3600) -> DataFrame:
+                         window_seconds: int = 3600) -> DataFrame:
     """For every request: how many requests of the same account fall in the
     trailing hour [t - 1h, t] (ties included), and whether that exceeds
-    ``cap``.  ``request_id`` must be unique per row.
+    ``cap``.
 
     Exact and skew-proof whatever the distribution — one account, or one
     hour of one account, may hold a third of the log: count = R(upper) -
     R(lower), where R is a global running count of requests under the order
-    (account, time).  Every request adds two weightless probes, one just
-    before everything at t - 1h and one just after everything at t; one
-    distributed running total (range-partitioned, no single-task window)
-    prices both, and a group by request id (unique, never hot) pairs them.
+    (account, time).  Every request row is tagged once and exploded into
+    itself plus two weightless probes, one just before everything at t - 1h
+    and one just after everything at t; one distributed running total
+    (range-partitioned, no single-task window) prices all three, and a group
+    by the row tag (three rows each, never hot) pairs them.
     """
     us = F.unix_micros(F.col(ts).cast("timestamp"))
-    base = log.withColumn("_us", us)
+    tagged = log.withColumn("_rid", F.monotonically_increasing_id())
+    probes = F.array(
+        F.struct(F.lit(0).alias("k"), (us - window_seconds * 1_000_000).alias("u")),
+        F.struct(F.lit(1).alias("k"), us.alias("u")),
+        F.struct(F.lit(2).alias("k"), us.alias("u")))
     row = F.struct(*[F.col(f"`{c}`") for c in log.columns])
-    no_row = F.lit(None).cast(log.select(row.alias("r")).schema["r"].dataType)
-    real = base.select(account, request_id, "_us", F.lit(1).alias("_kind"), row.alias("_row"))
-    lower = base.select(account, request_id, (F.col("_us") - window_seconds * 1_000_000).alias("_us"),
-                        F.lit(0).alias("_kind"), no_row.alias("_row"))
-    upper = base.select(account, request_id, "_us", F.lit(2).alias("_kind"), no_row.alias("_row"))
-    priced = running_total(real.unionByName(lower).unionByName(upper),
-                           [account, "_us", "_kind", request_id], "_r",
+    flat = (tagged.select(F.col(f"`{account}`").alias("_acct"), "_rid", row.alias("_row"),
+                          F.explode(probes).alias("_p"))
+            .select("_acct", "_rid", F.col("_p.k").alias("_kind"), F.col("_p.u").alias("_us"),
+                    F.when(F.col("_p.k") == 1, F.col("_row")).alias("_row")))
+    # the priced rows are checkpointed, so each row's tag is fixed before the pairing
+    priced = running_total(flat, ["_acct", "_us", "_kind", "_rid"], "_r",
                            weight=(F.col("_kind") == 1).cast("long"))
     kind, r = F.col("_kind"), F.col("_r")
-    per = priced.groupBy(request_id).agg(
+    per = priced.groupBy("_rid").agg(
         F.first("_row", ignorenulls=True).alias("_row"),
         (F.max(F.when(kind == 2, r)) - F.max(F.when(kind == 0, r))).alias("trailing_count"))
     return per.select("_row.*", "trailing_count", (F.col("trailing_count") > cap).alias("over_cap"))

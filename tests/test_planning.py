@@ -72,3 +72,11 @@ def test_crosscheck(spark):
     assert [r.name for r in xc.unmatched_holdings(members, holdings).collect()] == ["ZZZ LTD"]
     s = xc.summary(members, holdings).first()
     assert (s.list_count, s.matched, s.unmatched_list, s.unmatched_holdings) == (2, 1, 1, 1)
+
+
+def test_trailing_hour_budget_needs_no_unique_request_id(spark):
+    t = dt.datetime(2024, 1, 1, 12)
+    log = spark.createDataFrame([("a", 1, t), ("a", 1, t + dt.timedelta(minutes=30)), ("a", 1, t + dt.timedelta(hours=2))],
+                                "account string, request_id int, requested_at timestamp_ntz")
+    got = sorted(r.trailing_count for r in planning.trailing_hour_budget(log, cap=1).collect())
+    assert got == [1, 1, 2]
