@@ -43,12 +43,13 @@ def universe_plan(constituents: DataFrame, sample_size: int = 45, sources=ALL_SO
     uni = keep_one(constituents.withColumn("_a", F.monotonically_increasing_id()),
                    ["ticker"], [F.col("_a")], last=False).select("ticker", "gics_sector")
     out = uni
-    if "primary" in sources:
-        out = out.join(planning.batch_plan(uni, primary_batch).select(
-            "ticker", F.col("batch_id").alias("primary_batch")), "ticker")
-    if "identifiers" in sources:
-        out = out.join(planning.batch_plan(uni, identifier_batch).select(
-            "ticker", F.col("batch_id").alias("identifier_batch")), "ticker")
+    sizes = {c: n for c, n, src in (("primary_batch", primary_batch, "primary"),
+                                    ("identifier_batch", identifier_batch, "identifiers")) if src in sources}
+    if sizes:
+        # one ranking of the universe serves every fixed-size batching
+        pos = planning.batch_plan(uni, 1).select("ticker", "position")
+        out = out.join(pos.select("ticker", *[(F.col("position") / n).cast("long").alias(c)
+                                              for c, n in sizes.items()]), "ticker")
     if "secondary" in sources:
         s = planning.stratified_sample(uni, sample_size).withColumn("in_secondary_sample", F.lit(True))
         out = (out.join(s, "ticker", "left")
