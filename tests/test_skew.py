@@ -106,3 +106,20 @@ def test_hot_stratum_sample_exact(spark):
     df = stratified_sample(u, n, salt_buckets=8)
     df.write.format("noop").mode("overwrite").save()
     assert df._jdf.queryExecution().executedPlan().toString().count("WindowGroupLimit") >= 4
+
+
+def test_hot_empty_name_crosscheck_is_whole(spark):
+    """A third of the members normalise to the empty name (one hot anti-join
+    key): they all match a holding whose name is empty too, and every other
+    member is judged on its own name."""
+    from pricelake.operators import crosscheck as xc
+    hot = [(f"H{i}", "Inc.") for i in range(1000)]
+    rest = [(f"T{i}", f"Acme {i} Corp") for i in range(2000)]
+    members = spark.createDataFrame(hot + rest, "ticker string, company_name string")
+    holdings = spark.createDataFrame([("  ", "Class A")] + [(f"ACME {i} LTD", f"acme {i} class b")
+                                                           for i in range(0, 2000, 2)],
+                                     "name string, title string")
+    unmatched = {r.ticker for r in xc.unmatched_list(members, holdings).collect()}
+    assert unmatched == {f"T{i}" for i in range(1, 2000, 2)}
+    s = xc.summary(members, holdings).first()
+    assert (s.list_count, s.matched, s.unmatched_list, s.empty_names) == (3000, 2000, 1000, 1000)
