@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, mixing
+from . import exact_dedup, langid, mixing, pii, secrets
 
 QUERIES = {
+    "op2_pii": pii.query,
+    "op6_secrets": secrets.query,
     "op8_exact_dedup": exact_dedup.query,
+    "op9_language_id": langid.query,
     "op10_source_mixing": mixing.query,
 }
 
