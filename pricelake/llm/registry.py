@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, langid, mixing, pii, secrets
+from . import decontaminate, exact_dedup, langid, mixing, pii, secrets, tokens
 
 QUERIES = {
     "op2_pii": pii.query,
+    "op5_token_shards": tokens.query,
     "op6_secrets": secrets.query,
+    "op7_decontamination": decontaminate.query,
     "op8_exact_dedup": exact_dedup.query,
     "op9_language_id": langid.query,
     "op10_source_mixing": mixing.query,
 }
 
 SQL = {
+    "op7_decontamination": decontaminate.SQL,
     "op8_exact_dedup": exact_dedup.SQL,
     "op10_source_mixing": mixing.SQL,
 }
