@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import decontaminate, exact_dedup, langid, mixing, pii, secrets, tokens
+from . import decontaminate, exact_dedup, langid, mixing, pii, secrets, tokens, urls
 
 QUERIES = {
     "op2_pii": pii.query,
+    "op3_url_filter": urls.query,
     "op5_token_shards": tokens.query,
     "op6_secrets": secrets.query,
     "op7_decontamination": decontaminate.query,
@@ -15,6 +16,7 @@ QUERIES = {
 }
 
 SQL = {
+    "op3_url_filter": urls.SQL,
     "op7_decontamination": decontaminate.SQL,
     "op8_exact_dedup": exact_dedup.SQL,
     "op10_source_mixing": mixing.SQL,
