@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import decontaminate, exact_dedup, langid, mixing, pii, secrets, tokens, urls
+from . import decontaminate, exact_dedup, langid, mixing, near_dedup, pii, secrets, tokens, urls
 
 QUERIES = {
+    "op1_near_duplicates": near_dedup.query,
     "op2_pii": pii.query,
     "op3_url_filter": urls.query,
     "op5_token_shards": tokens.query,
