@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import decontaminate, exact_dedup, langid, mixing, near_dedup, pii, secrets, tokens, urls
+from . import decontaminate, exact_dedup, langid, lmscore, mixing, near_dedup, pii, secrets, tokens, urls
 
 QUERIES = {
     "op1_near_duplicates": near_dedup.query,
     "op2_pii": pii.query,
     "op3_url_filter": urls.query,
+    "op4_lm_scores": lmscore.query,
     "op5_token_shards": tokens.query,
     "op6_secrets": secrets.query,
     "op7_decontamination": decontaminate.query,
