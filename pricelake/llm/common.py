@@ -24,6 +24,13 @@ def lower_az(text: Column) -> Column:
     return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
 
 
+def set_aside(df: DataFrame):
+    """``df`` with all columns under names of our own, so that none can clash
+    with an operator's; the new name by the old; and the way back."""
+    names = {c: f"_c{i}" for i, c in enumerate(df.columns)}
+    return df.toDF(*names.values()), names, lambda out: out.select(*[F.col(n).alias(c) for c, n in names.items()])
+
+
 def run_folder(spark: SparkSession, name: str) -> str:
     """A new folder for one run, in the storage that all executors share."""
     return f"{checkpoint_root(spark)}/llm/{name}-{uuid.uuid4().hex}"

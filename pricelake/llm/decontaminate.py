@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import run_folder, stored, table
+from .common import run_folder, set_aside, stored, table
 from .fmindex import FMIndex
 
 WINDOW = 13
@@ -221,11 +221,10 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id"
                    item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW) -> DataFrame:
     """The documents that are not contaminated, whole, with all columns."""
     # the text goes through the scan once more beside the searched copy
-    names = {c: f"_c{i}" for i, c in enumerate(docs.columns)}
-    rows = docs.select(*[F.col(c).alias(n) for c, n in names.items()])
+    rows, names, back = set_aside(docs)
     out = contamination(rows, benchmark, names[id_col], names[text_col], item_col, item_text_col, window,
                         keep=list(names.values()))
-    return out.filter("not contaminated").select(*[F.col(n).alias(c) for c, n in names.items()])
+    return back(out.filter("not contaminated"))
 
 
 def query(spark, sf_dir):

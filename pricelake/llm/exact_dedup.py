@@ -30,7 +30,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import lower_az, run_folder, stored, table
+from .common import lower_az, run_folder, set_aside, stored, table
 
 
 def sha256(text: Column) -> Column:
@@ -75,10 +75,10 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """The documents that stay, with all their columns, one row per text."""
     decided = exact_dedup(docs, id_col, text_col, salts).filter("kept").select(
         F.col("keep_id").alias("_keep_id"), F.col("text_sha256").alias("_sha")).dropDuplicates()
-    rows = docs.withColumn("_sha", sha256(lower_az(F.coalesce(F.col(text_col), F.lit("")))))
-    return (rows.join(decided, (rows["_sha"] == decided["_sha"]) & rows[id_col].eqNullSafe(decided["_keep_id"]),
-                      "left_semi")
-            .dropDuplicates([id_col, "_sha"]).drop("_sha"))
+    rows, names, back = set_aside(docs)
+    rows = rows.withColumn("_sha", sha256(lower_az(F.coalesce(F.col(names[text_col]), F.lit("")))))
+    kept = rows.join(decided, (rows["_sha"] == decided["_sha"]) & rows[names[id_col]].eqNullSafe(decided["_keep_id"]), "left_semi")
+    return back(kept.dropDuplicates([names[id_col], "_sha"]))
 
 
 SQL = """

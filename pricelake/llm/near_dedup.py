@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import remove, run_folder, stored, table
+from .common import remove, run_folder, set_aside, stored, table
 from .components import components
 
 WORDS = 4
@@ -271,8 +271,9 @@ def near_deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """One document of every group (its smallest id), with all columns; a
     repeated row stays once, a text without words always."""
     kept = near_duplicates(docs, id_col, text_col, **how).filter("kept").select(F.col("row_key").alias("_row_key")).distinct()
-    rows = docs.withColumn("_row_key", F.xxhash64(id_col, text_col))
-    return rows.join(kept, "_row_key", "left_semi").dropDuplicates(["_row_key", id_col]).drop("_row_key")
+    rows, names, back = set_aside(docs)
+    rows = rows.withColumn("_row_key", F.xxhash64(names[id_col], names[text_col]))
+    return back(rows.join(kept, "_row_key", "left_semi").dropDuplicates(["_row_key", names[id_col]]))
 
 
 def query(spark, sf_dir):
