@@ -27,19 +27,49 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import remove, run_folder, stored, table
-from .words import LETTERS, count_words
+from .common import remove, run_folder, set_aside, stored, table
+from .words import HELD, LETTERS, count_words
 
 MODEL_ENTRIES = 60_000
 LENGTHS = (4, 3, 2, 1)
-#: Evidence vectors of unseen words that a worker holds.
-CACHED = 100_000
+#: Values of unseen words' evidence that a worker holds.
+CACHED = 2_000_000
 
 
 def held_out(id_col: Column) -> Column:
     return F.pmod(F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")), F.lit(3)) == 1
 
 
+def count_grams(counts: DataFrame) -> DataFrame:
+    """(label, k, word, n): the k-grams of the padded words of
+    ``counts(label, word, n)``, weighted by n and summed in the tasks."""
+    schema = pa.schema([("label", pa.string()), ("k", pa.int32()), ("word", pa.string()), ("n", pa.int64())])
+
+    def count(batches):
+        held: dict[tuple[str, int], dict[str, int]] = {}
+
+        def out():
+            for (label, k), c in held.items():
+                yield pa.record_batch([pa.array([label] * len(c)), pa.array([k] * len(c), pa.int32()), pa.array(list(c)),
+                                       pa.array(list(c.values()), pa.int64())], schema=schema)
+            held.clear()
+
+        for b in batches:
+            for label, word, n in zip(*(c.to_pylist() for c in b.columns)):
+                p = f" {word} "
+                for k in LENGTHS:
+                    c = held.setdefault((label, k), {})
+                    for i in range(len(p) - k + 1):
+                        g = p[i:i + k]
+                        c[g] = c.get(g, 0) + n
+            if sum(map(len, held.values())) > HELD:
+                yield from out()
+        yield from out()
+
+    return (counts.select("label", "word", "n").mapInArrow(count, "label string, k int, word string, n long")
+            .filter("word <> ' '").groupBy("label", "k", "word").agg(F.sum("n").alias("n")))
+
+
 def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", entries: int = MODEL_ENTRIES) -> dict:
     """The model of ``docs``, all of whose labelled rows are learned from:
     languages, words -> row, n-grams -> row, and the rows' evidence."""
@@ -52,17 +82,7 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", entri
         remove(spark, folder)
         return {"langs": [], "rows": {}, "evidence": np.zeros((0, 0), np.float32)}
     size = {r.label: r.n for r in totals}
-    padded = F.concat(F.lit(" "), F.col("word"), F.lit(" "))
-    # n-grams of the distinct words, weighted by the words' counts; each task
-    # sums its own before the exchange
-    def pieces(k):
-        starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(padded) - (k - 1)))
-        return F.transform(starts, lambda i: F.struct(F.lit(k).alias("k"), F.substring(padded, i, F.lit(k)).alias("g")))
-
-    grams = (counts.select("label", "n", F.explode(F.concat(*map(pieces, LENGTHS))).alias("x"))
-             .select("label", F.col("x.k").alias("k"), F.col("x.g").alias("word"), "n")
-             .filter((F.length("word") == F.col("k")) & (F.col("word") != " "))
-             .groupBy("label", "k", "word").agg(F.sum("n").alias("n")))
+    grams = count_grams(counts)
     both = counts.withColumn("k", F.lit(0)).unionByName(grams)
     weight = F.coalesce(*[F.when(F.col("label") == x, F.lit(1.0 / size[x])) for x in langs])
     per = both.groupBy("k", "word").agg(F.max(F.col("n") * weight).alias("most"),
@@ -86,13 +106,14 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", entri
 
 class Scorer(dict):
     """word -> row of ``self.table``; an unseen word's row is its backed-off
-    evidence, made when first met.  At most ``CACHED`` of those are held."""
+    evidence, made when first met.  At most ``CACHED`` values are held."""
 
     def __init__(self, model: dict):
         super().__init__()
         self.rows, n = model["rows"], len(model["evidence"])
         self.own = n
-        self.table = np.concatenate([model["evidence"], np.zeros((CACHED, len(model["langs"])), np.float32)])
+        langs = len(model["langs"])
+        self.table = np.concatenate([model["evidence"], np.zeros((1000 + CACHED // max(1, langs), langs), np.float32)])
         self.used = n
 
     def __missing__(self, word: str) -> int:
@@ -117,8 +138,8 @@ class Scorer(dict):
 
     def evidence(self, words: list[str]) -> np.ndarray:
         total = np.zeros(self.table.shape[1])
-        for i in range(0, len(words), 50_000):
-            part = words[i:i + 50_000]
+        for i in range(0, len(words), 1000):
+            part = words[i:i + 1000]
             try:
                 at = list(map(self.__getitem__, part))
             except LookupError:
@@ -172,11 +193,9 @@ def identified(docs: DataFrame, min_score: float = 0.5, id_col: str = "doc_id",
     """The documents whose language is told with ``min_score`` or more, with
     all their columns; the model learns as in ``identify``."""
     model = train(docs.filter(~held_out(F.col(id_col))), text_col, lang_col)
-    columns = {c: f"_c{i}" for i, c in enumerate(docs.columns)}
-    rows = docs.select(*[F.col(c).alias(n) for c, n in columns.items()])
-    return (predict(rows, model, columns[text_col])
-            .filter((F.col("lang_pred") != "und") & (F.col("score") >= min_score))
-            .select(*[F.col(n).alias(c) for c, n in columns.items()]))
+    rows, names, back = set_aside(docs)
+    return back(predict(rows, model, names[text_col])
+                .filter((F.col("lang_pred") != "und") & (F.col("score") >= min_score)))
 
 
 def query(spark, sf_dir):
