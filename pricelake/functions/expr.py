@@ -58,10 +58,11 @@ def day_name(d) -> Column:
 
 
 def pct_diff(a, b) -> Column:
-    """Symmetric relative difference |a-b| / mean(a, b); NULL when the mean
-    is zero (never a division error)."""
+    """Symmetric relative difference |a-b| / mean(a, b).  Around a zero mean
+    it is infinite for different values and NULL for equal ones (0/0)."""
     a, b = _c(a), _c(b)
-    return F.try_divide(F.abs(a - b), (a + b) / 2)
+    diff, mean = F.abs(a - b), (a + b) / 2
+    return F.when((mean == 0) & (diff > 0), F.lit(float("inf"))).otherwise(F.try_divide(diff, mean))
 
 
 def is_flagged(a, b, tolerance: float = RECONCILIATION_TOLERANCE) -> Column:
@@ -76,8 +77,9 @@ def is_flagged(a, b, tolerance: float = RECONCILIATION_TOLERANCE) -> Column:
 
 
 def to_decimal(c, precision: int = 18, scale: int = 6) -> Column:
-    """Double to DECIMAL(precision, scale) rounding half-up on the value's
-    decimal digits (as a database receiving the printed float does), not on
-    its binary expansion: 7.625 * 1.00002 gives 7.625153.  The first step to
-    12 places removes binary noise; the second rounds half-up."""
-    return _c(c).cast("decimal(38,12)").cast(f"decimal({precision},{scale})")
+    """Double to DECIMAL(precision, scale), half-up on the digits the value
+    prints with, in one step: 7.625 * 1.00002 prints as 7.6251524999999996
+    and gives 7.625152.  What a decimal can't hold (NaN, infinity) is NULL."""
+    c = _c(c)
+    finite = F.abs(c) < F.lit(float("inf"))
+    return F.when(finite, c).cast(f"decimal({precision},{scale})")

@@ -120,7 +120,8 @@ def discrepancy_shape(profile: DataFrame, event_ratio: float = 10.0) -> DataFram
 
 
 def top_discrepancies(pairs_df: DataFrame, n: int = 10) -> DataFrame:
-    """Largest flagged discrepancies (a top-k report: the limit is the feature)."""
+    """Largest flagged discrepancies, infinite ones first (a top-k report:
+    the limit is the feature)."""
     return (pairs_df.where("flagged")
             .orderBy(F.col("pct_diff").desc_nulls_last(), "ticker", "date").limit(n))
 
@@ -163,17 +164,27 @@ class Reconciliation:
     def top(self, n: int = 10) -> DataFrame:
         return top_discrepancies(self.pairs(), n)
 
-    def report_rows(self) -> DataFrame:
-        """Tidy report rows (section, key, value) in place of a fixed-width
-        text: the headline totals, then one row per affected ticker."""
+    def report_rows(self, top: int = 10) -> DataFrame:
+        """The whole report as tidy rows (section, key, metric, value, text):
+        headline totals, the profile of every affected ticker with its
+        flagged window, and the largest discrepancies."""
+        def rows(df, section, key, metrics, texts=()):
+            cells = [F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value"),
+                              F.lit(None).cast("string").alias("text")) for m in metrics]
+            cells += [F.struct(F.lit(m).alias("metric"), F.lit(None).cast("double").alias("value"),
+                               c.cast("string").alias("text")) for m, c in texts]
+            return df.select(F.lit(section).alias("section"), key.alias("key"), F.explode(F.array(*cells)).alias("c")).select(
+                "section", "key", "c.metric", "c.value", "c.text")
+
         s = self.summary()
-        cols = [c for c in s.columns]
-        head = s.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
-            [], cols, "key", "value").select(F.lit("totals").alias("section"), "key", "value")
-        prof = self.by_ticker().where("rows_flagged > 0")
-        per = prof.select(F.lit("ticker").alias("section"), F.col("ticker").alias("key"),
-                          F.col("flagged_pct").alias("value"))
-        return head.unionByName(per)
+        out = rows(s, "totals", F.lit("all"), s.columns)
+        window = F.concat_ws("..", F.col("first_flagged").cast("string"), F.col("last_flagged").cast("string"))
+        out = out.unionByName(rows(
+            self.by_ticker().where("rows_flagged > 0"), "ticker", F.col("ticker"),
+            ["rows_flagged", "rows_compared", "flagged_pct", "max_pct_diff", "median_pct_diff"], [("window", window)]))
+        return out.unionByName(rows(
+            self.top(top), "top", F.concat_ws(" ", "ticker", F.col("date").cast("string")),
+            [f"{self.primary}_adj_close", f"{self.secondary}_adj_close", "abs_diff", "pct_diff"]))
 
     def summary(self) -> DataFrame:
         """Totals plus affected/compared ticker counts, one row."""

@@ -67,7 +67,8 @@ FROM bars_all WHERE (uid + dy) % 31 <> 0
 """)
 view("secondary_scaled", """
 SELECT uid, date, ticker, open, high, low, close, volume,
-       adj_close * CASE WHEN uid % 20 = 0 AND date < DATE '2024-01-10' THEN 1.07
+       adj_close * CASE WHEN uid % 46 = 6 AND dy = 9 THEN -1
+                        WHEN uid % 20 = 0 AND date < DATE '2024-01-10' THEN 1.07
                         WHEN uid % 50 = 4 THEN 1.013 ELSE 1.00002 END AS adj_close
 FROM bars_all WHERE uid % 2 = 0 AND (uid + dy) % 29 <> 0
 """)
@@ -99,8 +100,10 @@ FROM primary_silver p FULL OUTER JOIN secondary_silver s
 view("pairs", """
 SELECT ticker, date, primary_adj_close, secondary_adj_close,
        abs(primary_adj_close - secondary_adj_close) AS abs_diff,
-       abs(primary_adj_close - secondary_adj_close)
-         / ((primary_adj_close + secondary_adj_close) / 2) AS pct_diff,
+       CASE WHEN primary_adj_close + secondary_adj_close = 0
+            THEN CASE WHEN primary_adj_close <> secondary_adj_close THEN 'Infinity'::DOUBLE END
+            ELSE abs(primary_adj_close - secondary_adj_close)
+                 / ((primary_adj_close + secondary_adj_close) / 2) END AS pct_diff,
        coalesce(CASE WHEN (primary_adj_close + secondary_adj_close) / 2 = 0
                      THEN abs(primary_adj_close - secondary_adj_close) > 0
                      ELSE abs(primary_adj_close - secondary_adj_close)
@@ -141,7 +144,7 @@ q("silver_adjusted_native", f"SELECT {_SILVER_COLS} FROM secondary_silver")
 q("reconcile_pairs", f"""
 SELECT ticker, CAST(date AS VARCHAR) AS date, round(primary_adj_close, {R}) AS primary_adj_close,
        round(secondary_adj_close, {R}) AS secondary_adj_close, round(abs_diff, {R}) AS abs_diff,
-       round(pct_diff, {R}) AS pct_diff, flagged
+       CASE WHEN isfinite(pct_diff) THEN round(pct_diff, {R}) END AS pct_diff, flagged
 FROM pairs
 """)
 q("reconcile_coverage", f"""
@@ -150,15 +153,15 @@ SELECT total_compared, flagged_count,
        primary_only_count, secondary_only_count
 FROM totals
 """)
-_PROFILE_COLS = f"""ticker, rows_compared, rows_flagged, round(max_pct_diff, {R}) AS max_pct_diff,
-       round(median_pct_diff, {R}) AS median_pct_diff,
+_PROFILE_COLS = f"""ticker, rows_compared, rows_flagged, CASE WHEN isfinite(max_pct_diff) THEN round(max_pct_diff, {R}) END AS max_pct_diff,
+       CASE WHEN isfinite(median_pct_diff) THEN round(median_pct_diff, {R}) END AS median_pct_diff,
        CAST(first_flagged AS VARCHAR) AS first_flagged, CAST(last_flagged AS VARCHAR) AS last_flagged,
        CAST(first_compared AS VARCHAR) AS first_compared, CAST(last_compared AS VARCHAR) AS last_compared,
        round(flagged_pct, {R})::DOUBLE AS flagged_pct"""
 q("reconcile_by_ticker", f"SELECT {_PROFILE_COLS} FROM profile ORDER BY rows_flagged DESC, ticker")
 q("discrepancy_shape", f"""
-SELECT ticker, rows_flagged, round(max_pct_diff, {R}) AS max_pct_diff,
-       round(median_pct_diff, {R}) AS median_pct_diff,
+SELECT ticker, rows_flagged, CASE WHEN isfinite(max_pct_diff) THEN round(max_pct_diff, {R}) END AS max_pct_diff,
+       CASE WHEN isfinite(median_pct_diff) THEN round(median_pct_diff, {R}) END AS median_pct_diff,
        CAST(first_flagged AS VARCHAR) AS first_flagged, CAST(last_flagged AS VARCHAR) AS last_flagged,
        CASE WHEN rows_flagged = 0 THEN 'none'
             WHEN max_pct_diff > 10.0 * median_pct_diff THEN 'event' ELSE 'constant' END AS shape,
@@ -168,7 +171,7 @@ FROM profile
 q("reconcile_top", f"""
 SELECT ticker, CAST(date AS VARCHAR) AS date, round(primary_adj_close, {R}) AS primary_adj_close,
        round(secondary_adj_close, {R}) AS secondary_adj_close, round(abs_diff, {R}) AS abs_diff,
-       round(pct_diff, {R}) AS pct_diff, flagged
+       CASE WHEN isfinite(pct_diff) THEN round(pct_diff, {R}) END AS pct_diff, flagged
 FROM pairs p WHERE p.flagged ORDER BY p.pct_diff DESC NULLS LAST, p.ticker, p.date LIMIT 10
 """)
 q("reconcile_summary", f"""
@@ -186,8 +189,13 @@ SELECT ticker, CAST(date AS VARCHAR) AS date,
        CASE WHEN _merge = 'right_only' THEN 'secondary' ELSE 'primary' END AS primary_source,
        CASE WHEN _merge = 'both' THEN 'primary,secondary'
             WHEN _merge = 'left_only' THEN 'primary' ELSE 'secondary' END AS sources_available,
-       round(CASE WHEN _merge = 'both' THEN abs(primary_adj_close - secondary_adj_close)
-                  / ((primary_adj_close + secondary_adj_close) / 2) END, {R}) AS pct_diff,
+       CASE WHEN isfinite(CASE WHEN _merge = 'both' THEN CASE WHEN primary_adj_close + secondary_adj_close = 0
+                       THEN CASE WHEN primary_adj_close <> secondary_adj_close THEN 'Infinity'::DOUBLE END
+                       ELSE abs(primary_adj_close - secondary_adj_close)
+                            / ((primary_adj_close + secondary_adj_close) / 2) END END) THEN round(CASE WHEN _merge = 'both' THEN CASE WHEN primary_adj_close + secondary_adj_close = 0
+                       THEN CASE WHEN primary_adj_close <> secondary_adj_close THEN 'Infinity'::DOUBLE END
+                       ELSE abs(primary_adj_close - secondary_adj_close)
+                            / ((primary_adj_close + secondary_adj_close) / 2) END END, {R}) END AS pct_diff,
        CASE WHEN _merge <> 'both' THEN 'single_source'
             WHEN coalesce(CASE WHEN (primary_adj_close + secondary_adj_close) / 2 = 0
                                THEN abs(primary_adj_close - secondary_adj_close) > 0
@@ -422,7 +430,7 @@ FROM constituents c LEFT JOIN identifiers i ON i.ticker = c.ticker
 """)
 view("dd_keys", "SELECT CAST(strftime(d, '%Y%m%d') AS BIGINT) AS date_key, d AS date FROM "
                 "(SELECT CAST(range AS DATE) AS d FROM range(DATE '2024-01-01', DATE '2024-02-01', INTERVAL 1 DAY))")
-_P6 = "round(CAST(CAST(CAST({c} AS DECIMAL(38,12)) AS DECIMAL(18,6)) AS DOUBLE), 9) AS {c}"
+_P6 = "round(CAST(CAST(CAST({c} AS VARCHAR) AS DECIMAL(18,6)) AS DOUBLE), 9) AS {c}"
 _PRICE_FACT = ", ".join(_P6.format(c=c) for c in
                         ["open", "high", "low", "close", "adj_open", "adj_high", "adj_low", "adj_close"])
 view("f_price", f"""
@@ -438,8 +446,10 @@ SELECT ticker, date,
        CASE WHEN _merge = 'right_only' THEN 'secondary' ELSE 'primary' END AS primary_source,
        CASE WHEN _merge = 'both' THEN 'primary,secondary'
             WHEN _merge = 'left_only' THEN 'primary' ELSE 'secondary' END AS sources_available,
-       CASE WHEN _merge = 'both' THEN abs(primary_adj_close - secondary_adj_close)
-                  / ((primary_adj_close + secondary_adj_close) / 2) END AS pct_diff,
+       CASE WHEN _merge = 'both' THEN CASE WHEN primary_adj_close + secondary_adj_close = 0
+                       THEN CASE WHEN primary_adj_close <> secondary_adj_close THEN 'Infinity'::DOUBLE END
+                       ELSE abs(primary_adj_close - secondary_adj_close)
+                            / ((primary_adj_close + secondary_adj_close) / 2) END END AS pct_diff,
        CASE WHEN _merge <> 'both' THEN 'single_source'
             WHEN coalesce(CASE WHEN (primary_adj_close + secondary_adj_close) / 2 = 0
                                THEN abs(primary_adj_close - secondary_adj_close) > 0
@@ -449,9 +459,9 @@ SELECT ticker, date,
 FROM matched
 """)
 view("f_consensus", """
-SELECT k.security_key, d.date_key, round(CAST(CAST(CAST(c.adj_close AS DECIMAL(38,12)) AS DECIMAL(18,6)) AS DOUBLE), 9) AS adj_close,
+SELECT k.security_key, d.date_key, round(CAST(CAST(CAST(c.adj_close AS VARCHAR) AS DECIMAL(18,6)) AS DOUBLE), 9) AS adj_close,
        c.primary_source, c.sources_available,
-       round(CAST(CAST(CAST(c.pct_diff AS DECIMAL(38,12)) AS DECIMAL(9,6)) AS DOUBLE), 9) AS pct_diff, c.reconciliation_flag
+       round(CAST(CAST(CAST(CASE WHEN isfinite(c.pct_diff) THEN c.pct_diff END AS VARCHAR) AS DECIMAL(9,6)) AS DOUBLE), 9) AS pct_diff, c.reconciliation_flag
 FROM consensus_rows c JOIN dd_keys d ON d.date = c.date JOIN dim_security k ON k.ticker = c.ticker
 """)
 view("actions", """
@@ -462,11 +472,11 @@ WHERE coalesce(value, 0) <> 0
 """)
 view("f_action", """
 SELECT k.security_key, d.date_key, a.action_type,
-       round(CAST(CAST(CAST(a.value AS DECIMAL(38,12)) AS DECIMAL(18,6)) AS DOUBLE), 9) AS value, 'primary' AS source
+       round(CAST(CAST(CAST(a.value AS VARCHAR) AS DECIMAL(18,6)) AS DOUBLE), 9) AS value, 'primary' AS source
 FROM actions a JOIN dd_keys d ON d.date = a.date JOIN dim_security k ON k.ticker = a.ticker
 """)
 view("f_macro", """
-SELECT d.date_key, m.series_id, round(CAST(CAST(CAST(m.value AS DECIMAL(38,12)) AS DECIMAL(18,6)) AS DOUBLE), 9) AS value
+SELECT d.date_key, m.series_id, round(CAST(CAST(CAST(m.value AS VARCHAR) AS DECIMAL(18,6)) AS DOUBLE), 9) AS value
 FROM macro m JOIN dd_keys d ON d.date = m.date
 """)
 q("fact_price_daily", "SELECT * FROM f_price")
@@ -725,7 +735,7 @@ SELECT (SELECT count(*) FROM consensus_rows WHERE date < DATE '2024-01-16') AS b
 q("fact_price_daily_upsert", f"""
 SELECT security_key, date_key, source, open, high, low, close, adj_open, adj_high, adj_low,
        CASE WHEN source = 'primary' AND date_key % 100 >= 20
-            THEN round(CAST(CAST(CAST(adj_close_raw * 1.001 AS DECIMAL(38,12)) AS DECIMAL(18,6)) AS DOUBLE), 9)
+            THEN round(CAST(CAST(CAST(adj_close_raw * 1.001 AS VARCHAR) AS DECIMAL(18,6)) AS DOUBLE), 9)
             ELSE adj_close END AS adj_close,
        volume, adj_volume
 FROM (SELECT f.*, src.adj_close AS adj_close_raw
@@ -760,10 +770,16 @@ FROM totals t,
 """)
 _REPORT_KEYS = ["total_compared", "flagged_count", "flagged_pct", "primary_only_count",
                 "secondary_only_count", "tickers_affected", "tickers_compared"]
+_TICKER_KEYS = ["rows_flagged", "rows_compared", "flagged_pct", "max_pct_diff", "median_pct_diff"]
+_TOP_KEYS = ["primary_adj_close", "secondary_adj_close", "abs_diff", "pct_diff"]
+view("top10", "SELECT * FROM pairs p WHERE p.flagged ORDER BY p.pct_diff DESC NULLS LAST, p.ticker, p.date LIMIT 10")
 q("reconcile_report_rows", "\nUNION ALL\n".join(
-    [f"SELECT 'totals' AS section, '{k}' AS key, round(CAST({k} AS DOUBLE), {R}) AS value FROM recon_summary"
-     for k in _REPORT_KEYS]
-    + [f"SELECT 'ticker', ticker, round(flagged_pct, {R}) FROM profile WHERE rows_flagged > 0"]))
+    [f"SELECT 'totals' AS section, 'all' AS key, '{k}' AS metric, round(CAST({k} AS DOUBLE), {R}) AS value, "
+     f"CAST(NULL AS VARCHAR) AS text FROM recon_summary" for k in _REPORT_KEYS]
+    + [f"SELECT 'ticker', ticker, '{k}', CASE WHEN isfinite(CAST({k} AS DOUBLE)) THEN round(CAST({k} AS DOUBLE), {R}) END, NULL FROM profile WHERE rows_flagged > 0" for k in _TICKER_KEYS]
+    + ["SELECT 'ticker', ticker, 'window', NULL, CAST(first_flagged AS VARCHAR) || '..' || CAST(last_flagged AS VARCHAR) "
+       "FROM profile WHERE rows_flagged > 0"]
+    + [f"SELECT 'top', ticker || ' ' || CAST(date AS VARCHAR), '{k}', CASE WHEN isfinite(CAST({k} AS DOUBLE)) THEN round(CAST({k} AS DOUBLE), {R}) END, NULL FROM top10" for k in _TOP_KEYS]))
 view("scd_last", "SELECT max(idx) AS m FROM scd_idx")
 q("scd2_snapshot_actions", """
 SELECT CAST(count(*) FILTER (WHERE idx = m AND transition IN ('first_seen', 'returned')) AS BIGINT) AS new,

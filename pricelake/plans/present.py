@@ -1,5 +1,6 @@
 """Final projection used by registered queries so results compare cleanly
-with an independent SQL engine: doubles rounded, decimals as doubles,
+with an independent SQL engine: doubles rounded (NULL where not finite, which
+not every comparison can hold), decimals as doubles,
 integers widened, dates as ISO text, string arrays joined."""
 
 from __future__ import annotations
@@ -16,7 +17,8 @@ def present(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     for f in df.schema.fields:
         c, t = F.col(f"`{f.name}`"), f.dataType
         if isinstance(t, (T.DoubleType, T.FloatType, T.DecimalType)):
-            c = F.round(c.cast("double"), digits)
+            c = c.cast("double")
+            c = F.when(F.abs(c) < F.lit(float("inf")), F.round(c, digits))
         elif isinstance(t, (T.IntegerType, T.ShortType, T.ByteType)):
             c = c.cast("long")
         elif isinstance(t, (T.DateType, T.TimestampType, T.TimestampNTZType)):

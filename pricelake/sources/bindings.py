@@ -13,7 +13,8 @@ FIXED VALUES (binding rules):
         adj_close = close * 0.5 where uid % 3 = 0 and date < 2024-01-16
   primary:   bars where (uid + dy) % 31 <> 0
   secondary: bars where uid % 2 = 0 and (uid + dy) % 29 <> 0, adj_close
-             scaled 1.07 where uid % 20 = 0 and date < 2024-01-10, else
+             scaled -1 (a zero mean) where uid % 46 = 6 and dy = 9, else
+             1.07 where uid % 20 = 0 and date < 2024-01-10, else
              1.013 where uid % 50 = 4, else 1.00002; native adjusted OHLC is
              OHLC times adj_close / close and adj_volume = 2 * volume
   actions:   dividends 0.24 where uid % 10 = 0 and dy = 10;
@@ -117,7 +118,8 @@ def secondary_bronze(spark: SparkSession, sf_dir: str, native_adjusted: bool = T
     """Secondary vendor: sampled universe, restated / offset history."""
     b = bars_all(spark, sf_dir, copies).where((F.col("uid") % 2 == 0) & ((F.col("uid") + F.col("dy")) % 29 != 0))
     uid = F.col("uid")
-    scale = (F.when((uid % 20 == 0) & (F.col("date") < F.lit(RESTATED_BEFORE)), 1.07)
+    scale = (F.when((uid % 46 == 6) & (F.col("dy") == 9), -1.0)
+             .when((uid % 20 == 0) & (F.col("date") < F.lit(RESTATED_BEFORE)), 1.07)
              .when(uid % 50 == 4, 1.013).otherwise(1.00002))
     b = b.withColumn("adj_close", F.col("adj_close") * scale)
     if not native_adjusted:

@@ -36,12 +36,14 @@ def test_unresolved_keys_are_counted_not_silent(spark, dims_):
     assert rows.count() == 1
 
 
-def test_decimal_scaling_half_up_on_decimal_digits(spark, dims_):
+@pytest.mark.parametrize("v,want", [(7.625 * 1.00002, "7.625152"), (1.2345674999996, "1.234567"),
+                                    (0.0000014999999, "0.000001"), (0.0000015, "0.000002"), (-2.0000005, "-2.000001")])
+def test_decimal_scaling_rounds_the_printed_value_once(spark, dims_, v, want):
+    from decimal import ROUND_HALF_UP, Decimal
     dd, ds = dims_
-    v = 7.625 * 1.00002
     s = silver(spark, [("A", D1, v, v, v, v, v, v, v, v, 1, 1)])
     r = facts.fact_price_daily(s, "primary", dd, ds)[0].first()
-    assert str(r.close) == "7.625153"
+    assert f"{r.close:f}" == want == f"{Decimal(repr(v)).quantize(Decimal('0.000001'), ROUND_HALF_UP):f}"
 
 
 def test_corporate_actions_are_sparse(spark, dims_):
