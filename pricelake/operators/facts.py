@@ -20,9 +20,10 @@ def resolve_keys(df: DataFrame, dim_date: DataFrame, dim_security: DataFrame | N
     """Attach date_key (by calendar date) and, when a security dimension is
     given, the *current* security_key (by ticker).  Unresolved keys stay
     NULL so they can be counted; both dimension sides are at most one row
-    per day / per ticker and AQE broadcasts them when small."""
+    per day / per ticker; the calendar is broadcast."""
+    # the calendar has a row per day: bounded by the history, not the data
     out = df.withColumn("date", F.to_date("date")).join(
-        dim_date.select("date", "date_key"), "date", "left")
+        F.broadcast(dim_date.select("date", "date_key")), "date", "left")
     if dim_security is not None:
         out = out.join(current_security_keys(dim_security), "ticker", "left")
     return out
@@ -47,6 +48,14 @@ def _resolved_only(resolved: DataFrame, with_security: bool = True) -> DataFrame
     return resolved.where(cond)
 
 
+def unresolved(df: DataFrame, dim_date: DataFrame, dim_security: DataFrame | None) -> DataFrame:
+    """Rows that find no security or no date, with the reason."""
+    r = resolve_keys(df, dim_date, dim_security)
+    no_security = F.col("security_key").isNull() if dim_security is not None else F.lit(False)
+    reason = F.when(no_security, "no security").when(F.col("date_key").isNull(), "no calendar date")
+    return r.withColumn("reason", reason).where("reason IS NOT NULL").select(*df.columns, "reason")
+
+
 def fact_price_daily(silver: DataFrame, source: str, dim_date: DataFrame,
                      dim_security: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(fact rows, load counts) at (security, date, source) grain."""
@@ -59,6 +68,22 @@ def fact_price_daily(silver: DataFrame, source: str, dim_date: DataFrame,
     return rows, load_counts(r, f"fact_price_daily:{source}")
 
 
+def fact_price_daily_sources(silver: DataFrame, dim_date: DataFrame,
+                             dim_security: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``fact_price_daily`` for several vendors at once (``silver`` carries
+    their ``source``): keys are resolved in one pass, counts come per source."""
+    r = resolve_keys(silver, dim_date, dim_security)
+    prices = ["open", "high", "low", "close", "adj_open", "adj_high", "adj_low", "adj_close"]
+    rows = _resolved_only(r).select(
+        "security_key", "date_key", "source", *[to_decimal(c).alias(c) for c in prices],
+        F.col("volume").cast("long").alias("volume"), F.col("adj_volume").cast("long").alias("adj_volume"))
+    dk, sk = F.col("date_key").isNull(), F.col("security_key").isNull()
+    counts = r.groupBy(F.concat(F.lit("fact_price_daily:"), F.col("source")).alias("table")).agg(
+        F.count_if(~dk & ~sk).alias("loaded"), F.count_if(sk).alias("skipped_no_security_key"),
+        F.count_if(dk).alias("skipped_no_date_key"))
+    return rows, counts
+
+
 def fact_consensus(consensus: DataFrame, dim_date: DataFrame,
                    dim_security: DataFrame) -> tuple[DataFrame, DataFrame]:
     r = resolve_keys(consensus, dim_date, dim_security)
@@ -111,7 +136,7 @@ def fact_macro_rate(series: DataFrame, dim_date: DataFrame) -> tuple[DataFrame,
 def fk_orphans(fact: DataFrame, table: str, dim_date: DataFrame,
                dim_security: DataFrame | None) -> DataFrame:
     """Rows whose keys have no dimension row (anti-joins, counted)."""
-    d = fact.join(dim_date.select("date_key"), "date_key", "left_anti").agg(
+    d = fact.join(F.broadcast(dim_date.select("date_key")), "date_key", "left_anti").agg(
         F.count(F.lit(1)).alias("n"))
     out = d.select(F.lit(table).alias("table"), F.lit("date_key").alias("fk"), F.col("n").alias("orphans"))
     if dim_security is not None:
@@ -137,8 +162,10 @@ def freshness(dim_security: DataFrame, consensus_fact: DataFrame, dim_date: Data
     (a future or absent date fails).  One row per check."""
     ing = ingest_date if isinstance(ingest_date, Column) else F.lit(ingest_date)
     secs = dim_security.where("is_current").agg(F.count(F.lit(1)).alias("securities"))
-    cons = consensus_fact.join(dim_date.select("date_key", "date"), "date_key").agg(
-        F.count(F.lit(1)).alias("consensus_rows"), F.max("date").alias("max_date"))
+    # counted per date first, so the join is a calendar wide
+    per_date = consensus_fact.groupBy("date_key").agg(F.count(F.lit(1)).alias("n"))
+    cons = per_date.join(F.broadcast(dim_date.select("date_key", "date")), "date_key").agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("consensus_rows"), F.max("date").alias("max_date"))
     j = secs.withColumn("_k", F.lit(1)).join(cons.withColumn("_k", F.lit(1)), "_k")
     per = F.coalesce(F.try_divide(F.col("consensus_rows").cast("double"), F.col("securities")), F.lit(0.0))
     stale = F.datediff(ing, F.col("max_date"))

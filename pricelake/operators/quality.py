@@ -2,8 +2,8 @@
 
 Rules are data.  All row-level rules of one dataset compile into ONE
 aggregate (a ``count_if`` for unexpected rows and one for evaluated rows per
-rule), so the gate is a single scan with map-side partial aggregation;
-uniqueness rules add one grouped count each.  The result is a tidy report:
+rule) grouped by the dataset's unique key, so the gate is a single scan and
+one exchange; a second uniqueness rule adds one grouped count.  The result is a tidy report:
 (source, check, success, unexpected_count, element_count).
 
 Null policy (as in the expectation library the reference used):
@@ -20,7 +20,7 @@ they fail and 0 when they pass.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,7 +40,6 @@ class Rule:
     strict_low: bool = False
     strict_high: bool = False
     mostly: float = 1.0
-    extra: dict = field(default_factory=dict, compare=False, hash=False)
 
 
 def not_null(c):
@@ -129,32 +128,55 @@ def _row_exprs(r: Rule) -> tuple[Column, Column] | None:
     return None
 
 
+def row_violation(rules: list[Rule]) -> Column:
+    """Name of the first rule without tolerance that a row breaks by itself,
+    or NULL."""
+    broken = [F.when(e[0], F.lit(r.name)) for r in rules if r.mostly == 1.0 and (e := _row_exprs(r)) is not None]
+    return F.coalesce(*broken)
+
+
 def _success(unexpected: Column, evaluated: Column, mostly: float) -> Column:
     return (evaluated == 0) | ((evaluated - unexpected) / evaluated >= F.lit(mostly))
 
 
+def _stats(df: DataFrame, rules: list[Rule]) -> DataFrame:
+    """One row: _n, and _u{i}, _e{i} per rule, from one scan of ``df``.
+
+    The first uniqueness rule's key groups the rows and carries the row
+    rules' counters along, so that rule and all row rules share one exchange
+    of partial sums; a further uniqueness rule adds one grouped count."""
+    counters = {"_n": F.count(F.lit(1))}
+    for i, r in enumerate(rules):
+        e = _row_exprs(r)
+        if e is not None:
+            counters |= {f"_u{i}": F.count_if(e[0]), f"_e{i}": F.count_if(e[1])}
+    uniques = [(i, r) for i, r in enumerate(rules) if r.kind == "unique"]
+    if not uniques:
+        return df.agg(*[c.alias(n) for n, c in counters.items()])
+
+    def some(keys):
+        return F.coalesce(*[F.when(F.col(k).isNotNull(), F.lit(True)) for k in keys], F.lit(False))
+
+    def members(i, keys):
+        c = F.when(some(keys), F.col("_n"))
+        return [F.coalesce(F.sum(F.when(c > 1, c)), F.lit(0)).cast("long").alias(f"_u{i}"),
+                F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(f"_e{i}")]
+
+    (i, r), *more = uniques
+    stats = (df.groupBy(*r.columns).agg(*[c.alias(n) for n, c in counters.items()])
+             .agg(*[F.coalesce(F.sum(n), F.lit(0)).cast("long").alias(n) for n in counters if n != "_n"],
+                  *members(i, r.columns), F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("_n")))
+    for i, r in more:
+        g = df.groupBy(*r.columns).agg(F.count(F.lit(1)).alias("_n")).agg(*members(i, r.columns))
+        stats = _one_row_join(stats, g)  # both sides are single-row aggregates
+    return stats
+
+
 def evaluate(df: DataFrame, rules: list[Rule], source: str | Column) -> DataFrame:
     """Run every rule over ``df``; one report row per rule (or a single
     failing 'non-empty dataframe' row when ``df`` has no rows)."""
     src = source if isinstance(source, Column) else F.lit(source)
-    aggs = [F.count(F.lit(1)).alias("_n")]
-    for i, r in enumerate(rules):
-        e = _row_exprs(r)
-        if e is not None:
-            aggs += [F.count_if(e[0]).alias(f"_u{i}"), F.count_if(e[1]).alias(f"_e{i}")]
-    stats = df.agg(*aggs)
-    for i, r in enumerate(rules):
-        if r.kind == "unique":
-            keys = [F.col(c) for c in r.columns]
-            some = keys[0].isNotNull()
-            for k in keys[1:]:
-                some = some | k.isNotNull()
-            g = (df.where(some).groupBy(*r.columns).agg(F.count(F.lit(1)).alias("_c"))
-                 .agg(F.coalesce(F.sum(F.when(F.col("_c") > 1, F.col("_c"))), F.lit(0))
-                      .cast("long").alias(f"_u{i}"),
-                      F.coalesce(F.sum("_c"), F.lit(0)).cast("long").alias(f"_e{i}")))
-            # both sides are single-row aggregates
-            stats = _one_row_join(stats, g)
+    stats = _stats(df, rules)
     structs = []
     for i, r in enumerate(rules):
         if r.kind == "row_count":

@@ -10,13 +10,13 @@ from ..schemas import NATIVE_ADJUSTED, PRICE_REQUIRED, SILVER_COLUMNS
 from .dedup import keep_one
 
 _KEYS = ("date", "ticker")
-_ARRIVAL = ("_arrival_file", "_arrival_row")
+_ARRIVAL = ("_arrival_batch", "_arrival_file", "_arrival_row")
 
 
 def require_columns(df: DataFrame, required: set[str], what: str) -> None:
     missing = set(required) - set(df.columns)
     if missing:
-        raise ValueError(f"{what} is missing expected columns: {sorted(missing)}")
+        raise ValueError(f"{what} lacks columns {sorted(missing)}")
 
 
 def type_columns(df: DataFrame) -> DataFrame:
@@ -28,7 +28,7 @@ def type_columns(df: DataFrame) -> DataFrame:
             out.append(F.to_date(F.col(c)).alias(c))
         elif c == "ticker":
             out.append(F.col(c).cast("string").alias(c))
-        elif c in _ARRIVAL:
+        elif c in _ARRIVAL or c == "_native":
             out.append(F.col(c))
         elif c in ("volume", "adj_volume"):
             out.append(F.col(c).cast("long").alias(c))
@@ -39,25 +39,33 @@ def type_columns(df: DataFrame) -> DataFrame:
 
 def derive_adjusted(df: DataFrame) -> DataFrame:
     """adj_{open,high,low} = raw × (adj_close / close); adj_volume = volume
-    (volume is deliberately not split-adjusted).  close <= 0 fails the job."""
-    factor = F.when(F.col("close") <= 0, F.raise_error(F.lit(
-        "Cannot derive adjustment factor: found close <= 0"))).otherwise(
+    (volume is deliberately not split-adjusted).  A close that is not
+    positive fails the job.  Rows that a scan marked ``_native`` came with
+    the vendor's own adjusted prices and keep them."""
+    native = F.col("_native") if "_native" in df.columns else F.lit(False)
+    factor = F.when(native, F.lit(None).cast("double")).when(F.col("close") <= 0, F.raise_error(F.lit(
+        "a close that is not positive gives no adjustment factor"))).otherwise(
         F.col("adj_close") / F.col("close"))
-    return (df.withColumn("_factor", factor)
-            .withColumn("adj_open", F.col("open") * F.col("_factor"))
-            .withColumn("adj_high", F.col("high") * F.col("_factor"))
-            .withColumn("adj_low", F.col("low") * F.col("_factor"))
-            .withColumn("adj_volume", F.col("volume"))
+    df = df.withColumn("_factor", factor)
+
+    def own(c, derived):
+        return F.when(native, F.col(c)).otherwise(derived) if c in df.columns else derived
+
+    return (df.withColumn("adj_open", own("adj_open", F.col("open") * F.col("_factor")))
+            .withColumn("adj_high", own("adj_high", F.col("high") * F.col("_factor")))
+            .withColumn("adj_low", own("adj_low", F.col("low") * F.col("_factor")))
+            .withColumn("adj_volume", own("adj_volume", F.col("volume")))
             .drop("_factor"))
 
 
 def dedup_keep_last(df: DataFrame) -> DataFrame:
-    """Last arrival wins per (ticker, date).  Arrival order is the bronze file
-    path then the row index inside the file when the scan exposed them."""
+    """Last arrival wins per (ticker, date).  Arrival order is the landing's
+    batch number, file and row index when the scan exposed them; without
+    them the values themselves decide, so that reruns agree."""
     if set(_ARRIVAL) <= set(df.columns):
-        order = [F.col("_arrival_file"), F.col("_arrival_row")]
+        order = [F.col(c) for c in _ARRIVAL]
     else:
-        order = [F.monotonically_increasing_id()]
+        order = [F.col(c) for c in df.columns if c not in _KEYS]
     return keep_one(df, ["ticker", "date"], order, last=True)
 
 
@@ -69,7 +77,7 @@ def to_silver(bronze: DataFrame, source: str = "vendor") -> DataFrame:
     """The silver transform of one vendor's bronze rows (lazy)."""
     require_columns(bronze, PRICE_REQUIRED, f"{source} bronze")
     df = dedup_keep_last(type_columns(bronze))
-    if not uses_native_adjusted(df):
+    if "_native" in df.columns or not uses_native_adjusted(df):
         df = derive_adjusted(df)
     return df.select(*SILVER_COLUMNS)
 

@@ -95,7 +95,7 @@ from ..operators import quality as qc  # noqa: E402
 
 
 def _price_reports(spark, sf_dir):
-    return (qc.evaluate(bind.primary_bronze(spark, sf_dir), qc.price_rules(), PRIMARY)
+    return (qc.evaluate(bind.primary_landed(spark, sf_dir), qc.price_rules(), PRIMARY)
             .unionByName(qc.evaluate(bind.secondary_bronze(spark, sf_dir), qc.price_rules(), SECONDARY)))
 
 
@@ -145,7 +145,6 @@ import datetime as _dt  # noqa: E402
 
 from ..operators import dims  # noqa: E402
 
-CAL_START, CAL_END = _dt.date(2024, 1, 1), bind.INGEST_DATE
 SCD_ATTRS = ["company_name", "gics_sector", "gics_sub_industry", "figi"]
 
 
@@ -165,17 +164,17 @@ def q_trading_days(spark, sf_dir):
 
 @query("dim_date")
 def q_dim_date(spark, sf_dir):
-    return present(dims.build_dim_date(spark, CAL_START, CAL_END,
-                                       dims.trading_days(primary_silver(spark, sf_dir))))
+    return present(gold_dim_date(spark, sf_dir))
 
 
 @query("dim_date_refresh")
 def q_dim_date_refresh(spark, sf_dir):
     """First load: early window with the secondary vendor's trading days;
     refresh: later, overlapping window with the primary's."""
-    first = dims.build_dim_date(spark, CAL_START, _dt.date(2024, 1, 20),
+    start, end = bind.calendar_bounds(spark, sf_dir)
+    first = dims.build_dim_date(spark, start, _dt.date(2024, 1, 20),
                                 dims.trading_days(secondary_silver(spark, sf_dir)))
-    second = dims.build_dim_date(spark, _dt.date(2024, 1, 10), CAL_END,
+    second = dims.build_dim_date(spark, _dt.date(2024, 1, 10), end,
                                  dims.trading_days(primary_silver(spark, sf_dir)))
     return present(dims.refresh_dim_date(first, second))
 
@@ -213,7 +212,8 @@ from ..operators.silver import dedup_keep_last, type_columns  # noqa: E402
 
 
 def gold_dim_date(spark, sf_dir):
-    return dims.build_dim_date(spark, CAL_START, CAL_END, dims.trading_days(primary_silver(spark, sf_dir)))
+    start, end = bind.calendar_bounds(spark, sf_dir)
+    return dims.build_dim_date(spark, start, end, dims.trading_days(primary_silver(spark, sf_dir)))
 
 
 def gold_dim_security(spark, sf_dir):
@@ -225,7 +225,14 @@ def gold_dim_security(spark, sf_dir):
 FACT_TABLES = ("fact_price_daily", "fact_price_daily_consensus", "fact_corporate_action", "fact_macro_rate")
 
 
-def gold_facts(spark, sf_dir, materialize: bool = False, tables=FACT_TABLES):
+def landed_silver(spark, sf_dir) -> DataFrame:
+    """Silver of the faulty feed: rows that break a rule by themselves are set
+    aside, of re-delivered bars the last stays."""
+    b = bind.primary_landed(spark, sf_dir)
+    return to_silver(b.where(qc.row_violation(qc.price_rules()).isNull()), PRIMARY)
+
+
+def gold_facts(spark, sf_dir, materialize: bool = False, tables=FACT_TABLES, landed: bool = False):
     """(dim_date, dim_security, table -> (rows, load counts)) of one gold
     build, planning only the requested fact ``tables`` (dim_security is
     None when only the macro fact is asked for).  ``materialize=True``
@@ -234,15 +241,16 @@ def gold_facts(spark, sf_dir, materialize: bool = False, tables=FACT_TABLES):
     from ..session import cut_lineage
     keep = cut_lineage if materialize else (lambda df: df)
     want = set(tables)
+    primary = landed_silver if landed else primary_silver
     dd = keep(gold_dim_date(spark, sf_dir))
     ds = keep(gold_dim_security(spark, sf_dir)) if want - {"fact_macro_rate"} else None
     out = {}
     if want & {"fact_price_daily", "fact_price_daily_consensus"}:
-        ps, ss = keep(primary_silver(spark, sf_dir)), keep(secondary_silver(spark, sf_dir))
+        ps, ss = keep(primary(spark, sf_dir)), keep(secondary_silver(spark, sf_dir))
     if "fact_price_daily" in want:
-        p_rows, p_cnt = fx.fact_price_daily(ps, PRIMARY, dd, ds)
-        s_rows, s_cnt = fx.fact_price_daily(ss, SECONDARY, dd, ds)
-        out["fact_price_daily"] = (p_rows.unionByName(s_rows), p_cnt.unionByName(s_cnt))
+        # keys are resolved once for both vendors
+        both = ps.withColumn("source", F.lit(PRIMARY)).unionByName(ss.withColumn("source", F.lit(SECONDARY)))
+        out["fact_price_daily"] = fx.fact_price_daily_sources(both, dd, ds)
     if "fact_price_daily_consensus" in want:
         out["fact_price_daily_consensus"] = fx.fact_consensus(rec.Reconciliation(ps, ss).consensus(), dd, ds)
     if "fact_corporate_action" in want:
@@ -258,7 +266,7 @@ def _fact_rows(spark, sf_dir, table):
 
 
 def materialized_gold(spark, sf_dir):
-    return gold_facts(spark, sf_dir, materialize=True)
+    return gold_facts(spark, sf_dir, materialize=True, landed=True)
 
 
 @query("fact_price_daily")
@@ -292,7 +300,10 @@ def q_load_summary(spark, sf_dir):
 
 @query("fk_orphans")
 def q_fk_orphans(spark, sf_dir):
+    """Facts checked against dimensions that have since lost every tenth
+    date and every seventh security."""
     dd, ds, f = materialized_gold(spark, sf_dir)
+    dd, ds = dd.where("date_key % 10 <> 0"), ds.where("security_key % 7 <> 0")
     out = None
     for table, (rows, _) in f.items():
         o = fx.fk_orphans(rows, table, dd, None if table == "fact_macro_rate" else ds)
@@ -302,9 +313,13 @@ def q_fk_orphans(spark, sf_dir):
 
 @query("pk_duplicates")
 def q_pk_duplicates(spark, sf_dir):
+    """Primary keys held twice after an append that was no upsert."""
     from ..schemas import GOLD_TABLES
     dd, ds, f = materialized_gold(spark, sf_dir)
     tables = {"dim_date": dd, "dim_security": ds, **{t: r for t, (r, _) in f.items()}}
+    # every table appended once more, without an upsert, from the tenth on
+    tables = {t: df.unionByName(df.where((F.col("security_key") % 10 == 0) if t == "dim_security"
+                                         else (F.col("date_key") % 100 >= 10))) for t, df in tables.items()}
     out = None
     for t, df in tables.items():
         o = fx.pk_duplicates(df, t, GOLD_TABLES[t][1])
@@ -606,7 +621,7 @@ def _land_run(spark, sf_dir):
     root = scratch_dir(spark, "lake")
     d = bind.INGEST_DATE
     bronze.land(bind.constituents(spark, sf_dir), root, "constituents", d)
-    bronze.land(bind.primary_bronze(spark, sf_dir), root, "primary_prices", d)
+    bronze.land(bind.primary_landed(spark, sf_dir), root, "primary_prices", d)
     bronze.land(bind.secondary_bronze(spark, sf_dir), root, "secondary_prices", d)
     bronze.land(bind.macro(spark, sf_dir), root, "macro_series", d)
     bronze.land(bind.identifiers(spark, sf_dir), root, "identifier_map", d)
@@ -649,3 +664,117 @@ def q_fact_price_daily_stream(spark, sf_dir):
     bronze.land(b.where(~early), root, "primary_prices", bind.INGEST_DATE)
     run_price_stream(spark, PRIMARY, dd, ds, root=root)
     return present(GoldStore(spark, f"{root}/gold").read("fact_price_daily"))
+
+
+# ---- bronze repair and gates --------------------------------------------------
+
+@query("forced_repull")
+def q_forced_repull(spark, sf_dir):
+    """A day landed twice, then some tickers pulled again by force with a
+    shorter history: their rows of either landing are gone, other tickers
+    keep theirs."""
+    from .ingest import ingest_price_records
+    root, d = scratch_dir(spark, "lake"), bind.INGEST_DATE
+    b = bind.secondary_bronze(spark, sf_dir)
+    uid = bind.uid_of(F.col("ticker"))
+    bronze.land(b, root, "secondary_prices", d, batch=0)
+    bronze.land(b.where(uid % 3 == 0).withColumn("close", F.col("close") * 1.001), root, "secondary_prices", d, batch=1)
+    again = b.where((uid % 5 == 0) & (F.dayofmonth("date") >= 10)).withColumn("close", F.col("close") * 1.002)
+    ingest_price_records(spark, landing.price_json(again), b.where(uid % 5 == 0).select("ticker").distinct(), d, root, force=True)
+    return present(pl.build_silver(spark, SECONDARY, d, root))
+
+
+@query("ten_batches_keep_last")
+def q_ten_batches_keep_last(spark, sf_dir):
+    """Eleven landings of one day, each restating fewer bars: the last
+    landing of a bar wins, also from batch 10 on."""
+    root = scratch_dir(spark, "lake")
+    b = bind.primary_bronze(spark, sf_dir)
+    last = (bind.uid_of(F.col("ticker")) + F.dayofmonth("date")) % 11
+    for k in range(11):
+        bronze.land(b.where(last >= k).withColumn("close", F.col("close") * F.lit(1 + k * 0.001)), root, "primary_prices",
+                    bind.INGEST_DATE, batch=k)
+    return present(pl.build_silver(spark, PRIMARY, bind.INGEST_DATE, root))
+
+
+@query("old_bronze_fallback")
+def q_old_bronze_fallback(spark, sf_dir):
+    """One date holds an older landing without the vendor's adjusted prices
+    and a newer one with them: derived for the one, kept for the other."""
+    root, d = scratch_dir(spark, "lake"), bind.INGEST_DATE
+    uid = bind.uid_of(F.col("ticker"))
+    bronze.land(bind.secondary_bronze(spark, sf_dir, native_adjusted=False).where(uid % 4 == 0), root, "secondary_prices", d, batch=0)
+    bronze.land(bind.secondary_bronze(spark, sf_dir).where(uid % 4 != 0), root, "secondary_prices", d, batch=1)
+    return present(pl.build_silver(spark, SECONDARY, d, root))
+
+
+@query("empty_reland")
+def q_empty_reland(spark, sf_dir):
+    """A landing and its dead letters, then both again with nothing in them."""
+    from ..session import cut_lineage
+    root, d = scratch_dir(spark, "lake"), bind.INGEST_DATE
+    b = bind.primary_bronze(spark, sf_dir)
+    lost = (b.where(bind.uid_of(F.col("ticker")) % 9 == 0).select(F.col("ticker").alias("key")).distinct()
+            .withColumn("reason", F.lit("no data returned")))
+
+    def counts(when):
+        rows = bronze.scan(spark, root, "primary_prices", PRIMARY_BRONZE, d, arrival=False)
+        return (rows.agg(F.count(F.lit(1)).alias(f"rows_{when}")).withColumn("_k", F.lit(1))
+                .join(bronze.read_rejects(spark, root).agg(F.count(F.lit(1)).alias(f"rejects_{when}")).withColumn("_k", F.lit(1)), "_k"))
+
+    bronze.land(b, root, "primary_prices", d)
+    bronze.write_rejects(lost, root, d, PRIMARY)
+    before = cut_lineage(counts("before"))
+    bronze.land(b.where("false"), root, "primary_prices", d)
+    bronze.write_rejects(lost.where("false"), root, d, PRIMARY)
+    return present(before.join(counts("after"), "_k").drop("_k"))
+
+
+def corrected_run(spark, sf_dir, root):
+    """Every dataset of the run date as a gate lets it pass: bad prints, sign
+    errors and implausible rates put right at the source."""
+    d = bind.INGEST_DATE
+    low = F.least("open", "high", "low", "close")
+    bronze.land(bind.constituents(spark, sf_dir), root, "constituents", d)
+    bronze.land(bind.primary_bronze(spark, sf_dir).withColumn("low", low), root, "primary_prices", d)
+    s = bind.secondary_bronze(spark, sf_dir).withColumn("low", low)
+    bronze.land(s.withColumns({c: F.abs(c) for c in ("adj_close", "adj_open", "adj_high", "adj_low")}), root, "secondary_prices", d)
+    bronze.land(bind.macro(spark, sf_dir).withColumn("value", F.least(F.lit(25.0), F.greatest(F.lit(0.01), F.col("value")))),
+                root, "macro_series", d)
+    bronze.land(bind.identifiers(spark, sf_dir), root, "identifier_map", d)
+
+
+@query("daily_run_summary")
+def q_daily_run_summary(spark, sf_dir):
+    """The daily run over the faulty landing is refused before silver; over
+    the corrected one it goes through.  The refusal and the run's summary."""
+    from ..sources import fs
+    root, d = _land_run(spark, sf_dir), bind.INGEST_DATE
+    start, _ = bind.calendar_bounds(spark, sf_dir)
+    gates = {"constituents_band": (1, 10 ** 9), "min_rows_per_security": 1, "min_securities": 1}
+    try:
+        pl.daily_run(spark, d, start, root, **gates)
+        refused = 0
+    except pl.GateFailed as e:
+        refused = len(e.failed)
+    if fs.exists(spark, f"{root}/silver") or fs.exists(spark, f"{root}/gold"):
+        raise AssertionError("a refused run left silver or gold behind")
+    corrected_run(spark, sf_dir, root)
+    done = pl.daily_run(spark, d, start, root, **gates)
+    first = spark.createDataFrame([("refused", "bronze checks failed", float(refused))], "stage string, item string, value double")
+    return present(first.unionByName(done))
+
+
+@query("stream_rejects")
+def q_stream_rejects(spark, sf_dir):
+    """The faulty feed through the stream: rows set aside by reason, and the
+    rows loaded."""
+    from ..session import cut_lineage
+    from ..streaming.bronze_stream import run_price_stream, stream_folder
+    root = scratch_dir(spark, "lake")
+    dd, ds = cut_lineage(gold_dim_date(spark, sf_dir)), cut_lineage(gold_dim_security(spark, sf_dir))
+    bronze.land(bind.primary_landed(spark, sf_dir), root, "primary_prices", bind.INGEST_DATE)
+    run_price_stream(spark, PRIMARY, dd, ds, root=root)
+    lost = spark.read.parquet(stream_folder(root, "rejects", PRIMARY)).groupBy("reason").agg(F.count(F.lit(1)).alias("rows"))
+    loaded = spark.read.parquet(stream_folder(root, "loads", PRIMARY)).agg(F.sum("loaded").alias("rows"))
+    return present(lost.unionByName(loaded.select(F.lit("loaded").alias("reason"), "rows")))

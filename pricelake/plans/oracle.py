@@ -38,7 +38,8 @@ def q(name: str, body: str) -> None:
     deps = _deps(body)
     if deps:
         ctes = ",\n".join(f"{n} AS (\n{VIEWS[n]}\n)" for n in deps)
-        SQL[name] = f"WITH {ctes}\n{body}"
+        own = body.removeprefix("WITH ")
+        SQL[name] = f"WITH {ctes}" + (f",\n{own}" if own != body else f"\n{body}")
     else:
         SQL[name] = body
 
@@ -56,7 +57,7 @@ SELECT uid, date, day(date) AS dy, 'U' || lpad(CAST(uid AS VARCHAR), CAST(greate
 FROM (SELECT user_id AS uid, CAST(ts AS DATE) AS date,
              arg_min(value, ts) AS open, max(value) AS high, min(value) AS low,
              arg_max(value, ts) AS close, count(*) AS volume
-      FROM events WHERE value > 0 GROUP BY 1, 2) g
+      FROM events GROUP BY 1, 2) g
 """)
 view("primary_bronze", """
 SELECT date, open, high, low, close, adj_close, volume,
@@ -65,6 +66,27 @@ SELECT date, open, high, low, close, adj_close, volume,
        ticker
 FROM bars_all WHERE (uid + dy) % 31 <> 0
 """)
+_UID, _DY = "CAST(substr(ticker, 2) AS BIGINT)", "day(date)"
+view("primary_landed", f"""
+SELECT date, open, high, low,
+       CASE WHEN {_UID} % 61 = 5 AND {_DY} = 13 THEN 0.0 WHEN {_UID} % 67 = 8 AND {_DY} = 14 THEN -close
+            WHEN {_UID} % 71 = 10 AND {_DY} = 15 THEN NULL ELSE close * f END AS close,
+       CASE WHEN {_UID} % 61 = 5 AND {_DY} = 13 THEN 0.0 ELSE adj_close * f END AS adj_close,
+       CASE WHEN {_UID} % 73 = 2 AND {_DY} = 16 THEN -volume ELSE volume END AS volume, dividends, stock_splits,
+       CASE WHEN {_UID} % 53 = 9 AND {_DY} = 11 THEN NULL WHEN {_UID} % 17 = 4 AND {_DY} = 3 THEN 'X' || ticker
+            ELSE ticker END AS ticker
+FROM (SELECT *, 1.0::DOUBLE AS f FROM primary_bronze
+      UNION ALL SELECT *, 1.002::DOUBLE FROM primary_bronze WHERE {_UID} % 41 = 3 AND {_DY} = 7) b
+""")
+view("landed_silver", """
+SELECT ticker, date, open, high, low, close, adj_close,
+       open * (adj_close / close) AS adj_open, high * (adj_close / close) AS adj_high,
+       low * (adj_close / close) AS adj_low, volume, volume AS adj_volume
+FROM primary_landed
+WHERE ticker IS NOT NULL AND date IS NOT NULL AND close > 0 AND coalesce(open, 1) > 0 AND coalesce(adj_close, 1) > 0
+  AND coalesce(volume, 0) >= 0
+QUALIFY row_number() OVER (PARTITION BY ticker, date ORDER BY close DESC) = 1
+""")
 view("secondary_scaled", """
 SELECT uid, date, ticker, open, high, low, close, volume,
        adj_close * CASE WHEN uid % 46 = 6 AND dy = 9 THEN -1
@@ -97,6 +119,14 @@ SELECT coalesce(p.ticker, s.ticker) AS ticker, coalesce(p.date, s.date) AS date,
 FROM primary_silver p FULL OUTER JOIN secondary_silver s
   ON p.ticker = s.ticker AND p.date = s.date
 """)
+view("landed_matched", """
+SELECT coalesce(p.ticker, s.ticker) AS ticker, coalesce(p.date, s.date) AS date,
+       p.adj_close AS primary_adj_close, s.adj_close AS secondary_adj_close,
+       CASE WHEN p.ticker IS NOT NULL AND s.ticker IS NOT NULL THEN 'both'
+            WHEN p.ticker IS NOT NULL THEN 'left_only' ELSE 'right_only' END AS _merge
+FROM landed_silver p FULL OUTER JOIN secondary_silver s
+  ON p.ticker = s.ticker AND p.date = s.date
+""")
 view("pairs", """
 SELECT ticker, date, primary_adj_close, secondary_adj_close,
        abs(primary_adj_close - secondary_adj_close) AS abs_diff,
@@ -215,7 +245,6 @@ SELECT 'U' || lpad(CAST(c.c_custkey AS VARCHAR), CAST(greatest(6, length(CAST(c.
        DATE '1990-01-01' + CAST(c.c_custkey * 7 AS INTEGER) AS date_added,
        DATE '2024-01-31' AS snapshot_date, c.c_custkey
 FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
-WHERE c.c_custkey <= (SELECT max(user_id) FROM events)
 """)
 view("identifiers", """
 SELECT ticker, 'BBG' || lpad(CAST(c_custkey AS VARCHAR), 9, '0') AS figi,
@@ -274,7 +303,7 @@ FROM (SELECT coalesce(sum(c) FILTER (WHERE c > 1), 0) AS u, coalesce(sum(c), 0)
     return "\nUNION ALL\n".join(parts)
 
 
-_PRICE_Q = (_check_rows("primary", "primary_bronze", _PRICE_CHECKS, [("(ticker, date) unique", ["ticker", "date"])])
+_PRICE_Q = (_check_rows("primary", "primary_landed", _PRICE_CHECKS, [("(ticker, date) unique", ["ticker", "date"])])
             + "\nUNION ALL\n"
             + _check_rows("secondary", "secondary_bronze", _PRICE_CHECKS, [("(ticker, date) unique", ["ticker", "date"])]))
 _CONST_Q = _check_rows("constituents", "constituents",
@@ -338,7 +367,7 @@ _DIM_DATE_COLS = """CAST(strftime(d, '%Y%m%d') AS BIGINT) AS date_key, CAST(d AS
        isodow(d) - 1 < 5 AS is_weekday"""
 view("dim_date", f"""
 SELECT {_DIM_DATE_COLS}, t.date IS NOT NULL AS is_trading_day
-FROM (SELECT CAST(range AS DATE) AS d FROM range(DATE '2024-01-01', DATE '2024-02-01', INTERVAL 1 DAY)) c
+FROM (SELECT CAST(range AS DATE) AS d FROM range((SELECT min(CAST(ts AS DATE)) + 1 FROM events), (SELECT max(CAST(ts AS DATE)) + 1 FROM events), INTERVAL 1 DAY)) c
 LEFT JOIN trading_days t ON t.date = c.d
 """)
 q("trading_days", "SELECT CAST(date AS VARCHAR) AS date FROM trading_days")
@@ -347,7 +376,7 @@ q("dim_date_refresh", f"""
 SELECT {_DIM_DATE_COLS},
        CASE WHEN d >= DATE '2024-01-10' THEN d IN (SELECT date FROM primary_silver)
             ELSE d IN (SELECT date FROM secondary_silver) END AS is_trading_day
-FROM (SELECT CAST(range AS DATE) AS d FROM range(DATE '2024-01-01', DATE '2024-02-01', INTERVAL 1 DAY)) c
+FROM (SELECT CAST(range AS DATE) AS d FROM range((SELECT min(CAST(ts AS DATE)) + 1 FROM events), (SELECT max(CAST(ts AS DATE)) + 1 FROM events), INTERVAL 1 DAY)) c
 """)
 view("scd_snap", """
 SELECT 'U' || lpad(CAST(o_custkey AS VARCHAR), CAST(greatest(6, length(CAST(o_custkey AS VARCHAR))) AS INTEGER), '0') AS ticker,
@@ -429,7 +458,7 @@ SELECT CAST(row_number() OVER (ORDER BY c.ticker) AS BIGINT) AS security_key, c.
 FROM constituents c LEFT JOIN identifiers i ON i.ticker = c.ticker
 """)
 view("dd_keys", "SELECT CAST(strftime(d, '%Y%m%d') AS BIGINT) AS date_key, d AS date FROM "
-                "(SELECT CAST(range AS DATE) AS d FROM range(DATE '2024-01-01', DATE '2024-02-01', INTERVAL 1 DAY))")
+                "(SELECT CAST(range AS DATE) AS d FROM range((SELECT min(CAST(ts AS DATE)) + 1 FROM events), (SELECT max(CAST(ts AS DATE)) + 1 FROM events), INTERVAL 1 DAY))")
 _P6 = "round(CAST(CAST(CAST({c} AS VARCHAR) AS DECIMAL(18,6)) AS DOUBLE), 9) AS {c}"
 _PRICE_FACT = ", ".join(_P6.format(c=c) for c in
                         ["open", "high", "low", "close", "adj_open", "adj_high", "adj_low", "adj_close"])
@@ -458,12 +487,43 @@ SELECT ticker, date,
             THEN 'disagreed' ELSE 'agreed' END AS reconciliation_flag
 FROM matched
 """)
+view("landed_consensus", """
+SELECT ticker, date,
+       CASE WHEN _merge = 'right_only' THEN secondary_adj_close ELSE primary_adj_close END AS adj_close,
+       CASE WHEN _merge = 'right_only' THEN 'secondary' ELSE 'primary' END AS primary_source,
+       CASE WHEN _merge = 'both' THEN 'primary,secondary'
+            WHEN _merge = 'left_only' THEN 'primary' ELSE 'secondary' END AS sources_available,
+       CASE WHEN _merge = 'both' THEN CASE WHEN primary_adj_close + secondary_adj_close = 0
+                       THEN CASE WHEN primary_adj_close <> secondary_adj_close THEN 'Infinity'::DOUBLE END
+                       ELSE abs(primary_adj_close - secondary_adj_close)
+                            / ((primary_adj_close + secondary_adj_close) / 2) END END AS pct_diff,
+       CASE WHEN _merge <> 'both' THEN 'single_source'
+            WHEN coalesce(CASE WHEN (primary_adj_close + secondary_adj_close) / 2 = 0
+                               THEN abs(primary_adj_close - secondary_adj_close) > 0
+                               ELSE abs(primary_adj_close - secondary_adj_close)
+                                    / ((primary_adj_close + secondary_adj_close) / 2) > 0.005 END, false)
+            THEN 'disagreed' ELSE 'agreed' END AS reconciliation_flag
+FROM landed_matched
+""")
 view("f_consensus", """
 SELECT k.security_key, d.date_key, round(CAST(CAST(CAST(c.adj_close AS VARCHAR) AS DECIMAL(18,6)) AS DOUBLE), 9) AS adj_close,
        c.primary_source, c.sources_available,
        round(CAST(CAST(CAST(CASE WHEN isfinite(c.pct_diff) THEN c.pct_diff END AS VARCHAR) AS DECIMAL(9,6)) AS DOUBLE), 9) AS pct_diff, c.reconciliation_flag
 FROM consensus_rows c JOIN dd_keys d ON d.date = c.date JOIN dim_security k ON k.ticker = c.ticker
 """)
+view("g_price", f"""
+SELECT k.security_key, d.date_key, src.source, {_PRICE_FACT},
+       CAST(volume AS BIGINT) AS volume, CAST(adj_volume AS BIGINT) AS adj_volume
+FROM (SELECT 'primary' AS source, * FROM landed_silver
+      UNION ALL SELECT 'secondary' AS source, * FROM secondary_silver) src
+JOIN dd_keys d ON d.date = src.date JOIN dim_security k ON k.ticker = src.ticker
+""")
+view("g_consensus", """
+SELECT k.security_key, d.date_key, round(CAST(CAST(CAST(c.adj_close AS VARCHAR) AS DECIMAL(18,6)) AS DOUBLE), 9) AS adj_close,
+       c.primary_source, c.sources_available,
+       round(CAST(CAST(CAST(CASE WHEN isfinite(c.pct_diff) THEN c.pct_diff END AS VARCHAR) AS DECIMAL(9,6)) AS DOUBLE), 9) AS pct_diff, c.reconciliation_flag
+FROM landed_consensus c JOIN dd_keys d ON d.date = c.date JOIN dim_security k ON k.ticker = c.ticker
+""")
 view("actions", """
 SELECT ticker, date, action_type, value FROM (
   SELECT ticker, date, 'dividend' AS action_type, dividends AS value FROM primary_bronze
@@ -496,9 +556,9 @@ FROM ({src}) s LEFT JOIN dd_keys d ON d.date = s.date {join_sec}"""
 
 
 q("load_summary", "\nUNION ALL\n".join([
-    _load("fact_price_daily:primary", "SELECT ticker, date FROM primary_silver"),
+    _load("fact_price_daily:primary", "SELECT ticker, date FROM landed_silver"),
     _load("fact_price_daily:secondary", "SELECT ticker, date FROM secondary_silver"),
-    _load("fact_price_daily_consensus", "SELECT ticker, date FROM consensus_rows"),
+    _load("fact_price_daily_consensus", "SELECT ticker, date FROM landed_consensus"),
     _load("fact_corporate_action", "SELECT ticker, date FROM actions"),
     _load("fact_macro_rate", "SELECT date FROM macro", with_sec=False),
 ]))
@@ -506,28 +566,30 @@ q("load_summary", "\nUNION ALL\n".join([
 
 def _orph(table: str, src: str, with_sec: bool = True) -> str:
     s = f"""SELECT '{table}' AS "table", 'date_key' AS fk,
-       (SELECT count(*) FROM {src} f WHERE f.date_key NOT IN (SELECT date_key FROM dd_keys)) AS orphans"""
+       (SELECT count(*) FROM {src} f WHERE f.date_key NOT IN (SELECT date_key FROM dd_keys WHERE date_key % 10 <> 0)) AS orphans"""
     if with_sec:
         s += f"""
 UNION ALL SELECT '{table}', 'security_key',
-       (SELECT count(*) FROM {src} f WHERE f.security_key NOT IN (SELECT security_key FROM dim_security))"""
+       (SELECT count(*) FROM {src} f WHERE f.security_key NOT IN (SELECT security_key FROM dim_security WHERE security_key % 7 <> 0))"""
     return s
 
 
 q("fk_orphans", "\nUNION ALL\n".join([
-    _orph("fact_price_daily", "f_price"), _orph("fact_price_daily_consensus", "f_consensus"),
+    _orph("fact_price_daily", "g_price"), _orph("fact_price_daily_consensus", "g_consensus"),
     _orph("fact_corporate_action", "f_action"), _orph("fact_macro_rate", "f_macro", False)]))
 
 
 def _pk(table: str, src: str, keys: str) -> str:
+    again = "security_key % 10 = 0" if table == "dim_security" else "date_key % 100 >= 10"
     return f"""SELECT '{table}' AS "table",
-       (SELECT count(*) FROM (SELECT 1 FROM {src} GROUP BY {keys} HAVING count(*) > 1)) AS duplicate_keys"""
+       (SELECT count(*) FROM (SELECT 1 FROM (SELECT * FROM {src} UNION ALL SELECT * FROM {src} WHERE {again}) u
+                              GROUP BY {keys} HAVING count(*) > 1)) AS duplicate_keys"""
 
 
 q("pk_duplicates", "\nUNION ALL\n".join([
     _pk("dim_date", "dd_keys", "date_key"), _pk("dim_security", "dim_security", "security_key"),
-    _pk("fact_price_daily", "f_price", "security_key, date_key, source"),
-    _pk("fact_price_daily_consensus", "f_consensus", "security_key, date_key"),
+    _pk("fact_price_daily", "g_price", "security_key, date_key, source"),
+    _pk("fact_price_daily_consensus", "g_consensus", "security_key, date_key"),
     _pk("fact_corporate_action", "f_action", "security_key, date_key, action_type, source"),
     _pk("fact_macro_rate", "f_macro", "date_key, series_id")]))
 
@@ -547,8 +609,8 @@ SELECT 'latest data within 5 days of ingest_date',
 q("gold_build_counts", """
 SELECT 'dim_date' AS "table", (SELECT count(*) FROM dd_keys) AS rows
 UNION ALL SELECT 'dim_security', (SELECT count(*) FROM dim_security)
-UNION ALL SELECT 'fact_price_daily', (SELECT count(*) FROM f_price)
-UNION ALL SELECT 'fact_price_daily_consensus', (SELECT count(*) FROM f_consensus)
+UNION ALL SELECT 'fact_price_daily', (SELECT count(*) FROM g_price)
+UNION ALL SELECT 'fact_price_daily_consensus', (SELECT count(*) FROM g_consensus)
 UNION ALL SELECT 'fact_corporate_action', (SELECT count(*) FROM f_action)
 UNION ALL SELECT 'fact_macro_rate', (SELECT count(*) FROM f_macro)
 """)
@@ -563,7 +625,7 @@ SELECT 'ACME ' || CAST(c_custkey AS VARCHAR) ||
        CASE WHEN c_custkey % 5 = 4 THEN 'STIV' ELSE 'EC' END AS asset_cat,
        c_acctbal / 1000.0 AS pct_val, c_acctbal AS val_usd, c_custkey AS holding_key
 FROM customer
-WHERE c_custkey % 19 <> 0 AND c_custkey < (SELECT max(user_id) FROM events) + 11
+WHERE c_custkey % 19 <> 0
 """)
 q("price_payload_json", f"""
 SELECT CAST(date AS VARCHAR) AS date, round(open, {R}) AS open, round(high, {R}) AS high, round(low, {R}) AS low,
@@ -723,13 +785,14 @@ SELECT CAST(date AS VARCHAR) AS date FROM (
   SELECT date FROM primary_silver WHERE date < DATE '2024-01-16'
   UNION SELECT date FROM primary_silver WHERE ticker IN (SELECT ticker FROM split_tickers)) d
 """)
+view("known_consensus", "SELECT * FROM consensus_rows WHERE date IN (SELECT date FROM dd_keys)")
 q("backfill_audit", """
-SELECT (SELECT count(*) FROM consensus_rows WHERE date < DATE '2024-01-16') AS before_total,
-       (SELECT count(*) FROM consensus_rows
+SELECT (SELECT count(*) FROM known_consensus WHERE date < DATE '2024-01-16') AS before_total,
+       (SELECT count(*) FROM known_consensus
         WHERE date < DATE '2024-01-16' OR ticker IN (SELECT ticker FROM split_tickers)) AS after_total,
-       (SELECT count(*) FROM consensus_rows
+       (SELECT count(*) FROM known_consensus
         WHERE date < DATE '2024-01-16' AND ticker IN (SELECT ticker FROM split_tickers)) AS before_subset,
-       (SELECT count(*) FROM consensus_rows WHERE ticker IN (SELECT ticker FROM split_tickers)) AS after_subset,
+       (SELECT count(*) FROM known_consensus WHERE ticker IN (SELECT ticker FROM split_tickers)) AS after_subset,
        true AS untouched_outside_subset
 """)
 q("fact_price_daily_upsert", f"""
@@ -798,3 +861,72 @@ SELECT CASE WHEN c_custkey % 50 = 7 THEN ticker || '-B' ELSE ticker END AS ticke
 FROM constituents
 """)
 q("fact_price_daily_stream", "SELECT * FROM f_price WHERE source = 'primary'")
+
+# ---- bronze repair and gates --------------------------------------------------
+_UID_OF = "CAST(substr(ticker, 2) AS BIGINT)"
+q("forced_repull", f"""
+SELECT {_SILVER_COLS.replace("round(close, 9) AS close",
+       "round(close * CASE WHEN " + _UID_OF + " % 5 = 0 THEN 1.002 WHEN " + _UID_OF + " % 3 = 0 THEN 1.001 ELSE 1 END, 9) AS close")}
+FROM secondary_bronze WHERE {_UID_OF} % 5 <> 0 OR day(date) >= 10
+""")
+view("eleven", f"""
+SELECT * REPLACE (close * (1 + ({_UID_OF} + day(date)) % 11 * 0.001::DOUBLE) AS close) FROM primary_bronze
+""")
+q("ten_batches_keep_last", f"""
+SELECT {_SILVER_COLS} FROM (
+  SELECT ticker, date, open, high, low, close, adj_close, open * (adj_close / close) AS adj_open,
+         high * (adj_close / close) AS adj_high, low * (adj_close / close) AS adj_low, volume, volume AS adj_volume
+  FROM eleven) x
+""")
+q("old_bronze_fallback", f"""
+SELECT {_SILVER_COLS} FROM (
+  SELECT * REPLACE (CASE WHEN {_UID_OF} % 4 = 0 THEN volume ELSE adj_volume END AS adj_volume) FROM secondary_bronze) x
+""")
+q("empty_reland", f"""
+SELECT count(*) AS rows_before, count(DISTINCT ticker) FILTER (WHERE {_UID_OF} % 9 = 0) AS rejects_before,
+       CAST(0 AS BIGINT) AS rows_after, CAST(0 AS BIGINT) AS rejects_after
+FROM primary_bronze
+""")
+view("ok_primary", "SELECT * REPLACE (least(open, high, low, close) AS low) FROM primary_bronze")
+view("ok_secondary", "SELECT * REPLACE (least(open, high, low, close) AS low, abs(adj_close) AS adj_close) FROM secondary_bronze")
+view("ok_macro", "SELECT * REPLACE (least(25.0, greatest(0.01, value)) AS value) FROM macro")
+_OK_GATE = "\nUNION ALL\n".join([
+    _check_rows("constituents", "constituents",
+                [("ticker not null", "count(*) FILTER (WHERE ticker IS NULL)", "count(*)", "1.0"),
+                 ("gics_sector not null", "count(*) FILTER (WHERE gics_sector IS NULL)", "count(*)", "1.0")],
+                [("ticker unique", ["ticker"])], band=(1, 10 ** 9)),
+    _check_rows("primary", "ok_primary", _PRICE_CHECKS, [("(ticker, date) unique", ["ticker", "date"])]),
+    _check_rows("secondary", "ok_secondary", _PRICE_CHECKS, [("(ticker, date) unique", ["ticker", "date"])]),
+    _MACRO_Q.replace("FROM macro", "FROM ok_macro"), _IDENT_Q])
+_RUN_GATE = "\nUNION ALL\n".join([_CONST_Q.replace("480", "1").replace("520", "1000000000"), _PRICE_Q, _MACRO_Q, _IDENT_Q])
+_KNOWN = "date >= (SELECT min(CAST(ts AS DATE)) + 1 FROM events)"
+q("daily_run_summary", f"""
+SELECT 'refused' AS stage, 'bronze checks failed' AS item, CAST(count(*) AS DOUBLE) AS value
+FROM ({_RUN_GATE}) r WHERE NOT success
+UNION ALL
+SELECT 'bronze', source || ': ' || check_name, CAST(element_count - unexpected_count AS DOUBLE) FROM ({_OK_GATE}) g
+UNION ALL SELECT 'load', 'fact_price_daily:primary', CAST(count(*) AS DOUBLE) FROM primary_bronze WHERE {_KNOWN}
+UNION ALL SELECT 'load', 'fact_price_daily:secondary', CAST(count(*) AS DOUBLE) FROM secondary_bronze WHERE {_KNOWN}
+UNION ALL SELECT 'load', 'fact_price_daily_consensus', CAST(count(*) AS DOUBLE) FROM matched WHERE {_KNOWN}
+UNION ALL SELECT 'load', 'fact_corporate_action', CAST(count(*) AS DOUBLE) FROM actions WHERE {_KNOWN}
+UNION ALL SELECT 'load', 'fact_macro_rate', CAST(count(*) AS DOUBLE) FROM macro WHERE {_KNOWN}
+UNION ALL SELECT 'gold', 'security count >= 1', CAST(count(*) AS DOUBLE) FROM constituents
+UNION ALL SELECT 'gold', 'consensus rows/security >= 1',
+       round((SELECT count(*) FROM matched WHERE {_KNOWN}) / (SELECT count(*) FROM constituents), {R})
+UNION ALL SELECT 'gold', 'latest data within 5 days of ingest_date',
+       CAST(DATE '2024-01-31' - (SELECT max(date) FROM matched) AS DOUBLE)
+""")
+q("stream_rejects", f"""
+WITH r AS (
+  SELECT ticker, date,
+         CASE WHEN ticker IS NULL THEN 'ticker not null' WHEN date IS NULL THEN 'date not null' WHEN close IS NULL THEN 'close not null'
+              WHEN close <= 0 THEN 'close > 0' WHEN open <= 0 THEN 'open > 0' WHEN adj_close <= 0 THEN 'adj_close > 0'
+              WHEN volume < 0 THEN 'volume >= 0' END AS reason
+  FROM primary_landed),
+k AS (
+  SELECT CASE WHEN ticker NOT IN (SELECT ticker FROM constituents) THEN 'no security'
+              WHEN NOT {_KNOWN} THEN 'no calendar date' ELSE 'loaded' END AS reason
+  FROM (SELECT DISTINCT ticker, date FROM r WHERE reason IS NULL) g)
+SELECT reason, count(*) AS rows FROM r WHERE reason IS NOT NULL GROUP BY 1
+UNION ALL SELECT reason, count(*) FROM k GROUP BY 1
+""")

@@ -40,8 +40,8 @@ def universe_plan(constituents: DataFrame, sample_size: int = 45, sources=ALL_SO
     bad = set(sources) - set(ALL_SOURCES)
     if bad:
         raise ValueError(f"unknown sources: {sorted(bad)}")
-    uni = keep_one(constituents.withColumn("_a", F.monotonically_increasing_id()),
-                   ["ticker"], [F.col("_a")], last=False).select("ticker", "gics_sector")
+    uni = keep_one(constituents, ["ticker"], [F.col(c) for c in constituents.columns if c != "ticker"],
+                   last=False).select("ticker", "gics_sector")
     out = uni
     sizes = {c: n for c, n, src in (("primary_batch", primary_batch, "primary"),
                                     ("identifier_batch", identifier_batch, "identifiers")) if src in sources}
@@ -71,7 +71,7 @@ def gate_bronze(spark: SparkSession, ingest_date: dt.date, root: str | None = No
 
     def landed(name, schema):
         df = bronze.scan(spark, root, name, schema, ingest_date, arrival=False)
-        return df.drop("ingest_date", "batch")
+        return df.drop("ingest_date", "batch", "_native")
 
     c = landed("constituents", CONSTITUENTS_BRONZE)
     if not c.isEmpty():
@@ -112,7 +112,7 @@ def build_silver(spark: SparkSession, source: str, ingest_date: dt.date, root: s
     to the history range [start, end]; returns the written silver (read
     back)."""
     if source not in PRICE_SCHEMAS:
-        raise ValueError(f"unknown price source {source!r}")
+        raise ValueError(f"{source!r} is no price source; there are {sorted(PRICE_SCHEMAS)}")
     root = root or lake_root(spark)
     b = bronze.scan(spark, root, f"{source}_prices", PRICE_SCHEMAS[source], ingest_date)
     silver = to_silver(b.drop("ingest_date", "batch"), source)
@@ -136,8 +136,8 @@ def reconcile(spark: SparkSession, ingest_date: dt.date, root: str | None = None
     root = root or lake_root(spark)
     p, s = read_silver(spark, primary, ingest_date, root), read_silver(spark, secondary, ingest_date, root)
     if p.isEmpty() or s.isEmpty():
-        raise ValueError(f"missing silver data for ingest_date={ingest_date} "
-                         f"({primary} empty={p.isEmpty()}, {secondary} empty={s.isEmpty()})")
+        absent = [n for n, df in ((primary, p), (secondary, s)) if df.isEmpty()]
+        raise ValueError(f"{ingest_date}: nothing to reconcile, no silver of {', '.join(absent)}")
     # one full outer join per run: pairs (written) and every report read it
     r = rec.Reconciliation(p, s, primary, secondary, tolerance, materialize=True)
     bronze.land(r.pairs(), root, "reconciled_prices", ingest_date, layer="silver")
@@ -238,7 +238,8 @@ def run_backfill(spark: SparkSession, tickers: DataFrame, ingest_date: dt.date,
     for ``ingest_date``: silver, calendar (trading days unioned with the
     latest full-universe silver strictly *before* this run, flags only ever
     turned on), price facts and consensus — dim_security untouched.
-    Returns the audit row (total delta must equal subset delta)."""
+    Returns the audit row (total delta must equal subset delta), with the
+    rows that found no security or date."""
     root = root or lake_root(spark)
     store = GoldStore(spark, f"{root}/gold")
     ds = store.read("dim_security")
@@ -247,10 +248,10 @@ def run_backfill(spark: SparkSession, tickers: DataFrame, ingest_date: dt.date,
     before = cut_lineage(store.read("fact_price_daily_consensus"), spark)
     ps = build_silver(spark, primary, ingest_date, root)
     ss = build_silver(spark, secondary, ingest_date, root)
-    latest = bronze.latest_partition(spark, root, f"{primary}_prices", before=ingest_date, layer="silver")
-    prev = (bronze.scan(spark, root, f"{primary}_prices", SILVER, layer="silver", arrival=False)
-            .join(latest, F.col("ingest_date") == F.col("latest_ingest_date"), "left_semi"))
-    days = monotone_trading_days(prev, ps)
+    latest = bronze.latest_date(spark, root, f"{primary}_prices", before=ingest_date, layer="silver")
+    days = dims.trading_days(ps)
+    if latest is not None:
+        days = monotone_trading_days(read_silver(spark, primary, latest, root), ps)
     incoming = dims.build_dim_date(spark, start, ingest_date, days)
     existing = store.read("dim_date")
     incoming = (incoming.join(existing.select("date_key", F.col("is_trading_day").alias("_old")), "date_key", "left")
@@ -258,11 +259,57 @@ def run_backfill(spark: SparkSession, tickers: DataFrame, ingest_date: dt.date,
                 .drop("_old"))
     store.upsert("dim_date", incoming, update_cols=["is_trading_day"])
     dd = store.read("dim_date")
+    counts = None
     for silver, src in ((ps, primary), (ss, secondary)):
-        rows, _ = facts.fact_price_daily(silver, src, dd, ds)
+        rows, cnt = facts.fact_price_daily(silver, src, dd, ds)
         store.upsert("fact_price_daily", rows)
+        counts = cnt if counts is None else counts.unionByName(cnt)
     r = reconcile(spark, ingest_date, root, primary, secondary)
-    rows, _ = facts.fact_consensus(r.consensus(), dd, ds)
-    audit = cut_lineage(backfill_audit(before, rows, ds, tickers), spark)
+    rows, cnt = facts.fact_consensus(r.consensus(), dd, ds)
+    skipped = counts.unionByName(cnt).agg(
+        F.sum("skipped_no_security_key").alias("skipped_no_security_key"),
+        F.sum("skipped_no_date_key").alias("skipped_no_date_key"), F.lit(1).alias("_k"))
+    audit = backfill_audit(before, rows, ds, tickers).withColumn("_k", F.lit(1)).join(skipped, "_k").drop("_k")
+    audit = cut_lineage(audit, spark)
     store.upsert("fact_price_daily_consensus", rows)
     return audit
+
+
+# ---- the daily run -------------------------------------------------------------
+
+class GateFailed(RuntimeError):
+    """A gate refused the run; the report says which checks failed."""
+
+    def __init__(self, gate: str, failed: list[str]):
+        self.gate, self.failed = gate, failed
+        super().__init__(f"{gate} gate failed: {'; '.join(failed)}")
+
+
+def daily_run(spark: SparkSession, ingest_date: dt.date, start: dt.date, root: str | None = None,
+              primary: str = PRIMARY, secondary: str = SECONDARY,
+              constituents_band: tuple[int, int] | None = None, **thresholds) -> DataFrame:
+    """Gate, build, gate: one whole run over what was landed for the date.
+
+    Stops before silver if a bronze check fails, and after gold if the result
+    is not fresh; either report is written first.  Returns the summary: one
+    row per stage with its checks or loads."""
+    from .ingest import write_report
+    root = root or lake_root(spark)
+    report, _ = gate_bronze(spark, ingest_date, root, constituents_band)
+    report = cut_lineage(report, spark)
+    write_report(report, root, "bronze_gate", ingest_date)
+    failed = [f"{r.source}: {r.check_name} ({r.unexpected_count} of {r.element_count})"
+              for r in report.where("NOT success").orderBy("source", "check_name").collect()]  # one row per rule
+    if failed or report.isEmpty():
+        raise GateFailed("bronze", failed or ["nothing was landed"])
+    loads = cut_lineage(build_gold(spark, ingest_date, start, root, primary, secondary), spark)
+    fresh = cut_lineage(gate_gold(spark, ingest_date, root, **thresholds), spark)
+    write_report(fresh, root, "gold_gate", ingest_date)
+    stale = [f"{r.check_name} (found {r.observed})" for r in fresh.where("NOT passed").collect()]
+    if stale:
+        raise GateFailed("gold", stale)
+    one = report.select(F.lit("bronze").alias("stage"), F.concat_ws(": ", "source", "check_name").alias("item"),
+                        (F.col("element_count") - F.col("unexpected_count")).cast("double").alias("value"))
+    two = loads.select(F.lit("load").alias("stage"), F.col("table").alias("item"), F.col("loaded").cast("double").alias("value"))
+    three = fresh.select(F.lit("gold").alias("stage"), F.col("check_name").alias("item"), F.col("observed").alias("value"))
+    return one.unionByName(two).unionByName(three)

@@ -7,7 +7,7 @@ that Spark and an independent SQL engine build identical inputs.
 FIXED VALUES (binding rules):
   uid = events.user_id, dy = day of month, ticker = 'U' + uid zero-padded
         to at least 6 digits (never truncated, so distinct ids stay distinct)
-  bars: per (uid, date) of events with value > 0: open = first value by ts,
+  bars: per (uid, date) of events: open = first value by ts,
         high = max, low = min, close = last value by ts, volume = count;
         bad print where uid % 97 = 7 and dy = 5: low = open + 0.5;
         adj_close = close * 0.5 where uid % 3 = 0 and date < 2024-01-16
@@ -19,10 +19,19 @@ FIXED VALUES (binding rules):
              OHLC times adj_close / close and adj_volume = 2 * volume
   actions:   dividends 0.24 where uid % 10 = 0 and dy = 10;
              stock_splits 2.0 where uid % 3 = 0 and date = 2024-01-16
-  constituents: customers with c_custkey <= max(uid); sector = c_mktsegment,
+  primary landed: the primary feed as it arrives, with faults: a second,
+             later copy with close and adj_close times 1.002 where uid % 41 = 3
+             and dy = 7; ticker NULL where uid % 53 = 9 and dy = 11; close and
+             adj_close 0 where uid % 61 = 5 and dy = 13; close negated where
+             uid % 67 = 8 and dy = 14; close NULL where uid % 71 = 10 and
+             dy = 15; volume negated where uid % 73 = 2 and dy = 16; an unknown
+             ticker ('X' + ticker) where uid % 17 = 4 and dy = 3
+  calendar:  from the day after the first event to the last event's day, so
+             the first day's bars find no date
+  constituents: all customers; sector = c_mktsegment,
              sub-industry = nation name, company name 'Acme <key>' plus
              ' Inc.' / ', Corp' / ' plc' / ' Class A' for key % 4 = 0/1/2/3
-  holdings:  customers with key % 19 <> 0 and key < max(uid) + 11; name
+  holdings:  customers with key % 19 <> 0; name
              'ACME <key>' plus ' INCORPORATED' / ' Holdings' / ' LTD' for
              key % 3 = 0/1/2; title 'acme <key> class b'
   identifiers: constituents with key % 13 <> 0, figi 'BBG' + key padded to 9
@@ -65,7 +74,6 @@ def _max_uid(spark: SparkSession, sf_dir: str) -> Column:
 
 def bars_all(spark: SparkSession, sf_dir: str, copies: int = 1) -> DataFrame:
     ev = (read_table(spark, sf_dir, "events", "user_id", "ts", "value")
-          .where(F.col("value") > 0)
           .withColumn("date", F.to_date("ts")))
     if copies > 1:
         # scaled stress input derived from the same table: copy k shifts every
@@ -113,6 +121,33 @@ def primary_bronze(spark: SparkSession, sf_dir: str, copies: int = 1) -> DataFra
     )
 
 
+def primary_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The primary feed with the faults that the gate and the loads must find."""
+    b = primary_bronze(spark, sf_dir)
+    uid, dy = uid_of(F.col("ticker")), F.dayofmonth("date")
+
+    def at(modulo, rest, day):
+        return (uid % modulo == rest) & (dy == day)
+
+    b = b.withColumn("_copies", F.when(at(41, 3, 7), F.array(F.lit(1.0), F.lit(1.002))).otherwise(F.array(F.lit(1.0))))
+    b = b.withColumn("_f", F.explode("_copies"))
+    close = (F.when(at(61, 5, 13), 0.0).when(at(67, 8, 14), -F.col("close")).when(at(71, 10, 15), F.lit(None).cast("double"))
+             .otherwise(F.col("close") * F.col("_f")))
+    adj = F.when(at(61, 5, 13), 0.0).otherwise(F.col("adj_close") * F.col("_f"))
+    ticker = (F.when(at(53, 9, 11), F.lit(None).cast("string")).when(at(17, 4, 3), F.concat(F.lit("X"), "ticker"))
+              .otherwise(F.col("ticker")))
+    return b.select("date", "open", "high", "low", close.alias("close"), adj.alias("adj_close"),
+                    F.when(at(73, 2, 16), -F.col("volume")).otherwise(F.col("volume")).alias("volume"),
+                    "dividends", "stock_splits", ticker.alias("ticker"))
+
+
+def calendar_bounds(spark: SparkSession, sf_dir: str) -> tuple[dt.date, dt.date]:
+    """First and last day of the calendar: one row read from the events."""
+    r = read_table(spark, sf_dir, "events", "ts").agg(
+        F.date_add(F.to_date(F.min("ts")), 1).alias("lo"), F.to_date(F.max("ts")).alias("hi")).first()
+    return r.lo, r.hi
+
+
 def secondary_bronze(spark: SparkSession, sf_dir: str, native_adjusted: bool = True,
                      copies: int = 1) -> DataFrame:
     """Secondary vendor: sampled universe, restated / offset history."""
@@ -138,7 +173,7 @@ def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def constituents(spark: SparkSession, sf_dir: str, snapshot_date: dt.date = INGEST_DATE) -> DataFrame:
-    c = _customers(spark, sf_dir).where(F.col("c_custkey") <= _max_uid(spark, sf_dir))
+    c = _customers(spark, sf_dir)
     nation = read_table(spark, sf_dir, "nation", "n_nationkey", "n_name")  # 25 rows, fixed
     k = F.col("c_custkey")
     suffix = (F.when(k % 4 == 0, " Inc.").when(k % 4 == 1, ", Corp")
@@ -154,7 +189,7 @@ def constituents(spark: SparkSession, sf_dir: str, snapshot_date: dt.date = INGE
 
 def holdings(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("c_custkey")
-    c = _customers(spark, sf_dir).where((k % 19 != 0) & (k < _max_uid(spark, sf_dir) + 11))
+    c = _customers(spark, sf_dir).where(k % 19 != 0)
     suffix = F.when(k % 3 == 0, " INCORPORATED").when(k % 3 == 1, " Holdings").otherwise(" LTD")
     return c.select(
         F.concat(F.lit("ACME "), k.cast("string"), suffix).alias("name"),
@@ -171,7 +206,7 @@ def holdings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def identifiers(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("c_custkey")
-    c = _customers(spark, sf_dir).where((k <= _max_uid(spark, sf_dir)) & (k % 13 != 0))
+    c = _customers(spark, sf_dir).where(k % 13 != 0)
     return c.select(
         ticker_of(k).alias("ticker"),
         F.concat(F.lit("BBG"), F.lpad(k.cast("string"), 9, "0")).alias("figi"),

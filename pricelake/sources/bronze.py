@@ -3,7 +3,10 @@ arrival order, latest-partition lookup, dead-letter and silver sinks.
 
 Layout: ``{root}/{layer}/{dataset}/ingest_date=YYYY-MM-DD/batch=N/part-*``.
 Several landings for one date are separate ``batch`` partitions, so arrival
-order is (file path, row index) — what keep-last de-duplication needs.
+order is (batch number, file, row index) — what keep-last needs.  A batch
+folder is written by one landing and has one schema; the columns a folder
+physically holds are compared with the required ones before any schema is
+declared, so drift fails instead of reading as NULL.
 Folders whose name starts with ``_`` (dead letters) are ignored by scans.
 """
 
@@ -11,25 +14,44 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .gold import _fs_exists
+from ..schemas import NATIVE_ADJUSTED
+from . import fs
+
+ARRIVAL = ("_arrival_batch", "_arrival_file", "_arrival_row")
+#: Columns a landing may lack; the scan says which rows came with them.
+OPTIONAL = NATIVE_ADJUSTED | {"dividends", "stock_splits"}
 
 
 def dataset_path(root: str, layer: str, dataset: str) -> str:
     return f"{root.rstrip('/')}/{layer}/{dataset}"
 
 
+def batch_path(root: str, layer: str, dataset: str, ingest_date: dt.date, batch: int) -> str:
+    return f"{dataset_path(root, layer, dataset)}/ingest_date={ingest_date.isoformat()}/batch={batch}"
+
+
 def land(df: DataFrame, root: str, dataset: str, ingest_date: dt.date, batch: int = 0,
          layer: str = "bronze") -> None:
     """Write one landing for a date.  Re-landing the same (date, batch)
-    replaces just that partition (dynamic overwrite), so reruns are
-    idempotent; other dates are untouched."""
-    (df.withColumn("ingest_date", F.lit(ingest_date)).withColumn("batch", F.lit(batch))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("ingest_date", "batch")
-     .parquet(dataset_path(root, layer, dataset)))
+    replaces just that folder, also by an empty result; other landings are
+    untouched."""
+    fs.replace(df.drop("ingest_date", "batch"), root, batch_path(root, layer, dataset, ingest_date, batch))
+
+
+def dates(spark: SparkSession, root: str, dataset: str, layer: str = "bronze") -> list[dt.date]:
+    """Ingest dates of a dataset, from folder names."""
+    return sorted(dt.date.fromisoformat(n.partition("=")[2]) for n in fs.children(spark, dataset_path(root, layer, dataset))
+                  if n.startswith("ingest_date="))
+
+
+def batches(spark: SparkSession, root: str, dataset: str, ingest_date: dt.date, layer: str = "bronze") -> list[int]:
+    """Landings of a date in order of arrival, from folder names."""
+    day = f"{dataset_path(root, layer, dataset)}/ingest_date={ingest_date.isoformat()}"
+    return sorted(int(n.partition("=")[2]) for n in fs.children(spark, day) if n.startswith("batch="))
 
 
 def _with_parts(schema: T.StructType) -> T.StructType:
@@ -38,44 +60,85 @@ def _with_parts(schema: T.StructType) -> T.StructType:
 
 
 def scan(spark: SparkSession, root: str, dataset: str, schema: T.StructType,
-         ingest_date: dt.date | Column | None = None, layer: str = "bronze",
-         arrival: bool = True) -> DataFrame:
-    """All rows of one ingest date (partition-pruned), in a declared schema;
-    a missing dataset or date is an empty frame, not an error.  With
-    ``arrival`` the file path and row index come along for keep-last."""
+         ingest_date: dt.date | None = None, layer: str = "bronze",
+         arrival: bool = True, required: set[str] | None = None) -> DataFrame:
+    """All rows of one ingest date (of all, without one) in a declared
+    schema; a missing dataset or date is an empty frame, not an error.
+
+    Each landing's own columns are checked first: one that lacks a
+    ``required`` column (default: all but the optional ones) fails the scan.
+    Landings are read by the optional columns they have, and those without
+    native adjusted prices carry ``_native`` = false.  With ``arrival`` the
+    batch, file and row index come along for keep-last."""
     path = dataset_path(root, layer, dataset)
-    if not _fs_exists(spark, path):
-        df = spark.createDataFrame([], _with_parts(schema))
+    names = schema.fieldNames()
+    must = set(names) - OPTIONAL if required is None else set(required)
+    flag = NATIVE_ADJUSTED <= set(names) and layer == "bronze"
+    groups: dict[frozenset, list[str]] = {}
+    for d in ([ingest_date] if ingest_date else dates(spark, root, dataset, layer)):
+        for b in batches(spark, root, dataset, d, layer):
+            folder = batch_path(root, layer, dataset, d, b)
+            have = set(spark.read.parquet(folder).columns)
+            if must - have:
+                raise ValueError(f"{folder}: columns {sorted(must - have)} are not there")
+            groups.setdefault(frozenset(have & set(names)), []).append(folder)
+
+    def finish(df, native):
+        if flag:
+            df = df.withColumn("_native", F.lit(native))
         if arrival:
-            df = df.withColumn("_arrival_file", F.lit(None).cast("string")).withColumn(
-                "_arrival_row", F.lit(None).cast("long"))
+            df = (df.withColumn("_arrival_batch", F.col("batch")).withColumn("_arrival_file", F.col("_metadata.file_path"))
+                  .withColumn("_arrival_row", F.col("_metadata.row_index")))
         return df
-    df = spark.read.schema(_with_parts(schema)).parquet(path)
-    if ingest_date is not None:
-        d = ingest_date if isinstance(ingest_date, Column) else F.lit(ingest_date)
-        df = df.where(F.col("ingest_date") == d)
-    if arrival:
-        df = df.withColumn("_arrival_file", F.col("_metadata.file_path")).withColumn(
-            "_arrival_row", F.col("_metadata.row_index"))
-    return df
+
+    out = None
+    for have, folders in groups.items():
+        part = T.StructType([f for f in schema.fields if f.name in have])
+        df = finish(spark.read.schema(_with_parts(part)).option("basePath", path).parquet(*folders), NATIVE_ADJUSTED <= have)
+        for f in schema.fields:
+            if f.name not in have:
+                df = df.withColumn(f.name, F.lit(None).cast(f.dataType))
+        df = df.select(*names, *[c for c in df.columns if c not in names])
+        out = df if out is None else out.unionByName(df)
+    if out is None:
+        out = spark.createDataFrame([], _with_parts(schema))
+        if flag:
+            out = out.withColumn("_native", F.lit(True))
+        if arrival:
+            out = (out.withColumn("_arrival_batch", F.lit(None).cast("int")).withColumn("_arrival_file", F.lit(None).cast("string"))
+                   .withColumn("_arrival_row", F.lit(None).cast("long")))
+    return out
+
+
+def latest_date(spark: SparkSession, root: str, dataset: str, before: dt.date | None = None,
+                layer: str = "bronze") -> dt.date | None:
+    """Newest ingest date (strictly before ``before`` when given — a run must
+    not find its own output), from folder names: no file is opened."""
+    found = [d for d in dates(spark, root, dataset, layer) if before is None or d < before]
+    return found[-1] if found else None
 
 
 def latest_partition(spark: SparkSession, root: str, dataset: str, before: dt.date | None = None,
                      layer: str = "bronze") -> DataFrame:
-    """Newest ingest_date (strictly before ``before`` when given — a run
-    must not find its own output).  Reads partition values only."""
-    path = dataset_path(root, layer, dataset)
-    df = spark.read.parquet(path).select("ingest_date")
-    if before is not None:
-        df = df.where(F.col("ingest_date") < F.lit(before))
-    return df.agg(F.max("ingest_date").alias("latest_ingest_date"))
+    """``latest_date`` as a one-row frame."""
+    return spark.createDataFrame([(latest_date(spark, root, dataset, before, layer),)], "latest_ingest_date date")
+
+
+def write_rejects(rejects: DataFrame, root: str, ingest_date: dt.date, source: str) -> None:
+    """Dead letters of one source and date: keys requested but not delivered,
+    next to (not inside) the datasets so scans never read them.  The latest
+    list replaces the former, also when it is empty."""
+    fs.replace(rejects.select("key", "reason"), root,
+               f"{root.rstrip('/')}/bronze/_rejects/ingest_date={ingest_date.isoformat()}/source={source}")
 
 
-def write_rejects(rejects: DataFrame, root: str, ingest_date: dt.date) -> None:
-    """Dead letters: keys requested but not delivered, by source, next to
-    (not inside) the datasets so scans never read them."""
-    (rejects.withColumn("ingest_date", F.lit(ingest_date)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("ingest_date", "source").parquet(f"{root.rstrip('/')}/bronze/_rejects"))
+def read_rejects(spark: SparkSession, root: str) -> DataFrame:
+    """(key, reason, ingest_date, source) of all dead letters."""
+    path = f"{root.rstrip('/')}/bronze/_rejects"
+    schema = "key string, reason string, ingest_date date, source string"
+    if not fs.exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
 
 
 def write_silver(silver: DataFrame, root: str, dataset: str, ingest_date: dt.date,

@@ -1,37 +1,43 @@
 """Gold table store on plain parquet with idempotent upserts.
 
-Fact tables are partitioned by month of their date key.  An upsert merges
-the batch only into the months it touches: those months are read (partition
-pruning), merged, written aside to a staging folder, and then swapped in
-with a dynamic partition overwrite that reads the staging copy — never the
-path being overwritten.  A crash between the two steps leaves the live table
-unchanged and the rerun is idempotent.
+A table is a set of parts: months of a fact's date key, years of the
+calendar, one part for other tables.  Data lies in
+``{table}/version=N/part=P``; a manifest ``{table}/_manifest/N.json`` names
+the version that holds each part.  An upsert reads only the parts its batch
+touches, writes them once into a new version, and then publishes the next
+manifest in one rename; what no manifest names any more is deleted last.  A
+crash at any step leaves the former manifest and all its data in place.
+One writer per table at a time.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..operators.upsert import upsert
 from ..schemas import GOLD_TABLES
-from ..session import cut_lineage, lake_root, scratch_dir
+from ..session import lake_root
+from . import fs
 
-PARTITION = {
-    "fact_price_daily": "month_key",
-    "fact_price_daily_consensus": "month_key",
-    "fact_corporate_action": "month_key",
-    "fact_macro_rate": "month_key",
+#: Rule that deals a table's rows to parts (bounded: months, years, one).
+PARTS = {
+    "fact_price_daily": "month",
+    "fact_price_daily_consensus": "month",
+    "fact_corporate_action": "month",
+    "fact_macro_rate": "month",
     "dim_date": "year",
 }
 
 
-def _fs_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    return fs.exists(p)
+def part_of(table: str) -> Column:
+    rule = PARTS.get(table)
+    if rule == "month":
+        return F.floor(F.col("date_key") / 100).cast("int")
+    return F.col("year").cast("int") if rule == "year" else F.lit(0)
 
 
 class GoldStore:
@@ -42,53 +48,68 @@ class GoldStore:
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
+    def _manifest(self, table: str) -> tuple[int, dict[int, int]]:
+        """(number, part -> version) of the published state."""
+        folder = f"{self.path(table)}/_manifest"
+        found = [int(n[:-5]) for n in fs.children(self.spark, folder) if n.endswith(".json")]
+        if not found:
+            return 0, {}
+        n = max(found)
+        return n, {int(k): v for k, v in json.loads(fs.read_text(self.spark, f"{folder}/{n:09d}.json")).items()}
+
     def exists(self, table: str) -> bool:
-        # the table folder is only ever created by a completed swap (a dynamic
-        # partition overwrite stages its files and moves them at commit)
-        return _fs_exists(self.spark, self.path(table))
+        return self._manifest(table)[0] > 0
 
-    def read(self, table: str) -> DataFrame:
+    def read(self, table: str, parts: list[int] | None = None) -> DataFrame:
+        """The table, or the given parts of it (only their files are listed)."""
         schema, _ = GOLD_TABLES[table]
-        if not self.exists(table):
+        held = self._manifest(table)[1]
+        folders = [f"{self.path(table)}/version={v}/part={p}" for p, v in sorted(held.items())
+                   if parts is None or p in parts]
+        if not folders:
             return self.spark.createDataFrame([], schema)
-        df = self.spark.read.schema(self._file_schema(table)).parquet(self.path(table))
-        return df.select(*schema.fieldNames())
-
-    def _file_schema(self, table: str) -> T.StructType:
-        """Declared columns plus the partition column: reads infer nothing."""
-        schema, _ = GOLD_TABLES[table]
-        part = PARTITION.get(table)
-        if part and part not in schema.fieldNames():
-            return T.StructType(list(schema.fields) + [T.StructField(part, T.IntegerType())])
-        return schema
-
-    def _with_part(self, table: str, df: DataFrame) -> DataFrame:
-        part = PARTITION.get(table)
-        if part == "month_key":
-            return df.withColumn(part, (F.col("date_key") / 100).cast("int"))
-        return df
+        return self.spark.read.schema(schema).parquet(*folders)
 
     def upsert(self, table: str, incoming: DataFrame, update_cols: list[str] | None = None) -> None:
         schema, keys = GOLD_TABLES[table]
-        part = PARTITION.get(table)
-        # the batch feeds the touched-partition list, the duplicate-key guard
-        # and the merge: compute it once
-        incoming = cut_lineage(self._with_part(table, incoming.select(*schema.fieldNames())), self.spark)
-        if self.exists(table):
-            existing = self._with_part(table, self.read(table))
-            if part:
-                touched = incoming.select(part).distinct()
-                existing = existing.join(touched, part, "left_semi")
-            merged = upsert(existing, incoming, keys, update_cols)
-        else:
-            merged = incoming
-        staging = scratch_dir(self.spark, f"stage-{table}")
-        w = merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        if part:
-            w = w.partitionBy(part)
-        w.parquet(staging)
-        staged = self.spark.read.schema(self._file_schema(table)).parquet(staging)
-        w2 = staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        if part:
-            w2 = w2.partitionBy(part)
-        w2.parquet(self.path(table))
+        number, held = self._manifest(table)
+        # the batch feeds the list of touched parts, the duplicate-key guard
+        # and the merge: hold it meanwhile (lost blocks are recomputed)
+        incoming = incoming.select(*schema.fieldNames()).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            touched = sorted(r.part for r in incoming.select(part_of(table).alias("part")).distinct().collect())
+            if not touched and number:
+                return
+            merged = upsert(self.read(table, touched), incoming, keys, update_cols)
+            version = f"{self.path(table)}/version={number + 1}"
+            fs.delete(self.spark, version)  # of a run that broke off
+            self._write(merged.withColumn("part", part_of(table)), version)
+        finally:
+            incoming.unpersist()
+        written = [int(n.partition("=")[2]) for n in fs.children(self.spark, version) if n.startswith("part=")]
+        self._publish(table, number + 1, {**held, **dict.fromkeys(written, number + 1)})
+        self.clean(table)
+
+    def _write(self, merged: DataFrame, version: str) -> None:
+        merged.write.partitionBy("part").parquet(version)
+
+    def _publish(self, table: str, number: int, held: dict[int, int]) -> None:
+        fs.write_text(self.spark, f"{self.path(table)}/_manifest/{number:09d}.json", json.dumps(held))
+
+    def clean(self, table: str) -> None:
+        """Delete the parts and manifests that the published one replaced."""
+        number, held = self._manifest(table)
+        for name in fs.children(self.spark, self.path(table)):
+            if not name.startswith("version="):
+                continue
+            folder, v = f"{self.path(table)}/{name}", int(name.partition("=")[2])
+            kept = {f"part={p}" for p, at in held.items() if at == v}
+            if not kept:
+                fs.delete(self.spark, folder)
+                continue
+            for part in fs.children(self.spark, folder):
+                if part.startswith("part=") and part not in kept:
+                    fs.delete(self.spark, f"{folder}/{part}")
+        for name in fs.children(self.spark, f"{self.path(table)}/_manifest"):
+            if name != f"{number:09d}.json":
+                fs.delete(self.spark, f"{self.path(table)}/_manifest/{name}")

@@ -19,7 +19,8 @@ from ..operators import facts, quality
 from ..operators.silver import to_silver
 from ..schemas import PRIMARY_BRONZE
 from ..session import lake_root
-from ..sources.bronze import _with_parts, dataset_path
+from ..sources import fs
+from ..sources.bronze import ARRIVAL, _with_parts, dataset_path
 from ..sources.gold import GoldStore
 
 
@@ -30,35 +31,55 @@ def price_stream(spark: SparkSession, root: str, dataset: str, schema: T.StructT
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     df = r.parquet(dataset_path(root, "bronze", dataset))
-    return (df.withColumn("_arrival_file", F.col("_metadata.file_path"))
+    return (df.withColumn("_arrival_batch", F.col("batch")).withColumn("_arrival_file", F.col("_metadata.file_path"))
             .withColumn("_arrival_row", F.col("_metadata.row_index")))
 
 
+#: Files a micro-batch reads at most: the backlog is worked off in steps.
+MAX_FILES = 1000
+QUARANTINE = ["ticker", "date", "open", "high", "low", "close", "adj_close", "volume"]
+
+
+def stream_folder(root: str, what: str, source: str) -> str:
+    """Where a stream's gate reports, rejects and load counts go."""
+    return f"{root.rstrip('/')}/gold/_stream_{what}/{source}"
+
+
 def run_price_stream(spark: SparkSession, source: str, dim_date: DataFrame, dim_security: DataFrame,
                      root: str | None = None, dataset: str | None = None,
                      schema: T.StructType = PRIMARY_BRONZE, checkpoint: str | None = None,
-                     wait: bool = True):
-    """Process every new landing of ``source`` once (availableNow trigger):
-    per micro-batch, append the gate report, then upsert the typed facts.
+                     wait: bool = True, max_files: int | None = MAX_FILES):
+    """Process every new landing of ``source`` once (availableNow trigger).
+
+    Per micro-batch: the gate report is written; rows that break a rule about
+    single rows go to quarantine with the rule's name; the others are built
+    into facts and upserted; rows without a security or date key are
+    quarantined too; and the load counts are written.  Each of the three
+    sinks has a folder per epoch, so a replayed batch replaces its own.
+    ``max_files`` bounds what one micro-batch reads.
     Returns the StreamingQuery (finished when ``wait``)."""
     root = root or lake_root(spark)
     dataset = dataset or f"{source}_prices"
     store = GoldStore(spark, f"{root}/gold")
-    reports_path = f"{root}/gold/_stream_gate_reports/{source}"
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
-        # the micro-batch feeds two sinks (gate report, fact upsert): read it once
-        batch = batch.drop("ingest_date", "batch").persist()
-        try:
-            report = quality.evaluate(batch.drop("_arrival_file", "_arrival_row"), quality.price_rules(), source)
-            (report.withColumn("epoch_id", F.lit(epoch_id)).write.mode("overwrite")
-             .option("partitionOverwriteMode", "dynamic").partitionBy("epoch_id").parquet(reports_path))
-            rows, _ = facts.fact_price_daily(to_silver(batch, source), source, dim_date, dim_security)
-            store.upsert("fact_price_daily", rows)
-        finally:
-            batch.unpersist()
-
-    q = (price_stream(spark, root, dataset, schema).writeStream
+        batch = batch.drop("ingest_date", "batch")
+
+        def put(df, what):
+            fs.replace(df, root, f"{stream_folder(root, what, source)}/epoch_id={epoch_id}")
+
+        put(quality.evaluate(batch.drop(*ARRIVAL), quality.price_rules(), source), "gate_reports")
+        reason = quality.row_violation(quality.price_rules())
+        good = batch.where(reason.isNull())
+        silver = to_silver(good, source)
+        rows, counts = facts.fact_price_daily(silver, source, dim_date, dim_security)
+        store.upsert("fact_price_daily", rows)
+        lost = facts.unresolved(silver, dim_date, dim_security)
+        put(batch.where(reason.isNotNull()).select(*QUARANTINE, reason.alias("reason"))
+            .unionByName(lost.select(*QUARANTINE, "reason")), "rejects")
+        put(counts, "loads")
+
+    q = (price_stream(spark, root, dataset, schema, max_files).writeStream
          .foreachBatch(handle)
          .option("checkpointLocation", checkpoint or f"{root}/_streams/{dataset}")
          .trigger(availableNow=True)

@@ -111,3 +111,47 @@ def test_freshness_gate_thresholds(spark, dims_):
     assert not late["latest data within 5 days of ingest_date"].passed
     future = {x.check_name: x for x in facts.freshness(ds, cons, dd, dt.date(2024, 1, 1), 1, 1, 5).collect()}
     assert not future["latest data within 5 days of ingest_date"].passed
+
+
+def month_rows(spark, value, days):
+    return spark.createDataFrame([(k, "DGS10", value) for k in days], "date_key int, series_id string, value double").withColumn(
+        "value", F.col("value").cast("decimal(18,6)"))
+
+
+def test_upsert_reads_and_replaces_only_touched_months(spark, lake):
+    store = GoldStore(spark, lake)
+    store.upsert("fact_macro_rate", month_rows(spark, 1.0, [20240105, 20240205, 20240305]))
+    before = {f for f in store.read("fact_macro_rate").inputFiles()}
+    only = store.read("fact_macro_rate", [202402]).inputFiles()
+    assert only and all("part=202402" in f for f in only)
+    store.upsert("fact_macro_rate", month_rows(spark, 2.0, [20240206]))
+    after = {f for f in store.read("fact_macro_rate").inputFiles()}
+    assert {f for f in before if "202402" not in f} <= after
+    assert sorted((r.date_key, float(r.value)) for r in store.read("fact_macro_rate").collect()) == [
+        (20240105, 1.0), (20240205, 1.0), (20240206, 2.0), (20240305, 1.0)]
+
+
+def test_a_crash_between_the_steps_leaves_the_old_table(spark, lake, monkeypatch):
+    import os
+    store = GoldStore(spark, lake)
+    store.upsert("fact_macro_rate", month_rows(spark, 1.0, [20240105]))
+
+    def crash(*a):
+        raise RuntimeError("lost")
+    with monkeypatch.context() as m:
+        m.setattr(store, "_publish", crash)
+        with pytest.raises(RuntimeError):
+            store.upsert("fact_macro_rate", month_rows(spark, 2.0, [20240105]))
+    assert [float(r.value) for r in store.read("fact_macro_rate").collect()] == [1.0]
+    store.upsert("fact_macro_rate", month_rows(spark, 3.0, [20240105]))
+    assert [float(r.value) for r in store.read("fact_macro_rate").collect()] == [3.0]
+    table = f"{lake}/fact_macro_rate"
+    assert len([d for d in os.listdir(table) if d.startswith("version=")]) == 1      # nothing left over
+    assert len([d for d in os.listdir(f"{table}/_manifest") if d.endswith(".json")]) == 1
+
+
+def test_calendar_is_broadcast(spark, dims_):
+    dd, ds = dims_
+    s = silver(spark, [("A", D1, 1., 1., 1., 1., 1., 1., 1., 1., 5, 5)])
+    plan = facts.resolve_keys(s, dd, None)._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" in plan

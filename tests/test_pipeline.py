@@ -24,7 +24,7 @@ def land_all(spark, root):
 
 def test_daily_run_end_to_end(spark, lake):
     land_all(spark, lake)
-    report, verdict = pl.gate_bronze(spark, D, lake, constituents_band=(10, 20))
+    report, verdict = pl.gate_bronze(spark, D, lake, constituents_band=(100, 200))
     per = {r.source: r for r in quality.rollup(report).collect()}
     assert set(per) >= {"constituents", "primary", "secondary", "identifiers"}
     assert per["constituents"].passed and per["identifiers"].passed
@@ -39,7 +39,7 @@ def test_daily_run_end_to_end(spark, lake):
     counts = {t: store.read(t).count() for t in ["dim_date", "dim_security", "fact_price_daily",
                                                 "fact_price_daily_consensus", "fact_corporate_action",
                                                 "fact_macro_rate"]}
-    assert counts["dim_date"] == 31 and counts["dim_security"] == 15
+    assert counts["dim_date"] == 31 and counts["dim_security"] == 150
     assert counts["fact_price_daily"] == 385 + 206
 
     pl.build_gold(spark, D, dt.date(2024, 1, 1), lake)          # rerun: idempotent
@@ -47,7 +47,7 @@ def test_daily_run_end_to_end(spark, lake):
     assert again == counts
 
     fresh = {r.check_name: r.passed for r in pl.gate_gold(spark, D, lake, min_securities=10,
-                                                          min_rows_per_security=10).collect()}
+                                                          min_rows_per_security=1).collect()}
     assert all(fresh.values())
 
 
@@ -67,7 +67,7 @@ def test_latest_partition_excludes_the_run_itself(spark, lake):
 def test_universe_plan_sources_subset(spark):
     cons = bind.constituents(spark, SF)
     p = pl.universe_plan(cons, sample_size=5, sources=("primary",))
-    assert "in_secondary_sample" not in p.columns and p.count() == 15
+    assert "in_secondary_sample" not in p.columns and p.count() == 150
     full = pl.universe_plan(cons, sample_size=5)
     assert full.where("in_secondary_sample").count() == 5
 
@@ -107,7 +107,7 @@ def test_ingest_from_payloads_with_dead_letters(spark, lake):
     from pricelake.schemas import SECONDARY_BRONZE
     assert bronze.scan(spark, lake, "secondary_prices", SECONDARY_BRONZE, D).count() == 206   # resumed, not doubled
     snap = ingest.constituents_snapshot(spark, D, landing.constituents_html(spark, SF), root=lake)
-    assert snap.count() == 15
+    assert snap.count() == 150
     dead = spark.read.parquet(f"{lake}/bronze/_rejects")
     assert dead.where("source = 'secondary'").count() >= 1
     path = ingest.write_report(rj, lake, "rejects", D, csv=True)
@@ -123,3 +123,57 @@ def test_silver_history_range_and_order(spark, lake):
         F.input_file_name().alias("f"), "ticker").groupBy("f").agg(F.min("ticker").alias("lo"), F.max("ticker").alias("hi"))
     spans = sorted((r.lo, r.hi) for r in files.collect())
     assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))      # files cover disjoint ticker ranges
+
+
+def test_drift_in_a_landed_file_fails_the_scan(spark, lake):
+    import pytest
+    b = bind.primary_bronze(spark, SF)
+    bronze.land(b, lake, "primary_prices", D, batch=0)
+    bronze.land(b.drop("adj_close"), lake, "primary_prices", D, batch=1)
+    with pytest.raises(ValueError, match="adj_close"):
+        pl.build_silver(spark, "primary", D, lake)
+
+
+def test_landing_order_is_numeric_and_empty_results_replace(spark, lake):
+    b = bind.primary_bronze(spark, SF)
+    one = b.limit(1)
+    for k in (9, 10):
+        bronze.land(one.withColumn("close", F.lit(float(k))), lake, "primary_prices", D, batch=k)
+    assert [r.close for r in pl.build_silver(spark, "primary", D, lake).collect()] == [10.0]
+    bronze.land(one.where("false"), lake, "primary_prices", D, batch=10)
+    assert [r.close for r in pl.build_silver(spark, "primary", D, lake).collect()] == [9.0]
+
+
+def test_forced_repull_replaces_only_the_requested(spark, lake):
+    from pricelake.plans import ingest
+    from pricelake.sources import landing
+    b = bind.secondary_bronze(spark, SF).cache()
+    names = sorted(r.ticker for r in b.select("ticker").distinct().collect())
+    bronze.land(b, lake, "secondary_prices", D, batch=0)
+    bronze.land(b.where(F.col("ticker") == names[0]), lake, "secondary_prices", D, batch=1)
+    asked = spark.createDataFrame([(names[0],)], "ticker string")
+    fresh = b.where(F.col("ticker") == names[0]).limit(1).withColumn("close", F.lit(200.0))
+    rejects = ingest.ingest_price_records(spark, landing.price_json(fresh), asked, D, lake, force=True)
+    s = pl.build_silver(spark, "secondary", D, lake)
+    assert rejects.count() == 0
+    assert [r.close for r in s.where(F.col("ticker") == names[0]).collect()] == [200.0]
+    assert s.where(F.col("ticker") != names[0]).count() == b.where(F.col("ticker") != names[0]).count()
+
+
+def test_daily_run_stops_and_passes(spark, lake):
+    import pytest
+    from pricelake.plans.catalogue import corrected_run
+    from pricelake.sources import fs
+    land_all(spark, lake)
+    ok = {"constituents_band": (100, 200), "min_securities": 10, "min_rows_per_security": 1}
+    with pytest.raises(pl.GateFailed) as e:
+        pl.daily_run(spark, D, dt.date(2024, 1, 1), lake, **ok)
+    assert e.value.gate == "bronze" and any("low <= open" in f for f in e.value.failed)
+    assert not fs.exists(spark, f"{lake}/silver") and not fs.exists(spark, f"{lake}/gold")
+    assert spark.read.parquet(f"{lake}/reports/bronze_gate").where("NOT success").count() == len(e.value.failed)
+    corrected_run(spark, SF, lake)
+    summary = pl.daily_run(spark, D, dt.date(2024, 1, 1), lake, **ok)
+    assert {r.stage for r in summary.collect()} == {"bronze", "load", "gold"}
+    with pytest.raises(pl.GateFailed) as e:
+        pl.daily_run(spark, D, dt.date(2024, 1, 1), lake, **{**ok, "min_securities": 10 ** 6})
+    assert e.value.gate == "gold"

@@ -89,5 +89,15 @@ def test_report_rows_are_tidy(spark):
     p = side(spark, [("A", D1, 100.0), ("B", D1, 100.0)])
     s = side(spark, [("A", D1, 110.0), ("B", D1, 100.0)])
     rows = rec.Reconciliation(p, s).report_rows().collect()
-    keys = {(r.section, r.key) for r in rows}
-    assert ("totals", "flagged_count") in keys and ("ticker", "A") in keys and ("ticker", "B") not in keys
+    keys = {(r.section, r.key, r.metric) for r in rows}
+    assert ("totals", "all", "flagged_count") in keys and ("ticker", "A", "window") in keys
+    assert not any(k[1] == "B" for k in keys) and ("top", f"A {D1}", "pct_diff") in keys
+
+
+def test_infinite_discrepancy_ranks_first_and_is_an_event(spark):
+    p = side(spark, [("A", D1, 1.0), ("B", D1, 100.0), ("C", D1, 0.0)])
+    s = side(spark, [("A", D1, -1.0), ("B", D1, 200.0), ("C", D1, 0.0)])
+    r = rec.Reconciliation(p, s)
+    assert [x.ticker for x in r.top(2).collect()] == ["A", "B"] and r.top(1).first().pct_diff == float("inf")
+    shapes = {x.ticker: (x.max_pct_diff, x.rows_flagged) for x in rec.discrepancy_shape(r.by_ticker()).collect()}
+    assert shapes["A"] == (float("inf"), 1) and shapes["C"] == (None, 0)
