@@ -10,15 +10,19 @@ The n-gram and count tables are kept as columnar blocks, since a row per
 n-gram would take several times the input in the shuffle:
 
 1. documents are laid into chunks of about ``CHUNK_CHARS``, written once;
-2. every chunk is exploded into its distinct n-grams (64-bit hashes) with
-   their counts, one block per hash partition; there are so many partitions
-   that one holds about ``PART_CHARS`` characters' worth, however large the
-   corpus, and a frequent n-gram is one entry per chunk, not per document;
+2. every chunk is exploded into its distinct n-grams (hashes of ``BITS`` bits)
+   with their counts, one block per order and hash partition; there are so
+   many partitions that one holds about ``PART_CHARS`` characters' worth,
+   however large the corpus, and a frequent n-gram is one entry per chunk,
+   not per document;
 3. per hash partition the blocks are merged into the count table and joined
    with it: every block gets the corpus counts of its n-grams;
 4. chunks are joined with their counts, the documents' own counts are taken
    off, and the scores summed per document.
 
+Two n-grams with the same hash share their counts: of n distinct ones about
+n^2 / 2^57 pairs do, less than one for a few hundred million.
+
 Words are those of the contracts, A-Z lower-cased; n-grams stay within a
 document.  Defined results: a text without words (or null) has n_words 0 and
 null scores; a corpus of one document scores by unseen words only; repeated
@@ -40,6 +44,7 @@ from .common import run_folder, stored, table
 from .near_dedup import Hashes, _mix, words_of
 
 ORDER, ALPHA = 3, 0.4
+BITS = 56
 CHUNK_CHARS, PART_CHARS = 8 << 20, 2 << 20
 
 
@@ -55,10 +60,11 @@ def unpack(block: bytes) -> np.ndarray:
 
 
 class Grams:
-    """The n-grams of a chunk: per order a hash for every word position
-    (0 where the document has too few words before it)."""
+    """The n-grams of a chunk.  Per order: the positions of their last words
+    and their keys, which sort by hash partition, then by the rest of the
+    hash."""
 
-    def __init__(self, texts: list[str | None], order: int, hashes: Hashes):
+    def __init__(self, texts: list[str | None], order: int, parts: int, hashes: Hashes):
         words, self.sizes = [], []
         for t in texts:
             w = words_of(t)
@@ -70,25 +76,16 @@ class Grams:
         sizes = np.array(self.sizes, np.int64)
         self.doc = np.repeat(np.arange(len(sizes)), sizes)
         place = np.arange(n) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        self.valid, self.hash = [], []
+        self.at, self.keys = [], []
+        self.width = np.uint64((1 << BITS) // parts + 1)
         h = None
         for k in range(1, order + 1):
-            ok = place >= k - 1
-            x = w if k == 1 else np.concatenate([[0], h[:-1]]).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + w
-            h = np.where(ok, _mix(x + np.uint64(k)), np.uint64(0))
-            self.valid.append(ok)
-            self.hash.append(h)
-
-    def distinct(self) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct n-grams of all orders in ascending order, and counts."""
-        return np.unique(np.concatenate([h[ok] for h, ok in zip(self.hash, self.valid)]), return_counts=True)
-
-
-def by_part(grams: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
-    """The order that deals ``grams`` to hash partitions, and the cuts."""
-    part = ((grams >> np.uint64(20)) % np.uint64(parts)).astype(np.int64)
-    order = np.argsort(part, kind="stable")
-    return order, np.searchsorted(part[order], np.arange(parts + 1))
+            x = w if k == 1 else np.concatenate([w[:1], h[:-1]]) * np.uint64(0x9E3779B97F4A7C15) + w
+            h = _mix(x + np.uint64(k))
+            at = np.flatnonzero(place >= k - 1)
+            short = h[at] >> np.uint64(64 - BITS)
+            self.at.append(at)
+            self.keys.append(short % np.uint64(parts) * self.width + short // np.uint64(parts))
 
 
 def chunks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -106,7 +103,7 @@ def chunks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 w.write_table(t)
             n = sum(len(words_of(x.as_py())) for x in t.column(1))
             return pa.record_batch([pa.array([seq], pa.int64()), pa.array([n], pa.int64()),
-                                    pa.array([zstandard.ZstdCompressor(level=3).compress(sink.getvalue().to_pybytes())], pa.binary())],
+                                    pa.array([zstandard.ZstdCompressor(level=9).compress(sink.getvalue().to_pybytes())], pa.binary())],
                                    names=["chunk", "n_words", "block"])
 
         for b in batches:
@@ -129,19 +126,21 @@ def _opened(block: bytes) -> pa.Table:
 
 
 def exploded(laid: DataFrame, parts: int, order: int) -> DataFrame:
-    """(part, chunk, grams, counts): each chunk's distinct n-grams."""
+    """(part, chunk, grams, counts): each chunk's distinct n-grams; the parts
+    of order k are numbered from (k - 1) * ``parts``."""
     def explode(batches):
         hashes = Hashes()
         for b in batches:
             for chunk, block in zip(b.column(0).to_pylist(), b.column(1)):
-                grams, counts = Grams(_opened(block.as_py()).column(1).to_pylist(), order, hashes).distinct()
-                at, cuts = by_part(grams, parts)
-                grams, counts = grams[at], counts[at]
-                rows = [(p, pack(np.diff(grams[i:j], prepend=np.uint64(0))), pack(counts[i:j]))
-                        for p, (i, j) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())) if i < j]
-                yield pa.record_batch([pa.array([p for p, _, _ in rows], pa.int64()), pa.array([chunk] * len(rows), pa.int64()),
-                                       pa.array([g for _, g, _ in rows], pa.binary()), pa.array([c for _, _, c in rows], pa.binary())],
-                                      names=["part", "chunk", "grams", "counts"])
+                g = Grams(_opened(block.as_py()).column(1).to_pylist(), order, parts, hashes)
+                for k, keys in enumerate(g.keys):
+                    keys, counts = np.unique(keys, return_counts=True)
+                    cuts = np.searchsorted(keys, np.arange(parts + 1, dtype=np.uint64) * g.width).tolist()
+                    rows = [(k * parts + p, pack(np.diff(keys[i:j] - np.uint64(p) * g.width, prepend=np.uint64(0))), pack(counts[i:j]))
+                            for p, (i, j) in enumerate(zip(cuts, cuts[1:])) if i < j]
+                    yield pa.record_batch([pa.array([p for p, _, _ in rows], pa.int64()), pa.array([chunk] * len(rows), pa.int64()),
+                                           pa.array([x for _, x, _ in rows], pa.binary()), pa.array([c for _, _, c in rows], pa.binary())],
+                                          names=["part", "chunk", "grams", "counts"])
 
     return laid.select("chunk", "block").mapInArrow(explode, "part long, chunk long, grams binary, counts binary")
 
@@ -160,23 +159,31 @@ def counted(requests: DataFrame) -> DataFrame:
     return requests.groupBy("part").applyInArrow(join, "part long, chunk long, totals binary")
 
 
-def scores(grams: Grams, distinct: np.ndarray, totals: np.ndarray, words: int, alpha: float) -> np.ndarray:
-    """log10 score of every word position, its document left out."""
-    n, sizes = len(grams.doc), np.array(grams.sizes, np.int64)
-    rest = []  # per order: corpus count without the document, per position
-    for h, ok in zip(grams.hash, grams.valid):
-        at = np.searchsorted(distinct, h[ok])
-        key, which, own = np.unique(grams.doc[ok] * len(distinct) + at, return_inverse=True, return_counts=True)
+def scores(grams: Grams, totals: list[np.ndarray], words: int, alpha: float) -> np.ndarray:
+    """log10 score of every word position, its document left out.
+    ``totals``: per order the corpus counts of the distinct keys, in order."""
+    n, out = len(grams.doc), None
+    for k, (at, keys, total) in enumerate(zip(grams.at, grams.keys, totals)):
+        # stable: equal n-grams lie by position, so those of a document together
+        order = np.argsort(keys, kind="stable")
+        keys, doc = keys[order], grams.doc[at[order]]
+        new = np.concatenate([[True], keys[1:] != keys[:-1]])[:len(keys)]
+        own = new | np.concatenate([[True], doc[1:] != doc[:-1]])[:len(keys)]
+        starts = np.flatnonzero(own)
+        size = np.diff(np.append(starts, len(keys)))
         c = np.zeros(n)
-        c[ok] = totals[at] - own[which]
-        rest.append(c)
-    left = words - sizes[grams.doc]
-    out = np.log10(np.where(rest[0] > 0, rest[0], 0.5) / np.maximum(left, 1))
-    for k in range(1, len(rest)):
-        context = np.concatenate([[0], rest[k - 1][:-1]])
-        seen = grams.valid[k] & (rest[k] > 0)
-        higher = np.log10(np.where(seen, rest[k], 1) / np.where(seen, context, 1))
-        out = np.where(seen, higher, np.where(grams.valid[k], out + math.log10(alpha), out))
+        c[at[order]] = total[np.cumsum(new) - 1] - np.repeat(size, size) if len(keys) else 0
+        if k == 0:
+            left = words - np.array(grams.sizes, np.int64)[grams.doc]
+            out = np.log10(np.where(c > 0, c, 0.5) / np.maximum(left, 1))
+        else:
+            context = np.concatenate([[0], rest[:-1]])
+            valid = np.zeros(n, bool)
+            valid[at] = True
+            seen = valid & (c > 0)
+            higher = np.log10(np.where(seen, c, 1) / np.where(seen, context, 1))
+            out = np.where(seen, higher, np.where(valid, out + math.log10(alpha), out))
+        rest = c
     return out
 
 
@@ -193,14 +200,12 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", o
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
         t = _opened(left.column("block")[0].as_py())
-        g = Grams(t.column(1).to_pylist(), order, Hashes())
-        distinct, _ = g.distinct()
-        at, _ = by_part(distinct, parts)
-        totals = np.zeros(len(distinct))
-        if len(distinct):
-            got = right.sort_by("part")
-            totals[at] = np.concatenate([unpack(x.as_py()) for x in got.column("totals")])
-        sums = np.bincount(g.doc, scores(g, distinct, totals, total, alpha), len(g.sizes)) if len(g.doc) else np.zeros(len(g.sizes))
+        g = Grams(t.column(1).to_pylist(), order, parts, Hashes())
+        got, totals = right.sort_by("part"), []
+        for k in range(order):
+            blocks = [unpack(x.as_py()) for p, x in zip(got.column("part").to_pylist(), got.column("totals")) if p // parts == k]
+            totals.append(np.concatenate(blocks).astype(np.float64) if blocks else np.zeros(0))
+        sums = np.bincount(g.doc, scores(g, totals, total, alpha), len(g.sizes)) if len(g.doc) else np.zeros(len(g.sizes))
         n = np.array(g.sizes, np.int64)
         none = n == 0
         mean = sums / np.maximum(n, 1)
