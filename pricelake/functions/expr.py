@@ -17,9 +17,15 @@ def nan_to_null(c) -> Column:
     return F.nanvl(_c(c), F.lit(None).cast("double"))
 
 
+def strip(c) -> Column:
+    """Without surrounding white space of any kind (Unicode's, and the four
+    separator controls)."""
+    return F.regexp_replace(_c(c), r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
+
+
 def normalize_ticker(c) -> Column:
     """Vendor convention: share-class dot becomes a dash, surrounding blanks go."""
-    return F.trim(F.translate(_c(c), ".", "-"))
+    return strip(F.translate(_c(c), ".", "-"))
 
 
 # (?U) makes \w, \s and \b Unicode-aware, as in Python's re.

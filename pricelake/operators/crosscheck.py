@@ -31,15 +31,25 @@ def unmatched_holdings(members: DataFrame, holdings: DataFrame) -> DataFrame:
 
 def summary(members: DataFrame, holdings: DataFrame) -> DataFrame:
     """Counts; matched = members − unmatched members.  Empty normalised
-    names match each other, so their number is reported too."""
-    ul = unmatched_list(members, holdings).agg(F.count(F.lit(1)).alias("unmatched_list"))
-    uh = unmatched_holdings(members, holdings).agg(F.count(F.lit(1)).alias("unmatched_holdings"))
-    lc = members.agg(F.count(F.lit(1)).alias("list_count"),
-                     F.count_if(normalize_company_name("company_name") == "").alias("empty_names"))
-    hc = holdings.agg(F.count(F.lit(1)).alias("holdings_count"))
-    one = F.lit(1)
-    out = lc.withColumn("_k", one)
-    for df in (hc, ul, uh):
-        out = out.join(df.withColumn("_k", one), "_k")
-    return out.drop("_k").withColumn("matched", F.col("list_count") - F.col("unmatched_list")).select(
+    names match each other, so their number is reported too.
+
+    Both sides are normalised once and collapsed to distinct names with
+    counts; the joins then move names, not rows."""
+    m = (members.groupBy(normalize_company_name("company_name").alias("k")).agg(F.count(F.lit(1)).alias("n")))
+    h = holdings.groupBy(normalize_company_name("name").alias("a"), normalize_company_name("title").alias("b")).agg(
+        F.count(F.lit(1)).alias("n"))
+    known = h.select(F.explode(F.array("a", "b")).alias("k")).distinct().withColumn("known", F.lit(True))
+    names = m.select("k", F.lit(True).alias("member"))
+    per_name = m.join(known, "k", "left").agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("list_count"),
+        F.coalesce(F.sum(F.when(F.col("known").isNull(), F.col("n"))), F.lit(0)).alias("unmatched_list"),
+        F.coalesce(F.sum(F.when(F.col("k") == "", F.col("n"))), F.lit(0)).alias("empty_names"), F.lit(1).alias("_k"))
+    both = (h.join(names.withColumnRenamed("k", "a").withColumnRenamed("member", "by_name"), "a", "left")
+            .join(names.withColumnRenamed("k", "b").withColumnRenamed("member", "by_title"), "b", "left"))
+    per_holding = both.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("holdings_count"),
+        F.coalesce(F.sum(F.when(F.col("by_name").isNull() & F.col("by_title").isNull(), F.col("n"))), F.lit(0)).alias("unmatched_holdings"),
+        F.lit(1).alias("_k"))
+    # two single-row aggregates side by side
+    return per_name.join(per_holding, "_k").withColumn("matched", F.col("list_count") - F.col("unmatched_list")).select(
         "list_count", "holdings_count", "matched", "unmatched_list", "unmatched_holdings", "empty_names")

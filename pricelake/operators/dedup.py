@@ -17,8 +17,3 @@ def keep_one(df: DataFrame, keys: list[str], order: list[Column], last: bool = T
     w = Window.partitionBy(*keys).orderBy(*ords)
     return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
-
-def duplicate_count(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows that a keep-one de-duplication would drop (one-row frame)."""
-    return (df.groupBy(*keys).count()
-            .agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).cast("long").alias("dropped")))

@@ -12,6 +12,9 @@ from ..schemas import DIM_DATE, SCD_ATTRIBUTES
 from .dedup import keep_one
 from .keys import assign_keys
 
+#: Order of arrival, where a bronze scan exposes it.
+ARRIVAL = ("_arrival_batch", "_arrival_file", "_arrival_row")
+
 
 # ---- dim_date -----------------------------------------------------------
 
@@ -75,18 +78,20 @@ def _attrs_equal(prefix_a: str, prefix_b: str, attrs: list[str]) -> Column:
 
 
 def prepare_snapshot(constituents: DataFrame, identifier_map: DataFrame | None) -> DataFrame:
-    """Snapshot rows with figi left-joined (unmatched keeps NULL figi), then
-    first row per ticker in arrival order."""
-    snap = constituents.withColumn("_arrival", F.monotonically_increasing_id())
+    """Snapshot rows with figi left-joined (unmatched keeps NULL figi); the
+    first row per ticker in order of arrival, as the scans expose it, else by
+    the values, so that reruns agree."""
+    def first(df, values):
+        order = [c for c in ARRIVAL if c in df.columns] or values
+        return keep_one(df, ["ticker"], [F.col(c) for c in order], last=False)
+
+    snap = first(constituents, [c for c in constituents.columns if c != "ticker"])
     if identifier_map is not None:
-        ids = keep_one(identifier_map.select("ticker", "figi")
-                       .withColumn("_a2", F.monotonically_increasing_id()),
-                       ["ticker"], [F.col("_a2")], last=False).drop("_a2")
+        ids = first(identifier_map, ["figi"]).select("ticker", "figi")
         snap = snap.drop(*[c for c in ["figi"] if c in snap.columns]).join(ids, "ticker", "left")
     for a in SCD_ATTRIBUTES:
         if a not in snap.columns:
             snap = snap.withColumn(a, F.lit(None).cast("string"))
-    snap = keep_one(snap, ["ticker"], [F.col("_arrival")], last=False)
     return snap.select("ticker", *SCD_ATTRIBUTES)
 
 
@@ -152,14 +157,16 @@ def scd2_transitions(snapshots: DataFrame, attrs: list[str]) -> DataFrame:
     the calendar); per-ticker windows hold one row per snapshot the ticker is
     in, so no group grows with the number of tickers.
     """
-    snapshots = keep_one(snapshots.withColumn("_a", F.monotonically_increasing_id()),
-                         ["ticker", "snapshot_date"], [F.col("_a")], last=False).drop("_a")
+    # one row per ticker and date; between differing copies the values decide,
+    # so that reruns agree
+    snapshots = keep_one(snapshots, ["ticker", "snapshot_date"],
+                         [F.col(c) for c in snapshots.columns if c not in ("ticker", "snapshot_date")], last=False)
     dates = snapshots.select("snapshot_date").distinct()
     idx = dates.select("snapshot_date",
                        F.row_number().over(Window.orderBy("snapshot_date")).alias("idx"),
                        F.lead("snapshot_date").over(Window.orderBy("snapshot_date")).alias("next_snapshot"))
-    # one row per snapshot date: AQE broadcasts it when its measured size is small
-    s = snapshots.join(idx, "snapshot_date")
+    # one row per snapshot date, at most one a day: bounded by the history
+    s = snapshots.join(F.broadcast(idx), "snapshot_date")
     w = Window.partitionBy("ticker").orderBy("idx")
     s = s.withColumn("prev_idx", F.lag("idx").over(w))
     for a in attrs:

@@ -69,30 +69,22 @@ def trailing_hour_budget(log: DataFrame, cap: int = SECONDARY_HOURLY_CAP,
     ``cap``.
 
     Exact and skew-proof whatever the distribution — one account, or one
-    hour of one account, may hold a third of the log: count = R(upper) -
-    R(lower), where R is a global running count of requests under the order
-    (account, time).  Every request row is tagged once and exploded into
-    itself plus two weightless probes, one just before everything at t - 1h
-    and one just after everything at t; one distributed running total
-    (range-partitioned, no single-task window) prices all three, and a group
-    by the row tag (three rows each, never hot) pairs them.
+    hour of one account, may hold a third of the log: requests are first
+    counted per (account, time), in the tasks; count = R(t) - R(before
+    t - 1h), where R is a running count over the distinct times under the
+    order (account, time).  Each distinct time is exploded into itself and a
+    weightless probe just before everything at t - 1h; one distributed
+    running total (range-partitioned, no single-task window) prices both.
+    Requests take their time's count by a join that AQE can split.
     """
     us = F.unix_micros(F.col(ts).cast("timestamp"))
-    tagged = log.withColumn("_rid", F.monotonically_increasing_id())
+    times = log.groupBy(F.col(f"`{account}`").alias("_acct"), us.alias("_us")).agg(F.count(F.lit(1)).alias("_n"))
     probes = F.array(
-        F.struct(F.lit(0).alias("k"), (us - window_seconds * 1_000_000).alias("u")),
-        F.struct(F.lit(1).alias("k"), us.alias("u")),
-        F.struct(F.lit(2).alias("k"), us.alias("u")))
-    row = F.struct(*[F.col(f"`{c}`") for c in log.columns])
-    flat = (tagged.select(F.col(f"`{account}`").alias("_acct"), "_rid", row.alias("_row"),
-                          F.explode(probes).alias("_p"))
-            .select("_acct", "_rid", F.col("_p.k").alias("_kind"), F.col("_p.u").alias("_us"),
-                    F.when(F.col("_p.k") == 1, F.col("_row")).alias("_row")))
-    # the priced rows are checkpointed, so each row's tag is fixed before the pairing
-    priced = running_total(flat, ["_acct", "_us", "_kind", "_rid"], "_r",
-                           weight=(F.col("_kind") == 1).cast("long"))
-    kind, r = F.col("_kind"), F.col("_r")
-    per = priced.groupBy("_rid").agg(
-        F.first("_row", ignorenulls=True).alias("_row"),
-        (F.max(F.when(kind == 2, r)) - F.max(F.when(kind == 0, r))).alias("trailing_count"))
-    return per.select("_row.*", "trailing_count", (F.col("trailing_count") > cap).alias("over_cap"))
+        F.struct(F.lit(0).alias("k"), (F.col("_us") - window_seconds * 1_000_000).alias("u"), F.lit(0).cast("long").alias("w")),
+        F.struct(F.lit(1).alias("k"), F.col("_us").alias("u"), F.col("_n").alias("w")))
+    flat = times.select("_acct", "_us", F.explode(probes).alias("_p")).select("_acct", "_us", "_p.k", "_p.u", "_p.w")
+    priced = running_total(flat, ["_acct", "u", "k", "_us"], "_r", weight=F.col("w"))
+    per = priced.groupBy("_acct", "_us").agg(
+        (F.max(F.when(F.col("k") == 1, F.col("_r"))) - F.max(F.when(F.col("k") == 0, F.col("_r")))).alias("trailing_count"))
+    out = log.join(per, F.col(f"`{account}`").eqNullSafe(F.col("_acct")) & us.eqNullSafe(F.col("_us")))
+    return out.select(*[F.col(f"`{c}`") for c in log.columns], "trailing_count", (F.col("trailing_count") > cap).alias("over_cap"))

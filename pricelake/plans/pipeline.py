@@ -161,8 +161,8 @@ def build_gold(spark: SparkSession, ingest_date: dt.date, start: dt.date, root:
     store.upsert("dim_date", dd_new, update_cols=["is_trading_day"])
     dd = store.read("dim_date")
 
-    cons = bronze.scan(spark, root, "constituents", CONSTITUENTS_BRONZE, ingest_date, arrival=False)
-    ids = bronze.scan(spark, root, "identifier_map", IDENTIFIER_BRONZE, ingest_date, arrival=False)
+    cons = bronze.scan(spark, root, "constituents", CONSTITUENTS_BRONZE, ingest_date)
+    ids = bronze.scan(spark, root, "identifier_map", IDENTIFIER_BRONZE, ingest_date)
     snap = dims.prepare_snapshot(cons.drop("ingest_date", "batch"), ids.drop("ingest_date", "batch"))
     if snap.isEmpty():
         raise ValueError(f"constituents snapshot for {ingest_date} is empty")

@@ -41,11 +41,6 @@ IDENTIFIER_BRONZE = _struct(
     ("share_class_figi", _S, True), ("name", _S, True),
     ("security_type", _S, True), ("market_sector", _S, True),
 )
-HOLDINGS = _struct(
-    ("name", _S, True), ("title", _S, True), ("cusip", _S, True), ("isin", _S, True),
-    ("asset_cat", _S, True), ("pct_val", _D, True), ("val_usd", _D, True),
-)
-REJECTS = _struct(("source", _S, False), ("key", _S, False), ("reason", _S, True))
 
 # ---- silver -------------------------------------------------------------
 SILVER_COLUMNS = [

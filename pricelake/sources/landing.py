@@ -55,7 +55,9 @@ def _xml_text(c: Column) -> Column:
 
 def price_json(secondary_bronze: DataFrame) -> DataFrame:
     rec = F.struct(
-        F.date_format("date", "yyyy-MM-dd'T'00:00:00.000'Z'").alias("date"),
+        F.concat(F.date_format("date", "yyyy-MM-dd'T'00:00:00.000"),
+                 F.when(F.dayofmonth("date") % 3 == 0, "+09:00").when(F.dayofmonth("date") % 3 == 1, "-05:00")
+                 .otherwise("Z")).alias("date"),
         "open", "high", "low", "close", "volume", F.col("adj_close").alias("adjClose"),
         F.col("adj_open").alias("adjOpen"), F.col("adj_high").alias("adjHigh"),
         F.col("adj_low").alias("adjLow"), F.col("adj_volume").alias("adjVolume"))
@@ -146,9 +148,13 @@ def constituents_html(spark, sf_dir) -> DataFrame:
     added = F.when(k % 11 == 5, F.lit("n/a")).otherwise(F.date_format("date_added", "yyyy-MM-dd"))
 
     def td(x):
-        return F.concat(F.lit("<td>"), _xml_text(x), F.lit("</td>"))
+        return F.concat(F.lit("<td>"), x, F.when(k % 3 == 0, "\n  ").otherwise(""), F.lit("</td>"))
 
-    row = F.concat(F.lit("<tr>"), td(F.concat(F.lit(" "), sym, F.lit(" "))), td(F.col("company_name")),
+    name = _xml_text(F.col("company_name"))
+    # markup as pages have it: line ends before closing tags, entities
+    name = (F.when(k % 5 == 0, F.regexp_replace(name, "^A", "&#65;")).when(k % 5 == 1, F.regexp_replace(name, "^A", "&#x41;"))
+            .otherwise(name))
+    row = F.concat(F.lit("<tr>"), td(F.concat(F.when(k % 4 == 1, "&nbsp;").otherwise(" "), sym, F.lit(" "))), td(name),
                    td(F.col("gics_sector")), td(F.col("gics_sub_industry")), td(added), F.lit("</tr>\n"))
     g = c.groupBy((k / 50).cast("long").alias("page_id")).agg(
         F.sort_array(F.collect_list(F.struct(k.alias("k"), row.alias("r")))).alias("rs"))

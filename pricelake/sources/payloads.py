@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import EQUITY_ASSET_CATEGORY, FILING_FORM, MACRO_PLACEHOLDER
-from ..functions import normalize_ticker
+from ..functions.expr import normalize_ticker, strip
 
 
 def _drift_checked(text: Column, required: list[str], what: str) -> Column:
@@ -35,20 +35,28 @@ PRICE_FIELDS = [
     ("adjOpen", "adj_open"), ("adjHigh", "adj_high"), ("adjLow", "adj_low"),
     ("adjVolume", "adj_volume"),
 ]
-PRICE_REQUIRED = ["date", "open", "high", "low", "close", "volume", "adjClose"]
-_PRICE_SCHEMA = ("array<struct<date: string, open: double, high: double, low: double, close: double, "
-                 "volume: long, adjClose: double, adjOpen: double, adjHigh: double, adjLow: double, "
-                 "adjVolume: long>>")
+PRICE_REQUIRED = [src for src, _ in PRICE_FIELDS]
+# read as text, so that a value of the wrong kind is seen and not nulled
+_PRICE_SCHEMA = "array<struct<" + ", ".join(f"{src}: string" for src in PRICE_REQUIRED) + ">>"
+
+
+def _whole(text: Column, what: str) -> Column:
+    """Text to long; bad text or a fraction fails the job."""
+    d = text.cast("decimal(38,6)")
+    return F.when(d != F.floor(d), F.raise_error(F.concat(F.lit(f"{what} is no whole number: "), text))).otherwise(
+        d.cast("long"))
 
 
 def parse_price_records(landed: DataFrame, payload: str = "payload", ticker: str = "ticker") -> tuple[DataFrame, DataFrame]:
-    """(rows, rejects).  Dates are tz-aware ISO strings → calendar date in
-    UTC.  A payload with no records is a reject for its ticker."""
+    """(rows, rejects).  Dates are ISO strings with a time and an offset, of
+    which the calendar date stands as written.  Numbers are cast strictly.
+    A payload with no records is a reject for its ticker."""
     text = _drift_checked(F.col(payload), PRICE_REQUIRED, "price payload")
     p = landed.select(F.col(ticker).alias("ticker"), F.from_json(text, _PRICE_SCHEMA).alias("_r"))
     rows = p.select("ticker", F.explode("_r").alias("r")).select(
-        F.to_date(F.to_timestamp(F.col("r.date"))).alias("date"),
-        *[F.col(f"r.{src}").alias(dst) for src, dst in PRICE_FIELDS if src != "date"], "ticker")
+        F.substring("r.date", 1, 10).cast("date").alias("date"),
+        *[(_whole(F.col(f"r.{src}"), src) if "volume" in dst else F.col(f"r.{src}").cast("double")).alias(dst)
+          for src, dst in PRICE_FIELDS if src != "date"], "ticker")
     cols = ["date", "open", "high", "low", "close", "adj_close", "adj_open", "adj_high", "adj_low",
             "adj_volume", "volume", "ticker"]
     rejects = p.where(F.coalesce(F.size("_r"), F.lit(0)) <= 0).select(
@@ -172,11 +180,34 @@ HTML_COLUMNS = [("Symbol", "ticker"), ("Security", "company_name"), ("GICS Secto
 _TAGS = r"(?s)<[^>]+>"
 
 
+# FIXED VALUES: named entities of the page; the ampersand's comes last, so
+# that an escaped entity is not decoded twice.
+ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&nbsp;", "\u00a0"), ("&ndash;", "\u2013"),
+            ("&mdash;", "\u2014")]
+
+
+def _numeric_entities(t: Column) -> Column:
+    """Decimal and hexadecimal character references as their characters;
+    what is none stays."""
+    pieces = F.split(t, "&#")
+
+    def decoded(p):
+        hexa = F.regexp_extract(p, r"^[xX]([0-9a-fA-F]{1,6});", 1)
+        code = F.when(hexa != "", hexa).otherwise(
+            F.hex(F.nullif(F.regexp_extract(p, r"^([0-9]{1,7});", 1), F.lit("")).cast("long")))
+        ok = code.isNotNull() & (F.lpad(code, 8, "0") <= "0010FFFF")
+        char = F.decode(F.unhex(F.lpad(F.upper(code), 8, "0")), "UTF-32")
+        return F.when(ok, F.concat(char, F.regexp_replace(p, r"^[^;]*;", ""))).otherwise(F.concat(F.lit("&#"), p))
+
+    rest = F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), decoded)
+    return F.concat(F.get(pieces, F.lit(0)), F.array_join(rest, ""))
+
+
 def _cell_text(c: Column) -> Column:
     t = F.regexp_replace(c, _TAGS, "")
-    for ent, ch in [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")]:
+    for ent, ch in ENTITIES:
         t = F.replace(t, F.lit(ent), F.lit(ch))
-    return F.trim(t)
+    return strip(F.replace(_numeric_entities(t), F.lit("&amp;"), F.lit("&")))
 
 
 def parse_constituents_html(landed: DataFrame, page: str = "page_id", html: str = "html") -> DataFrame:
@@ -226,7 +257,7 @@ def wide_to_long(wide: DataFrame, date_col: str = "date", sep: str = ".") -> Dat
     fields = [f for f, _ in WIDE_FIELDS if any(ff == f for _, _, ff in pairs)]
     missing = [label[f] for f, _ in WIDE_FIELDS if f not in fields and label[f] in WIDE_CORE]
     if missing:
-        raise ValueError(f"wide frame missing core fields: {missing}")
+        raise ValueError(f"wide frame lacks core fields: {missing}")
     blocks = []
     for t in tickers:
         present = {f: c for c, tt, f in pairs if tt == t}
@@ -240,8 +271,14 @@ def wide_to_long(wide: DataFrame, date_col: str = "date", sep: str = ".") -> Dat
 def cells_to_long(cells: DataFrame, key: str = "cells", date_col: str = "date", sep: str = ".") -> DataFrame:
     """The same reshape for wide frames landed as one map per (batch, date)
     (``"{ticker}{sep}{field}" → value``): explode, split the key, pivot the
-    known fields back with conditional aggregates per (ticker, date)."""
-    e = cells.select(F.col(date_col).alias("date"), F.explode(F.col(key)).alias("k", "v"))
+    known fields back with conditional aggregates per (ticker, date).  A
+    response that lacks a core field altogether fails the job."""
+    fields = F.transform(F.map_keys(key), lambda k: F.element_at(F.split(k, f"\\{sep}"), -1))
+    core = [f for f, c in WIDE_FIELDS if c in WIDE_CORE]
+    missing = F.array_except(F.array(*map(F.lit, core)), fields)
+    checked = F.when((F.size(key) > 0) & (F.size(missing) > 0), F.raise_error(F.concat(
+        F.lit("wide response lacks core fields: "), F.array_join(missing, ",")))).otherwise(F.col(key))
+    e = cells.select(F.col(date_col).alias("date"), F.explode(checked).alias("k", "v"))
     pos = F.length("k") - F.locate(sep, F.reverse("k")) + 1  # last separator
     e = e.select("date", F.substring("k", F.lit(1), pos - 1).alias("ticker"),
                  F.expr(f"substring(k, {'length(k) - locate(' + repr(sep) + ', reverse(k)) + 2'})").alias("field"), "v")

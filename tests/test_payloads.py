@@ -128,7 +128,74 @@ def test_wide_to_long_from_columns(spark):
 
 
 def test_wide_cells_to_long(spark):
-    cells = spark.createDataFrame([("2024-01-02", {"B.C.Open": 1.0, "B.C.Close": 2.0, "B.C.Volume": 3.0})],
+    cells = spark.createDataFrame([("2024-01-02", {"B.C.Open": 1.0, "B.C.Close": 2.0, "B.C.Volume": 3.0, "B.C.High": None,
+                                                   "B.C.Low": None, "B.C.Adj Close": None})],
                                   "date string, cells map<string,double>")
     r = payloads.cells_to_long(cells).first()
     assert (r.ticker, r.open, r.close, r.volume, r.high) == ("B.C", 1.0, 2.0, 3, None)
+
+
+def test_html_as_pages_have_it(spark):
+    page = ("<table><tr><th>Symbol\n</th><th>Security</th><th>GICS&nbsp;Sector</th><th>GICS Sector</th><th>GICS Sub-Industry</th>"
+            "<th>Date added\n</th></tr><tr><td>&#160;BRK.B\n</td><td>A &amp;#38; B&apos;s &#x20AC;&#128512; &#xZZ;</td><td>x</td>"
+            "<td>F&nbsp;</td><td>G</td><td>2001-02-03\n</td></tr></table>")
+    (r,) = parse_html(spark, page)
+    assert (r.ticker, r.gics_sector, str(r.date_added)) == ("BRK-B", "F", "2001-02-03")
+    assert r.company_name == "A &#38; B's \u20ac\U0001f600 &#xZZ;"
+
+
+def parse_html(spark, page):
+    return payloads.parse_constituents_html(spark.createDataFrame([(1, page)], "page_id int, html string")).collect()
+
+
+PRICE = ('[{"date": "%s", "open": 1, "high": %s, "low": 1, "close": 1, "volume": %s, "adjClose": 1, "adjOpen": 1, "adjHigh": 1,'
+         ' "adjLow": 1, "adjVolume": 3}]')
+
+
+def price(spark, date="2024-01-05T00:00:00.000Z", high="2.5", volume="7"):
+    return payloads.parse_price_records(spark.createDataFrame([("A", PRICE % (date, high, volume))], "ticker string, payload string"))[0]
+
+
+def test_price_dates_stand_as_written(spark):
+    for offset in ("Z", "+09:00", "-11:00"):
+        assert str(price(spark, f"2024-01-05T00:00:00.000{offset}").first().date) == "2024-01-05"
+
+
+def test_price_values_are_cast_strictly(spark):
+    r = price(spark, volume="7.0").first()
+    assert (r.high, r.volume) == (2.5, 7)
+    for bad in ({"high": '"abc"'}, {"volume": "10.5"}, {"volume": '"many"'}, {"date": "2024-13-05T00:00:00Z"}):
+        with pytest.raises(Exception):
+            price(spark, **bad).collect()
+
+
+def test_price_payload_without_adjusted_fields_is_drift(spark):
+    text = (PRICE % ("2024-01-05", "1", "1")).replace('"adjOpen": 1, ', "")
+    df = spark.createDataFrame([("A", text)], "ticker string, payload string")
+    with pytest.raises(Exception, match="adjOpen"):
+        payloads.parse_price_records(df)[0].collect()
+
+
+def test_landed_wide_response_without_a_core_field_is_drift(spark):
+    df = spark.createDataFrame([("2024-01-05", {"A.Open": 1.0, "A.High": 1.0, "A.Low": 1.0, "A.Close": 1.0, "A.Volume": 1.0})],
+                               "date string, cells map<string, double>")
+    with pytest.raises(Exception, match="Adj Close"):
+        payloads.cells_to_long(df).collect()
+
+
+def test_tickers_lose_any_white_space(spark):
+    from pricelake.functions import normalize_ticker
+    df = spark.createDataFrame([("MMM\n",), ("\u00a0BRK.B\u2003\t",)], "t string")
+    assert [r[0] for r in df.select(normalize_ticker("t")).collect()] == ["MMM", "BRK-B"]
+
+
+def test_keys_asked_for_and_never_answered_are_dead_letters(spark, lake):
+    import datetime as dt
+    from pricelake.plans import ingest
+    from pricelake.sources import bronze
+    d = dt.date(2024, 1, 31)
+    obs = spark.createDataFrame([("DGS10", '{"observations": [{"date": "2024-01-02", "value": "4.1"}]}')], "series_id string, payload string")
+    asked = spark.createDataFrame([("DGS10",), ("NONE",)], "series_id string")
+    assert [r.key for r in ingest.ingest_observations(spark, obs, d, lake, requested=asked).collect()] == ["NONE"]
+    ingest.ingest_observations(spark, obs, d, lake, requested=asked.limit(1))
+    assert bronze.read_rejects(spark, lake).count() == 0            # the newer, empty list replaces the old one
