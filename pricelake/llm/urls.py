@@ -76,21 +76,15 @@ class Shape:
         return sorted(dict.fromkeys(out), key=len, reverse=True)
 
 
-def shape_of(listed: DataFrame) -> Shape:
-    """A few numbers about the listed keys: bounded by the longest key."""
-    host = F.split_part("key", F.lit("/"), F.lit(1))
-    path = F.length("key") - F.length(host)
-    r = listed.agg(F.max(F.size(F.split(host, r"\."))).alias("labels"), F.collect_set(path).alias("lengths")).first()
-    return Shape(r.labels or 0, list(r.lengths))
-
-
 class Level:
     """One Bloom filter."""
 
-    def __init__(self, number: int, n: int, p: float):
+    def __init__(self, number: int, n: int, p: float, size: tuple[int, int] | None = None):
+        """For ``n`` keys at a rate ``p`` of false positives, or of a given
+        size (bits, hashes)."""
         self.number = number
-        self.m = max(64, 64 * math.ceil(n * math.log(1 / p) / math.log(2) ** 2 / 64))
-        self.k = max(1, round(math.log(1 / p) / math.log(2)))
+        self.m, self.k = size or (max(64, 64 * math.ceil(n * math.log(1 / p) / math.log(2) ** 2 / 64)),
+                                  max(1, round(math.log(1 / p) / math.log(2))))
         self.bits = np.zeros(self.m // 64, np.uint64)
 
     def positions(self, key: str) -> list[int]:
@@ -101,21 +95,6 @@ class Level:
     def __contains__(self, key: str) -> bool:
         return all(int(self.bits[x >> 6]) >> (x & 63) & 1 for x in self.positions(key))
 
-    def fill(self, keys: DataFrame) -> None:
-        """Encode ``keys``; at most one row per 64-bit word reaches the driver."""
-        me = (self.number, self.m, self.k)
-
-        def place(batches):
-            level = Level.__new__(Level)
-            level.number, level.m, level.k = me
-            for b in batches:
-                x = np.array([x for key in b.column(0).to_pylist() for x in level.positions(key)], np.uint64)
-                yield pa.record_batch([pa.array((x >> np.uint64(6)).astype(np.int64)),
-                                       pa.array((np.uint64(1) << (x & np.uint64(63))).view(np.int64))], names=["w", "b"])
-
-        for r in keys.select("key").mapInArrow(place, "w long, b long").groupBy("w").agg(F.bit_or("b").alias("b")).toLocalIterator():
-            self.bits[r.w] = np.int64(r.b).view(np.uint64)
-
 
 class Cascade(list):
     """Levels; exact for every key of the universe it was built over."""
@@ -127,36 +106,61 @@ class Cascade(list):
         return len(self) % 2 == 1
 
 
-def build(listed: DataFrame, universe: DataFrame) -> Cascade:
-    """The cascade of ``listed(key)`` over ``universe(key)``, both distinct."""
-    spark, folder = listed.sparkSession, run_folder(listed.sparkSession, "urls")
-    out, held = Cascade(), [f"{folder}/in", f"{folder}/out"]
-    inside = stored(listed.join(universe, "key", "left_semi"), held[0])
-    outside = stored(universe.join(listed, "key", "left_anti"), held[1])
-    n, s = inside.count(), outside.count()
-    if not n:
-        remove(spark, folder)
-        return out
-    p = min(0.5, max(1e-6, n * math.sqrt(2) / max(1, s)))
+def build(marked: DataFrame, lists: list[str]) -> dict[str, Cascade]:
+    """A cascade for each of ``lists`` over ``marked(key, lists)``: the keys of
+    the universe with the lists they are on.  All cascades gain a level at a
+    time, in the same passes."""
+    spark, folder = marked.sparkSession, run_folder(marked.sparkSession, "urls")
+    out = {x: Cascade() for x in lists}
+    # per list the keys to encode (inside) and to tell apart from them
+    rows = marked.select("key", F.explode(F.array(*[
+        F.struct(F.lit(x).alias("list"), F.array_contains("lists", x).alias("inside")) for x in lists])).alias("x")).select(
+        "key", "x.list", "x.inside")
+    number = 0
     while True:
-        level = Level(len(out), n, p if not out else 0.5)
-        level.fill(inside)
-        out.append(level)
-        shared = spark.sparkContext.broadcast(level)
-
-        def passed(batches, shared=shared):
-            for b in batches:
-                yield pa.record_batch([pa.array([k for k in b.column(0).to_pylist() if k in shared.value], pa.string())], names=["key"])
-
-        wrong = stored(outside.mapInArrow(passed, "key string"), f"{folder}/{len(out)}")
-        if not (n := wrong.count()):
+        sizes = {x: [0, 0] for x in lists}
+        for r in rows.groupBy("list", "inside").count().collect():  # two rows a list
+            sizes[r.list][not r.inside] = r["count"]
+        levels = {}
+        for x, (n, others) in sizes.items():
+            if n:
+                p = min(0.5, max(1e-6, n * math.sqrt(2) / max(1, others))) if number == 0 else 0.5
+                levels[x] = Level(number, n, p)
+        if not levels:
             remove(spark, folder)
             return out
-        inside, outside = wrong, inside
+        shape = {x: (v.m, v.k) for x, v in levels.items()}
 
+        def place(batches):
+            mine = {x: Level(number, 0, 0.5, size) for x, size in shape.items()}
+            for b in batches:
+                lists, words, bits = [], [], []
+                for key, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                    for at in mine[x].positions(key):
+                        lists.append(x)
+                        words.append(at >> 6)
+                        bits.append(1 << (at & 63))
+                yield pa.record_batch([pa.array(lists, pa.string()), pa.array(words, pa.int64()),
+                                       pa.array(np.array(bits, np.uint64).view(np.int64))], names=["list", "w", "b"])
+
+        # at most one row per 64-bit word of a filter reaches the driver
+        for r in (rows.filter("inside").select("key", "list").mapInArrow(place, "list string, w long, b long")
+                  .groupBy("list", "w").agg(F.bit_or("b").alias("b")).collect()):
+            levels[r.list].bits[r.w] = np.int64(r.b).view(np.uint64)
+        for x, level in levels.items():
+            out[x].append(level)
+        shared = spark.sparkContext.broadcast(levels)
+
+        def turn(batches, shared=shared):
+            """What passed wrongly is encoded next, told from what is encoded now."""
+            for b in batches:
+                keep = [(k, x, not i) for k, x, i in zip(*(c.to_pylist() for c in b.columns))
+                        if x in shared.value and (i or k in shared.value[x])]
+                yield pa.record_batch([pa.array([c[0] for c in keep], pa.string()), pa.array([c[1] for c in keep], pa.string()),
+                                       pa.array([c[2] for c in keep], pa.bool_())], names=b.schema.names)
 
-def classes(keys: DataFrame, n: int) -> DataFrame:
-    return keys.withColumn("class", F.pmod(F.xxhash64("key"), F.lit(n)))
+        number += 1
+        rows = stored(rows.mapInArrow(turn, "key string, list string, inside boolean"), f"{folder}/{number}")
 
 
 def filter_urls(pages: DataFrame, rules: DataFrame, sites: DataFrame, id_col: str = "page_id", url_col: str = "url",
@@ -164,10 +168,17 @@ def filter_urls(pages: DataFrame, rules: DataFrame, sites: DataFrame, id_col: st
     """page_id, host, path, rule, verdict and listed (the blocked site).
 
     ``rules(verdict, key)``; ``sites(key)`` blocks where no rule fits."""
-    spark = pages.sparkSession
-    lists = {"allow": rules.filter("verdict = 'allow'").select("key").distinct(),
-             "block": rules.filter("verdict = 'block'").select("key").distinct(), "site": sites.select("key").distinct()}
-    shapes = {"rule": shape_of(rules), "site": shape_of(sites)}
+    spark, folder = pages.sparkSession, run_folder(pages.sparkSession, "urls")
+    lists = ["allow", "block", "site"]
+    listed = (rules.select(F.col("verdict").alias("list"), "key").unionByName(sites.select(F.lit("site").alias("list"), "key"))
+              .filter(F.col("list").isin(lists)).groupBy("key").agg(F.collect_set("list").alias("lists")))
+    # a few numbers about the listed keys, bounded by the longest key
+    host = F.split_part("key", F.lit("/"), F.lit(1))
+    shapes, n_keys = {}, {}
+    for r in (listed.withColumn("list", F.explode("lists")).groupBy("list").agg(
+            F.max(F.size(F.split(host, r"\."))).alias("labels"), F.collect_set(F.length("key") - F.length(host)).alias("lengths"),
+            F.count(F.lit(1)).alias("n")).collect()):
+        shapes[r.list], n_keys[r.list] = Shape(r.labels, list(r.lengths)), r.n
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"))
 
     def keys(batches):
@@ -175,15 +186,15 @@ def filter_urls(pages: DataFrame, rules: DataFrame, sites: DataFrame, id_col: st
             found = {k for u in b.column(0).to_pylist() for s in shapes.values() for k in s.candidates(*parts(u))}
             yield pa.record_batch([pa.array(list(found), pa.string())], names=["key"])
 
-    folder = run_folder(spark, "urls")
-    universe = stored(rows.select("url").mapInArrow(keys, "key string").distinct(), folder)
-    n = max(1, math.ceil(max(x.count() for x in lists.values()) / class_keys))
+    universe = rows.select("url").mapInArrow(keys, "key string").distinct()
+    marked = stored(universe.join(listed, "key", "left").withColumn("lists", F.coalesce("lists", F.array().cast("array<string>")))
+                    .withColumn("hash", F.xxhash64("key")), folder)
+    n = max(1, math.ceil(max(n_keys.values(), default=0) / class_keys))
     found = rows.select("page_id", "url", *[F.lit(None).cast("string").alias(x) for x in lists])
     id_type = rows.schema["page_id"].dataType.simpleString()
     for c in range(n):
-        mine = {x: build(classes(k, n).filter(F.col("class") == c).drop("class"),
-                         classes(universe, n).filter(F.col("class") == c).drop("class")) for x, k in lists.items()}
-        found = _probe(found, mine, shapes, id_type, n, c)
+        cascades = build(marked if n == 1 else marked.filter(F.pmod("hash", F.lit(n)) == c), lists)
+        found = _probe(found, cascades, shapes, id_type, n, c)
         if n > 1:
             found = stored(found, f"{folder}-pass-{c}")
     rule = F.when(F.length("block") >= F.coalesce(F.length("allow"), F.lit(0)), F.col("block")).otherwise(F.col("allow"))
@@ -215,7 +226,7 @@ def _probe(rows: DataFrame, cascades: dict[str, Cascade], shapes: dict[str, Shap
                 for x, cascade in lists.items():
                     if not cascade:
                         continue
-                    for key in shapes["site" if x == "site" else "rule"].candidates(*parts(u)):
+                    for key in shapes[x].candidates(*parts(u)):
                         if n > 1 and _class(key, n) != c:
                             continue
                         if key in cascade:

@@ -58,11 +58,12 @@ def test_random_lists_are_exact(spark):
 
 
 def test_cascade_has_levels_and_is_exact(spark):
-    universe = spark.range(4000).selectExpr("concat('k', id) AS key")
-    listed = spark.range(0, 4000, 7).selectExpr("concat('k', id) AS key").unionByName(spark.createDataFrame([("other",)], "key string"))
-    c = U.build(listed, universe)
-    assert len(c) > 1
-    assert [f"k{i}" in c for i in range(4000)] == [i % 7 == 0 for i in range(4000)]
+    marked = spark.range(4000).selectExpr("concat('k', id) AS key",
+                                          "filter(array(if(id % 7 = 0, 'a', null), if(id < 3, 'b', null)), x -> x is not null) AS lists")
+    c = U.build(marked, ["a", "b", "none"])
+    assert len(c["a"]) > 1 and len(c["none"]) == 0
+    assert [f"k{i}" in c["a"] for i in range(4000)] == [i % 7 == 0 for i in range(4000)]
+    assert [i for i in range(4000) if f"k{i}" in c["b"]] == [0, 1, 2]
 
 
 def test_empty_lists_and_pages(spark):
