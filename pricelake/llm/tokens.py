@@ -15,7 +15,7 @@ files (a record each), so a lost executor leaves no half-written shard, and
 any file system that Spark reaches will do.
 
 Tokenising splits texts at blanks, which the vocabulary drops and never
-joins over, and encodes each distinct word of a task once with the tokenizer
+joins over, and a worker encodes each distinct word once with the tokenizer
 library; words are held up to ``HELD``.
 
 Defined results: a null or empty text is the end id alone; null ids sort
@@ -26,7 +26,9 @@ ignored.
 
 from __future__ import annotations
 
+import re
 import struct
+import unicodedata
 import zlib
 
 import numpy as np
@@ -42,50 +44,106 @@ from .common import partitions, run_folder, stored, table
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 2
 SHARD_BYTES = 8 << 20
-#: Words whose ids a worker holds.
-HELD = 400_000
+#: Words whose ids a worker holds (and those of the texts at hand).
+HELD = 500_000
 
 # Fixed values of the seekable format.
 SKIPPABLE, SEEKABLE, CHECKSUMS = 0x184D2A5E, 0x8F92EAB1, 0x80
 
 
-class Encoder:
-    """Whole texts to token ids, as bytes."""
+#: A full stop or comma next to other punctuation, with which it is one piece.
+JOINED = re.compile(r"[.,](?:(?=[^\w \t\n\r])|(?=_)|(?<=[^\w \t\n\r][.,])|(?<=_[.,]))")
+#: Where a letter up to U+00FF and ASCII punctuation but the apostrophe meet:
+#: always two pieces.
+MEET = re.compile(r"(?<=[A-Za-zÀ-ÖØ-öø-ÿ])(?=[!-&(-/:-@\[-^`{-~])|(?<=[!-&(-/:-@\[-^`{-~])(?=[A-Za-zÀ-ÖØ-öø-ÿ])")
+
+
+class Encoder(dict):
+    """Whole texts to token ids, as bytes; a dictionary of the words met.
+
+    The vocabulary's rules split a text at blanks and between letters, digits
+    and other characters, and lower-case it.  So capitals make no difference
+    (taken as given in texts up to U+00FF, where lower-casing is one to one),
+    and a full stop or comma that touches no other punctuation is a word of
+    its own.  Texts are reduced by this first, which leaves far fewer words to
+    encode and to hold."""
 
     def __init__(self, vocabulary: str | None = None):
         import public_tokenizers
         from tokenizers import Tokenizer
+        super().__init__({"": b""})
         self.tokenizer = Tokenizer.from_file(vocabulary or public_tokenizers.path(VOCABULARY))
-        self.held: dict[str, bytes] = {"": b""}
+        vocab = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)
+        self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
+
+    def _encode_one(self, w: str) -> bytes:
+        return np.asarray(self.tokenizer.encode(w, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _learn(self, words: list[str]) -> None:
-        plain = [w for w in words if "<|" not in w]
+        plain = []  # words of letters are one piece each, whose last token is marked
+        for w in words:
+            if w.isalpha():
+                plain.append(w)
+            else:
+                self[w] = self._encode_one(w)
         for i in range(0, len(plain), 1000):
             part = plain[i:i + 1000]
-            e = self.tokenizer.encode(part, is_pretokenized=True, add_special_tokens=False)
-            ids = np.asarray(e.ids, "<u4").tobytes()
-            cuts = 4 * np.searchsorted(np.asarray(e.word_ids, np.int64), np.arange(len(part) + 1))
-            for w, a, b in zip(part, cuts.tolist(), cuts[1:].tolist()):
-                self.held[w] = ids[a:b]
-        for w in words:
-            if w not in self.held:
-                self.held[w] = np.asarray(self.tokenizer.encode(w, add_special_tokens=False).ids, "<u4").tobytes()
+            (e,) = self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)
+            ids = np.asarray(e.ids, "<u4")
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) == len(part) and cuts[-1] == len(ids):
+                blob, at = ids.tobytes(), 0
+                for w, end in zip(part, (4 * cuts).tolist()):
+                    self[w] = blob[at:end]
+                    at = end
+            else:
+                for w in part:
+                    self[w] = self._encode_one(w)
+
+    def words(self, text: str | None) -> list[str]:
+        t = text or ""
+        if "<|" not in t:  # special tokens are told from the text as it is
+            try:
+                t.encode("latin-1")
+                t = t.lower()
+                plain = True
+            except UnicodeEncodeError:
+                # normalising or lower-casing must not put a mark after a letter
+                plain = unicodedata.is_normalized("NFC", t) and "\u0130" not in t
+            if plain:
+                t = MEET.sub(" ", t) if JOINED.search(t) else t.replace(".", " . ").replace(",", " , ")
+        if any(c in t for c in "\x1c\x1d\x1e\x1f"):  # blanks to Python alone
+            return t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+        return t.split()
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        out = []
+        if len(self) > HELD:
+            self.clear()
+            self[""] = b""
+        out, new, wait = [], {}, []
         for t in texts:
-            t = t or ""
-            if t.isascii() and "<|" not in t:
-                t = t.lower()  # the vocabulary is lower case: fewer words to hold
-            words = t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-            try:
-                out.append(b"".join(map(self.held.__getitem__, words)))
-            except KeyError:
-                if len(self.held) > HELD:
-                    self.held = {"": b""}
-                self._learn([w for w in dict.fromkeys(words) if w not in self.held])
-                out.append(b"".join(map(self.held.__getitem__, words)))
-        return out
+            words = self.words(t)
+            ids = list(map(self.get, words))
+            if None in ids:
+                new.update((w, None) for w, i in zip(words, ids) if i is None)
+                wait.append((len(out), words))
+            out.append(ids)
+        if new:
+            self._learn(list(new))
+            for i, words in wait:
+                out[i] = map(self.__getitem__, words)
+        return [b"".join(ids) for ids in out]
+
+
+_encoders: dict[str | None, Encoder] = {}
+
+
+def encoder(vocabulary: str | None = None) -> Encoder:
+    """The worker's encoder: its words serve all its tasks."""
+    if vocabulary not in _encoders:
+        _encoders[vocabulary] = Encoder(vocabulary)
+    return _encoders[vocabulary]
 
 
 class ShardWriter:
@@ -157,11 +215,11 @@ def write_shards(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
 
     def pack(batches):
         from pyspark import TaskContext
-        encoder, part, seq, shard = Encoder(vocabulary), TaskContext.get().partitionId(), 0, None
+        part, seq, shard = TaskContext.get().partitionId(), 0, None
         for b in batches:
-            for i in range(0, b.num_rows, 256):
-                rows = b.slice(i, 256)
-                for doc_id, ids in zip(rows.column(0).to_pylist(), encoder.encode(rows.column(1).to_pylist())):
+            for i in range(0, b.num_rows, 64):
+                rows = b.slice(i, 64)
+                for doc_id, ids in zip(rows.column(0).to_pylist(), encoder(vocabulary).encode(rows.column(1).to_pylist())):
                     shard = shard or ShardWriter(part, seq)
                     shard.add(doc_id, ids + end)
                     if shard.size >= shard_bytes:
