@@ -14,8 +14,18 @@ from ..session import checkpoint_root
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Rows that go to a Python worker at a time: whole texts are long.
+BATCH_ROWS = 1000
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Keep Arrow batches of whole texts small, on both sides."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables."""
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -33,6 +43,7 @@ def set_aside(df: DataFrame):
 
 def run_folder(spark: SparkSession, name: str) -> str:
     """A new folder for one run, in the storage that all executors share."""
+    bounded_batches(spark)
     return f"{checkpoint_root(spark)}/llm/{name}-{uuid.uuid4().hex}"
 
 
