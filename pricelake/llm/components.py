@@ -21,24 +21,25 @@ def components(links: DataFrame) -> DataFrame:
     spark, folder = links.sparkSession, run_folder(links.sparkSession, "components")
     edges = stored(links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(),
                    f"{folder}/0")
-    seen, i = None, 0
+
+    def sign(df):
+        return df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+
+    i = 0
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-        large = (both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .filter("u <> v").distinct())
-        large = stored(large, f"{folder}/{i}-large")
+        large = stored(both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+                       .filter("u <> v").distinct(), f"{folder}/{i}-large")
+        if sign(large) == sign(edges):  # every node hangs on its smallest
+            break
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(least.select("u", F.col("m").alias("v")))
                  .filter("u <> v").distinct())
-        nxt = stored(small, f"{folder}/{i + 1}")
-        now = nxt.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        edges = stored(small, f"{folder}/{i + 1}")
         remove(spark, f"{folder}/{i}-large")
         remove(spark, f"{folder}/{i}")
-        edges, i = nxt, i + 1
-        if now == seen:
-            break
-        seen = now
+        i += 1
     return (edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
             .unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct())

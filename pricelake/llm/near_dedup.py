@@ -4,16 +4,21 @@
    ``BANDS * ROWS`` minimum hashes.  Equal word sequences (by SHA-256) are one
    node, named by its smallest id, so exact copies cost one row each.
 2. Nodes that agree on all rows of a band meet in that band's bucket.
-3. Rounds over the buckets.  Each round every bucket has one leader, and the
-   bucket's nodes of other components are compared with it: signatures batch
-   by batch, a pair being pruned as soon as the posterior probability that
-   its similarity reaches the threshold falls below ``MISS``; survivors are
-   compared by their full shingle sets.  The links found are merged into
-   components, the leader (now compared with all its bucket) leaves it, and
-   buckets within one component are done.  A group of thousands of near
-   copies thus takes pairs in proportion to its size.
-4. Once the pairs left between different components are no more than the
-   nodes left (or after ``ROUNDS`` rounds), all of them are compared.
+3. Every bucket draws ``LEADERS`` of its nodes (by one order of all nodes, so
+   that the buckets of a group draw much the same ones), and its other nodes
+   are paired with them, so a bucket of thousands of near copies gives pairs in
+   proportion to its size, and a small one all its pairs.  Signatures are
+   compared batch by batch, a pair being pruned as soon as the posterior
+   probability that its similarity reaches the threshold falls below
+   ``MISS``.  Of the survivors each node's likeliest are compared by their
+   full shingle sets and linked; of the others, those between different
+   components after that.
+4. Leaders have then met their whole bucket and leave it; buckets within one
+   component are done.  What is left are pairs between components.  For their
+   nodes the shingles that no other node left has are counted: two sets can
+   share no more than the smaller number of their other shingles, and a pair
+   that this bound keeps below the threshold is ruled out in the join.  All
+   other pairs left are compared as in 3.
 
 No pair of different components that meets in a bucket is left out, so apart
 from the banding and the pruning, whose miss probabilities are chosen below,
@@ -36,7 +41,7 @@ import math
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import remove, run_folder, set_aside, stored, table
@@ -48,7 +53,8 @@ PERCENT = 80
 BANDS, ROWS = 32, 5
 #: Signature values compared at a time, and the posterior below which a pair goes.
 BATCH, MISS = 32, 1e-6
-ROUNDS = 6
+#: Leaders a bucket draws, and likeliest pairs of a node that are confirmed first.
+LEADERS, FIRST = 4, 3
 SEED = 7
 
 
@@ -73,7 +79,7 @@ class Hashes(dict):
     """word -> 64-bit hash; the words met last are held."""
 
     def __missing__(self, w: bytes) -> int:
-        if len(self) > 200_000:
+        if len(self) > 100_000:
             self.clear()
         h = self[w] = xxhash.xxh3_64_intdigest(w)
         return h
@@ -151,7 +157,8 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, k: int, bands: int,
 
 
 def likely(pairs: DataFrame, sigs: DataFrame, values: int, percent: int, miss: float) -> DataFrame:
-    """The pairs (a, b) that survive the batch-wise comparison of signatures."""
+    """The pairs (a, b) that survive the batch-wise comparison of signatures,
+    with the number of values that match."""
     stops = list(range(BATCH, values, BATCH)) + [values]
     least = least_matches(stops, percent / 100, miss)
     both = (pairs.join(sigs.select(F.col("node").alias("a"), F.col("signature").alias("x")), "a")
@@ -167,9 +174,10 @@ def likely(pairs: DataFrame, sigs: DataFrame, values: int, percent: int, miss: f
                     matched[alive] += (x[alive, done:stop] == y[alive, done:stop]).sum(1)
                     alive, done = alive[matched[alive] >= m], stop
                 if len(alive):
-                    yield part.select([0, 1]).take(pa.array(alive))
+                    yield pa.record_batch([*part.select([0, 1]).take(pa.array(alive)).columns, pa.array(matched[alive])],
+                                          names=["a", "b", "matched"])
 
-    return both.mapInArrow(compare, "a long, b long").distinct()
+    return both.mapInArrow(compare, "a long, b long, matched long").groupBy("a", "b").agg(F.max("matched").alias("matched"))
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
@@ -195,9 +203,22 @@ def confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataF
     return both.mapInArrow(compare, "a long, b long").distinct()
 
 
+def sharable(nodes: DataFrame, texts: DataFrame, k: int) -> DataFrame:
+    """(node, own): for ``nodes(node)`` the shingles that no other of them has."""
+    def explode(batches):
+        signer = Signer(k, 1, 1)
+        for b in batches:
+            for node, text in zip(b.column(0).to_pylist(), b.column(1)):
+                h = signer.shingle_hashes(words_of(text.as_py()))
+                yield pa.record_batch([pa.array([node] * len(h), pa.int64()), pa.array(h.view(np.int64))], names=["node", "h"])
+
+    rows = texts.join(nodes, "node", "left_semi").select("node", "text").mapInArrow(explode, "node long, h long")
+    alone = rows.groupBy("h").agg(F.min("node").alias("node"), F.max("node").alias("other")).filter("node = other")
+    return alone.groupBy("node").agg(F.count(F.lit(1)).alias("own"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
-                    percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS, miss: float = MISS,
-                    rounds: int = ROUNDS) -> DataFrame:
+                    percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS, miss: float = MISS) -> DataFrame:
     """One row per document: doc_id, row_key, n_shingles, component_id, kept."""
     spark = docs.sparkSession
     folder = run_folder(spark, "near-dedup")
@@ -218,43 +239,62 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts = stored(src.join(keys, "row_key", "left_semi").select("node", "text"), f"{folder}/texts")
 
     labels = None
-    links = []
-    for r in range(rounds + 1):
+
+    def relabelled(df, node, out):
         if labels is None:
-            left = members.withColumn("c", F.col("node"))
-        else:
-            left = members.join(labels, "node", "left").withColumn("c", F.coalesce("component", "node")).drop("component")
-        # buckets with several components, and the pairs between those
-        sizes = left.groupBy("bucket", "c").agg(F.count(F.lit(1)).alias("k")).groupBy("bucket").agg(
-            F.sum("k").alias("m"), F.sum(F.col("k") * F.col("k")).alias("s"), F.count(F.lit(1)).alias("cs")).filter("cs > 1")
-        left = stored(left.join(sizes.select("bucket", "m", "s"), "bucket"), f"{folder}/left-{r}")
-        todo = left.agg(F.count(F.lit(1)).alias("rows"), F.sum((F.col("m") * F.col("m") - F.col("s")) / (2 * F.col("m"))).alias("pairs")).first()
-        if not todo.rows:
+            return df.withColumn(out, F.col(node))
+        return (df.join(labels.select(F.col("node").alias(node), F.col("component").alias(out)), node, "left")
+                .withColumn(out, F.coalesce(out, node)))
+
+    def merged(links, name):
+        """The labels after some more links between components."""
+        links = stored(links, f"{folder}/links-{name}")
+        if links.isEmpty():
+            return labels
+        new = components(links)
+        if labels is not None:
+            moved = new.select(F.col("node").alias("component"), F.col("component").alias("to"))
+            old = labels.join(moved, "component", "left").select("node", F.coalesce("to", "component").alias("component"))
+            new = old.unionByName(new.join(labels.select("node"), "node", "left_anti"))
+        return stored(new, f"{folder}/labels-{name}")
+
+    for r, last in enumerate((False, True)):
+        left = relabelled(members, "node", "c")
+        # the members of buckets with several components
+        several = left.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("bucket")
+        left = stored(left.join(several, "bucket"), f"{folder}/left-{r}")
+        if left.isEmpty():
             break
-        last = r == rounds or todo.pairs <= todo.rows
-        me = left.select("bucket", F.col("node").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca"))
         if last:
-            other = left.select("bucket", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"))
-            pairs = me.join(other, "bucket").filter("ca < cb")
+            own = stored(sharable(left.select("node").distinct(), texts, words), f"{folder}/own")
+            left = left.join(own, "node", "left").withColumn("s", F.col("n") - F.coalesce("own", F.lit(0)))
+            # a set that shares too little with any other is alone
+            left = lead = stored(left.filter(100 * F.col("s") >= percent * F.col("n")).drop("own"), f"{folder}/left-bound")
         else:
-            turn = F.col("node") if r == 0 else F.xxhash64("node", "bucket", F.lit(r))
-            lead = left.groupBy("bucket").agg(F.min(F.struct(turn.alias("t"), F.col("node").alias("b"), F.col("n").alias("nb"),
-                                                            F.col("c").alias("cb"))).alias("x")).select("bucket", "x.b", "x.nb", "x.cb")
-            lead = stored(lead, f"{folder}/lead-{r}")
-            pairs = me.join(lead, "bucket").filter("ca <> cb")
-            # the leader has met its whole bucket
-            members = stored(left.select("bucket", "node", "n").join(lead.select("bucket", F.col("b").alias("node")),
-                                                                     ["bucket", "node"], "left_anti"), f"{folder}/members-{r + 1}")
-        # sizes alone rule out pairs that can't be similar enough
-        pairs = pairs.filter(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).select("a", "b").distinct()
-        alive = stored(likely(pairs, sigs, bands * rows, percent, miss), f"{folder}/alive-{r}")
-        links.append(stored(confirmed(alive, texts, words, percent), f"{folder}/links-{r}"))
-        found = links[0]
-        for x in links[1:]:
-            found = found.unionByName(x)
-        labels = stored(components(found), f"{folder}/labels-{r}")
-        if last:
-            break
+            left = left.withColumn("s", F.col("n"))
+            draw = Window.partitionBy("bucket").orderBy(F.xxhash64("node", F.lit(r)), "node")
+            lead = stored(left.withColumn("rn", F.row_number().over(draw)).filter(F.col("rn") <= LEADERS).drop("rn"), f"{folder}/lead-{r}")
+            # the leaders are about to meet their whole bucket
+            members = stored(left.select("bucket", "node", "n").join(lead.select("bucket", "node"), ["bucket", "node"], "left_anti"),
+                             f"{folder}/members-{r + 1}")
+
+        def side(df, x):
+            return df.select("bucket", F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("c").alias(f"c{x}"), F.col("s").alias(f"s{x}"))
+
+        # sizes, and what can be shared, alone rule out pairs that can't be similar enough
+        most = F.least("sx", "sy", "nx", "ny")
+        pairs = (side(left, "x").join(side(lead, "y"), "bucket").filter("cx < cy" if last else "cx <> cy")
+                 .filter(100 * most >= percent * (F.col("nx") + F.col("ny") - most))
+                 .select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct())
+        best = Window.partitionBy("a").orderBy(F.desc("matched"), "b")
+        alive = stored(likely(pairs, sigs, bands * rows, percent, miss).withColumn("turn", F.row_number().over(best)), f"{folder}/alive-{r}")
+        for part in ("first", "rest"):
+            some = alive.filter(F.col("turn") <= FIRST if part == "first" else F.col("turn") > FIRST).select("a", "b")
+            if part == "rest":
+                some = relabelled(relabelled(some, "a", "ca"), "b", "cb").filter("ca <> cb").select("a", "b")
+            links = confirmed(some, texts, words, percent)
+            links = relabelled(relabelled(links, "a", "ca"), "b", "cb").select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct()
+            labels = merged(links, f"{r}-{part}")
     for x in ("texts", "signatures", "members-0", "nodes"):
         remove(spark, f"{folder}/{x}")
     named_all = groups if labels is None else groups.join(

@@ -63,12 +63,20 @@ def test_large_groups_around_the_threshold(spark):
     assert result(N.near_duplicates(df)) == brute(rows)
 
 
-def test_rounds_exhaust_the_pairs(spark, monkeypatch):
-    # no leader rounds at all: every pair between components at once
+def test_pairs_left_after_the_leaders(spark, monkeypatch):
+    # one leader a bucket and one pair confirmed first: most is left to the second round
+    monkeypatch.setattr(N, "LEADERS", 1)
+    monkeypatch.setattr(N, "FIRST", 1)
     r = random.Random(4)
-    rows = family(r, prose(77, 90, 4000).split(), 40, 0, 6)
+    rows = family(r, prose(77, 90, 4000).split(), 60, 0, 9) + family(r, prose(78, 40, 4000).split(), 30, 500, 3)
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    assert result(N.near_duplicates(df, rounds=0)) == brute(rows)
+    assert result(N.near_duplicates(df)) == brute(rows)
+
+
+def test_sharable_counts_what_only_one_node_has(spark):
+    texts = spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d x y"), (3, "a b c d e z")], "node long, text string")
+    got = {r.node: r.own for r in N.sharable(texts.select("node"), texts, 4).collect()}
+    assert got == {1: 1, 2: 2, 3: 1}
 
 
 def test_one_of_each_group_stays(nasty):
