@@ -24,6 +24,8 @@ ignored.
 
 from __future__ import annotations
 
+from itertools import chain
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -197,16 +199,19 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """One row per document: ``keep`` (default: the id) and n_words, spans of
     hit words, items, n_hit, contaminated."""
     keep = keep or [id_col]
-    found, parts = None, list(map(lambda b: Phrases(b, window), blocks(benchmark, item_col, item_text_col, block_words)))
-    if len(parts) <= 1:
-        found = _search(docs, parts[0] if parts else Phrases([], window), text_col, keep)
+    rest = blocks(benchmark, item_col, item_text_col, block_words)
+    first, second = next(rest, []), next(rest, None)
+    if second is None:
+        found = _search(docs, Phrases(first, window), text_col, keep)
     else:
-        # several passes: rows are numbered once, spans of a row merged
-        spark = docs.sparkSession
-        numbered = stored(docs.select(*keep, F.col(text_col).alias("_t"),
-                                      F.monotonically_increasing_id().alias("_row")), run_folder(spark, "decontaminate"))
-        for p in parts:
-            one = _search(numbered, p, "_t", ["_row"])
+        # several passes, of which the driver holds one block at a time: rows
+        # are numbered once, spans of a row merged
+        spark, folder = docs.sparkSession, run_folder(docs.sparkSession, "decontaminate")
+        numbered = stored(docs.select(*keep, F.col(text_col).alias("_t"), F.monotonically_increasing_id().alias("_row")),
+                          f"{folder}/rows")
+        found = None
+        for i, block in enumerate(chain([first, second], rest)):
+            one = stored(_search(numbered, Phrases(block, window), "_t", ["_row"]), f"{folder}/{i}")
             found = one if found is None else found.unionByName(one)
         found = found.groupBy("_row").agg(
             F.max("n_words").alias("n_words"), merged(F.flatten(F.collect_list("spans"))).alias("spans"),
