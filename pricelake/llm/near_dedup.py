@@ -17,8 +17,10 @@
    component are done.  What is left are pairs between components.  For their
    nodes the shingles that no other node left has are counted: two sets can
    share no more than the smaller number of their other shingles, and a pair
-   that this bound keeps below the threshold is ruled out in the join.  All
-   other pairs left are compared as in 3.
+   that this bound keeps below the threshold is ruled out in the join.  Each
+   bucket first draws leaders once more, now its nodes with the fewest
+   shingles of their own, which are the middle of a group; then all other
+   pairs left are compared.
 
 No pair of different components that meets in a bucket is left out, so apart
 from the banding and the pruning, whose miss probabilities are chosen below,
@@ -54,7 +56,7 @@ BANDS, ROWS = 32, 5
 #: Signature values compared at a time, and the posterior below which a pair goes.
 BATCH, MISS = 32, 1e-6
 #: Leaders a bucket draws, and likeliest pairs of a node that are confirmed first.
-LEADERS, FIRST = 4, 3
+LEADERS, FIRST = 2, 3
 SEED = 7
 
 
@@ -258,21 +260,27 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             new = old.unionByName(new.join(labels.select("node"), "node", "left_anti"))
         return stored(new, f"{folder}/labels-{name}")
 
-    for r, last in enumerate((False, True)):
+    own = None
+    for r, last in enumerate((False, False, True)):
         left = relabelled(members, "node", "c")
         # the members of buckets with several components
         several = left.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("bucket")
         left = stored(left.join(several, "bucket"), f"{folder}/left-{r}")
         if left.isEmpty():
             break
-        if last:
-            own = stored(sharable(left.select("node").distinct(), texts, words), f"{folder}/own")
+        if r == 0:
+            left = left.withColumn("s", F.col("n"))
+        else:
+            if own is None:  # holds for every later round, whose nodes are among these
+                own = stored(sharable(left.select("node").distinct(), texts, words), f"{folder}/own")
             left = left.join(own, "node", "left").withColumn("s", F.col("n") - F.coalesce("own", F.lit(0)))
             # a set that shares too little with any other is alone
-            left = lead = stored(left.filter(100 * F.col("s") >= percent * F.col("n")).drop("own"), f"{folder}/left-bound")
+            left = stored(left.filter(100 * F.col("s") >= percent * F.col("n")).drop("own"), f"{folder}/bound-{r}")
+        if last:
+            lead = left
         else:
-            left = left.withColumn("s", F.col("n"))
-            draw = Window.partitionBy("bucket").orderBy(F.xxhash64("node", F.lit(r)), "node")
+            turn = F.lit(0) if r == 0 else F.col("n") - F.col("s")
+            draw = Window.partitionBy("bucket").orderBy(turn, F.xxhash64("node", F.lit(r)), "node")
             lead = stored(left.withColumn("rn", F.row_number().over(draw)).filter(F.col("rn") <= LEADERS).drop("rn"), f"{folder}/lead-{r}")
             # the leaders are about to meet their whole bucket
             members = stored(left.select("bucket", "node", "n").join(lead.select("bucket", "node"), ["bucket", "node"], "left_anti"),
