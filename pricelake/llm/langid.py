@@ -84,21 +84,23 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", entri
     size = {r.label: r.n for r in totals}
     grams = count_grams(counts)
     both = counts.withColumn("k", F.lit(0)).unionByName(grams)
-    weight = F.coalesce(*[F.when(F.col("label") == x, F.lit(1.0 / size[x])) for x in langs])
-    per = both.groupBy("k", "word").agg(F.max(F.col("n") * weight).alias("most"),
-                                        F.collect_list(F.struct("label", "n")).alias("by"))
-    rows, evidence, at = {}, [], {x: i for i, x in enumerate(langs)}
+    number = F.array_position(F.array(*map(F.lit, langs)), F.col("label")).cast("int") - 1
+    weight = F.element_at(F.array(*[F.lit(1.0 / max(1, size[x])) for x in langs]), number + 1)
+    per = both.groupBy("k", "word").agg(F.max(F.col("n") * weight).alias("most"), F.collect_list(number).alias("at"),
+                                        F.collect_list("n").alias("n"))
+    rows, evidence = {}, []
     per = stored(per, f"{folder}-model")
     for k in (0, *LENGTHS):
-        best = per.filter(F.col("k") == k).orderBy(F.desc("most"), "word").limit(entries).collect()
-        mass = np.ones(len(langs))
+        best = (per.filter(F.col("k") == k).orderBy(F.desc("most"), "word").limit(entries).select("word", "at", "n")
+                .toArrow().combine_chunks())
         found = np.zeros((len(best), len(langs)))
-        for i, r in enumerate(best):
-            rows[(k, r.word) if k else r.word] = len(rows)
-            for x in r.by:
-                found[i, at[x.label]] = x.n
-        mass += found.sum(0)
-        evidence.append(np.log((found + 0.5) / mass))
+        if len(best):
+            at = best.column("at").combine_chunks()
+            row = np.repeat(np.arange(len(best)), at.value_lengths().to_numpy())
+            found[row, at.flatten().to_numpy()] = best.column("n").combine_chunks().flatten().to_numpy()
+        for w in best.column("word").to_pylist():
+            rows[(k, w) if k else w] = len(rows)
+        evidence.append(np.log((found + 0.5) / (1 + found.sum(0))))
     remove(spark, folder)
     remove(spark, f"{folder}-model")
     return {"langs": langs, "rows": rows, "evidence": np.concatenate(evidence).astype(np.float32)}
