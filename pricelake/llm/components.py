@@ -12,7 +12,7 @@ def components(links: DataFrame) -> DataFrame:
     """(node, component) for every node of ``links(a, b)``: the smallest node
     reachable.
 
-    Alternates two steps until nothing changes: every node hands its larger
+    Alternates two steps until neither changes anything: every node hands its larger
     neighbours its smallest one, then its smaller neighbours.  Paths halve,
     so the rounds grow with the logarithm of the longest path.  Each round is
     written to the shared folder; minima are combined before the shuffle and
@@ -31,15 +31,17 @@ def components(links: DataFrame) -> DataFrame:
         least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
         large = stored(both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                        .filter("u <> v").distinct(), f"{folder}/{i}-large")
-        if sign(large) == sign(edges):  # every node hangs on its smallest
-            break
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(least.select("u", F.col("m").alias("v")))
                  .filter("u <> v").distinct())
-        edges = stored(small, f"{folder}/{i + 1}")
+        small = stored(small, f"{folder}/{i + 1}")
+        done = sign(small) == sign(edges)  # every node hangs on its smallest
         remove(spark, f"{folder}/{i}-large")
         remove(spark, f"{folder}/{i}")
+        edges = small
+        if done:
+            break
         i += 1
     return (edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
             .unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct())

@@ -109,6 +109,24 @@ def test_components(spark):
     assert got == {x: find(x) for x in par}
 
 
+@pytest.mark.parametrize("links, want", [
+    ([(3, 1), (3, 2)], {1: 1, 2: 1, 3: 1}),
+    ([(20, 10 + i) for i in range(8)], {x: 10 for x in [*range(10, 18), 20]})])
+def test_components_of_a_largest_hub_alone(spark, links, want):
+    got = [tuple(x) for x in components(spark.createDataFrame(links, "a long, b long")).collect()]
+    assert sorted(got) == sorted(want.items())
+
+
+def test_one_document_near_to_two_that_are_apart(spark):
+    w = [f"w{i}" for i in range(60)]
+    left, right = ["x", "y", "z", "v", *w[4:]], [*w[:-4], "x", "y", "z", "v"]
+    rows = [(1, " ".join(left)), (2, " ".join(right)), (3, " ".join(w))]
+    assert [c for *_, c in brute(rows)] == [1, 1, 1] and [c for *_, c in brute(rows[:2])] == [1, 2]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert result(N.near_duplicates(df)) == brute(rows)
+    assert [x.doc_id for x in N.near_deduplicated(df).collect()] == [1]
+
+
 def test_empty_tables(spark, empty):
     assert N.near_duplicates(empty).count() == 0
     assert N.near_deduplicated(empty).count() == 0
