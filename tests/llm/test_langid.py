@@ -86,6 +86,20 @@ def test_backoff_against_brute_force(spark):
         assert np.allclose(scorer.evidence([w]), evidence(w), atol=1e-4), w
 
 
+def test_more_words_than_are_broadcast(spark):
+    # the way of a word's evidence, by broadcast or by join, changes nothing
+    _, df = corpus(spark, 120)
+    odd = [(900, None, "aa", "s"), (901, "123", None, "s"), (902, "kalagruff qqq Ж ligneeaux", None, "s"), (None, "zirn " * 50 + "ЖЖ", None, "s")]
+    df = df.unionByName(spark.createDataFrame(odd * 2, df.schema))
+    want = rows_of(L.identify(df), "doc_id", "score")
+    assert len(want) == 128
+    got = rows_of(L.identify(df, entries=6), "doc_id", "score")
+    assert [(r["doc_id"], r["held_out"], r["lang_pred"]) for r in got] == [(r["doc_id"], r["held_out"], r["lang_pred"]) for r in want]
+    assert np.allclose([r["score"] for r in got], [r["score"] for r in want], rtol=1e-12, atol=0)
+    whole, joined = (sorted(map(tuple, L.identified(df, 0.9, entries=n).collect()), key=str) for n in (L.MODEL_ENTRIES, 6))
+    assert whole == joined and 0 < len(whole) < 128
+
+
 def test_filter_and_empty(nasty, empty, spark):
     stay = L.identified(nasty)
     assert stay.columns == nasty.columns
