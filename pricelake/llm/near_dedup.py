@@ -2,7 +2,8 @@
 
 1. Every text becomes a set of word shingles and a signature of
    ``BANDS * ROWS`` minimum hashes.  Equal word sequences (by SHA-256) are one
-   node, named by its smallest id, so exact copies cost one row each.
+   node with a number of its own, so exact copies cost one row each and rows
+   that repeat an id with other words are other nodes.
 2. Nodes that agree on all rows of a band meet in that band's bucket.
 3. Every bucket draws ``LEADERS`` of its nodes (by one order of all nodes, so
    that the buckets of a group draw much the same ones), and its other nodes
@@ -30,7 +31,8 @@ probability (1 - 0.8**5)**32 = 3e-6.
 Defined results: a text without words (or null) has an empty set and is
 linked with nothing; a null id can't name a component, so rows with null ids
 are linked to equal texts only and a group of them alone has a null
-component; rows that repeat an id are judged by their own texts.  kept is
+component; rows that repeat an id are judged by their own texts.  A component
+is named by its smallest id once all links are made.  kept is
 null-safe ``doc_id = component_id``.  Empty tables give no rows; other
 columns are ignored.
 """
@@ -225,20 +227,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spark = docs.sparkSession
     folder = run_folder(spark, "near-dedup")
     signed = stored(signatures(docs, id_col, text_col, words, bands, rows), f"{folder}/signed")
-    groups = stored(signed.filter("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("node")), f"{folder}/groups")
-    named = groups.filter("node IS NOT NULL")
-    first = signed.select(F.col("doc_id").alias("node"), "digest", "n_shingles", "signature", "buckets").join(
-        named, ["node", "digest"], "left_semi")
+    groups = stored(signed.filter("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("least"))
+                    .withColumn("node", F.monotonically_increasing_id()), f"{folder}/groups")
+    named = groups.filter("least IS NOT NULL").select(F.col("least").alias("doc_id"), "digest", "node")
+    first = signed.select("doc_id", "digest", "n_shingles", "signature", "buckets").join(named, ["doc_id", "digest"])
     # the members of buckets that hold several nodes
     met = first.select(F.explode("buckets").alias("bucket"), "node", F.col("n_shingles").alias("n"))
     busy = met.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo < hi")
     members = stored(met.join(busy.select("bucket"), "bucket").distinct(), f"{folder}/members-0")
     nodes = stored(members.select("node").distinct(), f"{folder}/nodes")
     sigs = stored(first.select("node", "signature").join(nodes, "node", "left_semi"), f"{folder}/signatures")
-    wanted = named.join(nodes, "node", "left_semi").select(F.col("node").alias("doc_id"), "digest")
-    keys = signed.select("doc_id", "digest", "row_key").join(wanted, ["doc_id", "digest"], "left_semi").select("row_key").distinct()
-    src = docs.select(F.col(id_col).cast("long").alias("node"), F.xxhash64(id_col, text_col).alias("row_key"), F.col(text_col).alias("text"))
-    texts = stored(src.join(keys, "row_key", "left_semi").select("node", "text"), f"{folder}/texts")
+    wanted = named.join(nodes, "node", "left_semi")
+    keys = signed.select("doc_id", "digest", "row_key").join(wanted, ["doc_id", "digest"]).select("row_key", "node").distinct()
+    src = docs.select(F.xxhash64(id_col, text_col).alias("row_key"), F.col(text_col).alias("text"))
+    texts = stored(src.join(keys, "row_key").select("node", "text"), f"{folder}/texts")
 
     labels = None
 
@@ -305,10 +307,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             labels = merged(links, f"{r}-{part}")
     for x in ("texts", "signatures", "members-0", "nodes"):
         remove(spark, f"{folder}/{x}")
-    named_all = groups if labels is None else groups.join(
-        labels.withColumnRenamed("component", "c"), "node", "left").withColumn("node", F.coalesce("c", "node"))
+    named_all = groups.withColumnRenamed("least", "component_id")
+    if labels is not None:
+        least = labels.join(groups, "node").groupBy("component").agg(F.min("least").alias("of_all"))
+        named_all = (named_all.join(labels.join(least, "component").select("node", "of_all"), "node", "left")
+                     .withColumn("component_id", F.coalesce("of_all", "component_id")))
     core = signed.select("doc_id", "row_key", "n_shingles", "digest")
-    judged = core.filter("n_shingles > 0").join(named_all.select("digest", F.col("node").alias("component_id")), "digest")
+    judged = core.filter("n_shingles > 0").join(named_all.select("digest", "component_id"), "digest")
     alone = core.filter("n_shingles = 0").withColumn("component_id", F.col("doc_id"))
     cols = ["doc_id", "row_key", "n_shingles", "component_id"]
     return judged.select(cols).unionByName(alone.select(cols)).withColumn(

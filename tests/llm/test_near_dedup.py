@@ -127,6 +127,15 @@ def test_one_document_near_to_two_that_are_apart(spark):
     assert [x.doc_id for x in N.near_deduplicated(df).collect()] == [1]
 
 
+def test_repeated_id_with_two_texts_that_have_near_copies(spark):
+    a, b = prose(41, 60, 4000), prose(42, 60, 4000)
+    rows = [(0, a + " x"), (5, a), (5, b), (6, b + " y"), (9, "z " + b), (5, b)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(c for *_, c in brute(rows)) == [0, 0, 5, 5, 5, 5]
+    assert result(N.near_duplicates(df)) == brute(rows)
+    assert sorted(map(tuple, N.near_deduplicated(df).collect())) == [(0, a + " x"), (5, b)]
+
+
 def test_empty_tables(spark, empty):
     assert N.near_duplicates(empty).count() == 0
     assert N.near_deduplicated(empty).count() == 0
