@@ -38,6 +38,8 @@ from .words import HELD, LETTERS, count_words
 MODEL_ENTRIES = 60_000
 LENGTHS = (4, 3, 2, 1)
 GRID = 2.0 ** 18
+#: Letters of the longest entry that is a word; longer runs give n-grams.
+LONGEST = 40
 #: A word in more than one of so many (document, word) pairs is joined by broadcast.
 BUSY = 10_000
 #: Values of unseen words' evidence that a worker holds.
@@ -85,13 +87,14 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", entri
     tables of all evidence by length (0 for words)."""
     spark = docs.sparkSession
     folder = run_folder(spark, "langid")
-    counts = stored(count_words(docs.filter(F.col(lang_col).isNotNull()), text_col, lang_col), folder)
+    counts = stored(count_words(docs.filter(F.col(lang_col).isNotNull()), text_col, lang_col, None), folder)
     totals = counts.groupBy("label").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "label").collect()
     langs = [r.label for r in totals]
     if not langs:
         remove(spark, folder)
         return {"langs": [], "rows": {}, "evidence": np.zeros((0, 0), np.float32), "whole": True}
-    both = counts.withColumn("k", F.lit(0)).unionByName(count_grams(counts))
+    words = counts.filter(F.length("word") <= LONGEST)
+    both = words.withColumn("k", F.lit(0)).unionByName(count_grams(counts))
     per = both.groupBy("k", "word").agg(F.sum("n").alias("n"), *[
         F.sum(F.when(F.col("label") == x, F.col("n")).otherwise(0)).alias(f"n{i}") for i, x in enumerate(langs)])
     per = stored(per, f"{folder}-model")

@@ -16,16 +16,17 @@ HELD = 400_000
 
 
 def count_words(docs: DataFrame, text_col: str = "text", label_col: str | None = None,
-                longest: int = 40) -> DataFrame:
+                longest: int | None = 40) -> DataFrame:
     """(label, word, n): how often each lower-cased word occurs under each
-    label, over whole texts.  Words over ``longest`` letters are not counted
-    as words.  Each task counts locally and hands on its sums whenever it
-    holds ``HELD`` pairs, so memory is bounded and frequent words travel once
+    label, over whole texts.  Words over ``longest`` letters, if given, are
+    not counted.  Each task counts locally and hands on its sums whenever it
+    holds ``HELD`` pairs or much text in long words, so memory is bounded and frequent words travel once
     per task, not once per occurrence."""
     schema = pa.schema([("label", pa.string()), ("word", pa.string()), ("n", pa.int64())])
 
     def count(batches):
         held: dict[str | None, Counter] = {}
+        long = 0
 
         def out():
             for label, c in held.items():
@@ -36,9 +37,12 @@ def count_words(docs: DataFrame, text_col: str = "text", label_col: str | None =
         for b in batches:
             for label, text in zip(b.column(0), b.column(1)):
                 words = LETTERS.findall((text.as_py() or "").lower())
-                held.setdefault(label.as_py(), Counter()).update(w for w in words if len(w) <= longest)
-                if sum(map(len, held.values())) > HELD:
+                held.setdefault(label.as_py(), Counter()).update(w for w in words if longest is None or len(w) <= longest)
+                if longest is None:
+                    long += sum(n for n in map(len, words) if n > 40)
+                if sum(map(len, held.values())) > HELD or long > 100 * HELD:
                     yield from out()
+                    long = 0
         yield from out()
 
     label = F.lit(None).cast("string") if label_col is None else F.col(label_col).cast("string")

@@ -100,6 +100,13 @@ def test_more_words_than_are_broadcast(spark):
     assert whole == joined and 0 < len(whole) < 128
 
 
+def test_label_of_long_runs_only_is_learned(spark):
+    rows = [(i, ("ab" * 30 if i % 2 else "xy" * 30) + "c" * i, "pp" if i % 2 else "qq", "s") for i in range(24)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = rows_of(L.identify(df), "doc_id")
+    assert [r["lang_pred"] for r in got] == ["pp" if i % 2 else "qq" for i in range(24)]
+
+
 def test_filter_and_empty(nasty, empty, spark):
     stay = L.identified(nasty)
     assert stay.columns == nasty.columns
