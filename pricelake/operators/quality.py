@@ -135,6 +135,13 @@ def row_violation(rules: list[Rule]) -> Column:
     return F.coalesce(*broken)
 
 
+def set_aside(df: DataFrame, rules: list[Rule]) -> tuple[DataFrame, DataFrame]:
+    """(rows that break no rule by themselves, the others with the ``reason``):
+    what a gate hands on, and what it puts in quarantine."""
+    reason = row_violation(rules)
+    return df.where(reason.isNull()), df.where(reason.isNotNull()).withColumn("reason", reason)
+
+
 def _success(unexpected: Column, evaluated: Column, mostly: float) -> Column:
     return (evaluated == 0) | ((evaluated - unexpected) / evaluated >= F.lit(mostly))
 

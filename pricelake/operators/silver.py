@@ -43,10 +43,10 @@ def derive_adjusted(df: DataFrame) -> DataFrame:
     positive fails the job.  Rows that a scan marked ``_native`` came with
     the vendor's own adjusted prices and keep them."""
     native = F.col("_native") if "_native" in df.columns else F.lit(False)
-    factor = F.when(native, F.lit(None).cast("double")).when(F.col("close") <= 0, F.raise_error(F.lit(
-        "a close that is not positive gives no adjustment factor"))).otherwise(
-        F.col("adj_close") / F.col("close"))
-    df = df.withColumn("_factor", factor)
+    # a row filter, so that no choice of columns prunes the guard away
+    df = df.where(F.when(~native & (F.col("close") <= 0), F.raise_error(F.lit(
+        "a close that is not positive gives no adjustment factor")).cast("boolean")).otherwise(F.lit(True)))
+    df = df.withColumn("_factor", F.when(~native, F.col("adj_close") / F.col("close")))
 
     def own(c, derived):
         return F.when(native, F.col(c)).otherwise(derived) if c in df.columns else derived

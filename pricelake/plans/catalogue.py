@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import PRIMARY, SECONDARY
+from ..operators import quality as qc
 from ..operators import reconcile as rec
 from ..operators.silver import to_silver
 from ..sources import bindings as bind
@@ -26,8 +27,13 @@ def query(name: str):
 
 # ---- silver -------------------------------------------------------------
 
+def sound(bronze: DataFrame) -> DataFrame:
+    """Bronze rows that pass the gate by themselves: vendors do send closes of zero."""
+    return qc.set_aside(bronze, qc.price_rules())[0]
+
+
 def primary_silver(spark, sf_dir) -> DataFrame:
-    return to_silver(bind.primary_bronze(spark, sf_dir), PRIMARY)
+    return to_silver(sound(bind.primary_bronze(spark, sf_dir)), PRIMARY)
 
 
 def secondary_silver(spark, sf_dir) -> DataFrame:
@@ -91,8 +97,6 @@ def q_consensus(spark, sf_dir):
 
 
 # ---- quality gate -------------------------------------------------------
-from ..operators import quality as qc  # noqa: E402
-
 
 def _price_reports(spark, sf_dir):
     return (qc.evaluate(bind.primary_landed(spark, sf_dir), qc.price_rules(), PRIMARY)
@@ -228,8 +232,7 @@ FACT_TABLES = ("fact_price_daily", "fact_price_daily_consensus", "fact_corporate
 def landed_silver(spark, sf_dir) -> DataFrame:
     """Silver of the faulty feed: rows that break a rule by themselves are set
     aside, of re-delivered bars the last stays."""
-    b = bind.primary_landed(spark, sf_dir)
-    return to_silver(b.where(qc.row_violation(qc.price_rules()).isNull()), PRIMARY)
+    return to_silver(sound(bind.primary_landed(spark, sf_dir)), PRIMARY)
 
 
 def gold_facts(spark, sf_dir, materialize: bool = False, tables=FACT_TABLES, landed: bool = False):
@@ -510,7 +513,7 @@ def _landed_twice(spark, sf_dir):
 @query("silver_dedup")
 def q_silver_dedup(spark, sf_dir):
     """Keep-last over the double landing must pick the re-delivery."""
-    scanned = _landed_twice(spark, sf_dir)
+    scanned = sound(_landed_twice(spark, sf_dir))
     return present(to_silver(scanned.drop("ingest_date", "batch"), PRIMARY))
 
 
@@ -587,7 +590,7 @@ def q_silver_roundtrip(spark, sf_dir):
     ticker, sorted), read back from the silver partition."""
     root = scratch_dir(spark, "lake")
     bronze.land(bind.primary_bronze(spark, sf_dir), root, "primary_prices", bind.INGEST_DATE)
-    return present(pl.build_silver(spark, PRIMARY, bind.INGEST_DATE, root))
+    return present(pl.build_silver(spark, PRIMARY, bind.INGEST_DATE, root, quarantine=True))
 
 
 @query("silver_history_range")
@@ -694,7 +697,7 @@ def q_ten_batches_keep_last(spark, sf_dir):
     for k in range(11):
         bronze.land(b.where(last >= k).withColumn("close", F.col("close") * F.lit(1 + k * 0.001)), root, "primary_prices",
                     bind.INGEST_DATE, batch=k)
-    return present(pl.build_silver(spark, PRIMARY, bind.INGEST_DATE, root))
+    return present(pl.build_silver(spark, PRIMARY, bind.INGEST_DATE, root, quarantine=True))
 
 
 @query("old_bronze_fallback")
@@ -732,13 +735,15 @@ def q_empty_reland(spark, sf_dir):
 
 def corrected_run(spark, sf_dir, root):
     """Every dataset of the run date as a gate lets it pass: bad prints, sign
-    errors and implausible rates put right at the source."""
+    errors and implausible rates put right at the source, bars without a
+    positive close left out."""
     d = bind.INGEST_DATE
     low = F.least("open", "high", "low", "close")
     bronze.land(bind.constituents(spark, sf_dir), root, "constituents", d)
-    bronze.land(bind.primary_bronze(spark, sf_dir).withColumn("low", low), root, "primary_prices", d)
+    bronze.land(sound(bind.primary_bronze(spark, sf_dir)).withColumn("low", low), root, "primary_prices", d)
     s = bind.secondary_bronze(spark, sf_dir).withColumn("low", low)
-    bronze.land(s.withColumns({c: F.abs(c) for c in ("adj_close", "adj_open", "adj_high", "adj_low")}), root, "secondary_prices", d)
+    s = s.withColumns({c: F.abs(c) for c in ("adj_close", "adj_open", "adj_high", "adj_low")})
+    bronze.land(sound(s), root, "secondary_prices", d)
     bronze.land(bind.macro(spark, sf_dir).withColumn("value", F.least(F.lit(25.0), F.greatest(F.lit(0.01), F.col("value")))),
                 root, "macro_series", d)
     bronze.land(bind.identifiers(spark, sf_dir), root, "identifier_map", d)

@@ -78,13 +78,14 @@ SELECT date, open, high, low,
 FROM (SELECT *, 1.0::DOUBLE AS f FROM primary_bronze
       UNION ALL SELECT *, 1.002::DOUBLE FROM primary_bronze WHERE {_UID} % 41 = 3 AND {_DY} = 7) b
 """)
-view("landed_silver", """
+_ROW_OK = ("ticker IS NOT NULL AND date IS NOT NULL AND close > 0 AND coalesce(open, 1) > 0 "
+           "AND coalesce(adj_close, 1) > 0 AND coalesce(volume, 0) >= 0")
+view("landed_silver", f"""
 SELECT ticker, date, open, high, low, close, adj_close,
        open * (adj_close / close) AS adj_open, high * (adj_close / close) AS adj_high,
        low * (adj_close / close) AS adj_low, volume, volume AS adj_volume
 FROM primary_landed
-WHERE ticker IS NOT NULL AND date IS NOT NULL AND close > 0 AND coalesce(open, 1) > 0 AND coalesce(adj_close, 1) > 0
-  AND coalesce(volume, 0) >= 0
+WHERE {_ROW_OK}
 QUALIFY row_number() OVER (PARTITION BY ticker, date ORDER BY close DESC) = 1
 """)
 view("secondary_scaled", """
@@ -100,11 +101,11 @@ SELECT date, open, high, low, close, adj_close,
        low * (adj_close / close) AS adj_low, volume * 2 AS adj_volume, volume, ticker
 FROM secondary_scaled
 """)
-view("primary_silver", """
+view("primary_silver", f"""
 SELECT ticker, date, open, high, low, close, adj_close,
        open * (adj_close / close) AS adj_open, high * (adj_close / close) AS adj_high,
        low * (adj_close / close) AS adj_low, volume, volume AS adj_volume
-FROM primary_bronze
+FROM primary_bronze WHERE {_ROW_OK}
 """)
 view("secondary_silver", """
 SELECT ticker, date, open, high, low, close, adj_close, adj_open, adj_high, adj_low,
@@ -769,7 +770,7 @@ SELECT ticker, CAST(date AS VARCHAR) AS date, round(open, {R}) AS open, round(hi
        round(open * (adj_close / close), {R}) AS adj_open, round(high * (adj_close / close), {R}) AS adj_high,
        round(low * (adj_close / close), {R}) AS adj_low, CAST(volume AS BIGINT) AS volume,
        CAST(volume AS BIGINT) AS adj_volume
-FROM revised_primary
+FROM revised_primary WHERE {_ROW_OK}
 """)
 
 q("universe_plan", """
@@ -876,7 +877,7 @@ q("ten_batches_keep_last", f"""
 SELECT {_SILVER_COLS} FROM (
   SELECT ticker, date, open, high, low, close, adj_close, open * (adj_close / close) AS adj_open,
          high * (adj_close / close) AS adj_high, low * (adj_close / close) AS adj_low, volume, volume AS adj_volume
-  FROM eleven) x
+  FROM eleven WHERE {_ROW_OK}) x
 """)
 q("old_bronze_fallback", f"""
 SELECT {_SILVER_COLS} FROM (
@@ -887,8 +888,20 @@ SELECT count(*) AS rows_before, count(DISTINCT ticker) FILTER (WHERE {_UID_OF} %
        CAST(0 AS BIGINT) AS rows_after, CAST(0 AS BIGINT) AS rejects_after
 FROM primary_bronze
 """)
-view("ok_primary", "SELECT * REPLACE (least(open, high, low, close) AS low) FROM primary_bronze")
-view("ok_secondary", "SELECT * REPLACE (least(open, high, low, close) AS low, abs(adj_close) AS adj_close) FROM secondary_bronze")
+view("ok_primary", f"SELECT * REPLACE (least(open, high, low, close) AS low) FROM primary_bronze WHERE {_ROW_OK}")
+view("ok_actions", """
+SELECT ticker, date, action_type, value FROM (
+  SELECT ticker, date, 'dividend' AS action_type, dividends AS value FROM ok_primary
+  UNION ALL SELECT ticker, date, 'split', stock_splits FROM ok_primary) a
+WHERE coalesce(value, 0) <> 0
+""")
+view("ok_secondary", f"""
+SELECT * FROM (SELECT * REPLACE (least(open, high, low, close) AS low, abs(adj_close) AS adj_close) FROM secondary_bronze) b
+WHERE {_ROW_OK}
+""")
+view("ok_matched", """
+SELECT ticker, date FROM ok_primary UNION SELECT ticker, date FROM ok_secondary
+""")
 view("ok_macro", "SELECT * REPLACE (least(25.0, greatest(0.01, value)) AS value) FROM macro")
 _OK_GATE = "\nUNION ALL\n".join([
     _check_rows("constituents", "constituents",
@@ -905,16 +918,16 @@ SELECT 'refused' AS stage, 'bronze checks failed' AS item, CAST(count(*) AS DOUB
 FROM ({_RUN_GATE}) r WHERE NOT success
 UNION ALL
 SELECT 'bronze', source || ': ' || check_name, CAST(element_count - unexpected_count AS DOUBLE) FROM ({_OK_GATE}) g
-UNION ALL SELECT 'load', 'fact_price_daily:primary', CAST(count(*) AS DOUBLE) FROM primary_bronze WHERE {_KNOWN}
-UNION ALL SELECT 'load', 'fact_price_daily:secondary', CAST(count(*) AS DOUBLE) FROM secondary_bronze WHERE {_KNOWN}
-UNION ALL SELECT 'load', 'fact_price_daily_consensus', CAST(count(*) AS DOUBLE) FROM matched WHERE {_KNOWN}
-UNION ALL SELECT 'load', 'fact_corporate_action', CAST(count(*) AS DOUBLE) FROM actions WHERE {_KNOWN}
+UNION ALL SELECT 'load', 'fact_price_daily:primary', CAST(count(*) AS DOUBLE) FROM ok_primary WHERE {_KNOWN}
+UNION ALL SELECT 'load', 'fact_price_daily:secondary', CAST(count(*) AS DOUBLE) FROM ok_secondary WHERE {_KNOWN}
+UNION ALL SELECT 'load', 'fact_price_daily_consensus', CAST(count(*) AS DOUBLE) FROM ok_matched WHERE {_KNOWN}
+UNION ALL SELECT 'load', 'fact_corporate_action', CAST(count(*) AS DOUBLE) FROM ok_actions WHERE {_KNOWN}
 UNION ALL SELECT 'load', 'fact_macro_rate', CAST(count(*) AS DOUBLE) FROM macro WHERE {_KNOWN}
 UNION ALL SELECT 'gold', 'security count >= 1', CAST(count(*) AS DOUBLE) FROM constituents
 UNION ALL SELECT 'gold', 'consensus rows/security >= 1',
-       round((SELECT count(*) FROM matched WHERE {_KNOWN}) / (SELECT count(*) FROM constituents), {R})
+       round((SELECT count(*) FROM ok_matched WHERE {_KNOWN}) / (SELECT count(*) FROM constituents), {R})
 UNION ALL SELECT 'gold', 'latest data within 5 days of ingest_date',
-       CAST(DATE '2024-01-31' - (SELECT max(date) FROM matched) AS DOUBLE)
+       CAST(DATE '2024-01-31' - (SELECT max(date) FROM ok_matched) AS DOUBLE)
 """)
 q("stream_rejects", f"""
 WITH r AS (

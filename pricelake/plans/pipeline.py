@@ -107,15 +107,21 @@ def gate_bronze(spark: SparkSession, ingest_date: dt.date, root: str | None = No
 # ---- silver / reconcile ------------------------------------------------------
 
 def build_silver(spark: SparkSession, source: str, ingest_date: dt.date, root: str | None = None,
-                 start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:
+                 start: dt.date | None = None, end: dt.date | None = None, quarantine: bool = False) -> DataFrame:
     """Bronze partition → silver partition for one vendor, optionally kept
     to the history range [start, end]; returns the written silver (read
-    back)."""
+    back).  A close that is not positive fails the job; with ``quarantine``
+    rows that break a rule by themselves are written aside with the rule's
+    name first (layer "quarantine"), and the others go on."""
     if source not in PRICE_SCHEMAS:
         raise ValueError(f"{source!r} is no price source; there are {sorted(PRICE_SCHEMAS)}")
     root = root or lake_root(spark)
     b = bronze.scan(spark, root, f"{source}_prices", PRICE_SCHEMAS[source], ingest_date)
-    silver = to_silver(b.drop("ingest_date", "batch"), source)
+    b = b.drop("ingest_date", "batch")
+    if quarantine:
+        b, broken = quality.set_aside(b, quality.price_rules())
+        bronze.land(broken.drop(*bronze.ARRIVAL, "_native"), root, f"{source}_prices", ingest_date, layer="quarantine")
+    silver = to_silver(b, source)
     if start is not None:
         silver = history_range(silver, start, end)
     bronze.write_silver(silver, root, f"{source}_prices", ingest_date)

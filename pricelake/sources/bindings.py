@@ -159,7 +159,7 @@ def secondary_bronze(spark: SparkSession, sf_dir: str, native_adjusted: bool = T
     b = b.withColumn("adj_close", F.col("adj_close") * scale)
     if not native_adjusted:
         return b.select("date", "open", "high", "low", "close", "adj_close", "volume", "ticker")
-    f = F.col("adj_close") / F.col("close")
+    f = F.try_divide(F.col("adj_close"), F.col("close"))
     return b.select(
         "date", "open", "high", "low", "close", "adj_close",
         (F.col("open") * f).alias("adj_open"), (F.col("high") * f).alias("adj_high"),

@@ -83,3 +83,31 @@ def test_golden_rows_adjusted_open(spark):
                               p.schema)
     assert to_silver(p).first().adj_open == pytest.approx(36.718616509878416, rel=1e-9)
     assert to_silver(s).first().adj_open == pytest.approx(36.71933740748481, rel=1e-9)
+
+
+@pytest.mark.parametrize("columns", [["adj_close"], ["ticker", "date"], ["adj_close", "ticker"]])
+def test_guard_holds_under_pruned_columns(spark, columns):
+    df = bars(spark).withColumn("close", F.when(F.col("date") == F.lit(D), 0.0).otherwise(F.col("close")))
+    with pytest.raises(Exception, match="not positive"):
+        to_silver(df).select(*columns).collect()
+    with pytest.raises(Exception, match="not positive"):
+        to_silver(df).count()
+
+
+def test_rows_with_native_prices_need_no_factor(spark):
+    df = (bars(spark).withColumn("close", F.lit(0.0)).withColumn("_native", F.lit(True))
+          .withColumns({c: F.lit(1.0) for c in ("adj_open", "adj_high", "adj_low")}).withColumn("adj_volume", F.col("volume")))
+    assert to_silver(df).count() == 3
+
+
+def test_quarantine_sets_zero_closes_aside(spark, lake):
+    from pricelake.plans import pipeline as pl
+    b = bars(spark).withColumns({"dividends": F.lit(0.0), "stock_splits": F.lit(0.0)})
+    b = b.withColumn("close", F.when(F.col("date") == F.lit(D), 0.0).otherwise(F.col("close")))
+    day = dt.date(2024, 2, 1)
+    bronze.land(b, lake, "primary_prices", day)
+    with pytest.raises(Exception, match="not positive"):
+        pl.build_silver(spark, "primary", day, lake)
+    assert pl.build_silver(spark, "primary", day, lake, quarantine=True).count() == 2
+    aside = spark.read.parquet(bronze.batch_path(lake, "quarantine", "primary_prices", day, 0)).collect()
+    assert [(r.date, r.reason) for r in aside] == [(D, "close > 0")]
