@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, exact_dedup, langid, lmscore, mixing, near_dedup, pii, runs, secrets, tokens, urls
+from . import decontaminate, exact_dedup, langid, lmscore, mixing, near_dedup, pii, runs, secrets, tokens, urls, warc
 
 QUERIES = {
     "op1_near_duplicates": near_dedup.query,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_exact_dedup": exact_dedup.query,
     "op9_language_id": langid.query,
     "op10_source_mixing": mixing.query,
+    "op11_warc_archive": warc.query,
     "op13_periodic_runs": runs.query,
 }
 
@@ -23,4 +24,5 @@ SQL = {
     "op7_decontamination": decontaminate.SQL,
     "op8_exact_dedup": exact_dedup.SQL,
     "op10_source_mixing": mixing.SQL,
+    "op11_warc_archive": warc.SQL,
 }
