@@ -47,7 +47,7 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-dig
 CONV_DIGITS, BASE32_DIGITS = "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 CAPTURED = "1970-01-01T00:00:00Z"
 PAYLOADS = "key binary, check binary, payload string"
-HEADERS = "page_id long, header string, key binary, check binary, payload_bytes long"
+HEADERS = "page_id long, header string, key binary, check binary"
 
 
 def sha256(payload: Column) -> Column:
@@ -99,22 +99,42 @@ def archive(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str
     tally = rows.groupBy(*same).agg(F.max("page_id").alias("keep_id"))
     tally.write.parquet(f"{folder}/tally")
     tally = spark.read.parquet(f"{folder}/tally")
-    # the winner's id is part of the join's key, so copies don't meet here
-    first = tally.withColumnRenamed("keep_id", "id")
-    stored = (rows.select(*same, "page_id", "payload")
-              .join(first, [rows[c] == first[c] for c in same] + [rows["page_id"].eqNullSafe(first["id"])], "left_semi")
-              .dropDuplicates([*same, "page_id"]))
+    # the winner's id is part of the join's key, so copies don't meet here, and
+    # rows that repeat the winner lie together already
+    def named(df, c):
+        return df.withColumns({"id": F.coalesce(F.col(c), F.lit(0)), "no_id": F.col(c).isNull()})
+
+    at = [*same, "id", "no_id"]
+    stored = named(rows, "page_id").select(*at, "payload").join(named(tally, "keep_id").select(*at), at, "left_semi").dropDuplicates(at)
     stored.select("key", "check", "payload").write.option("compression", "zstd").parquet(f"{folder}/payloads")
     told = rows.withColumn("payload_digest", base32_sha1(F.col("payload"))).drop("payload").join(tally, same)
     revisit = (F.col("payload_bytes") >= least_bytes) & ~F.col("page_id").eqNullSafe(F.col("keep_id"))
-    (told.select("page_id", _header(revisit, captured).alias("header"), "key", "check", "payload_bytes")
+    (told.select("page_id", _header(revisit, captured).alias("header"), "key", "check")
      .write.option("compression", "zstd").parquet(f"{folder}/headers"))
 
 
-def _joined(spark: SparkSession, folder: str) -> DataFrame:
-    """Headers with the payloads they name."""
-    payloads = spark.read.schema(PAYLOADS).parquet(f"{folder}/payloads")
-    return spark.read.schema(HEADERS).parquet(f"{folder}/headers").join(payloads, ["key", "check"], "left")
+def _payloads(spark: SparkSession, folder: str, digest: Callable[[Column], Column]) -> DataFrame:
+    """The stored payloads, each compared with its address, and what headers
+    say of them.  Computed before any join, so that a reader who wants no
+    payloads moves none."""
+    p = spark.read.schema(PAYLOADS).parquet(f"{folder}/payloads")
+    sound = (digest(F.col("payload")) == F.col("key")) & (F.unhex(F.sha2("payload", 512)) == F.col("check"))
+    # a filter, so that no choice of columns skips the comparison
+    p = p.where(F.when(sound, F.lit(True)).otherwise(F.raise_error(F.concat(
+        F.lit("a payload differs from its address: "), F.hex("key"))).cast("boolean")))
+    return p.withColumns({"payload_bytes": F.octet_length("payload").cast("long"), "payload_digest": base32_sha1(F.col("payload"))})
+
+
+def _joined(spark: SparkSession, folder: str, digest: Callable[[Column], Column]) -> DataFrame:
+    """Headers with the payloads they name; a payload that is missing, or that
+    is not what the header says, fails the job."""
+    told = spark.read.schema(HEADERS).parquet(f"{folder}/headers").withColumns({
+        "_sha1": _field("WARC-Payload-Digest"),
+        "_size": F.regexp_extract("header", r"(?s)\r\n\r\n.*\r\nContent-Length: ([0-9]+)\r\n", 1).cast("long")})
+    d = told.join(_payloads(spark, folder, digest), ["key", "check"], "left")
+    sound = (F.concat(F.lit("sha1:"), "payload_digest") == F.col("_sha1")) & (F.col("payload_bytes") == F.col("_size"))
+    return d.where(F.when(F.coalesce(sound, F.lit(False)), F.lit(True)).otherwise(F.raise_error(F.concat(
+        F.lit("no payload as the header names it: "), "_sha1")).cast("boolean")))
 
 
 def _field(name: str) -> Column:
@@ -122,11 +142,11 @@ def _field(name: str) -> Column:
     return F.regexp_extract("header", rf"\r\n{name}: ([^\r\n]*)\r\n", 1)
 
 
-def records(spark: SparkSession, folder: str) -> DataFrame:
+def records(spark: SparkSession, folder: str, digest: Callable[[Column], Column] = sha256) -> DataFrame:
     """page_id and record: every record as it was archived, without the two
     line breaks that end it."""
     body = F.when(_field("WARC-Type") == "response", F.col("payload")).otherwise("")
-    return _joined(spark, folder).select("page_id", F.concat("header", body).alias("record"))
+    return _joined(spark, folder, digest).select("page_id", F.concat("header", body).alias("record"))
 
 
 def write_warc(spark: SparkSession, folder: str, out: str) -> None:
@@ -141,18 +161,11 @@ def read_back(spark: SparkSession, folder: str, digest: Callable[[Column], Colum
     def page(name):
         return F.expr(f"try_cast(regexp_extract({name}, '^<urn:page:(-?[0-9]+)>$', 1) AS long)")
 
-    d = _joined(spark, folder).withColumns({
+    d = _joined(spark, folder, digest).withColumns({
         "record_type": _field("WARC-Type"), "_id": _field("WARC-Record-ID"), "_of": _field("WARC-Refers-To"),
-        "target_uri": F.nullif(_field("WARC-Target-URI"), F.lit("")), "_sha1": _field("WARC-Payload-Digest"),
-        "_size": F.regexp_extract("header", r"(?s)\r\n\r\n.*\r\nContent-Length: ([0-9]+)\r\n", 1).cast("long"),
-        "payload_digest": base32_sha1(F.col("payload"))})
-    sound = ((digest(F.col("payload")) == F.col("key")) & (F.unhex(F.sha2("payload", 512)) == F.col("check"))
-             & (F.octet_length("payload") == F.col("_size")) & (F.concat(F.lit("sha1:"), "payload_digest") == F.col("_sha1")))
-    # a filter, so that no choice of columns skips the comparison
-    d = d.where(F.when(F.coalesce(sound, F.lit(False)), F.lit(True)).otherwise(F.raise_error(F.concat(
-        F.lit("a payload differs from its address or header: "), "_id")).cast("boolean")))
+        "target_uri": F.nullif(_field("WARC-Target-URI"), F.lit(""))})
     return d.select(page("_id").alias("page_id"), "target_uri", "record_type", page("_of").alias("refers_to"), "payload",
-                    F.octet_length("payload").cast("long").alias("payload_bytes"), "payload_digest")
+                    "payload_bytes", "payload_digest")
 
 
 SQL = f"""
