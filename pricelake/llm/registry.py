@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, exact_dedup, langid, lmscore, mixing, near_dedup, pii, runs, secrets, tokens, urls, warc
+from . import decontaminate, exact_dedup, langid, lmscore, mixing, near_dedup, pii, runs, secrets, tokens, urls, variants, warc
 
 QUERIES = {
     "op1_near_duplicates": near_dedup.query,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_language_id": langid.query,
     "op10_source_mixing": mixing.query,
     "op11_warc_archive": warc.query,
+    "op12_spelling_variants": variants.query,
     "op13_periodic_runs": runs.query,
 }
 
