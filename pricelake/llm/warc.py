@@ -106,11 +106,11 @@ def archive(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str
 
     at = [*same, "id", "no_id"]
     stored = named(rows, "page_id").select(*at, "payload").join(named(tally, "keep_id").select(*at), at, "left_semi").dropDuplicates(at)
-    stored.select("key", "check", "payload").write.option("compression", "zstd").parquet(f"{folder}/payloads")
+    stored.select("key", "check", "payload").write.parquet(f"{folder}/payloads")
     told = rows.withColumn("payload_digest", base32_sha1(F.col("payload"))).drop("payload").join(tally, same)
     revisit = (F.col("payload_bytes") >= least_bytes) & ~F.col("page_id").eqNullSafe(F.col("keep_id"))
     (told.select("page_id", _header(revisit, captured).alias("header"), "key", "check")
-     .write.option("compression", "zstd").parquet(f"{folder}/headers"))
+     .write.parquet(f"{folder}/headers"))
 
 
 def _payloads(spark: SparkSession, folder: str, digest: Callable[[Column], Column]) -> DataFrame:
