@@ -34,6 +34,14 @@ def lower_az(text: Column) -> Column:
     return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
 
 
+def row_key(id_col: str, text_col: str) -> Column:
+    """128 bits that name a row by its id and text; nulls differ from all values."""
+    def part(c):
+        return F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-"))
+
+    return F.unhex(F.md5(F.concat(part(id_col), F.lit("\n"), part(text_col))))
+
+
 def set_aside(df: DataFrame):
     """``df`` with all columns under names of our own, so that none can clash
     with an operator's; the new name by the old; and the way back."""

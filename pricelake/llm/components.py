@@ -25,7 +25,7 @@ def components(links: DataFrame) -> DataFrame:
     def sign(df):
         return df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
 
-    i = 0
+    i, before = 0, sign(edges)
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
@@ -36,7 +36,8 @@ def components(links: DataFrame) -> DataFrame:
                  .unionByName(least.select("u", F.col("m").alias("v")))
                  .filter("u <> v").distinct())
         small = stored(small, f"{folder}/{i + 1}")
-        done = sign(small) == sign(edges)  # every node hangs on its smallest
+        after = sign(small)
+        done, before = after == before, after  # every node hangs on its smallest
         remove(spark, f"{folder}/{i}-large")
         remove(spark, f"{folder}/{i}")
         edges = small

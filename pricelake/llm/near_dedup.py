@@ -17,11 +17,20 @@
 4. Leaders have then met their whole bucket and leave it; buckets within one
    component are done.  What is left are pairs between components.  For their
    nodes the shingles that no other node left has are counted: two sets can
-   share no more than the smaller number of their other shingles, and a pair
-   that this bound keeps below the threshold is ruled out in the join.  Each
-   bucket first draws leaders once more, now its nodes with the fewest
-   shingles of their own, which are the middle of a group; then all other
-   pairs left are compared.
+   share no more than the smaller number of their other shingles, and a node
+   that this bound keeps below the threshold is alone.  Each bucket draws
+   leaders once more, now its nodes with the fewest shingles of their own,
+   which are the middle of a group.
+5. Then every bucket takes the middle of its largest component as reference,
+   and each node left is known by its difference from that: the shingles that
+   only one of both has.  Two sets differ by the difference of their
+   differences, so near sets that are not both near to the reference share a
+   number of difference shingles that their sizes state (``least_shared``).
+   Few nodes have one, even where thousands share all the others, and those
+   that only one node has are left out.  Of a node's difference, in order of
+   frequency, only the shingles enter lists after which enough others follow,
+   and two nodes meet in a list if enough follow for both: no pair is compared
+   only because a bucket holds both.
 
 No pair of different components that meets in a bucket is left out, so apart
 from the banding and the pruning, whose miss probabilities are chosen below,
@@ -48,7 +57,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import remove, run_folder, set_aside, stored, table
+from .common import remove, row_key, run_folder, set_aside, stored, table
 from .components import components
 
 WORDS = 4
@@ -59,6 +68,8 @@ BANDS, ROWS = 32, 5
 BATCH, MISS = 32, 1e-6
 #: Leaders a bucket draws, and likeliest pairs of a node that are confirmed first.
 LEADERS, FIRST = 2, 3
+#: Difference shingles that a task holds before it passes them on.
+TOKENS = 200_000
 SEED = 7
 
 
@@ -136,7 +147,7 @@ def least_matches(batches: list[int], threshold: float, miss: float) -> list[int
 
 def signatures(docs: DataFrame, id_col: str, text_col: str, k: int, bands: int, rows: int) -> DataFrame:
     """doc_id, row_key, n_shingles, digest (null without words), signature, buckets."""
-    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(id_col, text_col).alias("row_key"),
+    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), row_key(id_col, text_col).alias("row_key"),
                       F.col(text_col).alias("text"))
 
     def scan(batches):
@@ -157,7 +168,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, k: int, bands: int,
                                        pa.array(sig, pa.binary()), pa.array(bucket, pa.list_(pa.int64()))],
                                       names=["doc_id", "row_key", "n_shingles", "digest", "signature", "buckets"])
 
-    return src.mapInArrow(scan, "doc_id long, row_key long, n_shingles long, digest binary, signature binary, buckets array<long>")
+    return src.mapInArrow(scan, "doc_id long, row_key binary, n_shingles long, digest binary, signature binary, buckets array<long>")
 
 
 def likely(pairs: DataFrame, sigs: DataFrame, values: int, percent: int, miss: float) -> DataFrame:
@@ -221,6 +232,68 @@ def sharable(nodes: DataFrame, texts: DataFrame, k: int) -> DataFrame:
     return alone.groupBy("node").agg(F.count(F.lit(1)).alias("own"))
 
 
+def differences(refs: DataFrame, texts: DataFrame, k: int) -> DataFrame:
+    """(ref, node, n, n_ref, d, tokens) of ``refs(ref, node)``: the sizes of
+    both shingle sets, how many shingles only one of both has, their hashes."""
+    both = (refs.join(texts.select("node", F.col("text").alias("x")), "node")
+            .join(texts.select(F.col("node").alias("ref"), F.col("text").alias("y")), "ref").select("ref", "node", "x", "y"))
+    schema = pa.schema([(c, pa.int64()) for c in ("ref", "node", "n", "n_ref", "d")] + [("tokens", pa.list_(pa.int64()))])
+
+    def compare(batches):
+        last, held = None, set()
+        for batch in batches:
+            out, size = [], 0
+            for ref, node, x, y in zip(*batch.columns):
+                if ref != last:  # rows of one reference come together
+                    last, held = ref, shingles_of(words_of(y.as_py()), k)
+                own = shingles_of(words_of(x.as_py()), k)
+                only = held ^ own
+                out.append((ref.as_py(), node.as_py(), len(own), len(held), len(only), [xxhash.xxh3_64_intdigest(s) - (1 << 63) for s in only]))
+                size += len(only)
+                if size > TOKENS:
+                    yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
+                    out, size = [], 0
+            if out:
+                yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
+
+    return both.mapInArrow(compare, "ref long, node long, n long, n_ref long, d long, tokens array<long>")
+
+
+def least_shared(w, percent: int):
+    """With w = (100 + percent) d - (100 - percent) n per set, d its distance
+    from the reference: sets a, b are similar if and only if their differences
+    share at least this of ``w`` = w(a) + w(b)."""
+    return F.greatest(F.lit(1), F.ceil(w / F.lit(2 * (100 + percent)))).cast("long")
+
+
+def met_by_difference(diffs: DataFrame, percent: int, folder: str) -> DataFrame:
+    """(a, b): every pair of similar nodes of different components that have a
+    reference in common, and few others.  ``diffs`` holds ref, node, d, n,
+    n_ref, tokens and the component c, in which all nodes near to their
+    reference are together."""
+    w = (100 + percent) * F.col("d") - (100 - percent) * F.col("n")
+    near = (100 + percent) * F.col("d") <= (100 - percent) * (F.col("n") + F.col("n_ref"))
+    nodes = diffs.withColumns({"w": w, "near": near})
+    # a node that is not near may be similar to any other, one that is near to those that are not
+    bounds = nodes.groupBy("ref").agg(F.min("w").alias("least"), F.min(F.when(~F.col("near"), F.col("w"))).alias("least_far"),
+                                      F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").drop("lo", "hi")
+    nodes = nodes.join(bounds, "ref").withColumn("t", least_shared(F.col("w") + F.when(
+        F.col("near"), F.col("least_far")).otherwise(F.col("least")), percent))
+    tokens = stored(nodes.filter("t <= d").select("ref", "node", "c", "w", "t", F.explode("tokens").alias("token")), f"{folder}/tokens")
+    shared = tokens.groupBy("ref", "token").agg(F.count(F.lit(1)).alias("nodes")).filter("nodes > 1")
+    by = Window.partitionBy("ref", "node")
+    lists = (tokens.join(shared, ["ref", "token"])
+             .withColumn("follow", F.count(F.lit(1)).over(by) - F.row_number().over(by.orderBy("nodes", "token")) + 1).filter("follow >= t"))
+    lists = stored(lists.select("ref", "token", "node", "c", "w", "follow"), f"{folder}/difference-lists")
+
+    def side(x):
+        return lists.select("ref", "token", *[F.col(c).alias(c + x) for c in ("node", "c", "w", "follow")])
+
+    met = side("x").join(side("y"), ["ref", "token"]).filter("cx < cy").filter(
+        least_shared(F.col("wx") + F.col("wy"), percent) <= F.least("followx", "followy"))
+    return met.select(F.greatest("nodex", "nodey").alias("a"), F.least("nodex", "nodey").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
                     percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS, miss: float = MISS) -> DataFrame:
     """One row per document: doc_id, row_key, n_shingles, component_id, kept."""
@@ -239,7 +312,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sigs = stored(first.select("node", "signature").join(nodes, "node", "left_semi"), f"{folder}/signatures")
     wanted = named.join(nodes, "node", "left_semi")
     keys = signed.select("doc_id", "digest", "row_key").join(wanted, ["doc_id", "digest"]).select("row_key", "node").distinct()
-    src = docs.select(F.xxhash64(id_col, text_col).alias("row_key"), F.col(text_col).alias("text"))
+    src = docs.select(row_key(id_col, text_col).alias("row_key"), F.col(text_col).alias("text"))
     texts = stored(src.join(keys, "row_key").select("node", "text"), f"{folder}/texts")
 
     labels = None
@@ -262,8 +335,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             new = old.unionByName(new.join(labels.select("node"), "node", "left_anti"))
         return stored(new, f"{folder}/labels-{name}")
 
+    def side(df, x):
+        return df.select("bucket", F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("c").alias(f"c{x}"), F.col("s").alias(f"s{x}"))
+
+    def decided(pairs, r):
+        """The labels after all pairs of a round are compared."""
+        nonlocal labels
+        best = Window.partitionBy("a").orderBy(F.desc("matched"), "b")
+        alive = stored(likely(pairs, sigs, bands * rows, percent, miss).withColumn("turn", F.row_number().over(best)), f"{folder}/alive-{r}")
+        for part in ("first", "rest"):
+            some = alive.filter(F.col("turn") <= FIRST if part == "first" else F.col("turn") > FIRST).select("a", "b")
+            if part == "rest":
+                some = relabelled(relabelled(some, "a", "ca"), "b", "cb").filter("ca <> cb").select("a", "b")
+            links = confirmed(some, texts, words, percent)
+            links = relabelled(relabelled(links, "a", "ca"), "b", "cb").select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct()
+            labels = merged(links, f"{r}-{part}")
+
     own = None
-    for r, last in enumerate((False, False, True)):
+    for r in range(3):
         left = relabelled(members, "node", "c")
         # the members of buckets with several components
         several = left.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("bucket")
@@ -278,33 +367,29 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             left = left.join(own, "node", "left").withColumn("s", F.col("n") - F.coalesce("own", F.lit(0)))
             # a set that shares too little with any other is alone
             left = stored(left.filter(100 * F.col("s") >= percent * F.col("n")).drop("own"), f"{folder}/bound-{r}")
-        if last:
-            lead = left
-        else:
+        if r < 2:
             turn = F.lit(0) if r == 0 else F.col("n") - F.col("s")
             draw = Window.partitionBy("bucket").orderBy(turn, F.xxhash64("node", F.lit(r)), "node")
             lead = stored(left.withColumn("rn", F.row_number().over(draw)).filter(F.col("rn") <= LEADERS).drop("rn"), f"{folder}/lead-{r}")
             # the leaders are about to meet their whole bucket
             members = stored(left.select("bucket", "node", "n").join(lead.select("bucket", "node"), ["bucket", "node"], "left_anti"),
                              f"{folder}/members-{r + 1}")
-
-        def side(df, x):
-            return df.select("bucket", F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("c").alias(f"c{x}"), F.col("s").alias(f"s{x}"))
-
-        # sizes, and what can be shared, alone rule out pairs that can't be similar enough
-        most = F.least("sx", "sy", "nx", "ny")
-        pairs = (side(left, "x").join(side(lead, "y"), "bucket").filter("cx < cy" if last else "cx <> cy")
-                 .filter(100 * most >= percent * (F.col("nx") + F.col("ny") - most))
-                 .select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct())
-        best = Window.partitionBy("a").orderBy(F.desc("matched"), "b")
-        alive = stored(likely(pairs, sigs, bands * rows, percent, miss).withColumn("turn", F.row_number().over(best)), f"{folder}/alive-{r}")
-        for part in ("first", "rest"):
-            some = alive.filter(F.col("turn") <= FIRST if part == "first" else F.col("turn") > FIRST).select("a", "b")
-            if part == "rest":
-                some = relabelled(relabelled(some, "a", "ca"), "b", "cb").filter("ca <> cb").select("a", "b")
-            links = confirmed(some, texts, words, percent)
-            links = relabelled(relabelled(links, "a", "ca"), "b", "cb").select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct()
-            labels = merged(links, f"{r}-{part}")
+            # sizes, and what can be shared, alone rule out pairs that can't be similar enough
+            most = F.least("sx", "sy", "nx", "ny")
+            decided(side(left, "x").join(side(lead, "y"), "bucket").filter("cx <> cy")
+                    .filter(100 * most >= percent * (F.col("nx") + F.col("ny") - most))
+                    .select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct(), r)
+            continue
+        hubs = (left.select("c", "node", (F.col("n") - F.col("s")).alias("own")).distinct().groupBy("c")
+                .agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("own", "node")).alias("hub")))
+        largest = (left.select("bucket", "c").distinct().join(hubs, "c").groupBy("bucket")
+                   .agg(F.max(F.struct("size", "hub.node")).alias("top")).select("bucket", F.col("top.node").alias("ref")))
+        refs = left.join(largest, "bucket").select("ref", "node").filter("ref <> node").distinct()
+        diffs = stored(differences(refs, texts, words), f"{folder}/differences")
+        near = diffs.filter((100 + percent) * F.col("d") <= (100 - percent) * (F.col("n") + F.col("n_ref")))
+        near = relabelled(relabelled(near.select("node", "ref"), "node", "a"), "ref", "b").select("a", "b").filter("a <> b").distinct()
+        labels = merged(near, f"{r}-near")
+        decided(met_by_difference(relabelled(diffs, "node", "c"), percent, folder), r)
     for x in ("texts", "signatures", "members-0", "nodes"):
         remove(spark, f"{folder}/{x}")
     named_all = groups.withColumnRenamed("least", "component_id")
@@ -325,7 +410,7 @@ def near_deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     repeated row stays once, a text without words always."""
     kept = near_duplicates(docs, id_col, text_col, **how).filter("kept").select(F.col("row_key").alias("_row_key")).distinct()
     rows, names, back = set_aside(docs)
-    rows = rows.withColumn("_row_key", F.xxhash64(names[id_col], names[text_col]))
+    rows = rows.withColumn("_row_key", row_key(names[id_col], names[text_col]))
     return back(rows.join(kept, "_row_key", "left_semi").dropDuplicates(["_row_key", names[id_col]]))
 
 

@@ -148,3 +148,63 @@ def test_hot_group_of_copies(spark):
         F.concat_ws(" ", F.lit("q"), F.col("id"), F.col("id") + 7, F.col("id") * 3, F.lit("z"))).alias("text"))
     got = N.near_duplicates(hot).groupBy("component_id").count().filter("count > 1").collect()
     assert [tuple(x) for x in got] == [(0, 300)]
+
+
+def all_sets(rows, k=4):
+    return {i: N.shingles_of(N.words_of(t), k) for i, t in rows}
+
+
+@pytest.mark.parametrize("percent", [60, 80, 95])
+def test_no_similar_pair_is_missed_by_its_differences(spark, tmp_path, percent):
+    """Against all pairs: one reference for nodes of very different distance,
+    nodes with the same edits, several references, every node a component."""
+    r = random.Random(percent)
+    base = prose(90, 70, 3000).split()
+    rows = [(0, " ".join(base))] + family(r, base, 70, 1, 8)
+    for i, t in rows[1:40]:  # near to one far from the reference
+        w = t.split()
+        w[r.randrange(70)] = "q"
+        rows.append((100 + i, " ".join(w)))
+    rows += [(300 + i, prose(700 + i, 60, 3000)) for i in range(10)] + [(400, " ".join(base[:30])), (401, " ".join(base[:31]))]
+    sets = all_sets(rows)
+    texts = spark.createDataFrame(rows, "node long, text string")
+    similar = {(a, b) for a in sets for b in sets if a > b and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])}
+    for n, ref in enumerate((0, 7, 300)):
+        refs = texts.filter(F.col("node") != ref).select(F.lit(ref).cast("long").alias("ref"), "node")
+        diffs = N.differences(refs, texts, 4).cache()
+        assert {x.node: (x.n, x.n_ref, x.d) for x in diffs.collect()} == {
+            i: (len(s), len(sets[ref]), len(s ^ sets[ref])) for i, s in sets.items() if i != ref}
+        near = {i for i in sets if (max(i, ref), min(i, ref)) in similar}
+        c = F.when(F.col("node").isin(*near), ref).otherwise(F.col("node")) if near else F.col("node")
+        met = {(x.a, x.b) for x in N.met_by_difference(diffs.withColumn("c", c), percent, f"{tmp_path}/{n}").collect()}
+        want = {(a, b) for a, b in similar if ref not in (a, b) and not {a, b} <= near}
+        assert want <= met, want - met
+
+
+def test_large_group_gives_few_pairs(spark, tmp_path):
+    """A thousand copies of one text with one to eight edits each: those near
+    to the reference against those that are not."""
+    r = random.Random(11)
+    base = prose(91, 150, 9000).split()
+    rows = [(0, " ".join(base))]
+    for i in range(1, 1001):
+        w = list(base)
+        for at in r.sample(range(150), r.randint(1, 8)):
+            w[at] = f"e{r.randrange(10 ** 9)}"
+        rows.append((i, " ".join(w)))
+    texts = spark.createDataFrame(rows, "node long, text string").repartition(4)
+    diffs = N.differences(texts.filter("node > 0").select(F.lit(0).cast("long").alias("ref"), "node"), texts, 4)
+    near = 180 * F.col("d") <= 20 * (F.col("n") + F.col("n_ref"))
+    met = N.met_by_difference(diffs.withColumn("c", F.when(near, 0).otherwise(F.col("node"))), 80, f"{tmp_path}/x")
+    sets = all_sets(rows)
+    far = [i for i, s in sets.items() if i and 9 * len(s ^ sets[0]) > len(s) + len(sets[0])]
+    want = {(max(a, b), min(a, b)) for a in far for b in sets if b and a != b and 9 * len(sets[a] ^ sets[b]) <= len(sets[a]) + len(sets[b])}
+    got = {(x.a, x.b) for x in met.collect()}
+    assert want <= got and len(far) > 200 and len(got) < 2000
+
+
+def test_row_keys_tell_nulls_apart(spark):
+    from pricelake.llm.common import row_key
+    rows = [(None, None), (None, ""), (None, "-"), (1, None), (1, ""), (1, "=\n"), (11, "a"), (1, "1a")]
+    df = spark.createDataFrame(rows, "i long, t string")
+    assert df.select(row_key("i", "t")).distinct().count() == len(rows)
