@@ -84,6 +84,37 @@ def fact_price_daily_sources(silver: DataFrame, dim_date: DataFrame,
     return rows, counts
 
 
+def resolve_keys_as_of(df: DataFrame, dim_date: DataFrame, dim_security: DataFrame) -> DataFrame:
+    """Like ``resolve_keys``, but with the security_key of the version that
+    was valid on the row's date, whatever became of the ticker since.
+    ``key_status`` says why there is none: "unknown" ticker, "not yet" (before
+    its first version) or "gone" (out of the universe on that day)."""
+    from .asof import as_of
+    out = df.withColumn("date", F.to_date("date")).join(
+        F.broadcast(dim_date.select("date", "date_key")), "date", "left")
+    out = as_of(out, dim_security, "ticker", "date", "effective_from", "effective_to", ["security_key"], status="key_status")
+    known = dim_security.select("ticker").distinct().withColumn("_known", F.lit(True))
+    status = (F.when(F.col("key_status") != "none", F.when(F.col("key_status") == "expired", "gone").otherwise("valid"))
+              .when(F.col("_known"), "not yet").otherwise("unknown"))
+    return out.join(known, "ticker", "left").withColumn("key_status", status).drop("_known")
+
+
+def fact_price_daily_as_of(silver: DataFrame, dim_date: DataFrame, dim_security: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(fact rows, load counts) for several vendors (``silver`` carries their
+    ``source``), each bar under the security's version of its own day.  Counts
+    come per source and key status; rows of a day outside the calendar are
+    counted as skipped whatever their status."""
+    r = resolve_keys_as_of(silver, dim_date, dim_security)
+    prices = ["open", "high", "low", "close", "adj_open", "adj_high", "adj_low", "adj_close"]
+    rows = _resolved_only(r).select(
+        "security_key", "date_key", "source", *[to_decimal(c).alias(c) for c in prices],
+        F.col("volume").cast("long").alias("volume"), F.col("adj_volume").cast("long").alias("adj_volume"))
+    counts = r.groupBy("source", "key_status").agg(
+        F.count(F.lit(1)).alias("bars"), F.count_if(F.col("date_key").isNull()).alias("skipped_no_date_key"),
+        F.count_if(F.col("date_key").isNotNull() & F.col("security_key").isNotNull()).alias("loaded"))
+    return rows, counts
+
+
 def fact_consensus(consensus: DataFrame, dim_date: DataFrame,
                    dim_security: DataFrame) -> tuple[DataFrame, DataFrame]:
     r = resolve_keys(consensus, dim_date, dim_security)

@@ -347,6 +347,35 @@ def q_gold_build_counts(spark, sf_dir):
     return present(out)
 
 
+# ---- point-in-time keys -------------------------------------------------
+
+def weekly_dim_security(spark, sf_dir):
+    """Securities with their history within the bars' month: members come,
+    change, leave and return by week."""
+    s = bind.weekly_snapshots(spark, sf_dir)
+    return dims.build_scd2_bulk(s.select(
+        "ticker", "snapshot_date", F.concat(F.lit("Acme "), "ticker").alias("company_name"), F.col("attribute").alias("gics_sector"),
+        F.lit(None).cast("string").alias("gics_sub_industry"), F.lit(None).cast("string").alias("figi")), SCD_ATTRS)
+
+
+def _as_of(spark, sf_dir):
+    both = (primary_silver(spark, sf_dir).withColumn("source", F.lit(PRIMARY))
+            .unionByName(secondary_silver(spark, sf_dir).withColumn("source", F.lit(SECONDARY))))
+    return fx.fact_price_daily_as_of(both, gold_dim_date(spark, sf_dir), weekly_dim_security(spark, sf_dir))
+
+
+@query("fact_price_daily_as_of")
+def q_fact_price_daily_as_of(spark, sf_dir):
+    """Every bar under the version of its security that was valid that day."""
+    return present(_as_of(spark, sf_dir)[0])
+
+
+@query("as_of_load_summary")
+def q_as_of_load_summary(spark, sf_dir):
+    """Bars by what point-in-time resolution found for them."""
+    return present(_as_of(spark, sf_dir)[1])
+
+
 # ---- landed payloads ----------------------------------------------------
 from ..sources import landing, payloads  # noqa: E402
 

@@ -545,6 +545,43 @@ q("fact_consensus", "SELECT * FROM f_consensus")
 q("fact_corporate_action", "SELECT * FROM f_action")
 q("fact_macro_rate", "SELECT * FROM f_macro")
 
+# point-in-time keys: the same history, over weekly snapshots
+view("wk_snap", """
+SELECT 'U' || lpad(CAST(o_custkey AS VARCHAR), CAST(greatest(6, length(CAST(o_custkey AS VARCHAR))) AS INTEGER), '0') AS ticker,
+       DATE '2024-01-01' + CAST(7 * wk AS INTEGER) AS snapshot_date,
+       'Acme U' || lpad(CAST(o_custkey AS VARCHAR), CAST(greatest(6, length(CAST(o_custkey AS VARCHAR))) AS INTEGER), '0') AS company_name,
+       attribute AS gics_sector
+FROM (SELECT o_custkey, o_orderkey % 5 AS wk,
+             arg_max(o_orderpriority, o_orderdate::VARCHAR || '#' || lpad(CAST(o_orderkey AS VARCHAR), 20, '0')) AS attribute
+      FROM orders GROUP BY 1, 2) x
+""")
+for _v in ("scd_idx", "scd_tr", "scd_tr2", "scd_hist"):
+    view(_v.replace("scd_", "wk_"), VIEWS[_v].replace("scd_", "wk_"))
+view("wk_security", """
+SELECT CAST(row_number() OVER (ORDER BY effective_from, ticker) AS BIGINT) AS security_key, ticker, effective_from, effective_to
+FROM wk_hist
+""")
+view("wk_bars", """
+SELECT b.*, v.security_key AS last_key, v.effective_to
+FROM (SELECT 'primary' AS source, * FROM primary_silver UNION ALL SELECT 'secondary' AS source, * FROM secondary_silver) b
+ASOF LEFT JOIN wk_security v ON b.ticker = v.ticker AND b.date >= v.effective_from
+""")
+q("fact_price_daily_as_of", f"""
+SELECT last_key AS security_key, d.date_key, source, {_PRICE_FACT},
+       CAST(volume AS BIGINT) AS volume, CAST(adj_volume AS BIGINT) AS adj_volume
+FROM wk_bars b JOIN dd_keys d ON d.date = b.date
+WHERE last_key IS NOT NULL AND (effective_to IS NULL OR b.date < effective_to)
+""")
+q("as_of_load_summary", """
+SELECT source, key_status, count(*) AS bars, count(*) FILTER (WHERE date_key IS NULL) AS skipped_no_date_key,
+       count(*) FILTER (WHERE date_key IS NOT NULL AND key_status = 'valid') AS loaded
+FROM (SELECT b.source, d.date_key,
+             CASE WHEN last_key IS NULL THEN CASE WHEN ticker IN (SELECT ticker FROM wk_security) THEN 'not yet' ELSE 'unknown' END
+                  WHEN effective_to IS NULL OR b.date < effective_to THEN 'valid' ELSE 'gone' END AS key_status
+      FROM wk_bars b LEFT JOIN dd_keys d ON d.date = b.date) x
+GROUP BY 1, 2
+""")
+
 
 def _load(table: str, src: str, with_sec: bool = True) -> str:
     sk = "k.security_key IS NULL" if with_sec else "false"

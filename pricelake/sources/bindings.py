@@ -38,6 +38,8 @@ FIXED VALUES (binding rules):
   snapshots: orders, one row per (o_custkey, order year), attribute = priority
              of the latest order (date desc, o_orderkey desc), snapshot date
              1 January of that year
+  weekly snapshots: orders, one row per (o_custkey, week = o_orderkey % 5),
+             attribute as above, snapshot date 2024-01-01 plus 7 days a week
   macro:     events per (series, date), value = average; series from
              event_type: click DGS3MO, view DGS10, purchase FEDFUNDS,
              signup CPIAUCSL, anything else upper(event_type)
@@ -229,6 +231,15 @@ def membership_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "attribute")
 
 
+def weekly_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(ticker, snapshot_date, attribute): membership by week of the bars' month."""
+    o = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+    latest = F.max_by("o_orderpriority", F.struct("o_orderdate", "o_orderkey"))
+    g = o.withColumn("wk", F.col("o_orderkey") % 5).groupBy("o_custkey", "wk").agg(latest.alias("attribute"))
+    return g.select(ticker_of(F.col("o_custkey")).alias("ticker"),
+                    F.date_add(F.lit(dt.date(2024, 1, 1)), (7 * F.col("wk")).cast("int")).alias("snapshot_date"), "attribute")
+
+
 def series_of(event_type: Column) -> Column:
     return (F.when(event_type == "click", "DGS3MO").when(event_type == "view", "DGS10")
             .when(event_type == "purchase", "FEDFUNDS").when(event_type == "signup", "CPIAUCSL")
