@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import PRIMARY, SECONDARY
+from ..operators import events as ev
 from ..operators import quality as qc
 from ..operators import reconcile as rec
 from ..operators.silver import to_silver
@@ -96,6 +97,19 @@ def q_consensus(spark, sf_dir):
     return present(reconciliation(spark, sf_dir).consensus())
 
 
+@query("discrepancy_events")
+def q_discrepancy_events(spark, sf_dir):
+    """Each stretch of disagreement of each ticker, by the trading calendar."""
+    days = primary_silver(spark, sf_dir).select("date").unionByName(secondary_silver(spark, sf_dir).select("date"))
+    return present(ev.discrepancy_events(reconciliation(spark, sf_dir).pairs(), days))
+
+
+@query("discrepancy_segments")
+def q_discrepancy_segments(spark, sf_dir):
+    """The levels of each ticker's signed difference and where they change."""
+    return present(ev.segments(reconciliation(spark, sf_dir).pairs()))
+
+
 # ---- quality gate -------------------------------------------------------
 
 def _price_reports(spark, sf_dir):

@@ -236,6 +236,61 @@ SELECT ticker, CAST(date AS VARCHAR) AS date,
 FROM matched
 """)
 
+view("day_no", """
+SELECT date, row_number() OVER (ORDER BY date) AS day_no
+FROM (SELECT date FROM primary_silver UNION SELECT date FROM secondary_silver) d
+""")
+view("signed", """
+SELECT ticker, date, flagged, pct_diff,
+       CASE WHEN primary_adj_close + secondary_adj_close <> 0
+            THEN (primary_adj_close - secondary_adj_close) / ((primary_adj_close + secondary_adj_close) / 2) END AS x
+FROM pairs
+""")
+view("flagged_days", """
+SELECT *, CASE WHEN coalesce(day_no - lag(day_no) OVER (PARTITION BY ticker ORDER BY day_no) > 1, true) THEN 1 ELSE 0 END AS begins
+FROM (SELECT s.*, d.day_no, min(d.day_no) OVER t AS first_no, max(d.day_no) OVER t AS last_no,
+             avg(CASE WHEN NOT s.flagged THEN s.x END) OVER t AS outside
+      FROM signed s JOIN day_no d USING (date) WINDOW t AS (PARTITION BY s.ticker)) y
+WHERE flagged
+""")
+q("discrepancy_events", f"""
+SELECT ticker, CAST(event_no AS BIGINT) AS event_no, CAST(min(date) AS VARCHAR) AS start, CAST(max(date) AS VARCHAR) AS "end",
+       count(*) AS days_flagged, CAST(max(day_no) - min(day_no) + 1 AS BIGINT) AS days_spanned,
+       CASE WHEN isfinite(max(pct_diff)) THEN round(max(pct_diff), {R}) END AS max_pct_diff, round(avg(x), {R}) AS mean_diff,
+       round(avg(x) - min(outside), {R}) AS mean_shift,
+       CASE WHEN min(day_no) = min(first_no) AND max(day_no) = min(last_no) THEN 'constant' WHEN min(day_no) = min(first_no) THEN 'until'
+            WHEN max(day_no) = min(last_no) THEN 'since' ELSE 'window' END AS kind
+FROM (SELECT *, sum(begins) OVER (PARTITION BY ticker ORDER BY day_no ROWS UNBOUNDED PRECEDING) AS event_no FROM flagged_days) z
+GROUP BY ticker, event_no
+""")
+_PAY = 4 * 0.005 * 0.005
+q("discrepancy_segments", f"""
+WITH series AS (
+  SELECT ticker, list(x ORDER BY date) AS xs, list(date ORDER BY date) AS ds, count(*) AS n FROM signed WHERE x IS NOT NULL GROUP BY ticker),
+sums AS (
+  SELECT *, list_transform(range(0, n + 1), lambda k: coalesce(list_sum(xs[1:k]), 0.0)) AS s1,
+         list_transform(range(0, n + 1), lambda k: coalesce(list_sum(list_transform(xs[1:k], lambda v: v * v)), 0.0)) AS s2 FROM series),
+best_of AS (
+  SELECT ticker, CAST(0 AS BIGINT) AS j, [CAST(0.0 AS DOUBLE)] AS best, [CAST(0 AS BIGINT)] AS back FROM sums
+  UNION ALL
+  SELECT ticker, j + 1, list_append(best, list_min(c)), list_append(back, CAST(list_position(c, list_min(c)) - 1 AS BIGINT))
+  FROM (SELECT b.*, list_transform(range(0, b.j + 1), lambda i: b.best[i + 1] + (s.s2[b.j + 2] - s.s2[i + 1]
+                 - (s.s1[b.j + 2] - s.s1[i + 1]) * (s.s1[b.j + 2] - s.s1[i + 1]) / (b.j + 1 - i)) + {_PAY}) AS c
+        FROM best_of b JOIN sums s ON s.ticker = b.ticker WHERE b.j < s.n) t),
+cuts AS (
+  SELECT s.ticker, b.back, s.n AS hi, b.back[s.n + 1] AS lo FROM sums s JOIN best_of b ON b.ticker = s.ticker AND b.j = s.n
+  UNION ALL SELECT ticker, back, lo, back[lo + 1] FROM cuts WHERE lo > 0),
+levels AS (
+  SELECT c.ticker, row_number() OVER (PARTITION BY c.ticker ORDER BY c.lo) AS segment_no, s.ds[c.lo + 1] AS start, s.ds[c.hi] AS "end",
+         c.hi - c.lo AS days, list_avg(s.xs[c.lo + 1:c.hi]) AS mean_diff
+  FROM cuts c JOIN sums s ON s.ticker = c.ticker)
+SELECT ticker, segment_no, CAST(start AS VARCHAR) AS start, CAST("end" AS VARCHAR) AS "end", CAST(days AS BIGINT) AS days,
+       round(mean_diff, {R}) AS mean_diff, round(mean_diff - lag(mean_diff) OVER (PARTITION BY ticker ORDER BY segment_no), {R}) AS shift,
+       CASE WHEN abs(mean_diff) <= 0.005 THEN 'agreement' ELSE 'offset' END AS kind
+FROM levels
+""")
+SQL["discrepancy_segments"] = SQL["discrepancy_segments"].replace("WITH", "WITH RECURSIVE", 1)
+
 # ---- quality gate -------------------------------------------------------
 view("constituents", """
 SELECT 'U' || lpad(CAST(c.c_custkey AS VARCHAR), CAST(greatest(6, length(CAST(c.c_custkey AS VARCHAR))) AS INTEGER), '0') AS ticker,
