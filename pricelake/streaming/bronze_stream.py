@@ -17,10 +17,10 @@ from pyspark.sql import types as T
 
 from ..operators import facts, quality
 from ..operators.silver import to_silver
-from ..schemas import PRIMARY_BRONZE
+from ..schemas import NATIVE_ADJUSTED, PRIMARY_BRONZE
 from ..session import lake_root
 from ..sources import fs
-from ..sources.bronze import ARRIVAL, _with_parts, dataset_path
+from ..sources.bronze import ARRIVAL, _with_parts, batch_path, checked_columns, dataset_path
 from ..sources.gold import GoldStore
 
 
@@ -35,6 +35,20 @@ def price_stream(spark: SparkSession, root: str, dataset: str, schema: T.StructT
             .withColumn("_arrival_row", F.col("_metadata.row_index")))
 
 
+def with_own_columns(batch: DataFrame, root: str, dataset: str, schema: T.StructType) -> DataFrame:
+    """The micro-batch, with what the declared schema hides: a landing that
+    lacks a required column fails the stream, and where a vendor may send
+    adjusted prices ``_native`` says which rows came with them.  A micro-batch
+    holds at most as many landings as files."""
+    spark = batch.sparkSession
+    found = [(r.ingest_date, r.batch) for r in batch.select("ingest_date", "batch").distinct().collect()]
+    native = [(d, b, NATIVE_ADJUSTED <= checked_columns(spark, batch_path(root, "bronze", dataset, d, b), schema)) for d, b in found]
+    if not NATIVE_ADJUSTED <= set(schema.fieldNames()):
+        return batch
+    told = spark.createDataFrame(native, "ingest_date date, batch int, _native boolean")
+    return batch.join(F.broadcast(told), ["ingest_date", "batch"])
+
+
 #: Files a micro-batch reads at most: the backlog is worked off in steps.
 MAX_FILES = 1000
 QUARANTINE = ["ticker", "date", "open", "high", "low", "close", "adj_close", "volume"]
@@ -63,12 +77,12 @@ def run_price_stream(spark: SparkSession, source: str, dim_date: DataFrame, dim_
     store = GoldStore(spark, f"{root}/gold")
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
-        batch = batch.drop("ingest_date", "batch")
+        batch = with_own_columns(batch, root, dataset, schema).drop("ingest_date", "batch")
 
         def put(df, what):
             fs.replace(df, root, f"{stream_folder(root, what, source)}/epoch_id={epoch_id}")
 
-        put(quality.evaluate(batch.drop(*ARRIVAL), quality.price_rules(), source), "gate_reports")
+        put(quality.evaluate(batch.drop(*ARRIVAL, "_native"), quality.price_rules(), source), "gate_reports")
         reason = quality.row_violation(quality.price_rules())
         good = batch.where(reason.isNull())
         silver = to_silver(good, source)
