@@ -22,7 +22,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import CONSTITUENTS_ROW_BAND, INDEX_LEVEL_SERIES, OHLC_TOLERANCE
@@ -146,17 +146,46 @@ def _success(unexpected: Column, evaluated: Column, mostly: float) -> Column:
     return (evaluated == 0) | ((evaluated - unexpected) / evaluated >= F.lit(mostly))
 
 
+def _counters(rules: list[Rule]) -> dict[str, Column]:
+    """Aggregates that the row rules need, by name."""
+    out = {"_n": F.count(F.lit(1))}
+    for i, r in enumerate(rules):
+        e = _row_exprs(r)
+        if e is not None:
+            out |= {f"_u{i}": F.count_if(e[0]), f"_e{i}": F.count_if(e[1])}
+    return out
+
+
+class Observed:
+    """Rule counts out of the pass that writes a frame.
+
+    ``watch`` a frame, write it once, then ask for the ``report``: the counts
+    were taken while the rows went by, so the gate reads nothing again.
+    Uniqueness needs rows to meet and is left to ``evaluate``.  A frame that
+    is read by two actions is counted at the first only."""
+
+    def __init__(self, rules: list[Rule]):
+        self.rules = [r for r in rules if r.kind != "unique"]
+        self._observation = Observation()
+
+    def watch(self, df: DataFrame) -> DataFrame:
+        return df.observe(self._observation, *[c.alias(n) for n, c in _counters(self.rules).items()])
+
+    def report(self, spark: SparkSession, source: str) -> DataFrame:
+        """As ``evaluate`` gives it; waits for the write."""
+        counts = self._observation.get
+        names = list(_counters(self.rules))
+        one = spark.createDataFrame([tuple(int(counts[n]) for n in names)], ", ".join(f"{n} long" for n in names))
+        return _report(one, self.rules, source)
+
+
 def _stats(df: DataFrame, rules: list[Rule]) -> DataFrame:
     """One row: _n, and _u{i}, _e{i} per rule, from one scan of ``df``.
 
     The first uniqueness rule's key groups the rows and carries the row
     rules' counters along, so that rule and all row rules share one exchange
     of partial sums; a further uniqueness rule adds one grouped count."""
-    counters = {"_n": F.count(F.lit(1))}
-    for i, r in enumerate(rules):
-        e = _row_exprs(r)
-        if e is not None:
-            counters |= {f"_u{i}": F.count_if(e[0]), f"_e{i}": F.count_if(e[1])}
+    counters = _counters(rules)
     uniques = [(i, r) for i, r in enumerate(rules) if r.kind == "unique"]
     if not uniques:
         return df.agg(*[c.alias(n) for n, c in counters.items()])
@@ -182,8 +211,12 @@ def _stats(df: DataFrame, rules: list[Rule]) -> DataFrame:
 def evaluate(df: DataFrame, rules: list[Rule], source: str | Column) -> DataFrame:
     """Run every rule over ``df``; one report row per rule (or a single
     failing 'non-empty dataframe' row when ``df`` has no rows)."""
+    return _report(_stats(df, rules), rules, source)
+
+
+def _report(stats: DataFrame, rules: list[Rule], source: str | Column) -> DataFrame:
+    """The report out of one row of counts."""
     src = source if isinstance(source, Column) else F.lit(source)
-    stats = _stats(df, rules)
     structs = []
     for i, r in enumerate(rules):
         if r.kind == "row_count":

@@ -82,22 +82,19 @@ def totals(matched: DataFrame, primary: str = PRIMARY, secondary: str = SECONDAR
     )
 
 
-def by_ticker(pairs_df: DataFrame, exact_median: bool = True) -> DataFrame:
+def by_ticker(pairs_df: DataFrame) -> DataFrame:
     """Per-ticker discrepancy profile, flagged window fused in (no join).
 
     A ticker holds at most one row per trading day after de-duplication, so
     an exact median per ticker is bounded by the length of the history;
-    ``exact_median=False`` switches to ``percentile_approx`` for very long
-    histories.
+    groups without such a bound go through ``quantiles.exact_quantiles``.
     """
-    med = (F.median("pct_diff") if exact_median
-           else F.percentile_approx("pct_diff", 0.5, 10000))
     flagged = F.col("flagged")
     g = pairs_df.groupBy("ticker").agg(
         F.count(F.lit(1)).alias("rows_compared"),
         F.count_if(flagged).alias("rows_flagged"),
         F.max("pct_diff").alias("max_pct_diff"),
-        med.alias("median_pct_diff"),
+        F.median("pct_diff").alias("median_pct_diff"),
         F.min(F.when(flagged, F.col("date"))).alias("first_flagged"),
         F.max(F.when(flagged, F.col("date"))).alias("last_flagged"),
         F.min("date").alias("first_compared"),
@@ -126,6 +123,30 @@ def top_discrepancies(pairs_df: DataFrame, n: int = 10) -> DataFrame:
             .orderBy(F.col("pct_diff").desc_nulls_last(), "ticker", "date").limit(n))
 
 
+#: Levels of the coverage report, and the columns that their grouping_id names.
+ROLLUP_COLUMNS = ["sector", "ticker", "month", "outcome"]
+ROLLUP_SETS = [["sector", "ticker", "month", "outcome"], ["sector", "ticker", "outcome"], ["sector", "month", "outcome"],
+               ["sector", "outcome"], ["month", "outcome"], ["outcome"], ["sector"], []]
+
+
+def coverage_rollup(consensus_df: DataFrame, sectors: DataFrame) -> DataFrame:
+    """Coverage and disagreement at every level of ``ROLLUP_SETS`` at once:
+    sector, ticker, month (first day), outcome, grouping_id (a bit per column
+    that a row sums over, sector first), bars, mean_pct_diff (of finite ones).  ``sectors``: ticker, sector; a ticker
+    without one has a NULL sector, which grouping_id tells from a total.
+
+    Bars are summed up to the finest level first, so what is multiplied by
+    the number of levels is a row per ticker, month and outcome."""
+    pct = F.when(F.abs("pct_diff") < float("inf"), F.col("pct_diff"))
+    fine = (consensus_df.groupBy("ticker", F.trunc("date", "month").alias("month"), F.col("reconciliation_flag").alias("outcome"))
+            .agg(F.count(F.lit(1)).alias("bars"), F.sum(pct).alias("pct_sum"), F.count(pct).alias("pct_n"))
+            .join(sectors.select("ticker", "sector"), "ticker", "left"))
+    sets = [[F.col(c) for c in s] for s in ROLLUP_SETS]
+    return (fine.groupingSets(sets, *[F.col(c) for c in ROLLUP_COLUMNS])
+            .agg(F.grouping_id().alias("grouping_id"), F.sum("bars").alias("bars"),
+                 F.try_divide(F.sum("pct_sum"), F.sum("pct_n")).alias("mean_pct_diff")))
+
+
 def affected(profile: DataFrame) -> DataFrame:
     """k of n tickers with at least one flagged pair."""
     return profile.agg(F.count_if(F.col("rows_flagged") > 0).alias("tickers_affected"),

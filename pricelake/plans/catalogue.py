@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..config import PRIMARY, SECONDARY
 from ..operators import events as ev
 from ..operators import quality as qc
+from ..operators import quantiles as qt
 from ..operators import reconcile as rec
 from ..operators.silver import to_silver
 from ..sources import bindings as bind
@@ -104,6 +105,26 @@ def q_discrepancy_events(spark, sf_dir):
     return present(ev.discrepancy_events(reconciliation(spark, sf_dir).pairs(), days))
 
 
+QUANTILES = [0.01, 0.25, 0.5, 0.75, 0.9, 0.99]
+
+
+@query("pct_diff_quantiles")
+def q_pct_diff_quantiles(spark, sf_dir):
+    """Exact quantiles of the discrepancy over the universe and per sector."""
+    from ..session import cut_lineage
+    sector = bind.constituents(spark, sf_dir).select("ticker", F.col("gics_sector").alias("grp"))
+    p = cut_lineage(reconciliation(spark, sf_dir).pairs().join(sector, "ticker", "left").withColumn("grp", F.coalesce("grp", F.lit("none"))))
+    whole = p.withColumn("grp", F.lit("universe"))
+    return present(qt.exact_quantiles(whole, "pct_diff", QUANTILES, ["grp"]).unionByName(qt.exact_quantiles(p, "pct_diff", QUANTILES, ["grp"])))
+
+
+@query("coverage_rollup")
+def q_coverage_rollup(spark, sf_dir):
+    """Outcomes by sector, ticker and month, with all totals."""
+    sector = bind.constituents(spark, sf_dir).select("ticker", F.col("gics_sector").alias("sector"))
+    return present(rec.coverage_rollup(reconciliation(spark, sf_dir).consensus(), sector))
+
+
 @query("discrepancy_segments")
 def q_discrepancy_segments(spark, sf_dir):
     """The levels of each ticker's signed difference and where they change."""
@@ -482,7 +503,8 @@ def q_trailing_hour_budget(spark, sf_dir):
 
 
 def _ec_holdings(spark, sf_dir):
-    return bind.holdings(spark, sf_dir).where(F.col("asset_cat") == "EC").drop("holding_key")
+    inside = bind.holdings(spark, sf_dir).where(F.col("asset_cat") == "EC").drop("holding_key")
+    return inside.unionByName(bind.outside_holdings(spark, sf_dir))
 
 
 @query("crosscheck_unmatched_list")
@@ -682,6 +704,15 @@ def q_gate_bronze_report(spark, sf_dir):
     return present(report)
 
 
+@query("gate_observed")
+def q_gate_observed(spark, sf_dir):
+    """The price rules counted by the writes that land both feeds."""
+    root, d = scratch_dir(spark, "lake"), bind.INGEST_DATE
+    p = pl.land_gated(bind.primary_landed(spark, sf_dir), root, "primary_prices", d, qc.price_rules(), PRIMARY)
+    s = pl.land_gated(bind.secondary_bronze(spark, sf_dir), root, "secondary_prices", d, qc.price_rules(), SECONDARY)
+    return present(p.unionByName(s))
+
+
 @query("constituents_snapshot_reuse")
 def q_constituents_snapshot_reuse(spark, sf_dir):
     """Reuse-or-refresh: the first call for a run date ingests the page; a

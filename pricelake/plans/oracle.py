@@ -600,6 +600,24 @@ q("fact_consensus", "SELECT * FROM f_consensus")
 q("fact_corporate_action", "SELECT * FROM f_action")
 q("fact_macro_rate", "SELECT * FROM f_macro")
 
+# ---- quantiles and totals of the reconciliation ----
+view("finite_pairs", """
+SELECT p.pct_diff, coalesce(k.gics_sector, 'none') AS sector FROM pairs p LEFT JOIN constituents k ON k.ticker = p.ticker
+WHERE pct_diff IS NOT NULL AND NOT isnan(pct_diff)
+""")
+_Q = [0.01, 0.25, 0.5, 0.75, 0.9, 0.99]
+q("pct_diff_quantiles", "\nUNION ALL\n".join(
+    f"SELECT {g} AS grp, CAST({p} AS DOUBLE) AS p, CASE WHEN isfinite(quantile_cont(pct_diff, {p})) THEN round(quantile_cont(pct_diff, {p}), {R}) END AS quantile, count(pct_diff) AS n "
+    f"FROM finite_pairs GROUP BY {g}" for g in ("'universe'", "sector") for p in _Q))
+q("coverage_rollup", f"""
+SELECT sector, ticker, CAST(month AS VARCHAR) AS month, outcome, CAST(GROUPING(sector, ticker, month, outcome) AS BIGINT) AS grouping_id,
+       count(*) AS bars, round(avg(CASE WHEN isfinite(pct_diff) THEN pct_diff END), {R}) AS mean_pct_diff
+FROM (SELECT c.ticker, CAST(date_trunc('month', c.date) AS DATE) AS month, c.reconciliation_flag AS outcome, c.pct_diff, k.gics_sector AS sector
+      FROM consensus_rows c LEFT JOIN constituents k ON k.ticker = c.ticker) x
+GROUP BY GROUPING SETS ((sector, ticker, month, outcome), (sector, ticker, outcome), (sector, month, outcome),
+                        (sector, outcome), (month, outcome), (outcome), (sector), ())
+""")
+
 # point-in-time keys: the same history, over weekly snapshots
 view("wk_snap", """
 SELECT 'U' || lpad(CAST(o_custkey AS VARCHAR), CAST(greatest(6, length(CAST(o_custkey AS VARCHAR))) AS INTEGER), '0') AS ticker,
@@ -808,7 +826,11 @@ _NORM = ("trim(regexp_replace(regexp_replace(regexp_replace(upper(coalesce({c},
 view("ec_holdings", f"""
 SELECT name, title, cusip, isin, asset_cat, pct_val, val_usd,
        {_NORM.format(c='name')} AS n_name, {_NORM.format(c='title')} AS n_title
-FROM holdings WHERE asset_cat = 'EC'
+FROM (SELECT name, title, cusip, isin, asset_cat, pct_val, val_usd FROM holdings WHERE asset_cat = 'EC'
+      UNION ALL
+      SELECT CASE WHEN s_suppkey % 3 = 1 THEN 'Acme ' || s_suppkey || ' plc' ELSE 'Outside ' || s_suppkey || ' Ltd' END,
+             CASE WHEN s_suppkey % 3 = 0 THEN 'ACME ' || s_suppkey || ' class b' ELSE 'outside note ' || s_suppkey END,
+             'X' || lpad(CAST(s_suppkey AS VARCHAR), 8, '0'), NULL, 'EC', s_acctbal / 1000.0, s_acctbal FROM supplier) h
 """)
 view("members", f"SELECT *, {_NORM.format(c='company_name')} AS n_company FROM constituents")
 view("ul", """
@@ -946,6 +968,8 @@ SELECT CAST(count(*) FILTER (WHERE idx = m AND transition IN ('first_seen', 'ret
 FROM scd_tr2, scd_last
 """)
 q("gate_bronze_report", "\nUNION ALL\n".join([_CONST_Q, _PRICE_Q, _MACRO_Q, _IDENT_Q]))
+q("gate_observed", "\nUNION ALL\n".join(
+    _check_rows(s, t, _PRICE_CHECKS) for s, t in (("primary", "primary_landed"), ("secondary", "secondary_bronze"))))
 q("constituents_snapshot_reuse", """
 SELECT CASE WHEN c_custkey % 50 = 7 THEN ticker || '-B' ELSE ticker END AS ticker,
        company_name, gics_sector, gics_sub_industry,

@@ -104,6 +104,15 @@ def gate_bronze(spark: SparkSession, ingest_date: dt.date, root: str | None = No
     return report, quality.overall(report)
 
 
+def land_gated(df: DataFrame, root: str, dataset: str, ingest_date: dt.date, rules: list[quality.Rule], source: str,
+               batch: int = 0) -> DataFrame:
+    """Land ``df`` and return the gate's report on it, counted by the pass
+    that writes it: all ``rules`` but uniqueness."""
+    seen = quality.Observed(rules)
+    bronze.land(seen.watch(df), root, dataset, ingest_date, batch)
+    return seen.report(df.sparkSession, source)
+
+
 # ---- silver / reconcile ------------------------------------------------------
 
 def build_silver(spark: SparkSession, source: str, ingest_date: dt.date, root: str | None = None,

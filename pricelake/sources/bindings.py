@@ -34,6 +34,9 @@ FIXED VALUES (binding rules):
   holdings:  customers with key % 19 <> 0; name
              'ACME <key>' plus ' INCORPORATED' / ' Holdings' / ' LTD' for
              key % 3 = 0/1/2; title 'acme <key> class b'
+  outside holdings: suppliers; name 'Acme <key> plc' where key % 3 = 1, else
+             'Outside <key> Ltd'; title 'ACME <key> class b' where key % 3 = 0,
+             else 'outside note <key>'
   identifiers: constituents with key % 13 <> 0, figi 'BBG' + key padded to 9
   snapshots: orders, one row per (o_custkey, order year), attribute = priority
              of the latest order (date desc, o_orderkey desc), snapshot date
@@ -206,6 +209,18 @@ def holdings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def outside_holdings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Holdings of a fund beyond the universe: by neither key, by title only
+    or by name only known to it."""
+    s, k = read_table(spark, sf_dir, "supplier", "s_suppkey", "s_acctbal"), F.col("s_suppkey")
+    key = k.cast("string")
+    return s.select(
+        F.when(k % 3 == 1, F.concat(F.lit("Acme "), key, F.lit(" plc"))).otherwise(F.concat(F.lit("Outside "), key, F.lit(" Ltd"))).alias("name"),
+        F.when(k % 3 == 0, F.concat(F.lit("ACME "), key, F.lit(" class b"))).otherwise(F.concat(F.lit("outside note "), key)).alias("title"),
+        F.concat(F.lit("X"), F.lpad(key, 8, "0")).alias("cusip"), F.lit(None).cast("string").alias("isin"), F.lit("EC").alias("asset_cat"),
+        (F.col("s_acctbal") / 1000.0).alias("pct_val"), F.col("s_acctbal").alias("val_usd"))
+
+
 def identifiers(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("c_custkey")
     c = _customers(spark, sf_dir).where(k % 13 != 0)

@@ -101,3 +101,20 @@ def test_infinite_discrepancy_ranks_first_and_is_an_event(spark):
     assert [x.ticker for x in r.top(2).collect()] == ["A", "B"] and r.top(1).first().pct_diff == float("inf")
     shapes = {x.ticker: (x.max_pct_diff, x.rows_flagged) for x in rec.discrepancy_shape(r.by_ticker()).collect()}
     assert shapes["A"] == (float("inf"), 1) and shapes["C"] == (None, 0)
+
+
+def test_rollup_has_every_level_once(spark):
+    import datetime as dt
+    rows = [("A", dt.date(2024, 1, 5), "agreed", 0.1), ("A", dt.date(2024, 2, 5), "agreed", 0.3), ("B", dt.date(2024, 1, 9), "disagreed", 0.2),
+            ("B", dt.date(2024, 1, 10), "disagreed", float("inf")), ("C", dt.date(2024, 1, 5), "single_source", None)]
+    c = spark.createDataFrame(rows, "ticker string, date date, reconciliation_flag string, pct_diff double")
+    s = spark.createDataFrame([("A", "x"), ("B", "x"), ("D", "y")], "ticker string, sector string")
+    got = {(r.sector, r.ticker, str(r.month) if r.month else None, r.outcome, r.grouping_id): (r.bars, r.mean_pct_diff)
+           for r in rec.coverage_rollup(c, s).collect()}
+    assert got[None, None, None, None, 15] == (5, pytest.approx(0.2))
+    assert got["x", None, None, None, 7] == (4, pytest.approx(0.2))
+    assert got[None, None, None, None, 7] == (1, None)  # no sector, not the total
+    assert got["x", None, "2024-01-01", "disagreed", 4] == (2, pytest.approx(0.2))
+    assert got["x", "A", None, "agreed", 2] == (2, pytest.approx(0.2))
+    assert got[None, None, "2024-02-01", "agreed", 12] == (1, pytest.approx(0.3))
+    assert sum(n for k, (n, _) in got.items() if k[-1] == 0) == 5
