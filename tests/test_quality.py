@@ -114,11 +114,11 @@ def test_observed_counts_equal_the_gate_and_read_nothing_again(spark, lake):
     from pricelake.sources import bindings as bind
     from pricelake.sources import bronze, fs
     from tests.conftest import SF
-    b, rules, day = bind.primary_landed(spark, SF), quality.price_rules(), dt.date(2024, 2, 1)
-    seen = quality.Observed(rules)
+    b, rules, day = bind.primary_landed(spark, SF), qc.price_rules(), dt.date(2024, 2, 1)
+    seen = qc.Observed(rules)
     bronze.land(seen.watch(b), lake, "primary_prices", day)
     landed = bronze.scan(spark, lake, "primary_prices", pl.PRICE_SCHEMAS["primary"], day, arrival=False)
-    want = [tuple(r) for r in quality.evaluate(landed.drop("ingest_date", "batch"), rules, "primary").collect() if "unique" not in r.check_name]
+    want = [tuple(r) for r in qc.evaluate(landed.drop("ingest_date", "batch"), rules, "primary").collect() if "unique" not in r.check_name]
     # what was landed is gone, so nothing can be scanned for the report
     fs.delete(spark, lake)
     assert [tuple(r) for r in seen.report(spark, "primary").collect()] == want and any(not r[2] for r in want)
@@ -131,5 +131,5 @@ def test_observed_report_of_nothing_landed(spark, lake):
     from pricelake.sources import bindings as bind
     from tests.conftest import SF
     r = pl.land_gated(bind.primary_landed(spark, SF).where("false"), lake, "primary_prices", dt.date(2024, 2, 1),
-                      quality.price_rules(), "primary").collect()
+                      qc.price_rules(), "primary").collect()
     assert [(x.check_name, x.success) for x in r] == [("non-empty dataframe", False)]
