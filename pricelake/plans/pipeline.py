@@ -23,7 +23,7 @@ from ..schemas import (CONSTITUENTS_BRONZE, IDENTIFIER_BRONZE, MACRO_BRONZE, PRI
                        SECONDARY_BRONZE, SILVER)
 from ..session import cut_lineage, lake_root
 from ..sources import bronze
-from ..sources.gold import GoldStore
+from ..sources.gold import KEPT, GoldStore
 
 ALL_SOURCES = ("primary", "secondary", "macro", "identifiers")
 PRICE_SCHEMAS = {PRIMARY: PRIMARY_BRONZE, SECONDARY: SECONDARY_BRONZE}
@@ -166,7 +166,7 @@ def build_gold(spark: SparkSession, ingest_date: dt.date, start: dt.date, root:
     """Silver for both vendors → dims → facts → consensus, all upserted.
     Returns the load summary (one row per load)."""
     root = root or lake_root(spark)
-    store = GoldStore(spark, f"{root}/gold")
+    store = GoldStore(spark, f"{root}/gold", keep=KEPT)
     ps = build_silver(spark, primary, ingest_date, root)
     if ps.isEmpty():
         raise ValueError(f"no {primary} silver for {ingest_date}: refusing to build dims from nothing")
@@ -211,7 +211,7 @@ def build_gold(spark: SparkSession, ingest_date: dt.date, start: dt.date, root:
 
 def gate_gold(spark: SparkSession, ingest_date: dt.date, root: str | None = None, **thresholds) -> DataFrame:
     root = root or lake_root(spark)
-    store = GoldStore(spark, f"{root}/gold")
+    store = GoldStore(spark, f"{root}/gold", keep=KEPT)
     return facts.freshness(store.read("dim_security"), store.read("fact_price_daily_consensus"),
                            store.read("dim_date"), ingest_date, **thresholds)
 
@@ -256,7 +256,7 @@ def run_backfill(spark: SparkSession, tickers: DataFrame, ingest_date: dt.date,
     Returns the audit row (total delta must equal subset delta), with the
     rows that found no security or date."""
     root = root or lake_root(spark)
-    store = GoldStore(spark, f"{root}/gold")
+    store = GoldStore(spark, f"{root}/gold", keep=KEPT)
     ds = store.read("dim_security")
     # a reliable checkpoint, not a cache: a cached read of the table would be
     # refreshed when the table's path is overwritten below

@@ -5,9 +5,10 @@ calendar, one part for other tables.  Data lies in
 ``{table}/version=N/part=P``; a manifest ``{table}/_manifest/N.json`` names
 the version that holds each part.  An upsert reads only the parts its batch
 touches, writes them once into a new version, and then publishes the next
-manifest in one rename; what no manifest names any more is deleted last.  A
-crash at any step leaves the former manifest and all its data in place.
-One writer per table at a time.
+manifest in one rename; what no kept manifest names any more is deleted last.
+A crash at any step leaves the former manifest and all its data in place.
+``keep`` former manifests stay with their data, so that a query planned on one
+of them still finds its files.  One writer per table at a time.
 """
 
 from __future__ import annotations
@@ -40,22 +41,30 @@ def part_of(table: str) -> Column:
     return F.col("year").cast("int") if rule == "year" else F.lit(0)
 
 
+#: Former states of a table that the pipeline's verbs leave to running readers.
+KEPT = 3
+
+
 class GoldStore:
-    def __init__(self, spark: SparkSession, root: str | None = None):
-        self.spark = spark
+    def __init__(self, spark: SparkSession, root: str | None = None, keep: int = 0):
+        self.spark, self.keep = spark, keep
         self.root = (root or f"{lake_root(spark)}/gold").rstrip("/")
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
-    def _manifest(self, table: str) -> tuple[int, dict[int, int]]:
-        """(number, part -> version) of the published state."""
-        folder = f"{self.path(table)}/_manifest"
-        found = [int(n[:-5]) for n in fs.children(self.spark, folder) if n.endswith(".json")]
+    def _numbers(self, table: str) -> list[int]:
+        names = fs.children(self.spark, f"{self.path(table)}/_manifest")
+        return sorted(int(n[:-5]) for n in names if n.endswith(".json"))
+
+    def _manifest(self, table: str, number: int | None = None) -> tuple[int, dict[int, int]]:
+        """(number, part -> version) of the published state, or of a former one."""
+        found = self._numbers(table)
         if not found:
             return 0, {}
-        n = max(found)
-        return n, {int(k): v for k, v in json.loads(fs.read_text(self.spark, f"{folder}/{n:09d}.json")).items()}
+        n = found[-1] if number is None else number
+        text = fs.read_text(self.spark, f"{self.path(table)}/_manifest/{n:09d}.json")
+        return n, {int(k): v for k, v in json.loads(text).items()}
 
     def exists(self, table: str) -> bool:
         return self._manifest(table)[0] > 0
@@ -91,19 +100,23 @@ class GoldStore:
         self.clean(table)
 
     def _write(self, merged: DataFrame, version: str) -> None:
-        merged.write.partitionBy("part").parquet(version)
+        # dealt by part, so that a part is written by few tasks; a hot part is
+        # split again and small ones are put together by their measured sizes
+        merged.hint("rebalance", "part").write.partitionBy("part").parquet(version)
 
     def _publish(self, table: str, number: int, held: dict[int, int]) -> None:
         fs.write_text(self.spark, f"{self.path(table)}/_manifest/{number:09d}.json", json.dumps(held))
 
     def clean(self, table: str) -> None:
-        """Delete the parts and manifests that the published one replaced."""
-        number, held = self._manifest(table)
+        """Delete the parts and manifests that no kept manifest names."""
+        numbers = self._numbers(table)
+        kept_numbers = numbers[-1 - self.keep:]
+        named = {(p, v) for n in kept_numbers for p, v in self._manifest(table, n)[1].items()}
         for name in fs.children(self.spark, self.path(table)):
             if not name.startswith("version="):
                 continue
             folder, v = f"{self.path(table)}/{name}", int(name.partition("=")[2])
-            kept = {f"part={p}" for p, at in held.items() if at == v}
+            kept = {f"part={p}" for p, at in named if at == v}
             if not kept:
                 fs.delete(self.spark, folder)
                 continue
@@ -111,5 +124,5 @@ class GoldStore:
                 if part.startswith("part=") and part not in kept:
                     fs.delete(self.spark, f"{folder}/{part}")
         for name in fs.children(self.spark, f"{self.path(table)}/_manifest"):
-            if name != f"{number:09d}.json":
+            if name not in {f"{n:09d}.json" for n in kept_numbers}:
                 fs.delete(self.spark, f"{self.path(table)}/_manifest/{name}")

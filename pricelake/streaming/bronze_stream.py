@@ -21,7 +21,7 @@ from ..schemas import NATIVE_ADJUSTED, PRIMARY_BRONZE
 from ..session import lake_root
 from ..sources import fs
 from ..sources.bronze import ARRIVAL, _with_parts, batch_path, checked_columns, dataset_path
-from ..sources.gold import GoldStore
+from ..sources.gold import KEPT, GoldStore
 
 
 def price_stream(spark: SparkSession, root: str, dataset: str, schema: T.StructType = PRIMARY_BRONZE,
@@ -74,7 +74,7 @@ def run_price_stream(spark: SparkSession, source: str, dim_date: DataFrame, dim_
     Returns the StreamingQuery (finished when ``wait``)."""
     root = root or lake_root(spark)
     dataset = dataset or f"{source}_prices"
-    store = GoldStore(spark, f"{root}/gold")
+    store = GoldStore(spark, f"{root}/gold", keep=KEPT)
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
         batch = with_own_columns(batch, root, dataset, schema).drop("ingest_date", "batch")

@@ -155,3 +155,26 @@ def test_calendar_is_broadcast(spark, dims_):
     s = silver(spark, [("A", D1, 1., 1., 1., 1., 1., 1., 1., 1., 5, 5)])
     plan = facts.resolve_keys(s, dd, None)._jdf.queryExecution().optimizedPlan().toString()
     assert "strategy=broadcast" in plan
+
+
+def test_readers_of_former_states_keep_their_files(spark, lake):
+    import os
+    store = GoldStore(spark, lake, keep=2)
+    planned = []
+    for v in range(1, 6):
+        store.upsert("fact_macro_rate", month_rows(spark, float(v), [20240105, 20240200 + v]))
+        planned.append(store.read("fact_macro_rate", [202401]))
+    assert [float(df.first().value) for df in planned[-3:]] == [3.0, 4.0, 5.0]
+    table = f"{lake}/fact_macro_rate"
+    assert len(os.listdir(f"{table}/_manifest")) - len([n for n in os.listdir(f"{table}/_manifest") if n.startswith(".")]) == 3
+    assert len([d for d in os.listdir(table) if d.startswith("version=")]) == 3
+    assert store.read("fact_macro_rate").count() == 6
+    GoldStore(spark, lake).clean("fact_macro_rate")
+    assert len([d for d in os.listdir(table) if d.startswith("version=")]) == 1 and store.read("fact_macro_rate").count() == 6
+
+
+def test_a_part_is_written_by_few_tasks(spark, lake):
+    store = GoldStore(spark, lake)
+    days = [20240100 + 100 * m + d for m in range(6) for d in range(1, 29)]
+    store.upsert("fact_macro_rate", month_rows(spark, 1.0, days).repartition(24))
+    assert len(store.read("fact_macro_rate").inputFiles()) <= 12
