@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..config import PRIMARY, SECONDARY
 from ..operators import events as ev
+from ..operators import fingerprints as fp
 from ..operators import quality as qc
 from ..operators import quantiles as qt
 from ..operators import reconcile as rec
@@ -125,6 +126,19 @@ def q_coverage_rollup(spark, sf_dir):
     return present(rec.coverage_rollup(reconciliation(spark, sf_dir).consensus(), sector))
 
 
+@query("reconcile_bucketed")
+def q_reconcile_bucketed(spark, sf_dir):
+    """Both vendors from bucketed silver tables: no exchange under the join."""
+    from ..sources import bucketed
+    path = scratch_dir(spark, "bucketed")
+    tables = []
+    for source, silver in ((PRIMARY, primary_silver(spark, sf_dir)), (SECONDARY, secondary_silver(spark, sf_dir))):
+        tables.append(f"silver_{source}_{path[-12:]}")
+        bucketed.write_bucketed(silver, tables[-1], f"{path}/{source}", buckets=16)
+    p, s = (bucketed.read_bucketed(spark, t) for t in tables)
+    return present(rec.Reconciliation(p, s).pairs())
+
+
 @query("discrepancy_segments")
 def q_discrepancy_segments(spark, sf_dir):
     """The levels of each ticker's signed difference and where they change."""
@@ -441,6 +455,18 @@ def q_holdings_xml(spark, sf_dir):
     return present(payloads.parse_holdings_xml(landing.holdings_xml(spark, sf_dir)))
 
 
+@query("holdings_xml_file")
+def q_holdings_xml_file(spark, sf_dir):
+    """The filings as files, cut into holdings while they are read; holdings
+    that do not parse are rejects."""
+    path = scratch_dir(spark, "filings")
+    landing.holdings_xml(spark, sf_dir, faults=True).select("xml", "filed_date").write.partitionBy("filed_date").text(path)
+    rows, rejects = payloads.read_holdings_files(spark, path)
+    cusip = F.regexp_extract("text", "cusip>([^<]*)<", 1).alias("cusip")
+    lost = rejects.select(cusip, F.col("reason").alias("status"))
+    return present(rows.withColumn("status", F.lit("parsed")).unionByName(lost, allowMissingColumns=True))
+
+
 @query("filing_index_pick")
 def q_filing_index_pick(spark, sf_dir):
     rows, _ = payloads.pick_filing(landing.filing_index(spark, sf_dir))
@@ -713,6 +739,21 @@ def q_gate_observed(spark, sf_dir):
     return present(p.unionByName(s))
 
 
+@query("repull_changed_buckets")
+def q_repull_changed_buckets(spark, sf_dir):
+    """A feed pulled again with some bars restated and some taken back: every
+    (ticker, week) bucket and what became of it, by fingerprints."""
+    root = scratch_dir(spark, "lake")
+    b = bind.primary_bronze(spark, sf_dir)
+    uid, day = bind.uid_of(F.col("ticker")), F.dayofmonth("date")
+    bronze.land(b.where(~((uid % 9 == 4) & (day > 22))), root, "primary_prices", bind.SPLIT_DATE)
+    _, kept = fp.landed_changes(spark, root, "primary_prices", PRIMARY_BRONZE, bind.SPLIT_DATE, "week")
+    fp.keep(kept, root, "primary_prices")
+    restated = F.when((uid % 7 == 0) & day.between(10, 12), F.col("close") * 1.001).otherwise(F.col("close"))
+    bronze.land(b.withColumn("close", restated).where(~((uid % 11 == 3) & (day < 16))), root, "primary_prices", bind.INGEST_DATE)
+    return present(fp.landed_changes(spark, root, "primary_prices", PRIMARY_BRONZE, bind.INGEST_DATE, "week")[0])
+
+
 @query("constituents_snapshot_reuse")
 def q_constituents_snapshot_reuse(spark, sf_dir):
     """Reuse-or-refresh: the first call for a run date ingests the page; a

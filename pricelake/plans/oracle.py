@@ -178,6 +178,7 @@ SELECT ticker, CAST(date AS VARCHAR) AS date, round(primary_adj_close, {R}) AS p
        CASE WHEN isfinite(pct_diff) THEN round(pct_diff, {R}) END AS pct_diff, flagged
 FROM pairs
 """)
+SQL["reconcile_bucketed"] = SQL["reconcile_pairs"]
 q("reconcile_coverage", f"""
 SELECT total_compared, flagged_count,
        round(coalesce(flagged_count * 100.0 / nullif(total_compared, 0), 0.0), {R})::DOUBLE AS flagged_pct,
@@ -763,6 +764,13 @@ SELECT name, title, cusip, isin, asset_cat, round(pct_val, {R}) AS pct_val, roun
        '2024-01-31' AS nport_filed_date
 FROM holdings WHERE asset_cat = 'EC'
 """)
+q("holdings_xml_file", f"""
+SELECT name, title, cusip, isin, asset_cat, round(pct_val, {R}) AS pct_val, round(val_usd, {R}) AS val_usd,
+       '2024-01-31' AS nport_filed_date, 'parsed' AS status
+FROM holdings WHERE asset_cat = 'EC' AND holding_key % 17 <> 4 AND holding_key % 19 <> 5
+UNION ALL
+SELECT NULL, NULL, cusip, NULL, NULL, NULL, NULL, NULL, 'malformed holding' FROM holdings WHERE holding_key % 17 = 4 OR holding_key % 19 = 5
+""")
 q("filing_index_pick", """
 SELECT cik, replace(acc, '-', '') AS accession, CAST(d AS VARCHAR) AS filed_date
 FROM (SELECT 'U' || lpad(CAST(o_custkey AS VARCHAR), CAST(greatest(6, length(CAST(o_custkey AS VARCHAR))) AS INTEGER), '0') AS cik, CAST(o_orderdate AS DATE) AS d,
@@ -970,6 +978,20 @@ FROM scd_tr2, scd_last
 q("gate_bronze_report", "\nUNION ALL\n".join([_CONST_Q, _PRICE_Q, _MACRO_Q, _IDENT_Q]))
 q("gate_observed", "\nUNION ALL\n".join(
     _check_rows(s, t, _PRICE_CHECKS) for s, t in (("primary", "primary_landed"), ("secondary", "secondary_bronze"))))
+q("repull_changed_buckets", f"""
+WITH base AS (SELECT *, CAST(date_trunc('week', date) AS DATE) AS period, CAST(substr(ticker, 2) AS BIGINT) AS k FROM primary_bronze),
+o AS (SELECT * FROM base WHERE NOT (k % 9 = 4 AND day(date) > 22)),
+n AS (SELECT * REPLACE (CASE WHEN k % 7 = 0 AND day(date) BETWEEN 10 AND 12 THEN close * 1.001 ELSE close END AS close) FROM base
+      WHERE NOT (k % 11 = 3 AND day(date) < 16)),
+d AS (SELECT ticker, period FROM (SELECT * FROM o EXCEPT ALL SELECT * FROM n) x
+      UNION SELECT ticker, period FROM (SELECT * FROM n EXCEPT ALL SELECT * FROM o) y),
+a AS (SELECT ticker, period, count(*) AS r FROM o GROUP BY 1, 2), b AS (SELECT ticker, period, count(*) AS r FROM n GROUP BY 1, 2)
+SELECT coalesce(a.ticker, b.ticker) AS ticker, CAST(coalesce(a.period, b.period) AS VARCHAR) AS period,
+       CASE WHEN a.ticker IS NULL THEN 'new' WHEN b.ticker IS NULL THEN 'gone'
+            WHEN (a.ticker, a.period) IN (SELECT (ticker, period) FROM d) THEN 'changed' ELSE 'same' END AS status,
+       coalesce(a.r, 0) AS old_rows, coalesce(b.r, 0) AS new_rows
+FROM a FULL JOIN b ON a.ticker = b.ticker AND a.period = b.period
+""")
 q("constituents_snapshot_reuse", """
 SELECT CASE WHEN c_custkey % 50 = 7 THEN ticker || '-B' ELSE ticker END AS ticker,
        company_name, gics_sector, gics_sub_industry,

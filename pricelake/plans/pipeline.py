@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..config import (IDENTIFIER_BATCH_SIZE, PRIMARY, PRIMARY_BATCH_SIZE, RECONCILIATION_TOLERANCE,
                       SECONDARY)
-from ..operators import dims, facts, planning, quality
+from ..operators import dims, facts, fingerprints, planning, quality
 from ..operators import reconcile as rec
 from ..operators.dedup import keep_one
 from ..operators.silver import dedup_keep_last, history_range, to_silver, type_columns
@@ -113,6 +113,28 @@ def land_gated(df: DataFrame, root: str, dataset: str, ingest_date: dt.date, rul
     return seen.report(df.sparkSession, source)
 
 
+def repull(spark: SparkSession, source: str, ingest_date: dt.date, root: str | None = None, period: str = "month") -> DataFrame:
+    """Load what a re-pull of ``source`` changed: buckets of (ticker, period)
+    whose fingerprint moved go through the gate, silver and the fact upsert,
+    which reads and writes only the months they touch; all others are not
+    built.  Returns the status of every bucket.  Bars that a vendor took back
+    stay in the facts, as with any upsert; their buckets are told as "gone" or
+    "changed".  A run that breaks off keeps the former fingerprints and starts
+    over."""
+    root = root or lake_root(spark)
+    dataset, schema = f"{source}_prices", PRICE_SCHEMAS[source]
+    status, now = fingerprints.landed_changes(spark, root, dataset, schema, ingest_date, period)
+    status = cut_lineage(status, spark)
+    rows = bronze.scan(spark, root, dataset, schema, ingest_date).drop("ingest_date", "batch")
+    moved = fingerprints.moved_rows(fingerprints.with_period(rows, period), status).drop("period")
+    good, _ = quality.set_aside(moved, quality.price_rules())
+    store = GoldStore(spark, f"{root}/gold", keep=KEPT)
+    facts_rows, _ = facts.fact_price_daily(to_silver(good, source), source, store.read("dim_date"), store.read("dim_security"))
+    store.upsert("fact_price_daily", facts_rows)
+    fingerprints.keep(now, root, dataset)
+    return status
+
+
 # ---- silver / reconcile ------------------------------------------------------
 
 def build_silver(spark: SparkSession, source: str, ingest_date: dt.date, root: str | None = None,

@@ -104,8 +104,13 @@ def identifier_responses(spark, sf_dir, batch_size: int = 100) -> DataFrame:
                     F.to_json(F.transform("xs", lambda x: x["res"]), {"ignoreNullFields": "true"}).alias("payload"))
 
 
-def holdings_xml(spark, sf_dir) -> DataFrame:
+def holdings_xml(spark, sf_dir, faults: bool = False) -> DataFrame:
+    """Filing documents; with ``faults`` the weight of every seventeenth
+    holding is no number and that of every nineteenth breaks its element."""
     h = bind.holdings(spark, sf_dir)
+    weight = F.col("pct_val").cast("string")
+    if faults:
+        weight = F.when(F.col("holding_key") % 17 == 4, "n/a").otherwise(weight)
 
     def el(name, c):
         return F.concat(F.lit(f"<nport:{name}>"), _xml_text(c), F.lit(f"</nport:{name}>"))
@@ -114,7 +119,7 @@ def holdings_xml(spark, sf_dir) -> DataFrame:
         F.concat(F.lit('<nport:identifiers><nport:isin value="'), _xml_text(F.col("isin")), F.lit('"/></nport:identifiers>')))
     item = F.concat(F.lit("<nport:invstOrSec>"), el("name", F.col("name")), el("title", F.col("title")),
                     el("cusip", F.col("cusip")), isin, el("valUSD", F.col("val_usd")),
-                    el("pctVal", F.col("pct_val")), el("assetCat", F.col("asset_cat")),
+                    el("pctVal", weight), F.when(F.lit(faults) & (F.col("holding_key") % 19 == 5), "<nport:x>").otherwise(""), el("assetCat", F.col("asset_cat")),
                     F.lit("</nport:invstOrSec>"))
     g = h.groupBy((F.col("holding_key") / 6).cast("long").alias("doc_id")).agg(
         F.sort_array(F.collect_list(F.struct("holding_key", item.alias("x")))).alias("xs"))

@@ -10,7 +10,7 @@ reason) instead of being silently dropped.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import EQUITY_ASSET_CATEGORY, FILING_FORM, MACRO_PLACEHOLDER
@@ -144,6 +144,40 @@ def parse_holdings_xml(landed: DataFrame, payload: str = "xml",
     return out
 
 
+_HOLDING = ("name string, title string, cusip string, identifiers struct<isin: struct<_value: string>>, valUSD double, "
+            "pctVal double, assetCat string, _broken string")
+
+
+def read_holdings_files(spark: SparkSession, path: str, keep_category: str | None = EQUITY_ASSET_CATEGORY) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejects) of filing files under ``path``, one row per holding of
+    ``parse_holdings_xml`` and one per holding that does not parse, with its
+    text; folders ``filed_date=...`` give the date.
+
+    Files are cut at the holdings' tags while they are read, so a filing of
+    any size is read by many tasks and one bad holding costs only itself.  A
+    file without any holding fails the job."""
+    tag = "invstOrSec>"  # ends both the opening and the closing tag
+    read = spark.read.option("lineSep", tag).text(path)
+    dated = [F.col("filed_date").cast("date").alias("nport_filed_date")] if "filed_date" in read.columns else []
+    # what stands before a closing tag is a holding
+    body = F.regexp_extract("value", r"(?s)^(?:.*<[^<>]*invstOrSec\s[^>]*>)?(.*)</[^<>/]*$", 1)
+    parts = read.select(F.col("_metadata.file_path").alias("file"), F.rlike("value", F.lit(r"</[^<>/]*$")).alias("whole"), body.alias("body"), *dated)
+    empty = parts.groupBy("file").agg(F.count_if("whole").alias("n")).select(F.min("n").alias("n"))
+    held = parts.where("whole").withColumn("body", F.when(empty.scalar() == 0, F.raise_error(F.lit(
+        "parsed zero holdings from a filing document"))).otherwise(F.col("body")))
+    text = F.concat(F.lit("<invstOrSec>"), "body", F.lit("</invstOrSec>"))
+    d = held.withColumn("h", F.from_xml(text, _HOLDING, {"ignoreNamespace": "true", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"}))
+    broken = F.col("h._broken").isNotNull() | F.col("h").isNull()
+    kept = [c for c in ["nport_filed_date"] if dated]
+    rows = d.where(~broken).select(
+        F.col("h.name").alias("name"), F.col("h.title").alias("title"), F.col("h.cusip").alias("cusip"),
+        F.col("h.identifiers.isin._value").alias("isin"), F.col("h.assetCat").alias("asset_cat"),
+        F.col("h.pctVal").alias("pct_val"), F.col("h.valUSD").alias("val_usd"), *kept)
+    if keep_category:
+        rows = rows.where(F.col("asset_cat") == keep_category)
+    return rows, d.where(broken).select("file", F.col("body").alias("text"), F.lit("malformed holding").alias("reason"))
+
+
 # ---- filing index ----------------------------------------------------------
 _INDEX_SCHEMA = ("struct<filings: struct<recent: struct<form: array<string>, accessionNumber: array<string>, "
                  "filingDate: array<string>>>>")

@@ -199,3 +199,46 @@ def test_keys_asked_for_and_never_answered_are_dead_letters(spark, lake):
     assert [r.key for r in ingest.ingest_observations(spark, obs, d, lake, requested=asked).collect()] == ["NONE"]
     ingest.ingest_observations(spark, obs, d, lake, requested=asked.limit(1))
     assert bronze.read_rejects(spark, lake).count() == 0            # the newer, empty list replaces the old one
+
+
+def filing(items, ns="nport:"):
+    body = "\n".join(f"<{ns}invstOrSec{a}>{x}</{ns}invstOrSec>" for a, x in items)
+    return (f'<?xml version="1.0"?>\n<{ns}edgarSubmission xmlns:nport="u"><{ns}headerData><{ns}name>filer</{ns}name></{ns}headerData>'
+            f"<{ns}formData>\n<{ns}invstOrSecs>{body}</{ns}invstOrSecs></{ns}formData></{ns}edgarSubmission>\n")
+
+
+def holding(i, ns="nport:", pct="1.5", cat="EC"):
+    return (f"\n <{ns}name>N&amp;{i}</{ns}name><{ns}title>t &lt; {i}</{ns}title>"
+            f"<{ns}identifiers><{ns}isin value=\"US{i}\"/></{ns}identifiers>"
+            f"<{ns}pctVal>{pct}</{ns}pctVal><{ns}assetCat>{cat}</{ns}assetCat> ")
+
+
+def test_holdings_files(spark, tmp_path):
+    d = tmp_path / "filed_date=2024-01-31"
+    d.mkdir()
+    (d / "a.xml").write_text(filing([("", holding(i)) for i in range(5)] + [(' id="x"', holding(5)), ("", holding(6, cat="DBT"))]))
+    (d / "b.xml").write_text(filing([("", holding(7, "", pct="n/a")), ("", "<name>open"), ("", holding(8, ""))], ns=""))
+    rows, rejects = payloads.read_holdings_files(spark, str(tmp_path))
+    got = {r.name: (r.title, r.isin, r.pct_val, str(r.nport_filed_date)) for r in rows.collect()}
+    assert got == {f"N&{i}": (f"t < {i}", f"US{i}", 1.5, "2024-01-31") for i in (0, 1, 2, 3, 4, 5, 8)}
+    lost = rejects.collect()
+    assert len(lost) == 2 and all(r.file.endswith("b.xml") and r.reason == "malformed holding" for r in lost)
+    assert payloads.read_holdings_files(spark, str(tmp_path), None)[0].count() == 8
+
+
+def test_a_huge_filing_is_read_by_many_tasks(spark, tmp_path):
+    (tmp_path / "a.xml").write_text(filing([("", holding(i)) for i in range(20_000)]))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200k")
+    try:
+        rows, rejects = payloads.read_holdings_files(spark, str(tmp_path))
+        assert rows.rdd.getNumPartitions() > 8
+        assert rows.agg(F.countDistinct("name")).first()[0] == 20_000 and rejects.count() == 0
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_a_file_without_holdings_fails(spark, tmp_path):
+    (tmp_path / "a.xml").write_text(filing([("", holding(1))]))
+    (tmp_path / "b.xml").write_text(filing([]))
+    with pytest.raises(Exception, match="zero holdings"):
+        payloads.read_holdings_files(spark, str(tmp_path))[0].collect()
