@@ -8,12 +8,17 @@ magnitude of guesses.  The cost of a value is the minimum, over all ways to
 cut it into spans, of the spans' log10 guesses:
 
 * words: the rank in the corpus's own word frequencies (counted over all
-  whole texts, the ``WORDS`` most frequent kept), with capitals extra;
+  whole texts, every word ranked), with capitals extra;
 * dates: day, month and year in the usual orders;
 * repeats: one character's cost times the run length;
 * keyboard walks: start key, length and turns;
 * brute force: the alphabet of each character.
 
+The texts are scanned once for spans and values.  Values and the words inside
+them are few beside the corpus: each distinct value's letter sequences are
+joined to the table of all ranked words, and the value is costed with those
+that are words, so nothing that grows with the corpus is broadcast or held.
+
 Defined results: null texts are empty; a base assign value gets its cost as
 well (``cost``), the other base kinds have none; added spans never overlap
 base spans; an empty corpus has no words, and dates, repeats and walks still
@@ -30,9 +35,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import table
+from ..operators.keys import running_total
+from .common import run_folder, stored, table
 from .pii import listed
-from .words import count_words
+from .words import LETTERS, count_words
 
 # The contract's kinds in their order and patterns.
 BASE = ("assign", "access", "hex")
@@ -48,8 +54,8 @@ CRED = re.compile(
 CRED_WORDS = ("pwd", "pass", "credential", "key", "bearer", "://")
 #: log10 guesses from which an added value counts as a secret.
 MIN_COST = 10.0
-#: Corpus words in the dictionary, and the letters a word has.
-WORDS, SHORTEST, LONGEST = 20_000, 3, 24
+#: Letters a dictionary word has (a counted word has at most 40).
+SHORTEST, LONGEST = 3, 40
 
 # Rows of the usual keyboards, for walks.
 KEYBOARD = ("1234567890", "qwertyuiop", "asdfghjkl", "zxcvbnm", "qwertzuiop", "azertyuiop")
@@ -118,14 +124,15 @@ def _run_ends(low: str, joined) -> list[int]:
     return ends
 
 
-def find(text: str | None, ranks: dict[str, int]) -> list[dict]:
-    """All spans of one text by start, then kind."""
+def candidates(text: str | None) -> list[tuple[str, int, int, str | None]]:
+    """(kind, start, end, value to cost or null) by start, then kind: the base
+    spans, and those that are added if their value costs enough."""
     text = text or ""
     low, out = text.lower(), []
     if any(w in low for w in CONTEXTS):
         for m in ASSIGN.finditer(text):
             if len(m[2]) >= 8:
-                out.append(("assign", *m.span(), guess_cost(m[2], ranks)))
+                out.append(("assign", *m.span(), m[2]))
     if "AKIA" in text:
         out += [("access", *m.span(), None) for m in ACCESS.finditer(text) if m.end() - m.start() >= 16]
     out += [("hex", *m.span(), None) for m in HEX.finditer(text)]
@@ -135,39 +142,84 @@ def find(text: str | None, ranks: dict[str, int]) -> list[dict]:
             taken[a:b] = b"\1" * (b - a)
         for m in more:
             if 1 not in taken[m.start():m.end()]:
-                cost = guess_cost(m[1] or m[2], ranks)
-                if cost >= MIN_COST:
-                    out.append(("cred", *m.span(), cost))
+                out.append(("cred", *m.span(), m[1] or m[2]))
     order = (*BASE, "cred")
     out.sort(key=lambda x: (x[1], order.index(x[0])))
-    return [{"kind": k, "start": a, "end": b, "cost": c, "base": k != "cred"} for k, a, b, c in out]
+    return out
+
+
+def find(text: str | None, ranks: dict[str, int]) -> list[dict]:
+    """All spans of one text by start, then kind."""
+    out = [(k, a, b, None if v is None else guess_cost(v, ranks)) for k, a, b, v in candidates(text)]
+    return [{"kind": k, "start": a, "end": b, "cost": c, "base": k != "cred"} for k, a, b, c in out if k != "cred" or c >= MIN_COST]
+
 
+def inside(value: str) -> set[str]:
+    """The letter sequences of a value that a dictionary word could be."""
+    low = value.lower()
+    if len(low) != len(value):
+        low = value
+    return {low[i:j] for m in LETTERS.finditer(low) for i in range(m.start(), m.end())
+            for j in range(i + SHORTEST, min(m.end(), i + LONGEST) + 1)}
+
+
+def word_ranks(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """(word, rank): COMMON from rank 0, then all other words of all texts by
+    frequency.  Ranks are counted over ranges, in no single task."""
+    counted = (count_words(docs, text_col).filter(F.length("word").between(SHORTEST, LONGEST) & ~F.col("word").isin(*COMMON))
+               .withColumn("rare", -F.col("n")))
+    ranked = running_total(counted, ["rare", "word"], "upto").select("word", (F.col("upto") + len(COMMON) - 1).alias("rank"))
+    common = docs.sparkSession.createDataFrame([(w, i) for i, w in enumerate(COMMON)], "word string, rank long")
+    return ranked.unionByName(common)
+
+
+def costs(values: DataFrame, ranks: DataFrame) -> DataFrame:
+    """(value, cost) of the distinct ``values(value)``."""
+    def split(batches):
+        for b in batches:
+            for v in b.column(0).to_pylist():
+                words = list(inside(v))
+                for i in range(0, max(1, len(words)), 50_000):
+                    part = words[i:i + 50_000]
+                    yield pa.record_batch([pa.array([v] * len(part), pa.string()), pa.array(part, pa.string())], names=["value", "word"])
+
+    def judge(batches):
+        for b in batches:
+            yield pa.record_batch([b.column(0), pa.array([
+                guess_cost(v, {x["word"]: x["rank"] for x in known or ()}) for v, known in zip(b.column(0).to_pylist(), b.column(1).to_pylist())],
+                pa.float64())], names=["value", "cost"])
 
-def word_ranks(docs: DataFrame, text_col: str = "text", words: int = WORDS) -> dict[str, int]:
-    """Rank (0 first) of COMMON, then the ``words`` most frequent words of all texts; the
-    bound keeps the dictionary small whatever the corpus."""
-    top = (count_words(docs, text_col).filter(F.length("word").between(SHORTEST, LONGEST))
-           .orderBy(F.desc("n"), "word").limit(words).select("word").collect())
-    ranks = {w: i for i, w in enumerate(COMMON)}
-    for r in top:
-        ranks.setdefault(r.word, len(ranks))
-    return ranks
+    # a value's words are bounded by its own length
+    known = (values.mapInArrow(split, "value string, word string").join(ranks, "word")
+             .groupBy("value").agg(F.collect_list(F.struct("word", "rank")).alias("known")))
+    return values.join(known, "value", "left").select("value", "known").mapInArrow(judge, "value string, cost double")
 
 
-def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS) -> DataFrame:
+def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id and spans: kind, start, end, cost (log10 guesses or null), base."""
-    ranks = docs.sparkSession.sparkContext.broadcast(word_ranks(docs, text_col, words))
-    kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()),
-                               ("cost", pa.float64()), ("base", pa.bool_())]))
+    folder = run_folder(docs.sparkSession, "secrets")
+    kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("value", pa.string())]))
 
     def search(batches):
         for b in batches:
-            yield pa.record_batch([b.column(0), pa.array([find(t.as_py(), ranks.value) for t in b.column(1)], kind)],
-                                  names=["doc_id", "spans"])
+            yield pa.record_batch([b.column(0), pa.array([[dict(zip(("kind", "start", "end", "value"), x)) for x in candidates(t.as_py())]
+                                                          for t in b.column(1)], kind)], names=["doc_id", "spans"])
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(search, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, "
-                           "spans array<struct<kind string, start int, end int, cost double, base boolean>>")
+    rows = rows.mapInArrow(search, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, "
+                           "spans array<struct<kind string, start int, end int, value string>>")
+    # numbered once: the files keep the numbers
+    rows = stored(rows.withColumn("row", F.monotonically_increasing_id()), f"{folder}/spans")
+    costed = rows.select("row", F.posexplode("spans").alias("at", "x")).where("x.value IS NOT NULL").select("row", "at", "x.value")
+    cost = stored(costs(costed.select("value").distinct(), word_ranks(docs, text_col)), f"{folder}/costs")
+    # a row's spans are bounded by its text
+    per_row = (costed.join(cost, "value").groupBy("row")
+               .agg(F.map_from_entries(F.collect_list(F.struct("at", "cost"))).alias("cost")))
+    spans = F.transform("spans", lambda x, i: F.struct(
+        x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end"),
+        F.try_element_at(F.col("cost"), i).alias("cost"), (x["kind"] != "cred").alias("base")))
+    found = F.filter(spans, lambda x: x["base"] | (x["cost"] >= MIN_COST))
+    return rows.join(per_row, "row", "left").select("doc_id", found.alias("spans"))
 
 
 def query(spark, sf_dir):

@@ -139,3 +139,38 @@ def test_secrets_query(nasty, empty, spark):
     assert joined == "assign:2:51,hex:11:51" and len(hashlib.sha256(joined.encode()).hexdigest()) == 64
     r = random.Random(0)
     assert S.guess_cost("".join(r.choice("abcdefghijkmnpqrstuvwxyz23456789!#") for _ in range(50_000)), {}) > 10_000
+
+
+def ranked(texts):
+    """All words of all texts, by frequency, behind the common ones."""
+    from collections import Counter
+
+    from pricelake.llm.words import LETTERS
+    n = Counter(w for t in texts for w in LETTERS.findall((t or "").lower()) if S.SHORTEST <= len(w) <= S.LONGEST and w not in S.COMMON)
+    words = [*S.COMMON, *sorted(n, key=lambda w: (-n[w], w))]
+    return {w: i for i, w in enumerate(words)}
+
+
+def test_every_corpus_word_has_its_rank(spark):
+    """More words than any fixed dictionary; each may be inside a value."""
+    r = random.Random(8)
+    vocabulary = ["".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randint(3, 9))) for _ in range(30_000)]
+    texts = [" ".join(r.choice(vocabulary) for _ in range(200)) for _ in range(400)]
+    texts += [f"pwd: {r.choice(vocabulary)}{r.choice(vocabulary).title()}{r.randint(1, 99)}{r.choice(['', '!x', 'q'])} end" for _ in range(150)]
+    texts += [f'token = "{r.choice(vocabulary)}{r.choice(vocabulary)}" and password: {r.choice(vocabulary)}XX{r.choice(vocabulary)}' for _ in range(100)]
+    texts += ["pwd: 1999İİqwerty" + r.choice(vocabulary), None, "", "pwd: " + "ab" * 400, "pwd: aaaa", texts[450], texts[450]]
+    ranks = ranked(texts)
+    assert len(ranks) > 25_000
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    got = {x["doc_id"]: x["spans"] for x in rows_of(S.find_secrets(d), "doc_id")}
+    assert len(got) == len(texts)
+    for i, t in enumerate(texts):
+        want = S.find(t, ranks)
+        assert [{k: v for k, v in x.items() if k != "cost"} for x in got[i]] == [{k: v for k, v in x.items() if k != "cost"} for x in want]
+        assert [x["cost"] for x in got[i]] == [None if x["cost"] is None else pytest.approx(x["cost"]) for x in want]
+    assert {x.word: x["rank"] for x in S.word_ranks(d).collect()} == ranks
+
+
+def test_secret_query_on_clashing_names(nasty):
+    got = rows_of(S.find_secrets(nasty.withColumnRenamed("text", "value").withColumnRenamed("doc_id", "row"), "row", "value"), "doc_id")
+    assert len(got) == len(nasty_rows())
