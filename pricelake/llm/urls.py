@@ -37,9 +37,10 @@ from .common import remove, run_folder, stored, table
 # The contract's rules.
 RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"),
          ("block", "net/es/"), ("block", "net/fr/"))
-#: Sites blocked where no rule fits: keys for a host and its subdomains.
-SITES = tuple(f"{name}.example.{top}" for name in ("adult-x", "ads-track", "casino-win", "cheap-pills", "free-bets", "spam-farm")
-              for top in ("com", "net", "org"))
+#: Where no rule fits, a site is blocked if a label of its name has one of
+#: these words, alone or between hyphens: the site is that label and all after.
+MARKS = ("ad", "ads", "adult", "bet", "bets", "casino", "gambling", "lottery", "pharma", "pills", "poker", "porn", "sex", "spam", "viagra", "xxx")
+SITE = rf"(^|\.)(([^.-]*-)*({'|'.join(MARKS)})(-[^.]*)?\..+)$"
 CLASS_KEYS = 4_000_000
 _LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
 
@@ -246,16 +247,21 @@ def _class(key: str, n: int) -> int:
     return (h - (1 << 64) if h >> 63 else h) % n
 
 
+def marked_sites(pages: DataFrame, url_col: str = "url") -> DataFrame:
+    """(key) of the sites that ``SITE`` finds among the hosts of all pages;
+    the list grows with the corpus's hosts."""
+    hosts = pages.select(F.col(url_col).alias("url")).select(_host_path()[0].alias("host")).distinct()
+    return hosts.select(F.regexp_extract("host", SITE, 2).alias("key")).where("key <> ''").distinct()
+
+
 def query(spark, sf_dir):
-    return filter_urls(table(spark, sf_dir, "pages"), spark.createDataFrame(list(RULES), "verdict string, key string"),
-                       spark.createDataFrame([(k,) for k in SITES], "key string"))
+    pages = table(spark, sf_dir, "pages")
+    return filter_urls(pages, spark.createDataFrame(list(RULES), "verdict string, key string"), marked_sites(pages))
 
 
 _RULES_SQL = ", ".join(f"('{v}', '{split_key(k)[0]}', '{split_key(k)[1]}')" for v, k in RULES)
-_SITES_SQL = ", ".join(f"('{split_key(k)[0]}')" for k in SITES)
 SQL = f"""
 WITH r(verdict, h, p) AS (VALUES {_RULES_SQL}),
-s(h) AS (VALUES {_SITES_SQL}),
 u AS (
   SELECT row_number() OVER () AS n, page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
   FROM pages),
@@ -263,11 +269,12 @@ k AS (
   SELECT n, page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
          regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
   FROM u),
+s AS (SELECT DISTINCT regexp_extract(host, '{SITE}', 2) AS h FROM k WHERE regexp_extract(host, '{SITE}', 2) <> ''),
 f AS (
   SELECT n, arg_max(r.h || r.p, len(r.h || r.p)) AS rule, arg_max(r.verdict, len(r.h || r.p)) AS verdict
   FROM k JOIN r ON (host = r.h OR ends_with(host, '.' || r.h)) AND starts_with(path, r.p) GROUP BY n),
 l AS (
-  SELECT n, max(s.h) AS listed
+  SELECT n, arg_max(s.h, len(s.h)) AS listed
   FROM k JOIN s ON host = s.h OR ends_with(host, '.' || s.h) GROUP BY n)
 SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, rule,
        CASE WHEN rule IS NOT NULL THEN verdict WHEN listed IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict,

@@ -1,11 +1,16 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from pricelake.llm import urls as U
 
 from .conftest import rows_of
 
+#: A list of sites, handed to the operator as any list is.
+SITES = tuple(f"{name}.example.{top}" for name in ("adult-x", "ads-track", "casino-win", "cheap-pills", "free-bets", "spam-farm")
+              for top in ("com", "net", "org"))
+
 URLS = [None, "", "no scheme", "http://", "http://example.com", "http://example.com/", "HTTP://WWW.Example.COM/en/x?q#f", "http://a.b.example.com/en/",
         "http://example.com/en", "http://example.com/EN/", "http://x.net/es/1", "http://net/fr/", "http://xnet/fr/", "http://example.org/a?b=http://example.com/en/",
         "http://example.com:80/en/", "http://u@example.com/en/", "http://www.cheap-pills.example.com", "x://spam-farm.example.org/z", "http://com", "http://com/",
@@ -35,12 +40,12 @@ def test_against_brute_force(spark, class_keys):
     pages = spark.createDataFrame([(i, u, "h") for i, u in enumerate(URLS)] + [(None, URLS[5], None), (3, URLS[6], "h"), (3, URLS[6], "h")],
                                   "page_id long, url string, host string")
     got = U.filter_urls(pages, spark.createDataFrame(list(U.RULES), "verdict string, key string"),
-                        spark.createDataFrame([(s,) for s in U.SITES], "key string"), class_keys=class_keys)
+                        spark.createDataFrame([(s,) for s in SITES], "key string"), class_keys=class_keys)
     rows = rows_of(got, "page_id")
     assert len(rows) == pages.count()
     for r in rows:
         url = URLS[5] if r["page_id"] is None else URLS[6] if r["page_id"] == 3 and r["host"] else URLS[r["page_id"]]
-        assert (r["host"], r["path"], r["rule"], r["verdict"]) == brute(url, U.RULES, U.SITES), url
+        assert (r["host"], r["path"], r["rule"], r["verdict"]) == brute(url, U.RULES, SITES), url
 
 
 def test_random_lists_are_exact(spark):
@@ -73,3 +78,23 @@ def test_empty_lists_and_pages(spark):
     (r,) = rows_of(U.filter_urls(pages, rules, sites), "page_id")
     assert (r["host"], r["path"], r["rule"], r["verdict"]) == ("a.b", "/c", None, "allow")
     assert U.filter_urls(pages.limit(0), spark.createDataFrame(list(U.RULES), "verdict string, key string"), sites).count() == 0
+
+
+def test_listed_sites_come_from_the_pages(spark):
+    urls = ["http://shop.casino-win.example.com/a", "http://casino/x", "https://X.Ads.foo.bets.org/", "http://bets.org", "http://leads.org/",
+            "http://a.b-ads-c.net:80/q?x", "http://cheap-pills.example.net", None, "no url", "http://", "http://.xxx.com/", "http://adsense.com/",
+            "http://good.org/casino.html", "http://free-bets.io/", "http://www.free-bets.io/en/"]
+    pages = spark.createDataFrame([(i, u, "k") for i, u in enumerate(urls)], "page_id long, url string, key string")
+    got = {r.key for r in U.marked_sites(pages).collect()}
+    assert got == {"casino-win.example.com", "ads.foo.bets.org", "bets.org", "b-ads-c.net:80", "cheap-pills.example.net", "xxx.com", "free-bets.io"}
+    rules = spark.createDataFrame([("allow", "example.com/")], "verdict string, key string")
+    out = {r.page_id: (r.verdict, r.listed) for r in U.filter_urls(pages, rules, U.marked_sites(pages)).collect()}
+    assert out[0] == ("allow", None) and out[2] == ("block", "ads.foo.bets.org") and out[3] == ("block", "bets.org")
+    assert out[14] == ("block", "free-bets.io") and out[4] == out[11] == out[12] == ("allow", None)
+
+
+def test_the_list_grows_with_the_hosts(spark):
+    pages = spark.range(3000).select(F.concat(F.lit("http://h"), F.col("id"), F.lit("-spam.org/"), F.col("id") % 7).alias("url"), F.col("id").alias("page_id"))
+    assert U.marked_sites(pages).count() == 3000
+    none = spark.createDataFrame([], "verdict string, key string")
+    assert U.filter_urls(pages, none, U.marked_sites(pages)).where("verdict = 'block' AND listed LIKE 'h%-spam.org'").count() == 3000
