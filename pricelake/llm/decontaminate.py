@@ -37,7 +37,8 @@ from .fmindex import FMIndex
 WINDOW = 13
 #: A document is contaminated if it is hit and 20 hits >= words.
 SHARE = 20
-SHARD_SYMBOLS = 400_000
+#: A shard closes at so many symbols of the benchmark, documents, or bytes of passed-on columns.
+SHARD_SYMBOLS, SHARD_DOCUMENTS, SHARD_BYTES = 400_000, 50_000, 64 << 20
 BLOCK_WORDS = 1_000_000
 
 #: A-Z to a-z, every other ASCII character but a-z and 0-9 to a blank.
@@ -136,15 +137,20 @@ def _search(docs: DataFrame, phrases: Phrases, text_col: str, keep: list[str]) -
         p = shared.value
 
         def out(shard, rows):
+            """A batch per batch that the shard's rows came in: columns are
+            passed on as they are, never put together."""
             spans, items = shard.search()
-            return pa.record_batch(
-                [*pa.Table.from_batches(rows).combine_chunks().to_batches()[0].columns,
-                 pa.array(shard.words, pa.int64()),
-                 pa.array([[{"start": a, "end": b} for a, b in s] for s in spans], span),
-                 pa.array([sorted(i) for i in items], pa.list_(pa.string()))],
-                names=[*rows[0].schema.names, "n_words", "spans", "items"])
-
-        shard, rows = Shard(p), []
+            at = 0
+            for b in rows:
+                to = at + b.num_rows
+                yield pa.record_batch(
+                    [*b.columns, pa.array(shard.words[at:to], pa.int64()),
+                     pa.array([[{"start": x, "end": y} for x, y in s] for s in spans[at:to]], span),
+                     pa.array([sorted(i) for i in items[at:to]], pa.list_(pa.string()))],
+                    names=[*b.schema.names, "n_words", "spans", "items"])
+                at = to
+
+        shard, rows, held = Shard(p), [], 0
         for b in batches:
             text, first = b.column(b.num_columns - 1), 0
             b = b.select(range(b.num_columns - 1))
@@ -152,15 +158,17 @@ def _search(docs: DataFrame, phrases: Phrases, text_col: str, keep: list[str]) -
                 shard.add(t.as_py())
                 if shard.size >= SHARD_SYMBOLS:
                     rows.append(b.slice(first, i + 1 - first))
-                    yield out(shard, rows)
-                    shard, rows, first = Shard(p), [], i + 1
+                    yield from out(shard, rows)
+                    shard, rows, held, first = Shard(p), [], 0, i + 1
             if first < b.num_rows:
                 rows.append(b.slice(first))
-            if len(shard.words) >= 50_000:
-                yield out(shard, rows)
-                shard, rows = Shard(p), []
+                held += rows[-1].nbytes
+            # by what is held, whether or not its words are the benchmark's
+            if len(shard.words) >= SHARD_DOCUMENTS or held >= SHARD_BYTES:
+                yield from out(shard, rows)
+                shard, rows, held = Shard(p), [], 0
         if rows:
-            yield out(shard, rows)
+            yield from out(shard, rows)
 
     kept = docs.select(*keep)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields)

@@ -94,3 +94,22 @@ def test_suffix_array_and_search():
             for p, a, b in zip(phrases, lo, hi):
                 want = [i for i in range(n - m + 1) if (text[i:i + m] == p).all()]
                 assert sorted(index.locate(np.arange(a, b)).tolist()) == want
+
+
+@pytest.mark.parametrize("documents, size", [(50_000, 1), (50_000, 30_000), (2, 64 << 20), (1, 1)])
+def test_shards_close_by_bytes_and_documents(spark, monkeypatch, documents, size):
+    """Clean long texts count too: what is held is bounded whatever they say."""
+    from pricelake.llm.common import bounded_batches
+    docs, items = planted()
+    docs = docs + [(300 + i, "clean" * 2000, "en", "s") for i in range(20)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string").coalesce(1)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    monkeypatch.setattr(D, "SHARD_DOCUMENTS", documents)
+    monkeypatch.setattr(D, "SHARD_BYTES", size)
+    bounded_batches(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        assert judged(D.contamination(df, bench)) == brute(docs, items)
+        assert D.decontaminated(df, bench).where("doc_id >= 300 AND length(text) = 10000").count() == 20
+    finally:
+        bounded_batches(spark)
