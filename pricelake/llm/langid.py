@@ -107,7 +107,8 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", entri
     whole = all(r.rows <= entries for r in sums.values())
     rows, evidence = {}, []
     for k in (0, *LENGTHS) if whole else (0,):
-        top = tables[k].orderBy(F.desc("n"), "word").limit(entries).drop("n").toArrow().combine_chunks()
+        top = tables[k] if whole else most_frequent(tables[k], entries)
+        top = top.drop("n").toArrow().combine_chunks()
         for w in top.column("word").to_pylist():
             rows[(k, w) if k else w] = len(rows)
         evidence.append(np.column_stack([top.column(f"e{i}").to_numpy() for i in range(len(langs))]).astype(np.float32))
@@ -118,6 +119,21 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", entri
     return model | {"tables": tables, "folder": f"{folder}-model"}
 
 
+def most_frequent(table: DataFrame, entries: int) -> DataFrame:
+    """The rows of ``table(word, n, ...)`` from some frequency on, at most
+    ``entries`` of them.  The frequency is found by counting rows per level
+    (sixteen to a doubling, so some hundred levels), without sorting words in
+    one place; none at all if the highest level alone holds too many."""
+    level = F.floor(F.log2("n") * 16)
+    least, total = None, 0
+    for r in sorted(table.groupBy(level.alias("level")).count().collect(), reverse=True):
+        total += r["count"]
+        if total > entries:
+            break
+        least = r.level
+    return table.filter(level >= least) if least is not None else table.limit(0)
+
+
 class Scorer(dict):
     """word -> row of ``self.table``; an unseen word's row is its backed-off
     evidence, made when first met.  At most ``CACHED`` values are held."""

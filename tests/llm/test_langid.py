@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from pricelake.llm import langid as L
@@ -122,3 +123,11 @@ def test_full_cache_starts_again():
     s.table = s.table[:3]
     for i in range(5):
         assert s.evidence(["x", f"u{i}"]).tolist() == [1.0, 2.0]
+
+
+@pytest.mark.parametrize("entries, kept", [(0, 0), (1, 1), (3, 3), (6, 3), (7, 7), (100, 7)])
+def test_most_frequent_by_levels(spark, entries, kept):
+    """Whole levels only: ties are all in or all out."""
+    df = spark.createDataFrame([("a", 1000), ("b", 300), ("c", 300), ("d", 2), ("e", 2), ("f", 2), ("g", 2)], "word string, n long")
+    got = L.most_frequent(df, entries).collect()
+    assert len(got) == kept and {r.word for r in got} == set("abcdefg"[:kept])
