@@ -28,6 +28,7 @@ def normalize_ticker(c) -> Column:
     return strip(F.translate(_c(c), ".", "-"))
 
 
+# FIXED VALUES: what a normalised company name leaves out.
 # (?U) makes \w, \s and \b Unicode-aware, as in Python's re.
 _PUNCT = r"(?U)[^\w\s]"
 _SUFFIX = r"(?U)\b(" + "|".join(NAME_SUFFIX_WORDS) + r"|CLASS [A-Z])\b\.?"

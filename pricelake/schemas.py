@@ -1,4 +1,7 @@
-"""Declared schemas for every layer (no inference on read)."""
+"""Declared schemas for every layer (no inference on read).
+
+FIXED VALUES: names, order and types of the columns are those that the layers'
+files and tables must have."""
 
 from __future__ import annotations
 
