@@ -57,9 +57,10 @@ def unresolved(df: DataFrame, dim_date: DataFrame, dim_security: DataFrame | Non
 
 
 def fact_price_daily(silver: DataFrame, source: str, dim_date: DataFrame,
-                     dim_security: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(fact rows, load counts) at (security, date, source) grain."""
-    r = resolve_keys(silver, dim_date, dim_security)
+                     dim_security: DataFrame, resolve=resolve_keys) -> tuple[DataFrame, DataFrame]:
+    """(fact rows, load counts) at (security, date, source) grain.  ``resolve``:
+    ``resolve_keys`` or ``resolve_keys_as_of``."""
+    r = resolve(silver, dim_date, dim_security)
     prices = ["open", "high", "low", "close", "adj_open", "adj_high", "adj_low", "adj_close"]
     rows = _resolved_only(r).select(
         "security_key", "date_key", F.lit(source).alias("source"),
@@ -116,8 +117,8 @@ def fact_price_daily_as_of(silver: DataFrame, dim_date: DataFrame, dim_security:
 
 
 def fact_consensus(consensus: DataFrame, dim_date: DataFrame,
-                   dim_security: DataFrame) -> tuple[DataFrame, DataFrame]:
-    r = resolve_keys(consensus, dim_date, dim_security)
+                   dim_security: DataFrame, resolve=resolve_keys) -> tuple[DataFrame, DataFrame]:
+    r = resolve(consensus, dim_date, dim_security)
     rows = _resolved_only(r).select(
         "security_key", "date_key", to_decimal("adj_close").alias("adj_close"),
         "primary_source", "sources_available", to_decimal("pct_diff", 9, 6).alias("pct_diff"),
@@ -147,8 +148,8 @@ def corporate_actions(bronze: DataFrame) -> DataFrame:
 
 
 def fact_corporate_action(bronze: DataFrame, dim_date: DataFrame, dim_security: DataFrame,
-                          source: str = PRIMARY) -> tuple[DataFrame, DataFrame]:
-    r = resolve_keys(corporate_actions(bronze), dim_date, dim_security)
+                          source: str = PRIMARY, resolve=resolve_keys) -> tuple[DataFrame, DataFrame]:
+    r = resolve(corporate_actions(bronze), dim_date, dim_security)
     rows = _resolved_only(r).select(
         "security_key", "date_key", "action_type", to_decimal("value").alias("value"),
         F.lit(source).alias("source"))

@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 
 from ..config import (IDENTIFIER_BATCH_SIZE, PRIMARY, PRIMARY_BATCH_SIZE, RECONCILIATION_TOLERANCE,
                       SECONDARY)
-from ..operators import dims, facts, fingerprints, planning, quality
+from ..operators import dims, events, facts, fingerprints, planning, quality
 from ..operators import reconcile as rec
+from ..operators.quantiles import exact_quantiles
 from ..operators.dedup import keep_one
 from ..operators.silver import dedup_keep_last, history_range, to_silver, type_columns
 from ..operators.upsert import upsert
@@ -181,12 +182,36 @@ def reconcile(spark: SparkSession, ingest_date: dt.date, root: str | None = None
     return r
 
 
+def discrepancy_reports(spark: SparkSession, ingest_date: dt.date, r: rec.Reconciliation, root: str | None = None,
+                        gap: int = 1, quantiles: tuple[float, ...] = (0.5, 0.9, 0.99)) -> dict[str, DataFrame]:
+    """Write what a reconciliation found beyond its profile, each as a report
+    of the date: ``events`` (stretches of disagreement), ``levels`` (where the
+    difference changes its level), ``quantiles`` of the discrepancy per sector
+    and ``coverage`` at every level of sector, ticker and month.  Sectors are
+    those of the date's constituents.  Returns the reports as written."""
+    from .ingest import write_report
+    root = root or lake_root(spark)
+    sectors = (bronze.scan(spark, root, "constituents", CONSTITUENTS_BRONZE, ingest_date, arrival=False)
+               .select("ticker", F.col("gics_sector").alias("sector")).dropDuplicates(["ticker"]))
+    pairs = r.pairs()
+    found = {
+        "discrepancy_events": events.discrepancy_events(pairs, r.matched.select("date"), gap, r.primary, r.secondary),
+        "discrepancy_levels": events.segments(pairs, r.tolerance, primary=r.primary, secondary=r.secondary),
+        "discrepancy_quantiles": exact_quantiles(pairs.join(sectors, "ticker", "left"), "pct_diff", list(quantiles), ["sector"]),
+        "coverage": rec.coverage_rollup(r.consensus(), sectors)}
+    return {name: spark.read.schema(df.schema).parquet(write_report(df, root, name, ingest_date)) for name, df in found.items()}
+
+
 # ---- gold ------------------------------------------------------------------
 
 def build_gold(spark: SparkSession, ingest_date: dt.date, start: dt.date, root: str | None = None,
-               primary: str = PRIMARY, secondary: str = SECONDARY) -> DataFrame:
+               primary: str = PRIMARY, secondary: str = SECONDARY, point_in_time: bool = False) -> DataFrame:
     """Silver for both vendors → dims → facts → consensus, all upserted.
-    Returns the load summary (one row per load)."""
+    Returns the load summary (one row per load).  Facts hang on the current
+    version of their security, or with ``point_in_time`` on the one that was
+    valid on their day; a table is loaded one way or the other, since a key
+    that moves would leave its former rows behind."""
+    resolve = facts.resolve_keys_as_of if point_in_time else facts.resolve_keys
     root = root or lake_root(spark)
     store = GoldStore(spark, f"{root}/gold", keep=KEPT)
     ps = build_silver(spark, primary, ingest_date, root)
@@ -209,16 +234,16 @@ def build_gold(spark: SparkSession, ingest_date: dt.date, start: dt.date, root:
 
     summaries = []
     for silver, src in ((ps, primary), (ss, secondary)):
-        rows, cnt = facts.fact_price_daily(silver, src, dd, ds)
+        rows, cnt = facts.fact_price_daily(silver, src, dd, ds, resolve)
         store.upsert("fact_price_daily", rows)
         summaries.append(cnt)
     r = reconcile(spark, ingest_date, root, primary, secondary)
-    rows, cnt = facts.fact_consensus(r.consensus(), dd, ds)
+    rows, cnt = facts.fact_consensus(r.consensus(), dd, ds, resolve)
     store.upsert("fact_price_daily_consensus", rows)
     summaries.append(cnt)
     pb = bronze.scan(spark, root, f"{primary}_prices", PRIMARY_BRONZE, ingest_date)
     actions_src = dedup_keep_last(type_columns(pb.drop("ingest_date", "batch")))
-    rows, cnt = facts.fact_corporate_action(actions_src, dd, ds, primary)
+    rows, cnt = facts.fact_corporate_action(actions_src, dd, ds, primary, resolve)
     store.upsert("fact_corporate_action", rows)
     summaries.append(cnt)
     macro = bronze.scan(spark, root, "macro_series", MACRO_BRONZE, ingest_date, arrival=False)

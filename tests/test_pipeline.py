@@ -177,3 +177,45 @@ def test_daily_run_stops_and_passes(spark, lake):
     with pytest.raises(pl.GateFailed) as e:
         pl.daily_run(spark, D, dt.date(2024, 1, 1), lake, **{**ok, "min_securities": 10 ** 6})
     assert e.value.gate == "gold"
+
+
+def test_gold_by_the_version_of_the_day(spark, lake):
+    """A security whose sector changed: bars before the change stay under its
+    former key, those after it under the new one."""
+    root, first, second = lake, dt.date(2024, 1, 10), dt.date(2024, 1, 20)
+    bars = bind.primary_bronze(spark, SF).cache()
+    ticker = bars.groupBy("ticker").count().orderBy(F.desc("count"), "ticker").first().ticker
+    for day, sector in ((first, "OLD"), (second, "NEW")):
+        members = bind.constituents(spark, SF, snapshot_date=day)
+        members = members.withColumn("gics_sector", F.when(F.col("ticker") == ticker, sector).otherwise(F.col("gics_sector")))
+        upto = F.col("date") <= F.lit(day)
+        bronze.land(members, root, "constituents", day)
+        bronze.land(bars.where(upto), root, "primary_prices", day)
+        bronze.land(bind.secondary_bronze(spark, SF).where(upto), root, "secondary_prices", day)
+        bronze.land(bind.macro(spark, SF).where(upto), root, "macro_series", day)
+        bronze.land(bind.identifiers(spark, SF), root, "identifier_map", day)
+        summary = {r.table: r for r in pl.build_gold(spark, day, dt.date(2024, 1, 1), root, point_in_time=True).collect()}
+    store = GoldStore(spark, f"{root}/gold")
+    keys = {r.gics_sector: r.security_key for r in store.read("dim_security").where(F.col("ticker") == ticker).collect()}
+    assert set(keys) == {"OLD", "NEW"}
+    f = store.read("fact_price_daily").where(F.col("source") == "primary")
+    days = {s: sorted(r.date_key % 100 for r in f.where(F.col("security_key") == k).collect()) for s, k in keys.items()}
+    mine = sorted(r.date.day for r in bars.where((F.col("ticker") == ticker) & (F.col("date") <= F.lit(second))).collect())
+    assert days["OLD"] == [d for d in mine if 10 <= d < 20] and days["NEW"] == [d for d in mine if d == 20]
+    # bars of before the first snapshot have no version of their day, and are counted
+    assert summary["fact_price_daily:primary"].skipped_no_security_key == bars.where("day(date) < 10").count()
+
+
+def test_discrepancy_reports(spark, lake):
+    land_all(spark, lake)
+    for source in ("primary", "secondary"):
+        pl.build_silver(spark, source, D, lake)
+    r = pl.reconcile(spark, D, lake)
+    out = pl.discrepancy_reports(spark, D, r, lake)
+    flagged = r.flagged().count()
+    assert out["discrepancy_events"].agg(F.sum("days_flagged")).first()[0] == flagged > 0
+    assert out["discrepancy_levels"].agg(F.sum("days")).first()[0] <= r.pairs().count()
+    total = out["coverage"].where("grouping_id = 15").first()
+    assert total.bars == r.matched.count()
+    assert out["discrepancy_quantiles"].where("p = 0.5").agg(F.sum("n")).first()[0] == r.pairs().where("pct_diff IS NOT NULL").count()
+    assert {p.name for p in __import__("pathlib").Path(f"{lake}/reports").iterdir()} >= set(out)
