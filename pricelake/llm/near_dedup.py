@@ -60,7 +60,8 @@ from pyspark.sql import functions as F
 from .common import remove, row_key, run_folder, set_aside, stored, table
 from .components import components
 
-WORDS = 4
+#: Words of a shingle, and those of the query's contract.
+WORDS, CONTRACT_WORDS = 5, 4
 #: Similarity from which documents are linked, in percent.
 PERCENT = 80
 BANDS, ROWS = 32, 5
@@ -415,4 +416,4 @@ def near_deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
 
 def query(spark, sf_dir):
-    return near_duplicates(table(spark, sf_dir, "documents")).drop("row_key")
+    return near_duplicates(table(spark, sf_dir, "documents"), words=CONTRACT_WORDS).drop("row_key")

@@ -38,7 +38,7 @@ def result(df):
 
 
 def test_nasty_rows_against_brute_force(nasty):
-    out = N.near_duplicates(nasty)
+    out = N.near_duplicates(nasty, words=4)
     assert result(out) == brute(nasty_rows())
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in rows_of(out, "doc_id"))
 
@@ -60,7 +60,7 @@ def test_large_groups_around_the_threshold(spark):
         rows += family(r, prose(g + 10, 120, 5000).split(), 60, 1000 * g, 7)
     rows += [(9000 + i, prose(500 + i, 80, 5000)) for i in range(100)]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
-    assert result(N.near_duplicates(df)) == brute(rows)
+    assert result(N.near_duplicates(df, words=4)) == brute(rows)
 
 
 def test_pairs_left_after_the_leaders(spark, monkeypatch):
@@ -70,7 +70,7 @@ def test_pairs_left_after_the_leaders(spark, monkeypatch):
     r = random.Random(4)
     rows = family(r, prose(77, 90, 4000).split(), 60, 0, 9) + family(r, prose(78, 40, 4000).split(), 30, 500, 3)
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    assert result(N.near_duplicates(df)) == brute(rows)
+    assert result(N.near_duplicates(df, words=4)) == brute(rows)
 
 
 def test_sharable_counts_what_only_one_node_has(spark):
@@ -80,7 +80,7 @@ def test_sharable_counts_what_only_one_node_has(spark):
 
 
 def test_one_of_each_group_stays(nasty):
-    stay = N.near_deduplicated(nasty)
+    stay = N.near_deduplicated(nasty, words=4)
     assert stay.columns == nasty.columns
     want = sorted({(d, t) for d, t, *_ in nasty_rows()} & {
         (d, t) for (d, t, *_) in nasty_rows() for (x, n, c) in brute(nasty_rows())
@@ -123,8 +123,8 @@ def test_one_document_near_to_two_that_are_apart(spark):
     rows = [(1, " ".join(left)), (2, " ".join(right)), (3, " ".join(w))]
     assert [c for *_, c in brute(rows)] == [1, 1, 1] and [c for *_, c in brute(rows[:2])] == [1, 2]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    assert result(N.near_duplicates(df)) == brute(rows)
-    assert [x.doc_id for x in N.near_deduplicated(df).collect()] == [1]
+    assert result(N.near_duplicates(df, words=4)) == brute(rows)
+    assert [x.doc_id for x in N.near_deduplicated(df, words=4).collect()] == [1]
 
 
 def test_repeated_id_with_two_texts_that_have_near_copies(spark):
@@ -132,21 +132,21 @@ def test_repeated_id_with_two_texts_that_have_near_copies(spark):
     rows = [(0, a + " x"), (5, a), (5, b), (6, b + " y"), (9, "z " + b), (5, b)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert sorted(c for *_, c in brute(rows)) == [0, 0, 5, 5, 5, 5]
-    assert result(N.near_duplicates(df)) == brute(rows)
-    assert sorted(map(tuple, N.near_deduplicated(df).collect())) == [(0, a + " x"), (5, b)]
+    assert result(N.near_duplicates(df, words=4)) == brute(rows)
+    assert sorted(map(tuple, N.near_deduplicated(df, words=4).collect())) == [(0, a + " x"), (5, b)]
 
 
 def test_empty_tables(spark, empty):
-    assert N.near_duplicates(empty).count() == 0
-    assert N.near_deduplicated(empty).count() == 0
+    assert N.near_duplicates(empty, words=4).count() == 0
+    assert N.near_deduplicated(empty, words=4).count() == 0
     only = spark.createDataFrame([(1, None, None, None), (2, "", None, None)], empty.schema)
-    assert result(N.near_duplicates(only)) == [(1, 0, 1), (2, 0, 2)]
+    assert result(N.near_duplicates(only, words=4)) == [(1, 0, 1), (2, 0, 2)]
 
 
 def test_hot_group_of_copies(spark):
     hot = spark.range(900).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, F.lit("a b c d e f g")).otherwise(
         F.concat_ws(" ", F.lit("q"), F.col("id"), F.col("id") + 7, F.col("id") * 3, F.lit("z"))).alias("text"))
-    got = N.near_duplicates(hot).groupBy("component_id").count().filter("count > 1").collect()
+    got = N.near_duplicates(hot, words=4).groupBy("component_id").count().filter("count > 1").collect()
     assert [tuple(x) for x in got] == [(0, 300)]
 
 
@@ -208,3 +208,16 @@ def test_row_keys_tell_nulls_apart(spark):
     rows = [(None, None), (None, ""), (None, "-"), (1, None), (1, ""), (1, "=\n"), (11, "a"), (1, "1a")]
     df = spark.createDataFrame(rows, "i long, t string")
     assert df.select(row_key("i", "t")).distinct().count() == len(rows)
+
+
+@pytest.mark.parametrize("words", [1, 5])
+def test_other_shingles_against_brute_force(spark, nasty, words):
+    assert result(N.near_duplicates(nasty, words=words)) == brute(nasty_rows(), words)
+    r = random.Random(words)
+    rows = family(r, prose(13, 90, 5000).split(), 50, 0, 6) + family(r, prose(14, 120, 5000).split(), 50, 100, 7)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert result(N.near_duplicates(df, words=words)) == brute(rows, words)
+
+
+def test_five_words_unless_the_contract_asks_for_four(nasty):
+    assert result(N.near_duplicates(nasty)) == brute(nasty_rows(), 5)

@@ -46,7 +46,7 @@ def test_language_stage(steps):
 
 def test_near_dedup_stage(steps):
     before = rows(steps[1])
-    keep = {d for d, _, c in grouped(before) if d == c}
+    keep = {d for d, _, c in grouped(before, 5) if d == c}
     assert sorted(rows(steps[2])) == sorted(r for r in before if r[0] in keep)
 
 
