@@ -28,6 +28,7 @@ import string
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -144,10 +145,12 @@ def build(marked: DataFrame, lists: list[str]) -> dict[str, Cascade]:
                 yield pa.record_batch([pa.array(lists, pa.string()), pa.array(words, pa.int64()),
                                        pa.array(np.array(bits, np.uint64).view(np.int64))], names=["list", "w", "b"])
 
-        # at most one row per 64-bit word of a filter reaches the driver
-        for r in (rows.filter("inside").select("key", "list").mapInArrow(place, "list string, w long, b long")
-                  .groupBy("list", "w").agg(F.bit_or("b").alias("b")).collect()):
-            levels[r.list].bits[r.w] = np.int64(r.b).view(np.uint64)
+        # at most one entry per 64-bit word of a filter reaches the driver, as columns
+        words = (rows.filter("inside").select("key", "list").mapInArrow(place, "list string, w long, b long")
+                 .groupBy("list", "w").agg(F.bit_or("b").alias("b")).toArrow())
+        for x, level in levels.items():
+            mine = words.filter(pc.equal(words["list"], x))
+            level.bits[mine["w"].to_numpy()] = mine["b"].to_numpy().view(np.uint64)
         for x, level in levels.items():
             out[x].append(level)
         shared = spark.sparkContext.broadcast(levels)

@@ -131,3 +131,14 @@ def test_most_frequent_by_levels(spark, entries, kept):
     df = spark.createDataFrame([("a", 1000), ("b", 300), ("c", 300), ("d", 2), ("e", 2), ("f", 2), ("g", 2)], "word string, n long")
     got = L.most_frequent(df, entries).collect()
     assert len(got) == kept and {r.word for r in got} == set("abcdefg"[:kept])
+
+
+def test_many_labels(spark):
+    """A label per word: as many languages as labels are learned and told apart."""
+    r = random.Random(1)
+    words = ["".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(9)) for _ in range(120)]
+    rows = [(3 * i + j, f"{w} {w} {w}", f"l{i}") for i, w in enumerate(words) for j in range(3)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = L.train(d)
+    got = {r.doc_id: r.lang_pred for r in L.predict(d, model).collect()}
+    assert len(model["langs"]) == 120 and sum(got[i] == lang for i, _, lang in rows) > 350

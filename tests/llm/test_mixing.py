@@ -89,3 +89,12 @@ def test_empty_and_wordless(spark, empty):
     d = spark.createDataFrame([(1, None, None, None), (2, " ", "en", "a")], empty.schema)
     assert [(r["taken"], r["target"]) for r in rows_of(M.plan_mixture(d), "doc_id")] == [(0, 0.0), (0, 0.0)]
     assert M.mixed(empty).count() == 0
+
+
+def test_a_row_that_the_table_repeats_many_times(spark):
+    """Equal rows are documents of their own: each is laid out as often as the plan takes it."""
+    rows = [(7, "one two three", "en", "s0")] * 1500 + [(i, "four five", "en", "s1") for i in range(100, 400)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(6)
+    taken = M.plan_mixture(d).groupBy("doc_id").agg({"copies": "sum"}).collect()
+    out = {r.doc_id: r["count"] for r in M.mixed(d).groupBy("doc_id").count().collect()}
+    assert out == {r.doc_id: r["sum(copies)"] for r in taken if r["sum(copies)"]}

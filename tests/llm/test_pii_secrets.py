@@ -174,3 +174,10 @@ def test_every_corpus_word_has_its_rank(spark):
 def test_secret_query_on_clashing_names(nasty):
     got = rows_of(S.find_secrets(nasty.withColumnRenamed("text", "value").withColumnRenamed("doc_id", "row"), "row", "value"), "doc_id")
     assert len(got) == len(nasty_rows())
+
+
+def test_pii_on_clashing_names(nasty):
+    odd = nasty.withColumnRenamed("text", "spans").withColumnRenamed("doc_id", "kind") if "spans" not in nasty.columns else (
+        nasty.drop("spans").withColumnRenamed("text", "spans").withColumnRenamed("doc_id", "kind"))
+    got = rows_of(P.find_pii(odd, "kind", "spans"), P.find_pii(odd, "kind", "spans").columns[0])
+    assert len(got) == len(nasty_rows())
