@@ -14,7 +14,8 @@
    could replace or cover.  Two words one edit apart share all but so many
    grams of either, at positions that differ by at most the edit's shift.  So
    each word enters the lists of its affected + 1 rarest grams, keyed by gram,
-   length of the word and position, and a near word shares one of these lists.
+   length of the word, position, and first or last letter (one edit leaves one
+   of both as it is), and a near word shares one of these lists.
 5. Lists are merged by a join; pairs that meet are verified by their edit
    distance.  Words all of whose grams one edit can affect have no such bound
    (short words of long grams): those alone are also listed under themselves
@@ -216,11 +217,14 @@ def near_words(words: DataFrame, folder: str, qmin: int = QMIN, qmax: int = QMAX
     size, at = F.col("in_size"), F.col("at")
     looks = F.when(size < 0, F.array(F.struct(size.alias("in_size"), at.alias("at")))).otherwise(F.array(
         *[F.struct((size + s).alias("in_size"), (at + p).alias("at")) for s, p in ((0, 0), (1, 0), (1, 1))]))
-    a = listed.select(F.col("word").alias("a"), F.col("n").alias("na"), F.col("size").alias("sa"), "gram", F.explode(looks).alias("l")).select(
-        "a", "na", "sa", "gram", "l.in_size", "l.at")
-    b = listed.select(F.col("word").alias("b"), F.col("n").alias("nb"), F.col("size").alias("sb"), "gram", "in_size", "at")
+    # one edit keeps the first letter or the last (one letter alone is listed without)
+    ends = F.when(size < 0, F.array(F.lit(""))).otherwise(F.array(F.concat(F.lit("^"), F.left("word", F.lit(1))), F.concat(F.lit("$"), F.right("word", F.lit(1)))))
+    listed = listed.withColumn("end", F.explode(ends))
+    a = listed.select(F.col("word").alias("a"), F.col("n").alias("na"), F.col("size").alias("sa"), "gram", "end", F.explode(looks).alias("l")).select(
+        "a", "na", "sa", "gram", "end", "l.in_size", "l.at")
+    b = listed.select(F.col("word").alias("b"), F.col("n").alias("nb"), F.col("size").alias("sb"), "gram", "end", "in_size", "at")
     once = ((F.col("in_size") >= 0) & (F.col("sa") < F.col("sb"))) | (F.col("a") < F.col("b"))
-    met = a.join(b, ["gram", "in_size", "at"]).where(once & (F.levenshtein("a", "b", 1) == 1))
+    met = a.join(b, ["gram", "end", "in_size", "at"]).where(once & (F.levenshtein("a", "b", 1) == 1))
     x, y = F.struct(F.col("a").alias("w"), F.col("na").alias("n")), F.struct(F.col("b").alias("w"), F.col("nb").alias("n"))
     return (met.select(F.least(x, y).alias("x"), F.greatest(x, y).alias("y"))
             .select(F.col("x.w").alias("a"), F.col("y.w").alias("b"), F.col("x.n").alias("na"), F.col("y.n").alias("nb")).distinct())

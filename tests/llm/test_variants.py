@@ -154,3 +154,10 @@ def test_dictionary_is_bounded(spark):
 def test_long_chains_of_forms(spark):
     chain = spark.createDataFrame([(f"w{i:03}", f"w{i + 1:03}") for i in range(37)], "word string, form string")
     assert {r.root for r in v.roots(chain, run_folder(spark, "variants-test")).collect()} == {"w037"}
+
+
+def test_edits_at_the_ends(spark):
+    words = {w: 10 * i + 5 for i, w in enumerate(["abcdef", "xabcdef", "abcdefx", "xbcdef", "abcdex", "bcdef", "abcde", "a", "b", "ab", "cb", "ac", ""])}
+    df = spark.createDataFrame(list(words.items()), "word string, n long")
+    got = sorted((tuple(r) for r in v.spelling_variants(df).collect()), key=repr)
+    assert got == sorted(brute(words), key=repr)
