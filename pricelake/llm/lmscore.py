@@ -216,4 +216,37 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", o
 
 
 def query(spark, sf_dir):
-    return lm_scores(table(spark, sf_dir, "documents"))
+    s = lm_scores(table(spark, sf_dir, "documents"))
+    return s.select("doc_id", "n_words", *[F.round(c, d).alias(c) for c, d in (("log10_score", 5), ("mean_log10", 8), ("perplexity", 3))])
+
+
+#: The same by window counts over all words: what a word's n-gram has in the
+#: corpus less what its document has.  n-grams are whole words, not hashes.
+SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS w
+  FROM documents),
+t AS (SELECT r, i, w[i] AS c, CASE WHEN i > 1 THEN w[i - 1] END AS b, CASE WHEN i > 2 THEN w[i - 2] END AS a
+      FROM (SELECT r, w, unnest(range(1, len(w) + 1)) AS i FROM d)),
+o1 AS (SELECT r, c, count(*) AS n FROM t GROUP BY ALL), g1 AS (SELECT c, sum(n) AS n FROM o1 GROUP BY ALL),
+o2 AS (SELECT r, b, c, count(*) AS n FROM t WHERE i > 1 GROUP BY ALL), g2 AS (SELECT b, c, sum(n) AS n FROM o2 GROUP BY ALL),
+o3 AS (SELECT r, a, b, c, count(*) AS n FROM t WHERE i > 2 GROUP BY ALL), g3 AS (SELECT a, b, c, sum(n) AS n FROM o3 GROUP BY ALL),
+x AS (
+  SELECT t.r, t.i, g1.n - o1.n AS c1, gb.n - ob.n AS before1, g2.n - o2.n AS c2, gab.n - oab.n AS before2, g3.n - o3.n AS c3,
+         (SELECT count(*) FROM t) - len(d.w) AS rest
+  FROM t JOIN d ON d.r = t.r
+  JOIN g1 ON g1.c = t.c JOIN o1 ON o1.r = t.r AND o1.c = t.c
+  LEFT JOIN g1 gb ON gb.c = t.b LEFT JOIN o1 ob ON ob.r = t.r AND ob.c = t.b
+  LEFT JOIN g2 ON g2.b = t.b AND g2.c = t.c LEFT JOIN o2 ON o2.r = t.r AND o2.b = t.b AND o2.c = t.c
+  LEFT JOIN g2 gab ON gab.b = t.a AND gab.c = t.b LEFT JOIN o2 oab ON oab.r = t.r AND oab.b = t.a AND oab.c = t.b
+  LEFT JOIN g3 ON g3.a = t.a AND g3.b = t.b AND g3.c = t.c LEFT JOIN o3 ON o3.r = t.r AND o3.a = t.a AND o3.b = t.b AND o3.c = t.c),
+s AS (
+  SELECT r, sum(CASE WHEN c3 > 0 THEN log10(c3::DOUBLE / before2)
+                     WHEN c2 > 0 THEN log10(c2::DOUBLE / before1) + CASE WHEN i > 2 THEN log10(0.4::DOUBLE) ELSE 0 END
+                     ELSE log10(CASE WHEN c1 > 0 THEN c1::DOUBLE ELSE 0.5 END / greatest(rest, 1)) + least(i - 1, 2) * log10(0.4::DOUBLE) END) AS score
+  FROM x GROUP BY r)
+SELECT doc_id, len(w) AS n_words, round(score, 5) AS log10_score, round(score / len(w), 8) AS mean_log10,
+       round(pow(10.0::DOUBLE, -score / len(w)), 3) AS perplexity
+FROM d LEFT JOIN s USING (r)
+"""

@@ -21,6 +21,7 @@ QUERIES = {
 }
 
 SQL = {
+    "op4_lm_scores": lmscore.SQL,
     "op3_url_filter": urls.SQL,
     "op7_decontamination": decontaminate.SQL,
     "op8_exact_dedup": exact_dedup.SQL,
