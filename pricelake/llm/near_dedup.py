@@ -75,7 +75,7 @@ SEED = 7
 
 
 def words_of(text: str | None) -> list[bytes]:
-    """A-Z lower-cased, then split at [\\x20\\x09-\\x0D]."""
+    """A-Z lower-cased, then split at [\x20\x09-\x0D]."""
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
 
@@ -417,3 +417,22 @@ def near_deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
 def query(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"), words=CONTRACT_WORDS).drop("row_key")
+
+
+#: All pairs of rows that share a shingle, on whole sets.
+SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS w
+  FROM documents),
+h AS (SELECT DISTINCT r, array_to_string(w[i:i + 3], ' ') AS h
+      FROM (SELECT r, w, unnest(range(1, greatest(1, len(w) - 3) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT r, count(*) AS n FROM h GROUP BY r),
+p AS (SELECT x.r AS a, y.r AS b, count(*) AS c FROM h x JOIN h y ON x.h = y.h AND x.r < y.r GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n x ON x.r = a JOIN n y ON y.r = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+t AS (SELECT r AS a, r AS b FROM d UNION SELECT t.a, e.b FROM t JOIN e ON e.a = t.b)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
+FROM d LEFT JOIN n ON n.r = d.r
+JOIN (SELECT t.a, min(o.doc_id) AS component_id FROM t JOIN d o ON o.r = t.b GROUP BY t.a) c ON c.a = d.r
+"""

@@ -21,6 +21,7 @@ QUERIES = {
 }
 
 SQL = {
+    "op1_near_duplicates": near_dedup.SQL,
     "op4_lm_scores": lmscore.SQL,
     "op3_url_filter": urls.SQL,
     "op7_decontamination": decontaminate.SQL,
