@@ -28,4 +28,6 @@ SQL = {
     "op8_exact_dedup": exact_dedup.SQL,
     "op10_source_mixing": mixing.SQL,
     "op11_warc_archive": warc.SQL,
+    "op12_spelling_variants": variants.SQL,
+    "op13_periodic_runs": runs.SQL,
 }

@@ -244,3 +244,51 @@ def digests(found: DataFrame) -> DataFrame:
 
 def query(spark, sf_dir):
     return digests(periodic_runs(planted(table(spark, sf_dir, "documents"))))
+
+
+#: The same by islands of equal windows of six words at each distance; CRC-32 by its table.
+SQL = r"""
+WITH c AS (
+  SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: xor(c >> 1, (c & 1) * 3988292384)) ORDER BY i) AS tab
+  FROM (SELECT CAST(unnest(range(256)) AS BIGINT) AS i)),
+d AS (
+  SELECT row_number() OVER () AS r, doc_id, hex(encode(CAST(doc_id AS VARCHAR))) AS x,
+         coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w
+  FROM documents),
+h AS (
+  SELECT r, doc_id, w, CAST(len(w) AS BIGINT) AS n,
+         xor(list_reduce(list_transform(range(0, length(x) // 2), lambda i: CAST('0x' || substr(x, CAST(2 * i + 1 AS BIGINT), 2) AS BIGINT)),
+                         lambda a, y: xor(a >> 8, tab[CAST(xor(a, y) & 255 AS BIGINT) + 1]), CAST(4294967295 AS BIGINT)), 4294967295) AS h
+  FROM d, c),
+a AS (SELECT *, (h // 10) % n AS a FROM h WHERE n > 0),
+b AS (SELECT *, 1 + (n - a) // (3 + (h // 10) % 8) AS p FROM a),
+t AS (
+  SELECT r, i, CASE WHEN h % 10 = 0 AND i >= a THEN w[a + (i - a) % p + 1] ELSE w[i + 1] END AS word
+  FROM (SELECT *, unnest(range(n)) AS i FROM b)),
+s AS (
+  SELECT r, i, word, lead(i, 5) OVER o AS whole,
+         hash(word, lead(word, 1) OVER o, lead(word, 2) OVER o, lead(word, 3) OVER o, lead(word, 4) OVER o, lead(word, 5) OVER o) AS six,
+         [word, lead(word, 1) OVER o, lead(word, 2) OVER o, lead(word, 3) OVER o, lead(word, 4) OVER o, lead(word, 5) OVER o] AS six_words
+  FROM t WINDOW o AS (PARTITION BY r ORDER BY i)),
+m AS (
+  SELECT x.r, x.i, y.i - x.i AS q
+  FROM s x JOIN s y ON x.r = y.r AND x.six = y.six AND x.i < y.i
+  WHERE x.whole IS NOT NULL AND y.whole IS NOT NULL AND x.six_words = y.six_words),
+e AS (
+  SELECT r, q, min(i) AS start, count(*) + 5 AS common
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS island FROM m) GROUP BY r, q, island),
+u AS (
+  SELECT r, start, q + common AS length, min(q) AS period
+  FROM e WHERE q <= common AND q + common >= 12 GROUP BY r, start, q + common),
+v AS (
+  SELECT r, count(*) AS n_runs, first(start ORDER BY length DESC, start, period) AS start, max(length) AS length,
+         first(period ORDER BY length DESC, start, period) AS period,
+         sha256(string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period)) AS runs_sha256
+  FROM u GROUP BY r),
+g AS (SELECT DISTINCT r, unnest(range(start + period, start + length)) AS i FROM u),
+k AS (SELECT t.r, string_agg(t.word, ' ' ORDER BY t.i) AS kept FROM t ANTI JOIN g ON g.r = t.r AND g.i = t.i GROUP BY t.r)
+SELECT d.doc_id, coalesce(v.n_runs, 0) AS n_runs, v.start, CAST(v.length AS BIGINT) AS length, CAST(v.period AS BIGINT) AS period,
+       CAST(1000 * v.length // v.period AS BIGINT) AS exponent_milli, coalesce(v.runs_sha256, sha256('')) AS runs_sha256,
+       sha256(coalesce(k.kept, '')) AS collapsed_sha256
+FROM d LEFT JOIN v ON v.r = d.r LEFT JOIN k ON k.r = d.r
+"""

@@ -262,3 +262,43 @@ def spelling_variants(words: DataFrame, ratio: int = RATIO, qmin: int = QMIN, qm
 def query(spark, sf_dir):
     counted = count_words(table(spark, sf_dir, "documents"), errors=ERRORS)
     return spelling_variants(counted.where(F.col("n") >= LEAST))
+
+
+#: The same: CRC-32 by its table, near words by their letters left out.
+SQL = r"""
+WITH RECURSIVE c AS (
+  SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: xor(c >> 1, (c & 1) * 3988292384)) ORDER BY i) AS tab
+  FROM (SELECT CAST(unnest(range(256)) AS BIGINT) AS i)),
+o AS (
+  SELECT doc_id, w, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                 '[a-z\x{C0}-\x{FF}]+')) AS w FROM documents)
+  WHERE length(w) >= 6 GROUP BY ALL),
+b AS (
+  SELECT w, n, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || w)) AS x FROM o),
+h AS (
+  SELECT w, n, xor(list_reduce(list_transform(range(0, length(x) // 2), lambda i: CAST('0x' || substr(x, CAST(2 * i + 1 AS BIGINT), 2) AS BIGINT)),
+                               lambda a, y: xor(a >> 8, tab[CAST(xor(a, y) & 255 AS BIGINT) + 1]), CAST(4294967295 AS BIGINT)), 4294967295) AS h
+  FROM b, c),
+w AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n
+  FROM (SELECT CASE WHEN h % 199 = 0 THEN substr(w, 1, CAST(h % length(w) AS BIGINT)) || substr(w, CAST(h % length(w) + 2 AS BIGINT)) ELSE w END AS word, n FROM h)
+  WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+k AS (
+  SELECT word, word AS key FROM w
+  UNION SELECT word, substr(word, 1, i - 1) || substr(word, i + 1) FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM w)),
+p AS (
+  SELECT DISTINCT x.word AS a, y.word AS b
+  FROM k x JOIN k y ON x.key = y.key AND x.word <> y.word
+  WHERE (length(x.word) <> length(y.word) AND (x.key = x.word OR x.key = y.word))
+     OR (length(x.word) = length(y.word)
+         AND len(list_filter(range(1, length(x.word) + 1), lambda i: substr(x.word, i, 1) <> substr(y.word, i, 1))) = 1)),
+f AS (
+  SELECT w.word, w.n, count(p.b) AS n_near, first(p.b ORDER BY o.n DESC, p.b) AS near, max(o.n) AS near_n
+  FROM w LEFT JOIN p ON p.a = w.word LEFT JOIN w o ON o.word = p.b GROUP BY w.word, w.n),
+g AS (SELECT *, CASE WHEN near_n >= 5 * n THEN near END AS form FROM f),
+r AS (SELECT word, word AS spot, 0 AS steps FROM g
+      UNION ALL SELECT r.word, g.form, steps + 1 FROM r JOIN g ON g.word = r.spot WHERE g.form IS NOT NULL)
+SELECT g.word, g.form, r.root, g.n, g.n_near, CASE WHEN g.form IS NOT NULL THEN g.near_n END AS form_n
+FROM g JOIN (SELECT word, arg_max(spot, steps) AS root FROM r GROUP BY word) r ON r.word = g.word
+"""
