@@ -6,8 +6,8 @@ versions are sorted together instead: both go into one table, dealt by ranges
 of (key, date), so a key that makes up a third of the rows spreads over as many
 partitions as its rows need.  Within a partition each row takes the last
 version before it; where a key goes on from one partition to the next, the
-last version of the earlier ones is carried over the edge.  There are at most
-two edges a partition, and that is all that is broadcast.
+last version of the earlier ones is carried over the edge.  Only the first key
+of a partition can need that, so at most a row per partition is broadcast.
 """
 
 from __future__ import annotations
