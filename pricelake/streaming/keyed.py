@@ -36,6 +36,10 @@ from .bronze_stream import price_stream, stream_folder
 
 #: Days after its last arrival at which a bar's state goes.
 KEEP_DAYS = 30
+DAY_MS = 86_400_000
+#: Buckets of tickers that share a row of state per month; fixed for the life
+#: of a stream's checkpoint.  At 100,000 tickers a row holds 400 bars.
+BUCKETS = 8192
 ORDER = ["ingest_date", "_arrival_batch", "_arrival_file", "_arrival_row"]
 SCHEMAS = {PRIMARY: PRIMARY_BRONZE, SECONDARY: SECONDARY_BRONZE}
 #: Ticker of the rows that only move a stream's time on.
@@ -49,28 +53,52 @@ def superseded_stream(rows: DataFrame, keep_days: int = KEEP_DAYS) -> DataFrame:
     superseded (of these or of former ones, replaced by a newer arrival), late
     (rows that were older than one already seen) and first (no state before).
     ``rows`` is a stream of landed bars with their arrival order; rows without
-    a key are left out."""
+    a key are left out.  A call of Python serves a month's bars of one bucket of
+    tickers, since a call costs far more than a bar; each bar has its own
+    arrival and its own time to go in the bucket's state."""
     def arrive(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
+        now = state.getCurrentWatermarkMs()
+        held = {}
+        if state.exists:
+            files, *bars = state.get
+            held = {(ticker, bar): (day, batch, files[file], row, until)
+                    for ticker, bar, day, batch, file, row, until in zip(*bars, strict=True)}
+        came: dict[tuple, list] = {}
+        if not state.hasTimedOut:
+            for got in batches:
+                for ticker, bar, *order in zip(*[got[c].tolist() for c in ("ticker", "bar", *ORDER)], strict=True):
+                    came.setdefault((ticker, bar), []).append(tuple(order))
+        out = []
+        for at, orders in came.items():
+            before = held[at][:4] if at in held else None
+            newest = max(orders) if before is None else max(*orders, before)
+            held[at] = (*newest, max((newest[0] + keep_days) * DAY_MS, now + 1))
+            out.append((*at, len(orders), len(orders) - (before is None),
+                        sum(o < before for o in orders) if before else 0, before is None))
+        # a bar that is not in this micro-batch goes when its own time is up
+        held = {at: h for at, h in held.items() if at in came or h[4] >= now}
+        if held:
+            files = sorted({h[2] for h in held.values()})
+            place = {f: i for i, f in enumerate(files)}
+            bars = [(*at, day, batch, place[file], row, until) for at, (day, batch, file, row, until) in held.items()]
+            state.update((files, *map(list, zip(*bars, strict=True))))
+            state.setTimeoutTimestamp(max(min(h[4] for h in held.values()), now + 1))
+        else:
             state.remove()
-            return
-        got = pd.concat(list(batches))
-        order = sorted((pd.Timestamp(d).toordinal(), int(b), str(f), int(r)) for d, b, f, r in got[ORDER].itertuples(index=False))
-        before = tuple(state.get) if state.exists else None
-        newest = max(order[-1], before) if before else order[-1]
-        state.update(newest)
-        until = dt.date.fromordinal(newest[0] + keep_days)
-        state.setTimeoutTimestamp(max(int(pd.Timestamp(until).timestamp() * 1000), state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame({"ticker": [key[0]], "date": [key[1]], "landed": [len(order)],
-                            "superseded": [len(order) - (before is None)], "late": [sum(o < before for o in order) if before else 0],
-                            "first": [before is None]})
+        if out:
+            yield pd.DataFrame(out, columns=["ticker", "bar", "landed", "superseded", "late", "first"])
 
+    bar = F.to_date("date")
     keyed = (rows.where("ticker IS NOT NULL AND date IS NOT NULL")
-             .select("ticker", "date", *ORDER, F.col("ingest_date").cast("timestamp").alias("arrived"))
+             .select(F.pmod(F.xxhash64("ticker"), F.lit(BUCKETS)).alias("bucket"), F.trunc(bar, "month").alias("month"),
+                     "ticker", F.unix_date(bar).alias("bar"), F.unix_date("ingest_date").alias("ingest_date"), *ORDER[1:],
+                     F.col("ingest_date").cast("timestamp").alias("arrived"))
              .withWatermark("arrived", f"{keep_days} days"))
-    return keyed.groupBy("ticker", "date").applyInPandasWithState(
-        arrive, "ticker string, date date, landed long, superseded long, late long, first boolean",
-        "day long, batch long, file string, row long", "update", GroupStateTimeout.EventTimeTimeout)
+    per = keyed.groupBy("bucket", "month").applyInPandasWithState(
+        arrive, "ticker string, bar int, landed long, superseded long, late long, first boolean",
+        "files array<string>, tickers array<string>, bars array<long>, days array<long>, batches array<long>, "
+        "file array<long>, rows array<long>, until array<long>", "update", GroupStateTimeout.EventTimeTimeout)
+    return per.select("ticker", F.date_from_unix_date("bar").alias("date"), "landed", "superseded", "late", "first")
 
 
 def run_superseded_stream(spark: SparkSession, source: str, root: str | None = None, max_files: int | None = None,

@@ -75,6 +75,32 @@ def test_state_expires(spark, lake):
     assert got == {"A": (2, 0), "B": (2, 1), "C": (3, 1)}
 
 
+def test_bars_of_one_bucket_share_a_row_of_state(spark, lake, monkeypatch):
+    monkeypatch.setattr(keyed, "BUCKETS", 2)
+    keys = [(t, d) for t in "ABCD" for d in range(1, 11)]
+    bronze.land(bars(spark, keys), lake, "primary_prices", D)
+    bronze.land(bars(spark, keys[::3]), lake, "primary_prices", D, batch=1)
+    q = keyed.run_superseded_stream(spark, "primary", lake)
+    assert 1 <= max(p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress) <= 2
+    assert counts(spark, lake) == {t: (10 + sum(k[0] == t for k in keys[::3]), 10) for t in "ABCD"}
+
+
+def test_a_bar_expires_alone_in_its_bucket(spark, lake, monkeypatch):
+    monkeypatch.setattr(keyed, "BUCKETS", 1)
+
+    def land(day, keys):
+        bronze.land(bars(spark, keys), lake, "primary_prices", D + dt.timedelta(day))
+        keyed.run_superseded_stream(spark, "primary", lake, keep_days=5)
+
+    land(0, [("A", 2), ("B", 2)])
+    land(3, [("B", 2), ("A", 3)])
+    land(13, [("C", 2)])
+    land(14, [("C", 2)])  # the watermark has passed every bar of A and B but not C's
+    land(15, [("A", 2), ("A", 3), ("B", 2), ("C", 2)])
+    got = {r.ticker: (r.landed, r.superseded, r.late) for r in keyed.superseded_counts(spark, "primary", lake).collect()}
+    assert got == {"A": (4, 0, 0), "B": (3, 1, 0), "C": (3, 2, 0)}
+
+
 def test_rows_that_break_a_rule_supersede_nothing(spark, lake):
     bronze.land(bars(spark, [("A", 2)]), lake, "primary_prices", D)
     bronze.land(bars(spark, [("A", 2)], close=0.0).unionByName(bars(spark, [(None, 2)])), lake, "primary_prices", D, batch=1)
