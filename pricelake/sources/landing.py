@@ -64,7 +64,9 @@ def price_json(secondary_bronze: DataFrame) -> DataFrame:
     g = secondary_bronze.groupBy("ticker", F.date_trunc("month", "date").alias("month"),
                                  page_of().alias("page")).agg(
         F.sort_array(F.collect_list(F.struct(F.col("date").alias("_d"), rec.alias("r")))).alias("rs"))
-    return g.select("ticker", "month", "page", F.to_json(F.transform("rs", lambda x: x["r"])).alias("payload"))
+    # the vendor names every field of a record, also one without a value
+    return g.select("ticker", "month", "page",
+                    F.to_json(F.transform("rs", lambda x: x["r"]), {"ignoreNullFields": "false"}).alias("payload"))
 
 
 def observations_json(spark, sf_dir) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_mod
 from pricelake.operators.silver import to_silver
+from pricelake.sources import landing, payloads
 from tests.test_silver import bars
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
@@ -27,7 +28,7 @@ def events(spark, tmp_path_factory):
     return folder
 
 
-@pytest.mark.parametrize("name", ["old_bronze_fallback"])
+@pytest.mark.parametrize("name", ["old_bronze_fallback", "price_payload_json"])
 def test_query_keeps_the_bar(spark, events, name):
     from oracle_check import digest
     got = entry_mod.queries()[name](spark, events).toPandas()
@@ -43,3 +44,11 @@ def test_silver_without_the_guard(spark):
     df = bars(spark).withColumn("close", F.when(F.col("date") == F.lit(dt.date(2024, 1, 2)), 0.0).otherwise(F.col("close")))
     rows = to_silver(df, strict=False).orderBy("date").collect()
     assert [r.adj_open for r in rows] == [None, 101.0, 102.0] and [r.adj_volume for r in rows] == [r.volume for r in rows]
+
+
+def test_payload_names_fields_without_a_value(spark):
+    b = bars(spark, n=1)
+    b = b.withColumns({c: F.lit(None).cast("double") for c in ("adj_open", "adj_high", "adj_low")}).withColumn("adj_volume", F.lit(2))
+    rows, rejects = payloads.parse_price_records(landing.price_json(b))
+    r, = rows.collect()
+    assert (r.open, r.adj_open, r.adj_volume) == (100.0, None, 2) and rejects.count() == 0
