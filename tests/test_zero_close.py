@@ -28,7 +28,7 @@ def events(spark, tmp_path_factory):
     return folder
 
 
-@pytest.mark.parametrize("name", ["old_bronze_fallback", "price_payload_json"])
+@pytest.mark.parametrize("name", ["old_bronze_fallback", "price_payload_json", "forced_repull"])
 def test_query_keeps_the_bar(spark, events, name):
     from oracle_check import digest
     got = entry_mod.queries()[name](spark, events).toPandas()
