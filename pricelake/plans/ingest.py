@@ -132,7 +132,8 @@ def constituents_snapshot(spark: SparkSession, ingest_date: dt.date, pages: Data
         ingest_constituents(spark, pages, ingest_date, root)
     snap = bronze.scan(spark, root, "constituents", CONSTITUENTS_BRONZE, ingest_date)
     from ..operators.dedup import keep_one
-    snap = keep_one(snap, ["ticker"], [F.col(c) for c in bronze.ARRIVAL], last=False)
+    # dealt out first, as in silver.dedup_keep_last
+    snap = keep_one(snap.repartition("ticker"), ["ticker"], [F.col(c) for c in bronze.ARRIVAL], last=False)
     return snap.drop(*bronze.ARRIVAL, "ingest_date", "batch")
 
 

@@ -71,6 +71,16 @@ def test_keep_last_by_arrival_order(spark, lake):
     assert s.where(F.col("date") == F.lit(D)).first().close == 200.0
 
 
+def test_tasks_that_read_landings_sort_nothing(spark, lake):
+    b = bars(spark).withColumns({"dividends": F.lit(0.0), "stock_splits": F.lit(0.0)})
+    bronze.land(b, lake, "p", D)
+    scanned = bronze.scan(spark, lake, "p", PRIMARY_BRONZE, D).drop("ingest_date", "batch")
+    plan = to_silver(scanned)._jdf.queryExecution().executedPlan().toString()
+    above, _, below = plan.partition("Exchange hashpartitioning(")
+    assert "Window" in above and "Sort [" in above
+    assert "Scan parquet" in below and "Sort [" not in below and "Exchange" not in below
+
+
 def test_missing_partition_is_empty_not_error(spark, lake):
     assert bronze.scan(spark, lake, "nothing", PRIMARY_BRONZE, D).count() == 0
 
