@@ -18,13 +18,19 @@ from ..functions.expr import normalize_ticker, strip
 
 
 def _drift_checked(text: Column, required: list[str], what: str) -> Column:
-    """``text`` itself, or a job failure if the payload's first record lacks
-    a required key (folded into the value so it can never be pruned)."""
+    """``text`` itself, or a job failure if no record of the payload names
+    a required key (folded into the value so it can never be pruned).  A
+    record may leave out a field without a value, so where the first one
+    lacks a key the others are read too."""
     first = F.get_json_object(text, "$[0]")
     keys = F.json_object_keys(first)
-    missing = F.array_except(F.array(*[F.lit(k) for k in required]), F.coalesce(keys, F.array()))
-    return F.when(first.isNotNull() & (F.size(missing) > 0), F.raise_error(F.concat(
-        F.lit(f"{what} schema drift, missing: "), F.array_join(missing, ",")))).otherwise(text)
+    lacks = F.array_except(F.array(*[F.lit(k) for k in required]), F.coalesce(keys, F.array()))
+    records = F.filter(F.from_json(text, "array<map<string, string>>"), lambda r: r.isNotNull())
+    named = F.flatten(F.transform(records, lambda r: F.map_keys(r)))
+    missing = F.array_except(lacks, F.coalesce(named, F.array()))
+    # nested, so that the other records are parsed only where they decide
+    return F.when(first.isNotNull() & (F.size(lacks) > 0), F.when(F.size(missing) > 0, F.raise_error(F.concat(
+        F.lit(f"{what} schema drift, missing: "), F.array_join(missing, ",")))).otherwise(text)).otherwise(text)
 
 
 # ---- daily price records (JSON array of objects) -------------------------

@@ -2,6 +2,7 @@
 returns it: over an events table of its own, against the SQL."""
 
 import datetime as dt
+import json
 import os
 import sys
 
@@ -11,6 +12,8 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_mod
 from pricelake.operators.silver import to_silver
+from pricelake.plans import ingest
+from pricelake.plans import pipeline as pl
 from pricelake.sources import landing, payloads
 from tests.test_silver import bars
 
@@ -52,3 +55,23 @@ def test_payload_names_fields_without_a_value(spark):
     rows, rejects = payloads.parse_price_records(landing.price_json(b))
     r, = rows.collect()
     assert (r.open, r.adj_open, r.adj_volume) == (100.0, None, 2) and rejects.count() == 0
+
+
+def test_forced_repull_of_a_response_whose_first_record_lacks_fields(spark, tmp_path):
+    """The first bar, without adjusted prices, leaves the fields out; the
+    second names them.  A field that no record names is drift still."""
+    root, d = str(tmp_path / "lake"), dt.date(2024, 1, 31)
+    whole = {"date": "2024-01-03T00:00:00.000Z", "open": 1.0, "high": 2.0, "low": 0.5, "close": 1.5, "volume": 10,
+             "adjClose": 1.4, "adjOpen": 0.9, "adjHigh": 1.9, "adjLow": 0.4, "adjVolume": 20}
+    short = {k: v for k, v in whole.items() if k not in ("adjOpen", "adjHigh", "adjLow")} | {"date": "2024-01-02T00:00:00.000Z", "close": 0.0}
+
+    def pull(*records):
+        landed = spark.createDataFrame([("A", json.dumps(records))], "ticker string, payload string")
+        return ingest.ingest_price_records(spark, landed, spark.createDataFrame([("A",)], "ticker string"), d, root, force=True)
+
+    pull(whole)
+    assert pull(short, whole).count() == 0
+    rows = pl.build_silver(spark, "secondary", d, root).orderBy("date").collect()
+    assert [(r.date.day, r.close, r.adj_open, r.adj_volume) for r in rows] == [(2, 0.0, None, 20), (3, 1.5, 0.9, 20)]
+    with pytest.raises(Exception, match="missing: adjOpen,adjHigh,adjLow"):
+        pull(short, short)
